@@ -17,12 +17,19 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import uuid  # noqa: E402
+
 from airlake.functions import feed_ts, na_to_int, sub_index_count  # noqa: E402
 from airlake.operators import duplicate_report, latest_per_key  # noqa: E402
+from airlake.plans import graph as G  # noqa: E402
+from airlake.plans import layers as L  # noqa: E402
 from airlake.plans import products as P  # noqa: E402
 from airlake.plans import views as V  # noqa: E402
 from airlake.schemas import FEED_TS_FORMAT, WIDE_COLUMNS  # noqa: E402
+from airlake.session import shared_dir  # noqa: E402
+from airlake.sources import landing as LD  # noqa: E402
 from airlake.sources import testbed as TB  # noqa: E402
+from airlake.streaming.ingest import ingest  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -257,6 +264,48 @@ def q_latest_map(spark, d):
     return V.latest_map(s.fact, s.dates, s.locations)
 
 
+def _scratch(spark: SparkSession, what: str) -> str:
+    """A fresh folder in the cluster's shared checkpoint area for one run."""
+    return shared_dir(spark, "airlake-runs", f"{what}-{uuid.uuid4().hex[:12]}")
+
+
+def _deliver(spark, records: DataFrame, landing: str, at: str) -> None:
+    docs = LD.documents_from_records(records, delivered_at=F.lit(at).cast("timestamp"))
+    LD.write_landing(docs, landing)
+
+
+def q_landing_roundtrip(spark, d):
+    """readings -> JSON.gz documents in dated folders -> streaming load -> clean layer."""
+    run = _scratch(spark, "roundtrip")
+    _deliver(spark, TB.feed_records(spark, d), f"{run}/landing", "2024-03-01 10:45:00")
+    ingest(spark, f"{run}/landing", f"{run}/raw", f"{run}/checkpoint", framing="lines")
+    c = L.clean(spark.read.parquet(f"{run}/raw"))
+    return c.select("index_record_ts", "country", "state", "city", "station", "latitude", "longitude",
+                    "pollutant_id", "pollutant_max", "pollutant_min", "pollutant_avg")
+
+
+def redelivered(records: DataFrame) -> DataFrame:
+    """A corrected second delivery of the hours 00-02 (every reading + 1, 'NA' kept)."""
+    fixed = F.when(F.col("pollutant_avg") == "NA", F.col("pollutant_avg")).otherwise(
+        (F.col("pollutant_avg").cast("int") + 1).cast("string"))
+    return records.filter(F.hour("index_record_ts") < 3).withColumn("pollutant_avg", fixed)
+
+
+def q_refresh_incremental(spark, d):
+    """Full build, then a re-delivery of some hours refreshed for the touched days only."""
+    run = _scratch(spark, "refresh")
+    landing, raw = f"{run}/landing", f"{run}/raw"
+    g = G.aqi_pipeline(spark, f"{run}/tables", raw)
+    records = TB.feed_records(spark, d)
+    _deliver(spark, records, landing, "2024-03-01 10:45:00")
+    ingest(spark, landing, raw, f"{run}/checkpoint", framing="lines")
+    g.refresh("city_day")
+    _deliver(spark, redelivered(records), landing, "2024-03-02 10:45:00")
+    ingest(spark, landing, raw, f"{run}/checkpoint", framing="lines",
+           on_batch=G.incremental_refresh(g, "city_day"))
+    return g.read("city_day")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pivot_pollutants": q_pivot_pollutants,
     "clean_flatten": q_clean_flatten,
@@ -291,6 +340,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "city_trend": q_city_trend,
     "top10_latest_day": q_top10_latest_day,
     "latest_map": q_latest_map,
+    "landing_roundtrip": q_landing_roundtrip,
+    "refresh_incremental": q_refresh_incremental,
 }
 
 
@@ -419,6 +470,12 @@ ev AS (
   FROM events)"""
 
 
+_READINGS_V2 = ("readings AS (SELECT index_record_ts, country, state, city, station, latitude, longitude, "
+                "pollutant_id, pollutant_max, pollutant_min, CASE WHEN hour(index_record_ts) < 3 "
+                "AND pollutant_avg <> 'NA' THEN CAST(CAST(pollutant_avg AS INTEGER) + 1 AS VARCHAR) "
+                "ELSE pollutant_avg END AS pollutant_avg FROM readings_v1)")
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
@@ -548,6 +605,9 @@ _ORACLE: dict[str, str] = {
         "SELECT state, city, " + _r(_W) + ", prominent_pollutant, aqi FROM day_level "
         "WHERE measurement_date = (SELECT max(measurement_date) FROM day_level) "
         "ORDER BY aqi DESC, state, city LIMIT 10"),
+    "landing_roundtrip": _with(_READINGS) + "SELECT * FROM readings",
+    "refresh_incremental": _with(_READINGS.replace("readings AS", "readings_v1 AS", 1), _READINGS_V2,
+                                 *_DAY_CTES[1:]) + "SELECT * FROM day_level",
     "latest_map": _with(*_STAR_CTES) + (
         "SELECT CAST(l.latitude AS DOUBLE) AS lat, CAST(l.longitude AS DOUBLE) AS lon, f.aqi "
         "FROM fact f JOIN locs l ON f.latitude = l.latitude AND f.longitude = l.longitude "
