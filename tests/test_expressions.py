@@ -1,0 +1,72 @@
+"""Expression rules on hand tables (FIXTURES §3)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from airlake.functions import aqi, feed_ts, na_to_int, na_to_zero, prominent, sub_index_count, surrogate_key
+from airlake.operators import pivot_max
+
+COLS = ["pm25", "pm10", "so2", "no2", "nh3", "co", "o3"]
+SCHEMA = ", ".join(f"{c} bigint" for c in COLS)
+
+# (inputs in order pm25..o3, prominent, sub-index count, aqi)
+CASES = [
+    ((89, 70, 12, 4, 17, 47, 3), "PM25", 3, 89),
+    ((0, 0, 5, 5, 5, 5, 5), "SO2", 2, 0),
+    ((5, 0, 0, 0, 0, 0, 3), "PM25", 2, 0),
+    ((7, 7, 7, 1, 0, 0, 0), "PM25", 3, 7),
+    ((None,) * 7, "PM25", 0, 0),
+    ((0, 9, 1, 1, 0, 0, 0), "PM10", 3, 9),
+    ((-1, 0, -2, -3, 0, 0, 0), "PM10", 2, 0),
+    # the sample document of the feed: pm10 75 dominates
+    ((40, 75, 7, 20, 4, 8, 13), "PM10", 3, 75),
+]
+
+
+def test_aqi_rules(spark):
+    df = spark.createDataFrame([c[0] for c in CASES], SCHEMA)
+    out = df.select(prominent(*COLS).alias("p"), sub_index_count(*COLS).alias("n"), aqi(*COLS).alias("a")).collect()
+    assert [(r.p, r.n, r.a) for r in out] == [c[1:] for c in CASES]
+
+
+def test_round_inputs_only_touch_rules(spark):
+    # hour-level fractions: the sub-index rule sees whole numbers, greatest the fractions
+    df = spark.createDataFrame([(0.4, 12.6, 0.4, 3.0, 0.0, 0.0, 0.0)], ", ".join(f"{c} double" for c in COLS))
+    r = df.select(aqi(*COLS, round_inputs=True).alias("a"), aqi(*COLS).alias("b")).first()
+    assert r.a == 0.0          # 0.4 rounds to 0: one gas only -> gate closed
+    assert r.b == 12.6         # unrounded: two gases count -> greatest
+
+
+def test_na_to_zero(spark):
+    df = spark.createDataFrame([(None,), ("NA",), ("12.5",), ("12.4",), ("-2.5",), ("7",)], "s string")
+    assert [r[0] for r in df.select(na_to_zero("s")).collect()] == [0, 0, 13, 12, -3, 7]
+    assert [r[0] for r in df.filter(F.col("s").isNull() | (F.col("s") == "7")).select(na_to_int("s")).collect()] == [0, 7]
+
+
+def test_na_to_zero_rejects_text(spark):
+    df = spark.createDataFrame([("abc",)], "s string")
+    with pytest.raises(Exception):
+        df.select(na_to_zero("s")).collect()
+
+
+def test_text_max_in_pivot(spark):
+    df = spark.createDataFrame([("k", "PM10", "9"), ("k", "PM10", "10"), ("k", "SO2", "9"), ("k", "SO2", "NA"),
+                                ("k", "XYZ", "1")], "k string, p string, v string")
+    r = pivot_max(df, ["k"], "p", "v", {"PM10": "pm10", "SO2": "so2", "CO": "co"}).first()
+    assert (r.pm10, r.so2, r.co) == ("9", "NA", None)
+
+
+def test_surrogate_key_null_safe(spark):
+    df = spark.createDataFrame([(1.0, None), (1.0, 2.0), (None, 1.0)], "a double, b double")
+    keys = [r[0] for r in df.select(surrogate_key("a", "b")).collect()]
+    assert len(set(keys)) == 3
+    one = spark.createDataFrame([(1.0,)], "a double").select(surrogate_key("a")).first()[0]
+    assert one != keys[0]      # (1.0, NULL) is not (1.0,)
+
+
+def test_feed_ts(spark):
+    df = spark.createDataFrame([("30-12-2023 07:00:00",), ("bad",), ("31-02-2024 01:00:00",), (None,)], "s string")
+    out = df.select(feed_ts("s").alias("t"))
+    assert out.schema["t"].dataType.typeName() == "timestamp_ntz"
+    vals = [r.t for r in out.collect()]
+    assert str(vals[0]) == "2023-12-30 07:00:00" and vals[1:] == [None, None, None]

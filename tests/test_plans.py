@@ -1,0 +1,48 @@
+"""Physical plan shape: rank-filter fusion, pushdown, no Python evaluation."""
+
+import pytest
+
+import __spark_entry__ as E
+from airlake.plans import graph as G
+from airlake.plans import views as V
+from airlake.streaming.ingest import ingest
+from conftest import SF_SMALL
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keep_latest_uses_window_group_limit(spark):
+    p = plan(E.q_latest_file(spark, SF_SMALL))
+    assert "WindowGroupLimit" in p
+
+
+def test_top10_is_take_ordered(spark):
+    p = plan(E.q_top10_latest_day(spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in p
+
+
+@pytest.mark.parametrize("name", ["aqi_wide", "city_hour", "city_day", "station_trend", "latest_map",
+                                  "landing_roundtrip"])
+def test_no_python_udfs(spark, name):
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_day_filter_prunes_stored_tables(spark, tmp_path):
+    run = str(tmp_path)
+    from airlake.sources import testbed as TB
+    E._deliver(spark, TB.feed_records(spark, SF_SMALL), f"{run}/landing", "2024-03-01 10:45:00")
+    ingest(spark, f"{run}/landing", f"{run}/raw", f"{run}/ck", framing="lines")
+    g = G.aqi_pipeline(spark, f"{run}/t", f"{run}/raw")
+    g.refresh("city_hour")
+    hl = g.read("city_hour")
+    t = V.city_trend(hl, "NATION 1", "NATION_1-C1", "1998-01-01")
+    p = t._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(measurement_date" in p or "measurement_date" in p
+    assert "PushedFilters" in p and "EqualTo(state" in p
+    f = V.station_trend(g.read("air_quality_fact"), g.read("date_dim"), g.read("location_dim"),
+                        "NATION 1", "NATION_1-C1", "Supplier#000000001", "1998-01-01")
+    fp = f._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(measurement_date" in fp
