@@ -9,16 +9,24 @@ from pyspark.sql import functions as F
 
 
 def pivot_max(df: DataFrame, keys: Sequence[str], pivot_col: str, value_col: str,
-              columns: Mapping[str, str]) -> DataFrame:
+              columns: Mapping[str, str], hash_lead: bool = True) -> DataFrame:
     """One row per ``keys``; for every pivot value, ``max(value)`` of its rows.
 
     ``columns`` maps pivot value -> output column; values not listed are ignored and an
     absent value gives NULL. ``max`` follows the value type: on text it is the
     lexicographic maximum. The aggregation is partial (map side) before the shuffle.
+
+    ``max`` of text has no fixed-width buffer, so Spark aggregates by sorting on the
+    keys. ``hash_lead`` puts a 64-bit hash of the keys first: the groups are the same
+    (the hash is a function of the keys) but the sort then runs on a long prefix and
+    compares the text keys only between rows of the same group.
     """
     aggs = [F.max(F.when(F.col(pivot_col) == F.lit(v), F.col(value_col))).alias(out)
             for v, out in columns.items()]
-    return df.groupBy(*keys).agg(*aggs)
+    if not hash_lead:
+        return df.groupBy(*keys).agg(*aggs)
+    lead = F.xxhash64(*[F.col(k) for k in keys]).alias("__key_hash")
+    return df.groupBy(lead, *keys).agg(*aggs).drop("__key_hash")
 
 
 def explode_array(df: DataFrame, array_col: str, keep: Sequence[str]) -> DataFrame:
