@@ -35,3 +35,8 @@ def top_n_on_latest(df: DataFrame, date_col: str, n: int, order: Sequence[Column
 def latest_key(dim: DataFrame, key_col: str, time_col: str) -> DataFrame:
     """One-row frame with the key of the latest ``time_col`` (ties: larger key)."""
     return dim.agg(F.max_by(F.col(key_col), F.struct(F.col(time_col), F.col(key_col))).alias(key_col))
+
+
+def preview(df: DataFrame, n: int = 10, order: Sequence[Column | str] | None = None) -> DataFrame:
+    """First ``n`` rows, in ``order`` if given (a sampling report; the limit is the feature)."""
+    return (df.orderBy(*order) if order else df).limit(n)

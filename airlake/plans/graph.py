@@ -20,6 +20,21 @@ from airlake.plans import products as P
 
 DAY = "measurement_date"
 
+# The layer of every table, and the table names SQL users query.
+LAYERS = {
+    "raw": "stage", "clean_aqi": "clean", "clean_flatten": "clean", "aqi_wide": "consumption",
+    "date_dim": "consumption", "location_dim": "consumption", "air_quality_fact": "consumption",
+    "city_hour": "consumption", "city_day": "consumption", "weather_data": "consumption",
+    "city_day_weather": "consumption",
+}
+SQL_NAMES = {
+    "raw": "raw_aqi", "clean_aqi": "clean_aqi_dt", "clean_flatten": "clean_flatten_aqi_dt",
+    "aqi_wide": "aqi_final_wide_dt", "date_dim": "date_dim", "location_dim": "location_dim",
+    "air_quality_fact": "air_quality_fact", "city_hour": "agg_city_fact_hour_level",
+    "city_day": "agg_city_fact_day_level", "weather_data": "weather_data",
+    "city_day_weather": "agg_delhi_fact_day_level",
+}
+
 
 @dataclass
 class Table:
@@ -34,8 +49,11 @@ class Table:
 
 class TableGraph:
     def __init__(self, spark: SparkSession, base: str):
+        from airlake.session import shared_dir
+
         self.spark, self.base = spark, base.rstrip("/")
         self.tables: dict[str, Table] = {}
+        shared_dir(spark)  # dimension merges cut lineage with checkpoint()
 
     # -- registration ---------------------------------------------------------
     def source(self, name: str, path: str, partition_by: str | None = None) -> None:
@@ -47,8 +65,9 @@ class TableGraph:
         missing = [i for i in inputs if i not in self.tables]
         if missing:
             raise KeyError(f"{name}: unknown inputs {missing}")
+        layer = LAYERS.get(name, "consumption")
         self.tables[name] = Table(name, list(inputs), build, partition_by, merge_keys,
-                                  path=f"{self.base}/{name}")
+                                  path=f"{self.base}/{layer}/{name}")
 
     # -- access ---------------------------------------------------------------
     def read(self, name: str, days: Sequence | None = None) -> DataFrame:
@@ -58,6 +77,18 @@ class TableGraph:
             df = df.filter(F.col(DAY).isin(list(days)))   # partition pruning
         return df
 
+    def register_views(self, sql_names: dict[str, str] | None = None) -> list[str]:
+        """Temp views over the stored tables, under the names SQL users know."""
+        names = SQL_NAMES if sql_names is None else sql_names
+        done = []
+        for name in self.tables:
+            try:
+                self.read(name).createOrReplaceTempView(names.get(name, name))
+                done.append(names.get(name, name))
+            except Exception:  # not built yet
+                pass
+        return done
+
     def order(self, target: str | None = None) -> list[str]:
         """Dependency order of ``target`` and its ancestors (all tables if None)."""
         seen: list[str] = []

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlake.operators import duplicate_report
 from airlake.schemas import LAT_LON_TYPE, RECORDS_DDL
 
 RAW_COLUMNS = ["id", "index_record_ts", "json_data", "record_count", "json_version", "page_offset",
@@ -100,3 +101,12 @@ def doc_field_sample(raw: DataFrame, index: int = 1) -> DataFrame:
         *[g("json_data", f"{base}.{f}", "string").alias(f)
           for f in ("pollutant_id", "pollutant_min", "pollutant_max", "pollutant_avg")],
     )
+
+
+def raw_duplicate_report(raw: DataFrame, n: int = 10) -> DataFrame:
+    """Versions of the newest hours with their rank (1 = the one kept), top ``n``."""
+    cols = ["index_record_ts", "record_count", "json_version", "_stg_file_name", "_stg_file_load_ts",
+            "_stg_file_md5", "_copy_data_ts", "id"]
+    return duplicate_report(raw.select(*cols), ["index_record_ts"], VERSION_ORDER,
+                            report_order=[F.col("index_record_ts").desc(), F.col("latest_file_rank").asc()],
+                            n=n).drop("id")

@@ -36,13 +36,19 @@ def _reader(spark: SparkSession, framing: str, stream: bool, max_files_per_trigg
 
 
 def read_landing(spark: SparkSession, path: str, framing: str = "file", stream: bool = False,
-                 max_files_per_trigger: int | None = 1000) -> DataFrame:
+                 max_files_per_trigger: int | None = 1000, days=None) -> DataFrame:
     """Landed documents with file metadata.
 
     Columns: ``doc`` (text), ``_stg_file_name`` (day folder/file), ``_stg_file_load_ts``
-    (file modification time), ``landing_date`` (from the folder name).
+    (file modification time), ``landing_date`` (from the folder name). ``days`` (batch
+    only) lists only the dated folders of those days - the other folders are not listed.
     """
-    df = _reader(spark, framing, stream, max_files_per_trigger).load(path)
+    r = _reader(spark, framing, stream, max_files_per_trigger)
+    if days is not None and not stream:
+        stamps = ",".join(d.strftime("%Y_%m_%d") if hasattr(d, "strftime") else str(d) for d in days)
+        df = r.load(f"{path.rstrip('/')}/{{,landing_day=}}{{{stamps}}}")
+    else:
+        df = r.load(path)
     return with_file_metadata(df.withColumnRenamed("value", "doc"))
 
 

@@ -154,3 +154,19 @@ def test_batch_load_is_idempotent(spark, tmp_path):
     load_batch(spark, root, raw_path, batch=0)
     load_batch(spark, root, raw_path, batch=0)      # retried batch replaces itself
     assert spark.read.parquet(raw_path).count() == 1
+
+
+def test_day_folder_pruning_and_duplicate_report(spark, tmp_path):
+    from airlake.plans.layers import raw_duplicate_report
+    root = str(tmp_path / "landing")
+    put(root, "2024_03_01", "a.json", document([record("A", "PM10", "1")]), mtime=1_000_000)
+    put(root, "2024_03_02", "b.json", document([record("A", "PM10", "2")]), mtime=2_000_000)
+    put(root, "2024_03_03", "c.json", document([record("A", "PM10", "3", ts="02-03-2024 11:00:00")]))
+    docs = read_landing(spark, root, days=["2024_03_02", "2024_03_03"])
+    assert sorted(r._stg_file_name for r in docs.collect()) == ["2024_03_02/b.json", "2024_03_03/c.json"]
+    raw = raw_of(spark, root).withColumn("id", F.monotonically_increasing_id())
+    rep = raw_duplicate_report(raw).collect()
+    assert [(str(r.index_record_ts), r.latest_file_rank, r._stg_file_name) for r in rep] == [
+        ("2024-03-02 11:00:00", 1, "2024_03_03/c.json"),
+        ("2024-03-01 11:00:00", 1, "2024_03_02/b.json"),
+        ("2024-03-01 11:00:00", 2, "2024_03_01/a.json")]
