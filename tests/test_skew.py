@@ -1,0 +1,63 @@
+"""A hot key holding a third of all rows: results stay exact, pre-aggregation happens."""
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from airlake.operators import latest_per_key
+from airlake.plans import products as P
+from airlake.schemas import POLLUTANT_COLUMNS, STATION_KEYS
+from airlake.sources import testbed as TB
+from conftest import SF_SMALL
+
+
+def hot_readings(spark):
+    """Readings where every row of region AMERICA/EUROPE becomes one station in one hour."""
+    r = TB.readings(spark, SF_SMALL)
+    hot = F.col("country").isin("AMERICA", "EUROPE")
+    return r.select(
+        F.when(hot, F.make_timestamp_ntz(F.lit(2024), F.lit(3), F.lit(1), F.lit(11), F.lit(0), F.lit(0)))
+         .otherwise(F.col("index_record_ts")).alias("index_record_ts"),
+        *[F.when(hot, F.lit(v)).otherwise(F.col(c)).alias(c)
+          for c, v in [("country", "HOT"), ("state", "HOT_STATE"), ("city", "HOT-C0"), ("station", "HOT")]],
+        F.when(hot, F.lit(1).cast("decimal(12,7)")).otherwise(F.col("latitude")).alias("latitude"),
+        F.when(hot, F.lit(2).cast("decimal(12,7)")).otherwise(F.col("longitude")).alias("longitude"),
+        "pollutant_id", "pollutant_max", "pollutant_min", "pollutant_avg")
+
+
+def test_hot_station_pivot_is_exact(spark):
+    r = hot_readings(spark)
+    n_hot = r.filter(F.col("station") == "HOT").count()
+    assert n_hot * 3 >= r.count() * 0.6          # a large share of all rows on one key
+    got = {tuple(x) for x in P.pivot_pollutants(r).collect()}
+    pdf = r.toPandas()                            # brute force on the small fixture
+    want = set()
+    for key, g in pdf.groupby(STATION_KEYS, dropna=False):
+        vals = []
+        for pid in POLLUTANT_COLUMNS:
+            s = g.loc[g.pollutant_id == pid, "pollutant_avg"].dropna()
+            vals.append(max(s) if len(s) else None)
+        want.add(tuple(key) + tuple(vals))
+    assert got == want
+
+
+def test_hot_key_is_pre_aggregated(spark):
+    r = hot_readings(spark)
+    plan = P.clean_flatten(r)._jdf.queryExecution().executedPlan().toString()
+    pre, _, _ = plan.partition("Exchange hashpartitioning")
+    post = plan.split("Exchange hashpartitioning", 1)[1]
+    assert "partial_max" in post and "partial_max" not in pre   # partial agg below the shuffle
+    w = latest_per_key(r, ["station"], ["index_record_ts", "pollutant_id", "pollutant_avg"])
+    wp = w._jdf.queryExecution().executedPlan().toString()
+    below = wp.split("Exchange hashpartitioning", 1)[1]
+    assert "WindowGroupLimit" in below and "Partial" in below
+    assert w.filter(F.col("station") == "HOT").count() == 1
+
+
+def test_hot_city_rollup(spark):
+    r = hot_readings(spark)
+    flat = P.clean_flatten(r)
+    ch = P.city_hour(P.air_quality_fact(flat), P.date_dim(flat), P.location_dim(flat))
+    hot = ch.filter(F.col("city") == "HOT-C0").collect()
+    assert len(hot) == 1
+    plan = ch._jdf.queryExecution().executedPlan().toString()
+    assert "partial_avg" in plan
