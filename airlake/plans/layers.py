@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.operators import duplicate_report
+from airlake.operators import broadcast_if_small, duplicate_report
 from airlake.schemas import LAT_LON_TYPE, RECORDS_DDL
 
 RAW_COLUMNS = ["id", "index_record_ts", "json_data", "record_count", "json_version", "page_offset",
@@ -64,14 +64,16 @@ def superseded_ids(raw: DataFrame, days: Sequence | None = None) -> DataFrame:
 def clean(raw: DataFrame, days: Sequence | None = None, strict: bool = True) -> DataFrame:
     """Dedupe (newest file per hour/page) and unnest the records (clean layer).
 
-    The superseded ids are few (re-deliveries); the anti-join broadcasts them when the
-    run-time size check allows it, so the documents stream through without a shuffle.
+    The superseded ids are few (re-deliveries): they are materialised and counted, and
+    broadcast when under the bound, so the documents stream through the anti-join
+    without a shuffle (a plan-time estimate would see the whole raw files and shuffle the
+    documents by id). Above the bound the join falls back to a shuffle.
     ``strict`` casts coordinates strictly ('NA' fails); otherwise bad ones become NULL.
     """
     docs = raw.filter(F.col("index_record_ts").isNotNull())
     if days is not None:
         docs = docs.filter(F.to_date("index_record_ts").isin(list(days)))
-    docs = docs.join(superseded_ids(raw, days), "id", "left_anti")
+    docs = docs.join(broadcast_if_small(superseded_ids(raw, days)), "id", "left_anti")
     recs = docs.select(
         "index_record_ts", "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts",
         F.inline(F.variant_get("json_data", "$.records", RECORDS_DDL)))

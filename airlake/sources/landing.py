@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlake.functions import feed_ts
+from airlake.operators import broadcast_if_small
 from airlake.schemas import LANDING_DIR_FORMAT, PAGE_LIMIT, RECORD_FIELDS
 
 _DAY_IN_PATH = r"(\d{4}_\d{2}_\d{2})/[^/]+$"
@@ -115,7 +116,9 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
     are stable between re-deliveries of the same records.
     """
     delivered_at = delivered_at if delivered_at is not None else F.current_timestamp()
-    counts = records.groupBy("index_record_ts").agg(F.count(F.lit(1)).alias("__n"))
+    # one row per hour; broadcast after a row-count check, so records are not shuffled by
+    # hour (a hot hour would land in one task) - above the bound: a shuffle join
+    counts = broadcast_if_small(records.groupBy("index_record_ts").agg(F.count(F.lit(1)).alias("__n")))
     pages = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(limit)).cast("int"))
     page = F.pmod(F.xxhash64("station", "pollutant_id", "latitude", "longitude"), pages)
     with_page = records.join(counts, "index_record_ts").withColumn("__page", page)
