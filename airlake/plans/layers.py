@@ -7,6 +7,7 @@ clean: newest delivery of every (hour, page), its records unnested, typed.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +22,20 @@ VERSION_ORDER = ["_stg_file_load_ts", "_stg_file_name", "_stg_file_md5", "id"]
 
 
 def next_id(spark: SparkSession, raw_path: str, before_batch: int | None = None) -> int:
-    """1 + the largest id already stored (of batches before ``before_batch``), or 1."""
+    """1 + the largest id already stored (of batches before ``before_batch``), or 1.
+
+    Ids grow from batch to batch, so the largest one is in the latest earlier batch
+    partition: that partition is found from the file listing and only its ids are read.
+    """
     try:
-        raw = spark.read.parquet(raw_path)
+        files = spark.read.parquet(raw_path).inputFiles()
     except Exception:  # no table yet
         return 1
-    if before_batch is not None and "ingest_batch" in raw.columns:
-        raw = raw.filter(F.col("ingest_batch") < before_batch)
-    top = raw.agg(F.max("id")).first()[0]
+    batches = {int(m.group(1)) for f in files if (m := re.search(r"ingest_batch=(\d+)", f))}
+    prior = sorted(b for b in batches if before_batch is None or b < before_batch)
+    if not prior:
+        return 1
+    top = spark.read.parquet(f"{raw_path.rstrip('/')}/ingest_batch={prior[-1]}").agg(F.max("id")).first()[0]
     return 1 if top is None else int(top) + 1
 
 
