@@ -65,12 +65,6 @@ class _Star:
         return P.city_day(self.city_hour())
 
 
-def _first(df: DataFrame):
-    """The first item of a picker (what the dashboard selects by default)."""
-    row = df.first()
-    return None if row is None else row[0]
-
-
 def q_pivot_pollutants(spark, d):
     return P.pivot_pollutants(TB.readings(spark, d))
 
@@ -207,15 +201,17 @@ def q_picker_states(spark, d):
     return V.picker_states(_Star(spark, d).locations)
 
 
+# The dashboard selects the first item of every picker by default; the default selection
+# is a one-row aggregate bound into the view on the cluster (no value via the driver).
+
 def q_picker_cities(spark, d):
     loc = _Star(spark, d).locations
-    return V.picker_cities(loc, _first(V.picker_states(loc)))
+    return V.picker_cities(loc, V.default_station(loc))
 
 
 def q_picker_stations(spark, d):
     loc = _Star(spark, d).locations
-    state = _first(V.picker_states(loc))
-    return V.picker_stations(loc, state, _first(V.picker_cities(loc, state)))
+    return V.picker_stations(loc, V.default_station(loc))
 
 
 def q_picker_dates(spark, d):
@@ -224,11 +220,8 @@ def q_picker_dates(spark, d):
 
 def _station_trend(spark, d):
     s = _Star(spark, d)
-    state = _first(V.picker_states(s.locations))
-    city = _first(V.picker_cities(s.locations, state))
-    station = _first(V.picker_stations(s.locations, state, city))
-    day = _first(V.picker_dates(s.dates))
-    return V.station_trend(s.fact, s.dates, s.locations, state, city, station, day)
+    return V.station_trend(s.fact, s.dates, s.locations, V.default_station(s.locations),
+                           day=V.default_day(s.dates))
 
 
 def q_station_trend(spark, d):
@@ -249,10 +242,7 @@ def q_chart_map(spark, d):
 
 def q_city_trend(spark, d):
     hl = _Star(spark, d).city_hour()
-    state = _first(V.picker_states(hl, descending=True))
-    city = _first(V.picker_cities(hl, state))
-    day = _first(V.picker_dates(hl, state=state, city=city))
-    return _r6(V.city_trend(hl, state, city, day), WIDE_COLUMNS)
+    return _r6(V.city_trend(hl, V.default_city_day(hl)), WIDE_COLUMNS)
 
 
 def q_top10_latest_day(spark, d):

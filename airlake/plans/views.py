@@ -21,18 +21,65 @@ def _eq(**kv):
     return cond
 
 
+def _bind(df: DataFrame, selection, on: dict[str, F.Column] | None = None) -> DataFrame:
+    """Keep the rows of ``df`` that match ``selection``.
+
+    ``selection`` is either a dict of literal values or a one-row DataFrame (e.g. the
+    default selection computed on the cluster); the one-row frame is broadcast - its
+    size is fixed - so no value travels through the driver. ``on`` maps a selection
+    column to the expression of ``df`` it is compared with (default: the same column).
+    """
+    on = on or {}
+    if isinstance(selection, dict):
+        cond = None
+        for k, v in selection.items():
+            c = on.get(k, F.col(k)) == F.lit(v)
+            cond = c if cond is None else cond & c
+        return df.filter(cond) if cond is not None else df
+    sel = selection.select(*[F.col(c).alias(f"__sel_{c}") for c in selection.columns])
+    cond = None
+    for c in selection.columns:
+        e = (on[c] if c in on else df[c]) == F.col(f"__sel_{c}")
+        cond = e if cond is None else cond & e
+    return df.join(F.broadcast(sel), cond, "inner").drop(*sel.columns)
+
+
+# -- default selections (the first item of every picker), as one-row frames ---
+
+def default_station(locations: DataFrame) -> DataFrame:
+    """state (first ascending), then city and station (first descending) - one aggregate."""
+    per_state = locations.groupBy("state").agg(F.max(F.struct("city", "station")).alias("cs"))
+    return (per_state.agg(F.min("state").alias("state"), F.min_by("cs", "state").alias("cs"))
+            .select("state", "cs.city", "cs.station"))
+
+
+def default_day(table: DataFrame, time_col: str = "measurement_time") -> DataFrame:
+    """The latest day (first of the descending date picker)."""
+    return table.agg(F.max(F.to_date(time_col)).alias("measurement_date"))
+
+
+def default_city_day(hour_level: DataFrame) -> DataFrame:
+    """state, city, then day - each the first of its descending picker - one aggregate."""
+    top = hour_level.agg(F.max(F.struct("state", "city", F.to_date("measurement_time").alias("d"))).alias("s"))
+    return top.select("s.state", "s.city", F.col("s.d").alias("measurement_date"))
+
+
 # -- pickers -----------------------------------------------------------------
 
 def picker_states(locations: DataFrame, descending: bool = False) -> DataFrame:
     return distinct_sorted(locations, "state", descending=descending)
 
 
-def picker_cities(locations: DataFrame, state: str) -> DataFrame:
-    return distinct_sorted(locations.filter(_eq(state=state)), "city", descending=True)
+def picker_cities(locations: DataFrame, state) -> DataFrame:
+    """Cities of a state; ``state`` is a value or a one-row frame with a ``state`` column."""
+    sel = {"state": state} if isinstance(state, str) else state.select("state")
+    return distinct_sorted(_bind(locations, sel), "city", descending=True)
 
 
-def picker_stations(locations: DataFrame, state: str, city: str) -> DataFrame:
-    return distinct_sorted(locations.filter(_eq(state=state, city=city)), "station", descending=True)
+def picker_stations(locations: DataFrame, state, city=None) -> DataFrame:
+    """Stations of a city; pass values, or one frame with ``state`` and ``city`` columns."""
+    sel = {"state": state, "city": city} if isinstance(state, str) else state.select("state", "city")
+    return distinct_sorted(_bind(locations, sel), "station", descending=True)
 
 
 def picker_dates(table: DataFrame, time_col: str = "measurement_time", **where) -> DataFrame:
@@ -43,12 +90,23 @@ def picker_dates(table: DataFrame, time_col: str = "measurement_time", **where)
 # -- trends ------------------------------------------------------------------
 
 def station_trend(fact: DataFrame, dates: DataFrame, locations: DataFrame,
-                  state: str, city: str, station: str, day) -> DataFrame:
-    """Hourly readings of one station on one day (15 columns), in time order."""
-    d = dates.filter(F.to_date("measurement_time") == F.lit(day).cast("date"))
-    loc = locations.filter(_eq(state=state, city=city, station=station))
+                  state, city=None, station=None, day=None) -> DataFrame:
+    """Hourly readings of one station on one day (15 columns), in time order.
+
+    Pass the four values, or ``state`` as a one-row frame (state, city, station) and
+    ``day`` as a one-row frame (measurement_date), e.g. the default selections.
+    """
+    on_day = {"measurement_date": F.to_date("measurement_time")}
+    if isinstance(day, DataFrame):
+        d = _bind(dates, day.select("measurement_date"), on_day)
+    else:
+        d = _bind(dates, {"measurement_date": F.lit(day).cast("date")}, on_day)
+    loc_sel = state.select("state", "city", "station") if isinstance(state, DataFrame) else \
+        {"state": state, "city": city, "station": station}
+    loc = _bind(locations, loc_sel)
     f = fact.drop("measurement_date") if "measurement_date" in fact.columns else fact
-    if "measurement_date" in fact.columns:   # prune the stored fact by its day partition
+    if "measurement_date" in fact.columns and not isinstance(day, DataFrame):
+        # prune the stored fact by its day partition
         f = fact.filter(F.col("measurement_date") == F.lit(day).cast("date")).drop("measurement_date")
     j = (f.join(d, d["date_pk"] == f["date_fk"], "inner")
           .join(loc, loc["location_pk"] == f["location_fk"], "inner"))
@@ -59,10 +117,17 @@ def station_trend(fact: DataFrame, dates: DataFrame, locations: DataFrame,
                      *WIDE_COLUMNS, "prominent_pollutant", "aqi"))
 
 
-def city_trend(hour_level: DataFrame, state: str, city: str, day) -> DataFrame:
-    """Hourly city averages of one day, in time order."""
-    t = hour_level.filter(_eq(state=state, city=city)
-                          & (F.to_date("measurement_time") == F.lit(day).cast("date")))
+def city_trend(hour_level: DataFrame, state, city=None, day=None) -> DataFrame:
+    """Hourly city averages of one day, in time order.
+
+    Pass the values, or one frame with ``state``, ``city`` and ``measurement_date``.
+    """
+    on_day = {"measurement_date": F.to_date("measurement_time")}
+    if isinstance(state, DataFrame):
+        t = _bind(hour_level, state.select("state", "city", "measurement_date"), on_day)
+    else:
+        t = _bind(hour_level, {"state": state, "city": city,
+                               "measurement_date": F.lit(day).cast("date")}, on_day)
     return (t.orderBy("measurement_time")
              .select(F.hour("measurement_time").cast("int").alias("hour"), *WIDE_COLUMNS))
 
