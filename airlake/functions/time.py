@@ -40,8 +40,10 @@ def to_ntz(c: Column | str) -> Column:
     return _col(c).cast("timestamp_ntz")
 
 
-def landing_stamp(ts_utc: Column | str, zone: str = LANDING_ZONE,
+def landing_stamp(ts: Column | str, zone: str = LANDING_ZONE,
                   fmt: str = LANDING_FILE_TS_FORMAT) -> Column:
-    """Render an instant as the landing file stamp on the feed's clock (IST)."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts_utc).cast("timestamp_ntz"))
+    """Render an instant (zoned ``timestamp``) on the feed's clock (IST), e.g. for file names
+    and dated folders; independent of the session time zone."""
+    wall = _col(ts).cast("timestamp").cast("timestamp_ntz")        # wall clock of the session zone
+    local = F.convert_timezone(F.current_timezone(), F.lit(zone), wall)
     return F.date_format(local, fmt)

@@ -4,7 +4,9 @@ Each table is a builder ``(inputs, days) -> DataFrame`` over named input tables
 stored as Parquet under ``base/<name>``. ``refresh(target)`` rebuilds the target and
 everything it depends on, in dependency order. ``refresh(target, days=[...])`` rebuilds
 only the given days: day-partitioned tables overwrite just those partitions (dynamic
-partition overwrite), dimensions are merged (they only grow; a full refresh trims them).
+partition overwrite). Unpartitioned tables (the dimensions) are rebuilt whole from their
+inputs every time: they are small, their scans read one to six columns, and a rebuild
+never reads the files it overwrites - a refresh that fails half-way is simply re-run.
 """
 
 from __future__ import annotations
@@ -42,7 +44,6 @@ class Table:
     inputs: Sequence[str]
     build: Callable[[dict[str, DataFrame], Sequence | None], DataFrame] | None
     partition_by: str | None = DAY
-    merge_keys: Sequence[str] | None = None      # dimensions: merged on incremental refresh
     path: str = ""
     deps: list = field(default_factory=list)
 
@@ -53,20 +54,19 @@ class TableGraph:
 
         self.spark, self.base = spark, base.rstrip("/")
         self.tables: dict[str, Table] = {}
-        shared_dir(spark)  # dimension merges cut lineage with checkpoint()
+        shared_dir(spark)  # checked broadcasts cut lineage with checkpoint()
 
     # -- registration ---------------------------------------------------------
     def source(self, name: str, path: str, partition_by: str | None = None) -> None:
         """An input table maintained elsewhere (raw load, weather snapshot)."""
         self.tables[name] = Table(name, [], None, partition_by, path=path)
 
-    def add(self, name: str, inputs: Sequence[str], build, partition_by: str | None = DAY,
-            merge_keys: Sequence[str] | None = None) -> None:
+    def add(self, name: str, inputs: Sequence[str], build, partition_by: str | None = DAY) -> None:
         missing = [i for i in inputs if i not in self.tables]
         if missing:
             raise KeyError(f"{name}: unknown inputs {missing}")
         layer = LAYERS.get(name, "consumption")
-        self.tables[name] = Table(name, list(inputs), build, partition_by, merge_keys,
+        self.tables[name] = Table(name, list(inputs), build, partition_by,
                                   path=f"{self.base}/{layer}/{name}")
 
     # -- access ---------------------------------------------------------------
@@ -110,14 +110,12 @@ class TableGraph:
         done = []
         for name in self.order(target):
             t = self.tables[name]
-            inputs = {i: self.read(i, days) for i in t.inputs}
-            df = t.build(inputs, days)
-            if days is not None and t.merge_keys is not None:
-                # merge new members into the stored dimension; cut lineage first, the
-                # result overwrites the files it was read from
-                old = self.spark.read.parquet(t.path)
-                df = old.unionByName(df).dropDuplicates(list(t.merge_keys)).checkpoint(eager=True)
-            self._write(df, t, incremental=days is not None)
+            # a day-restricted refresh narrows the inputs of day-partitioned tables only;
+            # whole tables (dimensions) are built from their whole inputs
+            scope = days if t.partition_by == DAY else None
+            inputs = {i: self.read(i, scope) for i in t.inputs}
+            df = t.build(inputs, scope)
+            self._write(df, t, incremental=scope is not None)
             done.append(name)
         return done
 
@@ -144,10 +142,9 @@ def aqi_pipeline(spark: SparkSession, base: str, raw_path: str, weather_path: st
           lambda t, d: _with_day(P.clean_flatten(t["clean_aqi"]), "index_record_ts"))
     g.add("aqi_wide", ["clean_flatten"],
           lambda t, d: _with_day(P.aqi_wide(t["clean_flatten"].drop(DAY)), "index_record_ts"))
-    g.add("date_dim", ["clean_flatten"], lambda t, d: P.date_dim(t["clean_flatten"]),
-          partition_by=None, merge_keys=["date_pk", "measurement_time"])
+    g.add("date_dim", ["clean_flatten"], lambda t, d: P.date_dim(t["clean_flatten"]), partition_by=None)
     g.add("location_dim", ["clean_flatten"], lambda t, d: P.location_dim(t["clean_flatten"]),
-          partition_by=None, merge_keys=P.LOCATION_COLUMNS)
+          partition_by=None)
     g.add("air_quality_fact", ["clean_flatten"], lambda t, d: P.air_quality_fact(t["clean_flatten"]))
     g.add("city_hour", ["air_quality_fact", "date_dim", "location_dim"],
           lambda t, d: _with_day(P.city_hour(t["air_quality_fact"], t["date_dim"], t["location_dim"],

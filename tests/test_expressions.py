@@ -70,3 +70,15 @@ def test_feed_ts(spark):
     assert out.schema["t"].dataType.typeName() == "timestamp_ntz"
     vals = [r.t for r in out.collect()]
     assert str(vals[0]) == "2023-12-30 07:00:00" and vals[1:] == [None, None, None]
+
+
+def test_landing_stamp_is_ist_in_any_session_zone(spark):
+    from airlake.functions import landing_stamp
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.sql("SELECT timestamp_seconds(1709273730) AS t")   # 2024-03-01 06:15:30 UTC
+            assert df.select(landing_stamp("t")).first()[0] == "2024_03_01_11_45_30"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
