@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.functions import feed_ts
+from airlake.functions import feed_ts, landing_stamp
 from airlake.operators import broadcast_if_small
 from airlake.schemas import LANDING_DIR_FORMAT, PAGE_LIMIT, RECORD_FIELDS
 
@@ -136,7 +136,8 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
         F.array(*[F.lit(f) for f in RECORD_FIELDS]).alias("field"),
         F.col("records"),
     )
-    return (grouped.select(F.date_format(delivered_at, "yyyy_MM_dd").alias("landing_day"), doc.alias("d"))
+    day = landing_stamp(delivered_at, fmt=LANDING_DIR_FORMAT)     # dated folder on the feed's clock
+    return (grouped.select(day.alias("landing_day"), doc.alias("d"))
             .select("landing_day", "d.*"))
 
 
