@@ -128,6 +128,29 @@ def q_city_hour_no_country(spark, d):
     return _r6(_Star(spark, d).city_hour(keys=("state", "city")), WIDE_COLUMNS + ["aqi"])
 
 
+def q_sql_city_hour(spark, d):
+    """The hour-level rollup written as SQL over the star's views and the SQL functions."""
+    from airlake.functions.sql import register_functions
+
+    register_functions(spark)
+    s = _Star(spark, d)
+    for name, df in (("air_quality_fact", s.fact), ("date_dim", s.dates), ("location_dim", s.locations)):
+        df.createOrReplaceTempView(name)
+    avgs = ", ".join(f"avg(f.{c}) AS {c}" for c in WIDE_COLUMNS)
+    args = ", ".join(WIDE_COLUMNS)
+    q = spark.sql(f"""
+        WITH per_city AS (
+          SELECT d.measurement_time, l.country, l.state, l.city, {avgs}
+          FROM air_quality_fact f
+          JOIN date_dim d ON f.date_fk = d.date_pk
+          JOIN location_dim l ON f.location_fk = l.location_pk
+          GROUP BY 1, 2, 3, 4)
+        SELECT *, prominent_index({args}) AS prominent_pollutant,
+               CASE WHEN three_sub_index_criteria({args}) > 2 THEN greatest({args}) ELSE 0 END AS aqi
+        FROM per_city""")
+    return _r6(q, WIDE_COLUMNS + ["aqi"])
+
+
 def q_city_day(spark, d):
     return _Star(spark, d).city_day()
 
@@ -308,6 +331,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_fact": q_star_fact,
     "city_hour": q_city_hour,
     "city_hour_no_country": q_city_hour_no_country,
+    "sql_city_hour": q_sql_city_hour,
     "city_day": q_city_day,
     "latest_file": q_latest_file,
     "duplicate_report": q_duplicate_report,
@@ -537,6 +561,9 @@ _ORACLE: dict[str, str] = {
         "SELECT measurement_time, state, city, " + _r(f"round({c}, 6) AS {c}" for c in _W)
         + f", {_sql_prominent_r(_W, True)} AS prominent_pollutant, round({_sql_aqi(_W, True)}, 6) AS aqi FROM h"),
     "city_day": _with(*_DAY_CTES) + "SELECT * FROM day_level",
+    "sql_city_hour": _with(*_HOUR_CTES) + (
+        "SELECT measurement_time, country, state, city, " + _r(f"round({c}, 6) AS {c}" for c in _W)
+        + ", prominent_pollutant, round(aqi, 6) AS aqi FROM hour_level"),
     "latest_file": _with(_EV) + (
         "SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY index_record_ts "
         "ORDER BY _stg_file_load_ts DESC, _stg_file_name DESC) = 1"),

@@ -27,9 +27,13 @@ def touched_days(raw_batch: DataFrame) -> list:
 
 def ingest(spark: SparkSession, landing: str, raw_path: str, checkpoint: str | None = None,
            framing: str = "file", on_error: str = "abort", max_files_per_trigger: int = 1000,
-           on_batch: Callable[[int, list], None] | None = None, copy_ts=None) -> int:
-    """Load new landed files into ``raw_path``; returns the number of micro-batches run.
+           on_batch: Callable[[int, list], None] | None = None, copy_ts=None,
+           every: str | None = None):
+    """Load new landed files into ``raw_path``.
 
+    Default: one ``availableNow`` run; returns the number of micro-batches run.
+    ``every="5 minutes"``: a long-running query on a processing-time trigger (the feed's
+    scheduled cadence); returns the ``StreamingQuery`` handle, the caller stops it.
     ``on_batch(batch_id, days)`` runs after a batch is stored (e.g. the touched-day
     refresh). ``copy_ts`` fixes ``_copy_data_ts`` (tests); default: load time.
     """
@@ -48,8 +52,10 @@ def ingest(spark: SparkSession, landing: str, raw_path: str, checkpoint: str | N
             stored = spark.read.parquet(raw_path).filter(F.col("ingest_batch") == batch_id)
             on_batch(batch_id, touched_days(stored))
 
-    q = (docs.writeStream.foreachBatch(load).trigger(availableNow=True)
-         .option("checkpointLocation", checkpoint).start())
+    w = docs.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    if every is not None:
+        return w.trigger(processingTime=every).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

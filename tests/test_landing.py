@@ -170,3 +170,16 @@ def test_day_folder_pruning_and_duplicate_report(spark, tmp_path):
         ("2024-03-02 11:00:00", 1, "2024_03_03/c.json"),
         ("2024-03-01 11:00:00", 1, "2024_03_02/b.json"),
         ("2024-03-01 11:00:00", 2, "2024_03_01/a.json")]
+
+
+def test_scheduled_trigger(spark, tmp_path):
+    root, raw_path, ck = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "ck")
+    put(root, "2024_03_01", "a.json", document([record("A", "PM10", "1")]))
+    q = ingest(spark, root, raw_path, ck, every="1 second")
+    try:
+        q.processAllAvailable()
+        put(root, "2024_03_01", "b.json", document([record("B", "PM10", "2", ts="01-03-2024 12:00:00")]))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(raw_path).count() == 2

@@ -46,3 +46,18 @@ def test_day_filter_prunes_stored_tables(spark, tmp_path):
                         "NATION 1", "NATION_1-C1", "Supplier#000000001", "1998-01-01")
     fp = f._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(measurement_date" in fp
+
+
+def test_view_selection_frame_equals_literals(spark):
+    s = E._Star(spark, SF_SMALL)
+    sel = V.default_station(s.locations).first()
+    day = V.default_day(s.dates).first()[0]
+    lit = V.station_trend(s.fact, s.dates, s.locations, sel.state, sel.city, sel.station, day)
+    frm = V.station_trend(s.fact, s.dates, s.locations, V.default_station(s.locations),
+                          day=V.default_day(s.dates))
+    assert [tuple(r) for r in lit.collect()] == [tuple(r) for r in frm.collect()]
+    assert sel.state == V.picker_states(s.locations).first()[0]
+    hl = s.city_hour()
+    c = V.default_city_day(hl).first()
+    assert c.state == V.picker_states(hl, descending=True).first()[0]
+    assert c.city == V.picker_cities(hl, c.state).first()[0]
