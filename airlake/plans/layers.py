@@ -51,6 +51,17 @@ def write_raw_batch(raw_rows: DataFrame, raw_path: str, batch: int) -> None:
      .partitionBy("ingest_batch").parquet(raw_path))
 
 
+def on_days(ts_col: str, days: Sequence) -> F.Column:
+    """``to_date(ts) IN days``, led by the covering range ``[min day, max day + 1)`` on the raw
+    timestamp: the range reaches the Parquet scan (row groups are skipped by their min/max
+    statistics), the exact day test then refines it."""
+    days = list(days)
+    lo = F.lit(min(days)).cast("date").cast("timestamp_ntz")
+    hi = F.date_add(F.lit(max(days)).cast("date"), 1).cast("timestamp_ntz")
+    ts = F.col(ts_col)
+    return (ts >= lo) & (ts < hi) & F.to_date(ts).isin(days)
+
+
 def superseded_ids(raw: DataFrame, days: Sequence | None = None) -> DataFrame:
     """Ids of documents that a newer delivery of the same (hour, page) replaces.
 
@@ -61,7 +72,7 @@ def superseded_ids(raw: DataFrame, days: Sequence | None = None) -> DataFrame:
     meta = raw.select("id", "index_record_ts", "page_offset", *VERSION_ORDER[:-1]).filter(
         F.col("index_record_ts").isNotNull())
     if days is not None:
-        meta = meta.filter(F.to_date("index_record_ts").isin(list(days)))
+        meta = meta.filter(on_days("index_record_ts", days))
     best = (meta.groupBy("index_record_ts", "page_offset")
             .agg(F.max(F.struct(*[F.col(c) for c in VERSION_ORDER])).alias("__best"))
             .select(F.col("__best.id").alias("id")))
@@ -79,7 +90,7 @@ def clean(raw: DataFrame, days: Sequence | None = None, strict: bool = True) ->
     """
     docs = raw.filter(F.col("index_record_ts").isNotNull())
     if days is not None:
-        docs = docs.filter(F.to_date("index_record_ts").isin(list(days)))
+        docs = docs.filter(on_days("index_record_ts", days))
     docs = docs.join(broadcast_if_small(superseded_ids(raw, days)), "id", "left_anti")
     recs = docs.select(
         "index_record_ts", "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts",

@@ -61,3 +61,20 @@ def test_view_selection_frame_equals_literals(spark):
     c = V.default_city_day(hl).first()
     assert c.state == V.picker_states(hl, descending=True).first()[0]
     assert c.city == V.picker_cities(hl, c.state).first()[0]
+
+
+def test_day_restricted_clean_pushes_a_range(spark, tmp_path):
+    import datetime as dt
+
+    from airlake.plans.layers import clean
+    from airlake.sources import testbed as TB
+    run = str(tmp_path)
+    E._deliver(spark, TB.feed_records(spark, SF_SMALL), f"{run}/landing", "2024-03-01 10:45:00")
+    ingest(spark, f"{run}/landing", f"{run}/raw", f"{run}/ck", framing="lines")
+    raw = spark.read.parquet(f"{run}/raw")
+    from explain_plans import formatted
+    c = clean(raw, days=[dt.date(1998, 1, 1)])
+    p = formatted(c)
+    assert "GreaterThanOrEqual(index_record_ts,1998-01-01T00:00)" in p
+    assert "LessThan(index_record_ts,1998-01-02T00:00)" in p
+    assert {r[0].year for r in c.select("index_record_ts").distinct().collect()} == {1998}
