@@ -237,6 +237,17 @@ def q_picker_stations(spark, d):
     return V.picker_stations(loc, V.default_station(loc))
 
 
+def q_picker_hour_states(spark, d):
+    """States of the hour-level table, the hour dashboard's order (descending)."""
+    return V.picker_states(_Star(spark, d).city_hour(), descending=True)
+
+
+def q_picker_hour_dates(spark, d):
+    """Days of the default (state, city) in the hour-level table, latest first."""
+    hl = _Star(spark, d).city_hour()
+    return V.picker_dates(hl, selection=V.default_city_day(hl).select("state", "city"))
+
+
 def q_picker_dates(spark, d):
     return V.picker_dates(_Star(spark, d).dates)
 
@@ -347,6 +358,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "picker_cities": q_picker_cities,
     "picker_stations": q_picker_stations,
     "picker_dates": q_picker_dates,
+    "picker_hour_states": q_picker_hour_states,
+    "picker_hour_dates": q_picker_hour_dates,
     "station_trend": q_station_trend,
     "chart_aqi": q_chart_aqi,
     "chart_pollutants": q_chart_pollutants,
@@ -607,6 +620,10 @@ _ORACLE: dict[str, str] = {
         "ORDER BY station DESC"),
     "picker_dates": _with(_READINGS, _PIVOTED, _FLAT) + (
         "SELECT DISTINCT CAST(index_record_ts AS DATE) AS measurement_date FROM flat ORDER BY 1 DESC"),
+    "picker_hour_states": _with(*_HOUR_CTES) + "SELECT DISTINCT state FROM hour_level ORDER BY state DESC",
+    "picker_hour_dates": _with(*_HOUR_CTES) + (
+        "SELECT DISTINCT CAST(measurement_time AS DATE) AS measurement_date FROM hour_level "
+        f"WHERE state = {_HL_STATE} AND city = {_HL_CITY} ORDER BY 1 DESC"),
     "station_trend": _with(*_STAR_CTES, _STATION_TREND) + (
         "SELECT hour, state, city, station, latitude, longitude, " + _r(_W)
         + ", prominent_pollutant, aqi FROM trend ORDER BY measurement_time"),

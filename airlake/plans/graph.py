@@ -132,12 +132,15 @@ def _with_day(df: DataFrame, time_col: str) -> DataFrame:
 
 
 def aqi_pipeline(spark: SparkSession, base: str, raw_path: str, weather_path: str | None = None,
-                 round_inputs: bool = True) -> TableGraph:
-    """The whole chain from the raw table to the (weather-enriched) day level."""
+                 round_inputs: bool = True, strict: bool = True) -> TableGraph:
+    """The whole chain from the raw table to the (weather-enriched) day level.
+
+    ``strict=False`` turns unparsable coordinates into NULL instead of failing the refresh.
+    """
     g = TableGraph(spark, base)
     g.source("raw", raw_path)
     g.add("clean_aqi", ["raw"],
-          lambda t, d: _with_day(L.clean(t["raw"], d), "index_record_ts"))
+          lambda t, d: _with_day(L.clean(t["raw"], d, strict=strict), "index_record_ts"))
     g.add("clean_flatten", ["clean_aqi"],
           lambda t, d: _with_day(P.clean_flatten(t["clean_aqi"]), "index_record_ts"))
     g.add("aqi_wide", ["clean_flatten"],

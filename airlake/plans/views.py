@@ -82,8 +82,11 @@ def picker_stations(locations: DataFrame, state, city=None) -> DataFrame:
     return distinct_sorted(_bind(locations, sel), "station", descending=True)
 
 
-def picker_dates(table: DataFrame, time_col: str = "measurement_time", **where) -> DataFrame:
-    t = table.filter(_eq(**where)) if where else table
+def picker_dates(table: DataFrame, time_col: str = "measurement_time", selection: DataFrame | None = None,
+                 **where) -> DataFrame:
+    """Distinct days, latest first; restricted by literal ``where`` values or a one-row
+    ``selection`` frame (e.g. state and city)."""
+    t = _bind(table, selection) if selection is not None else (_bind(table, where) if where else table)
     return distinct_sorted(t, F.to_date(time_col), name="measurement_date", descending=True)
 
 
