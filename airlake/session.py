@@ -46,14 +46,17 @@ def get_spark(master: str | None = None, app: str = "airlake",
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only where it is unset (local tests) a
-    folder of our own is created and registered, so every executor and the driver
-    agree on it.
+    The setting is read from the session. Only where it is unset and the session is local
+    (tests) a folder of our own is created and registered; on a cluster an unset setting
+    is an error, never a machine-local folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares "
+                               "(a machine-local folder does not survive on a cluster)")
         base = tempfile.mkdtemp(prefix="airlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
