@@ -183,3 +183,20 @@ def test_scheduled_trigger(spark, tmp_path):
     finally:
         q.stop()
     assert spark.read.parquet(raw_path).count() == 2
+
+
+def test_failed_batch_rerun_does_not_duplicate(spark, tmp_path):
+    root, raw_path, ck = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "ck")
+    put(root, "2024_03_01", "a.json", document([record("A", "PM10", "1")]))
+    put(root, "2024_03_01", "b.json", document([record("B", "PM10", "2", ts="01-03-2024 12:00:00")]))
+
+    def crash(batch_id, days):
+        raise RuntimeError("driver lost after the batch was written")
+
+    with pytest.raises(Exception):
+        ingest(spark, root, raw_path, ck, on_batch=crash)
+    assert spark.read.parquet(raw_path).count() == 2        # written, but the batch never committed
+    ingest(spark, root, raw_path, ck)                       # restart: the same batch runs again
+    raw = spark.read.parquet(raw_path)
+    assert raw.count() == 2 and raw.select("id").distinct().count() == 2
+    assert ingest(spark, root, raw_path, ck) == 0
