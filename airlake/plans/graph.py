@@ -12,7 +12,7 @@ never reads the files it overwrites - a refresh that fails half-way is simply re
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +45,6 @@ class Table:
     build: Callable[[dict[str, DataFrame], Sequence | None], DataFrame] | None
     partition_by: str | None = DAY
     path: str = ""
-    deps: list = field(default_factory=list)
 
 
 class TableGraph:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.operators import broadcast_if_small, duplicate_report
+from airlake.operators import broadcast_if_small, duplicate_report, explode_array
 from airlake.schemas import LAT_LON_TYPE, RECORDS_DDL
 
 RAW_COLUMNS = ["id", "index_record_ts", "json_data", "record_count", "json_version", "page_offset",
@@ -92,9 +92,9 @@ def clean(raw: DataFrame, days: Sequence | None = None, strict: bool = True) ->
     if days is not None:
         docs = docs.filter(on_days("index_record_ts", days))
     docs = docs.join(broadcast_if_small(superseded_ids(raw, days)), "id", "left_anti")
-    recs = docs.select(
-        "index_record_ts", "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts",
-        F.inline(F.variant_get("json_data", "$.records", RECORDS_DDL)))
+    recs = explode_array(
+        docs.withColumn("__records", F.variant_get("json_data", "$.records", RECORDS_DDL)), "__records",
+        keep=["index_record_ts", "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts"])
 
     def coord(c):
         return F.col(c).cast(LAT_LON_TYPE) if strict else F.col(c).try_cast(LAT_LON_TYPE)

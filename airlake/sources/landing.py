@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.functions import feed_ts, landing_stamp
+from airlake.functions import feed_ts, landing_stamp, to_ntz
 from airlake.operators import broadcast_if_small
 from airlake.schemas import LANDING_DIR_FORMAT, PAGE_LIMIT, RECORD_FIELDS
 
@@ -58,7 +58,7 @@ def with_file_metadata(df: DataFrame) -> DataFrame:
     return df.select(
         "doc",
         F.regexp_extract(p, _REL_PATH, 1).alias("_stg_file_name"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_stg_file_load_ts"),
+        to_ntz("_metadata.file_modification_time").alias("_stg_file_load_ts"),
         F.to_date(F.regexp_extract(p, _DAY_IN_PATH, 1), LANDING_DIR_FORMAT).alias("landing_date"),
     )
 
