@@ -13,24 +13,38 @@ from pyspark.sql import functions as F
 
 from airlake.functions import calendar, na_to_zero, surrogate_key, with_aqi
 from airlake.operators import pivot_max
-from airlake.schemas import POLLUTANT_COLUMNS, STATION_KEYS, WIDE_COLUMNS
+from airlake.schemas import MISSING, POLLUTANT_COLUMNS, STATION_KEYS, WIDE_COLUMNS
 
 
-def pivot_pollutants(clean: DataFrame) -> DataFrame:
-    """Long readings -> one row per station-hour, the seven readings as text (text max)."""
-    return pivot_max(clean, STATION_KEYS, "pollutant_id", "pollutant_avg", POLLUTANT_COLUMNS)
+def pivot_pollutants(clean: DataFrame, numeric: bool = False) -> DataFrame:
+    """Long readings -> one row per station-hour, the seven readings as text (text max).
+
+    ``numeric=True`` (opt-in, not the original semantics): 'NA' counts as missing and the
+    largest *number* wins ('10' over '9', a number over 'NA'). The values are then
+    fixed-width decimals and Spark aggregates by hashing instead of sorting.
+    """
+    if not numeric:
+        return pivot_max(clean, STATION_KEYS, "pollutant_id", "pollutant_avg", POLLUTANT_COLUMNS)
+    v = F.col("pollutant_avg")
+    num = clean.withColumn("__v", F.when(v.isNull() | (v == F.lit(MISSING)), F.lit(None))
+                           .otherwise(v.cast("decimal(38,9)")))
+    return pivot_max(num, STATION_KEYS, "pollutant_id", "__v", POLLUTANT_COLUMNS, hash_lead=False)
 
 
-def clean_flatten(clean: DataFrame) -> DataFrame:
+def clean_flatten(clean: DataFrame, numeric: bool = False) -> DataFrame:
     """Pivot, then NULL/'NA' -> 0 and half-up rounding; '_' in state becomes a space."""
-    p = pivot_pollutants(clean)
+    p = pivot_pollutants(clean, numeric)
     return p.select(
         "index_record_ts", "country", F.replace("state", F.lit("_"), F.lit(" ")).alias("state"),
         "city", "station", "latitude", "longitude",
-        *[na_to_zero(c).alias(c) for c in WIDE_COLUMNS],
+        *[(_numeric_to_whole(c) if numeric else na_to_zero(c)).alias(c) for c in WIDE_COLUMNS],
     )
 
 
+def _numeric_to_whole(c: str) -> F.Column:
+    return F.coalesce(F.round(F.col(c), 0), F.lit(0)).cast("bigint")
+
+
 def aqi_wide(flat: DataFrame) -> DataFrame:
     """Denormalised station-hour table with calendar parts, prominent pollutant and AQI."""
     cal = calendar("index_record_ts")

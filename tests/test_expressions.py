@@ -82,3 +82,22 @@ def test_landing_stamp_is_ist_in_any_session_zone(spark):
             assert df.select(landing_stamp("t")).first()[0] == "2024_03_01_11_45_30"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_numeric_pivot_option(spark):
+    from airlake.plans.products import clean_flatten
+    rows = [("2024-03-01 11:00:00", "IN", "S_1", "C", "A", 1, 2, "PM10", "9"),
+            ("2024-03-01 11:00:00", "IN", "S_1", "C", "A", 1, 2, "PM10", "10"),
+            ("2024-03-01 11:00:00", "IN", "S_1", "C", "A", 1, 2, "SO2", "NA"),
+            ("2024-03-01 11:00:00", "IN", "S_1", "C", "A", 1, 2, "SO2", "4.5")]
+    df = (spark.createDataFrame(rows, "t string, country string, state string, city string, station string, "
+                                      "latitude int, longitude int, pollutant_id string, pollutant_avg string")
+          .withColumn("index_record_ts", F.col("t").cast("timestamp_ntz")).drop("t")
+          .withColumn("latitude", F.col("latitude").cast("decimal(12,7)"))
+          .withColumn("longitude", F.col("longitude").cast("decimal(12,7)")))
+    text = clean_flatten(df).first()
+    num = clean_flatten(df, numeric=True).first()
+    assert (text.pm10_avg, text.so2_avg, text.state) == (9, 0, "S 1")     # text max: '9' > '10', 'NA' > '4.5'
+    assert (num.pm10_avg, num.so2_avg, num.co_avg) == (10, 5, 0)
+    plan = clean_flatten(df, numeric=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
