@@ -20,11 +20,10 @@ def distinct_sorted(df: DataFrame, col: Column | str, name: str | None = None,
 def rows_at_max(df: DataFrame, col: str) -> DataFrame:
     """Rows whose ``col`` equals the global maximum of ``col``.
 
-    The maximum is a one-row aggregate (partial per task); the one-row side of the join
-    has a fixed size, so its broadcast is safe at any scale.
+    The maximum is an uncorrelated scalar subquery (a partial aggregate per task, run
+    once before the scan); on a partition column it prunes the scan to one partition.
     """
-    top = df.agg(F.max(col).alias("__top"))
-    return df.join(F.broadcast(top), F.col(col) == F.col("__top"), "inner").drop("__top")
+    return df.filter(F.col(col) == df.agg(F.max(col)).scalar())
 
 
 def top_n_on_latest(df: DataFrame, date_col: str, n: int, order: Sequence[Column]) -> DataFrame:

@@ -107,10 +107,13 @@ def station_trend(fact: DataFrame, dates: DataFrame, locations: DataFrame,
     loc_sel = state.select("state", "city", "station") if isinstance(state, DataFrame) else \
         {"state": state, "city": city, "station": station}
     loc = _bind(locations, loc_sel)
-    f = fact.drop("measurement_date") if "measurement_date" in fact.columns else fact
-    if "measurement_date" in fact.columns and not isinstance(day, DataFrame):
-        # prune the stored fact by its day partition
-        f = fact.filter(F.col("measurement_date") == F.lit(day).cast("date")).drop("measurement_date")
+    f = fact
+    if "measurement_date" in fact.columns:
+        # prune the stored fact to the day's partition: a literal, or the one-row frame
+        # as a scalar subquery, becomes a partition filter (evaluated before the listing)
+        d_val = day.select("measurement_date").scalar() if isinstance(day, DataFrame) else \
+            F.lit(day).cast("date")
+        f = fact.filter(F.col("measurement_date") == d_val).drop("measurement_date")
     j = (f.join(d, d["date_pk"] == f["date_fk"], "inner")
           .join(loc, loc["location_pk"] == f["location_fk"], "inner"))
     return (j.orderBy("measurement_time")
@@ -147,10 +150,12 @@ def top_cities_latest_day(day_level: DataFrame, n: int = 10) -> DataFrame:
 def latest_map(fact: DataFrame, dates: DataFrame, locations: DataFrame) -> DataFrame:
     """(latitude, longitude, aqi) of every station in the latest hour.
 
-    The latest key is a one-row aggregate; broadcasting one row is size-safe.
+    The latest key is an uncorrelated scalar subquery over the date dimension.
     """
-    key = latest_key(dates, "date_pk", "measurement_time").withColumnRenamed("date_pk", "__k")
-    f = fact.join(F.broadcast(key), fact["date_fk"] == F.col("__k"), "inner")
+    if "measurement_date" in fact.columns:
+        # stored fact: read only the latest day's partition (scalar-subquery partition filter)
+        fact = fact.filter(F.col("measurement_date") == default_day(dates).scalar()).drop("measurement_date")
+    f = fact.filter(F.col("date_fk") == latest_key(dates, "date_pk", "measurement_time").scalar())
     j = f.join(locations, locations["location_pk"] == f["location_fk"], "inner")
     return j.select(F.col("latitude").cast("double").alias("lat"),
                     F.col("longitude").cast("double").alias("lon"), "aqi")

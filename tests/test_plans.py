@@ -78,3 +78,28 @@ def test_day_restricted_clean_pushes_a_range(spark, tmp_path):
     assert "GreaterThanOrEqual(index_record_ts,1998-01-01T00:00)" in p
     assert "LessThan(index_record_ts,1998-01-02T00:00)" in p
     assert {r[0].year for r in c.select("index_record_ts").distinct().collect()} == {1998}
+
+
+def test_stored_fact_is_pruned_to_one_day(spark, tmp_path):
+    import os
+
+    from airlake.sources import testbed as TB
+    run = str(tmp_path)
+    E._deliver(spark, TB.feed_records(spark, SF_SMALL), f"{run}/landing", "2024-03-01 10:45:00")
+    ingest(spark, f"{run}/landing", f"{run}/raw", f"{run}/ck", framing="lines")
+    g = G.aqi_pipeline(spark, f"{run}/t", f"{run}/raw")
+    g.refresh("city_hour")                                  # fact and both dimensions
+    fact, dates, locs = g.read("air_quality_fact"), g.read("date_dim"), g.read("location_dim")
+    want_map = sorted(map(tuple, V.latest_map(fact.drop("measurement_date"), dates, locs).collect()))
+    want_trend = [tuple(r) for r in V.station_trend(fact.drop("measurement_date"), dates, locs,
+                                                    V.default_station(locs), day=V.default_day(dates)).collect()]
+    # an unreadable file in an older day's partition: only a pruned scan still succeeds
+    older = sorted(d for d in os.listdir(g.tables["air_quality_fact"].path) if d.startswith("measurement_date="))[0]
+    with open(os.path.join(g.tables["air_quality_fact"].path, older, "part-zzzz.parquet"), "wb") as fh:
+        fh.write(b"not a parquet file")
+    fact = g.read("air_quality_fact")
+    with pytest.raises(Exception):
+        fact.select("aqi").collect()                        # a full scan does hit the bad file
+    assert sorted(map(tuple, V.latest_map(fact, dates, locs).collect())) == want_map
+    got = V.station_trend(fact, dates, locs, V.default_station(locs), day=V.default_day(dates)).collect()
+    assert [tuple(r) for r in got] == want_trend and len(got) > 0
