@@ -111,16 +111,17 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
     """Feed records -> JSON documents, one per (hour, page) with at most ~``limit`` records.
 
     ``records``: ``index_record_ts`` plus the eleven text fields of a record. The page of
-    a record is a hash of its station and pollutant modulo the hour's page count, so a
-    large hour is split over many documents instead of being collected into one; pages
-    are stable between re-deliveries of the same records.
+    a record is a hash of its station modulo the hour's page count, so a large hour is
+    split over many documents instead of being collected into one, all readings of a
+    station-hour stay in one document (the pivot then collapses them in the map task),
+    and pages are stable between re-deliveries of the same stations.
     """
     delivered_at = delivered_at if delivered_at is not None else F.current_timestamp()
     # one row per hour; broadcast after a row-count check, so records are not shuffled by
     # hour (a hot hour would land in one task) - above the bound: a shuffle join
     counts = broadcast_if_small(records.groupBy("index_record_ts").agg(F.count(F.lit(1)).alias("__n")))
     pages = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(limit)).cast("int"))
-    page = F.pmod(F.xxhash64("station", "pollutant_id", "latitude", "longitude"), pages)
+    page = F.pmod(F.xxhash64("country", "state", "city", "station", "latitude", "longitude"), pages)
     with_page = records.join(counts, "index_record_ts").withColumn("__page", page)
     rec = F.struct(*[F.col(f) for f in RECORD_FIELDS])
     grouped = (with_page.groupBy("index_record_ts", "__page")
