@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 
 def distinct_sorted(df: DataFrame, col: Column | str, name: str | None = None,
                     descending: bool = False) -> DataFrame:
-    """Distinct values of one column, sorted (a picker list). Partial aggregation per task."""
+    """Distinct values of one column, sorted (a picker list). Partial aggregation per task.
+
+    NULL sorts last ascending and first descending, as in the original ``ORDER BY``
+    (Spark's own default is the reverse).
+    """
     c = F.col(col) if isinstance(col, str) else col
     name = name or (col if isinstance(col, str) else "value")
     out = df.select(c.alias(name)).distinct()
-    return out.orderBy(F.col(name).desc() if descending else F.col(name).asc())
+    return out.orderBy(F.col(name).desc_nulls_first() if descending else F.col(name).asc_nulls_last())
 
 
 def rows_at_max(df: DataFrame, col: str) -> DataFrame:
