@@ -377,8 +377,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_aqi_wide(spark, SMOKE_DIR)
 
 
+def _present(df: DataFrame) -> DataFrame:
+    """Decimal columns (the coordinates) as double, as the dashboards convert them; the
+    values are the same in both engines, only their client-side type is made plain."""
+    from pyspark.sql.types import DecimalType
+
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _presented(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _present(fn(spark, sf_dir))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {k: _presented(fn) for k, fn in _QUERIES.items()}
 
 
 # ---------------------------------------------------------------------------
@@ -649,5 +666,17 @@ _ORACLE: dict[str, str] = {
 }
 
 
+# queries whose output carries the coordinates (decimal in the tables, double when presented)
+_WITH_COORDS = {"pivot_pollutants", "clean_flatten", "aqi_wide", "sub_index_count", "location_dim",
+                "star_fact", "station_trend", "landing_roundtrip"}
+
+
+def _present_sql(name: str, sql: str) -> str:
+    if name not in _WITH_COORDS:
+        return sql
+    return ("SELECT * REPLACE (CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude) "
+            f"FROM ({sql}) presented")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in _QUERIES}
+    return {k: _present_sql(k, v) for k, v in _ORACLE.items() if k in _QUERIES}
