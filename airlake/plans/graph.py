@@ -131,17 +131,18 @@ def _with_day(df: DataFrame, time_col: str) -> DataFrame:
 
 
 def aqi_pipeline(spark: SparkSession, base: str, raw_path: str, weather_path: str | None = None,
-                 round_inputs: bool = True, strict: bool = True) -> TableGraph:
+                 round_inputs: bool = True, strict: bool = True, numeric_max: bool = False) -> TableGraph:
     """The whole chain from the raw table to the (weather-enriched) day level.
 
     ``strict=False`` turns unparsable coordinates into NULL instead of failing the refresh.
+    ``numeric_max=True`` pivots with a numeric max (opt-in; see ``products.pivot_pollutants``).
     """
     g = TableGraph(spark, base)
     g.source("raw", raw_path)
     g.add("clean_aqi", ["raw"],
           lambda t, d: _with_day(L.clean(t["raw"], d, strict=strict), "index_record_ts"))
     g.add("clean_flatten", ["clean_aqi"],
-          lambda t, d: _with_day(P.clean_flatten(t["clean_aqi"]), "index_record_ts"))
+          lambda t, d: _with_day(P.clean_flatten(t["clean_aqi"], numeric_max), "index_record_ts"))
     g.add("aqi_wide", ["clean_flatten"],
           lambda t, d: _with_day(P.aqi_wide(t["clean_flatten"].drop(DAY)), "index_record_ts"))
     g.add("date_dim", ["clean_flatten"], lambda t, d: P.date_dim(t["clean_flatten"]), partition_by=None)
