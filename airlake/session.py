@@ -66,3 +66,23 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a cluster run, from the expected largest shuffle and the core count.
+
+    Shuffle partitions: enough for ~``partition_bytes`` each (so a reducer's share fits in
+    memory without heavy spill) and at least three waves of tasks; AQE then coalesces
+    small ones and splits skewed ones (a partition 5x the median and above 4x the target).
+    """
+    parts = max(3 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }

@@ -101,3 +101,10 @@ def test_numeric_pivot_option(spark):
     assert (num.pm10_avg, num.so2_avg, num.co_avg) == (10, 5, 0)
     plan = clean_flatten(df, numeric=True)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_scale_conf():
+    from airlake.session import scale_conf
+    c = scale_conf(100 << 40, 4000)                     # 100 TB shuffle, 4000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 819200
+    assert int(scale_conf(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 24
