@@ -12,30 +12,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from airlake.schemas import PROMINENT_LABELS
+from airlake.functions.aqi import na_to_int_sql, prominent_sql, sub_index_sql
 
 _ARGS = ["pm25", "pm10", "so2", "no2", "nh3", "co", "o3"]
 _PARAMS = ", ".join(f"{a} DECIMAL(38,0)" for a in _ARGS)
 
 
-def _prominent_body() -> str:
-    vals = [f"coalesce({a}, 0)" for a in _ARGS]
-    top = f"greatest({', '.join(vals)})"
-    whens = " ".join(f"WHEN {v} = {top} THEN '{lab}'" for v, lab in zip(vals, PROMINENT_LABELS))
-    return f"CASE {whens} END"
-
-
-def _sub_index_body() -> str:
-    gases = " + ".join(f"(CASE WHEN {g} IS NOT NULL AND {g} <> 0 THEN 1 ELSE 0 END)" for g in _ARGS[2:])
-    return f"(CASE WHEN pm25 > 0 OR pm10 > 0 THEN 1 ELSE 0 END) + least(2, {gases})"
-
-
 def register_functions(spark: SparkSession) -> list[str]:
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION prominent_index({_PARAMS}) RETURNS STRING "
-              f"RETURN {_prominent_body()}")
+              f"RETURN {prominent_sql(_ARGS)}")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION three_sub_index_criteria({_PARAMS}) "
-              f"RETURNS DECIMAL(38,0) RETURN {_sub_index_body()}")
+              f"RETURNS DECIMAL(38,0) RETURN {sub_index_sql(_ARGS)}")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION get_int(input_value STRING) RETURNS DECIMAL(38,0) "
-              "RETURN CASE WHEN input_value IS NULL THEN 0 WHEN input_value = 'NA' THEN 0 "
-              "ELSE CAST(input_value AS DECIMAL(38,0)) END")
+              f"RETURN {na_to_int_sql('input_value')}")
     return ["prominent_index", "three_sub_index_criteria", "get_int"]

@@ -25,6 +25,15 @@ def feed_ts(c: Column | str, fmt: str = FEED_TS_FORMAT) -> Column:
 
 def calendar(ts: Column | str, hour_offset: int = 0) -> dict[str, Column]:
     """aqi_year, aqi_month, aqi_quarter, aqi_day, aqi_hour (hour + ``hour_offset``) as int."""
+    if isinstance(ts, str):
+        t = "`" + ts.replace("`", "``") + "`"
+        return {
+            "aqi_year": F.expr(f"CAST(year({t}) AS INT)"),
+            "aqi_month": F.expr(f"CAST(month({t}) AS INT)"),
+            "aqi_quarter": F.expr(f"CAST(quarter({t}) AS INT)"),
+            "aqi_day": F.expr(f"CAST(dayofmonth({t}) AS INT)"),
+            "aqi_hour": F.expr(f"CAST(hour({t}) + {int(hour_offset)} AS INT)"),
+        }
     ts = _col(ts)
     return {
         "aqi_year": F.year(ts).cast("int"),

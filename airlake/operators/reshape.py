@@ -21,14 +21,24 @@ def pivot_max(df: DataFrame, keys: Sequence[str], pivot_col: str, value_col: str
     (the hash is a function of the keys) but the sort then runs on a long prefix and
     compares the text keys only between rows of the same group.
     """
-    aggs = [F.max(F.when(F.col(pivot_col) == F.lit(v), F.col(value_col))).alias(out)
-            for v, out in columns.items()]
+    # one SQL expression per output column (a single call into the JVM each)
+    p, v = _q(pivot_col), _q(value_col)
+    aggs = [F.expr(f"max(CASE WHEN {p} = {_lit(val)} THEN {v} END)").alias(out)
+            for val, out in columns.items()]
     if not hash_lead:
         return df.groupBy(*keys).agg(*aggs)
-    lead = F.xxhash64(*[F.col(k) for k in keys]).alias("__key_hash")
+    lead = F.expr(f"xxhash64({', '.join(_q(k) for k in keys)})").alias("__key_hash")
     return df.groupBy(lead, *keys).agg(*aggs).drop("__key_hash")
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(value: str) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def explode_array(df: DataFrame, array_col: str, keep: Sequence[str]) -> DataFrame:
     """Inner unnest of an array of structs: one row per element, element fields as columns.
 

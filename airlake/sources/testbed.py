@@ -19,8 +19,17 @@ from pyspark.sql import functions as F
 from airlake.schemas import FEED_TS_FORMAT, LAT_LON_TYPE
 
 
+_READS: dict[str, tuple[object, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's (read-only) tables. The reader - a plan, no data - is kept per
+    session and path, so repeated queries do not list and read the footers again."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _READS.get(path)
+    if hit is None or hit[0] is not spark._jsparkSession:      # another (or a new) session
+        hit = _READS[path] = (spark._jsparkSession, spark.read.parquet(path))
+    return hit[1]
 
 
 def hour_floor(ts: Column | str) -> Column:

@@ -108,3 +108,17 @@ def test_scale_conf():
     c = scale_conf(100 << 40, 4000)                     # 100 TB shuffle, 4000 cores
     assert int(c["spark.sql.shuffle.partitions"]) == 819200
     assert int(scale_conf(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_column_and_name_paths_agree(spark):
+    from airlake.functions import na_to_int, prominent_pollutant
+    df = (spark.createDataFrame([c[0] for c in CASES], SCHEMA).withColumn("t", F.lit("12.5"))
+          .withColumn("s", F.col("pm25").cast("string")))
+    cols = [F.col(c) for c in COLS]
+    for round_inputs in (False, True):
+        by_name = df.select(prominent_pollutant(*COLS, round_inputs=round_inputs), sub_index_count(*COLS),
+                            aqi(*COLS, round_inputs=round_inputs), na_to_zero("t"), na_to_int("s")).collect()
+        by_col = df.select(prominent_pollutant(*cols, round_inputs=round_inputs), sub_index_count(*cols),
+                           aqi(*cols, round_inputs=round_inputs), na_to_zero(F.col("t")),
+                           na_to_int(F.col("s"))).collect()
+        assert [tuple(r) for r in by_name] == [tuple(r) for r in by_col]
