@@ -128,13 +128,16 @@ def city_day(hour_level: DataFrame) -> DataFrame:
 
 def weather_data(source: DataFrame, country_code: str | None, start=None, end=None, *,
                  start_inclusive: bool = True, labels: tuple[str, str, str] | None = None,
-                 place_cols: tuple[str, str, str] = ("country", "state", "city")) -> DataFrame:
+                 place_cols: tuple[str, str, str] = ("country", "state", "city"),
+                 agg_per_day: bool = False) -> DataFrame:
     """Daily temperature rows of one source country.
 
     The filter runs on the *source* columns (``country`` there is a code) before the
     projection; ``labels`` stamps constant (country, state, city) names as the original
     table did, otherwise the source's own place columns are kept, '_' in state -> ' '.
-    ``country_code=None`` keeps every source country.
+    ``country_code=None`` keeps every source country. ``end`` may be a Column (e.g.
+    ``F.current_date()``). ``agg_per_day`` (with ``labels``): one row per day, the mean of
+    the source rows, so a source with many places per country cannot fan out the join.
     """
     d = F.col("date_valid_std")
     cond = F.lit(True) if country_code is None else F.col("country") == F.lit(country_code)
@@ -143,6 +146,9 @@ def weather_data(source: DataFrame, country_code: str | None, start=None, end=No
     if end is not None:
         cond &= d <= F.lit(end).cast("date")
     src = source.filter(cond)
+    if labels is not None and agg_per_day:
+        src = src.groupBy("date_valid_std").agg(
+            F.avg("avg_temperature_air_2m_f").alias("avg_temperature_air_2m_f"))
     if labels is not None:
         place = [F.lit(v).alias(n) for v, n in zip(labels, ("country", "state", "city"))]
     else:

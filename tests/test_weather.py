@@ -40,3 +40,15 @@ def test_enriched_day_table_in_graph(spark, tmp_path):
     names = g.register_views()
     assert "agg_delhi_fact_day_level" in names
     assert spark.sql("SELECT count(*) FROM agg_city_fact_day_level").first()[0] > 0
+
+
+def test_one_row_per_day_option(spark):
+    src = TB.weather_source(spark, SF_SMALL)
+    labels = ("India", "Delhi", "Delhi")
+    many = P.weather_data(src, "ASIA", "1995-01-01", F.current_date(), labels=labels)
+    one = P.weather_data(src, "ASIA", "1995-01-01", F.current_date(), labels=labels, agg_per_day=True)
+    assert many.count() > one.count() == one.select("measurement_dt").distinct().count() > 0
+    r = one.orderBy("measurement_dt").first()
+    want = (src.filter((F.col("country") == "ASIA") & (F.col("date_valid_std") == r.measurement_dt))
+            .agg(F.avg("avg_temperature_air_2m_f")).first()[0])
+    assert abs(r.temperature_in_f - want) < 1e-9 and (r.country, r.state, r.city) == labels
