@@ -17,7 +17,7 @@ from airlake.operators import broadcast_if_small, duplicate_report, explode_arra
 from airlake.schemas import LAT_LON_TYPE, RECORDS_DDL
 
 RAW_COLUMNS = ["id", "index_record_ts", "json_data", "record_count", "json_version", "page_offset",
-               "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts", "landing_date"]
+               "page_limit", "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts", "landing_date"]
 VERSION_ORDER = ["_stg_file_load_ts", "_stg_file_name", "_stg_file_md5", "id"]
 
 
@@ -63,20 +63,34 @@ def on_days(ts_col: str, days: Sequence) -> F.Column:
 
 
 def superseded_ids(raw: DataFrame, days: Sequence | None = None) -> DataFrame:
-    """Ids of documents that a newer delivery of the same (hour, page) replaces.
-
-    The newest version per key is a partial (map-side) aggregate over the metadata
-    columns only, so documents are never shuffled for the ranking and a hot hour is
-    pre-aggregated in every task.
+    """Ids of documents that are not part of the current version of their hour.
+
+    A document survives when it is the newest version of its (hour, page) *and* its page
+    still exists in the hour's newest delivery, i.e. the most recently loaded document of
+    the hour has the same page size (``limit``) and a ``total`` above the page's
+    ``offset``. A re-delivery with fewer pages, or paged differently, leaves no stale page
+    behind. For single-page deliveries this is simply the newest file per hour. Both choices are partial (map-side) aggregates over the metadata columns only,
+    so documents are never shuffled for the ranking and a hot hour is pre-aggregated in
+    every task.
     """
-    meta = raw.select("id", "index_record_ts", "page_offset", *VERSION_ORDER[:-1]).filter(
+    meta = raw.select("id", "index_record_ts", "page_offset", "page_limit", "record_count",
+                      *VERSION_ORDER[:-1]).filter(
         F.col("index_record_ts").isNotNull())
     if days is not None:
         meta = meta.filter(on_days("index_record_ts", days))
+    version = F.struct(*[F.col(c) for c in VERSION_ORDER])
     best = (meta.groupBy("index_record_ts", "page_offset")
-            .agg(F.max(F.struct(*[F.col(c) for c in VERSION_ORDER])).alias("__best"))
-            .select(F.col("__best.id").alias("id")))
-    return meta.select("id").join(best, "id", "left_anti")
+            .agg(F.max(F.struct(*[F.col(c) for c in VERSION_ORDER], F.col("page_limit"))).alias("__best"))
+            .select("index_record_ts", "page_offset", F.col("__best.id").alias("id"),
+                    F.col("__best.page_limit").alias("page_limit")))
+    latest = (meta.groupBy("index_record_ts")
+              .agg(F.max_by(F.struct("record_count", "page_limit"), version).alias("__latest")))
+    offset = F.coalesce(F.col("page_offset").try_cast("bigint"), F.lit(0))
+    kept = (best.join(latest, "index_record_ts")
+            .filter((offset < F.greatest(F.col("__latest.record_count"), F.lit(1)))
+                    & (F.col("page_limit") == F.col("__latest.page_limit")))
+            .select("id"))
+    return meta.select("id").join(kept, "id", "left_anti")
 
 
 def clean(raw: DataFrame, days: Sequence | None = None, strict: bool = True) -> DataFrame:

@@ -99,6 +99,7 @@ def raw_documents(docs: DataFrame, on_error: str = "abort", copy_ts: Column | No
         total.alias("record_count"),
         version.alias("json_version"),
         F.coalesce(get("json_data", "$.offset", "string"), F.lit("0")).alias("page_offset"),
+        F.coalesce(get("json_data", "$.limit", "string"), F.lit("")).alias("page_limit"),
         "_stg_file_name", "_stg_file_load_ts",
         F.md5("doc").alias("_stg_file_md5"),
         (copy_ts if copy_ts is not None else F.current_timestamp()).cast("timestamp_ntz").alias("_copy_data_ts"),
@@ -110,6 +111,9 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
                            delivered_at: Column | None = None) -> DataFrame:
     """Feed records -> JSON documents, one per (hour, page) with at most ~``limit`` records.
 
+    As in the feed's own header, ``total`` is the number of records of the whole hour,
+    ``count`` the number in this document and ``offset`` where its page starts.
+
     ``records``: ``index_record_ts`` plus the eleven text fields of a record. The page of
     a record is a hash of its station modulo the hour's page count, so a large hour is
     split over many documents instead of being collected into one, all readings of a
@@ -125,14 +129,15 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
     with_page = records.join(counts, "index_record_ts").withColumn("__page", page)
     rec = F.struct(*[F.col(f) for f in RECORD_FIELDS])
     grouped = (with_page.groupBy("index_record_ts", "__page")
-               .agg(F.collect_list(rec).alias("records"), F.count(F.lit(1)).cast("int").alias("total")))
+               .agg(F.collect_list(rec).alias("records"), F.count(F.lit(1)).cast("int").alias("count"),
+                    F.first("__n").cast("int").alias("total")))
     epoch = F.unix_timestamp(delivered_at.cast("timestamp")).cast("long")
     iso = F.date_format(delivered_at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     doc = F.struct(
         epoch.alias("created"), epoch.alias("updated"), iso.alias("created_date"), iso.alias("updated_date"),
         F.lit(1).alias("active"), F.lit("air-quality").alias("index_name"), F.lit("Resource lists").alias("message"),
         F.lit("2.2.0").alias("version"), F.lit("ok").alias("status"),
-        F.col("total"), F.col("total").alias("count"), F.lit(str(limit)).alias("limit"),
+        F.col("total"), F.col("count"), F.lit(str(limit)).alias("limit"),
         (F.col("__page") * F.lit(limit)).cast("string").alias("offset"),
         F.array(*[F.lit(f) for f in RECORD_FIELDS]).alias("field"),
         F.col("records"),

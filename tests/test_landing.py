@@ -200,3 +200,33 @@ def test_failed_batch_rerun_does_not_duplicate(spark, tmp_path):
     raw = spark.read.parquet(raw_path)
     assert raw.count() == 2 and raw.select("id").distinct().count() == 2
     assert ingest(spark, root, raw_path, ck) == 0
+
+
+def test_shrinking_redelivery_drops_stale_pages(spark, tmp_path):
+    root = str(tmp_path / "landing")
+
+    def page(recs, offset, total, limit):
+        return document(recs, total=total) | {"offset": str(offset), "count": len(recs), "limit": str(limit)}
+
+    a, b = record("A", "PM10", "1"), record("B", "PM10", "2")
+    put(root, "2024_03_01", "p0.json", page([a], 0, 2, 1), mtime=1_000_000)        # 2 records, pages of 1
+    put(root, "2024_03_01", "p1.json", page([b], 1, 2, 1), mtime=1_000_000)
+    # re-delivered with a page size of 2: one page; the old second page must not survive
+    put(root, "2024_03_02", "q0.json", page([record("A", "PM10", "5"), record("B", "PM10", "6")], 0, 2, 2),
+        mtime=2_000_000)
+    raw = raw_of(spark, root).withColumn("id", F.monotonically_increasing_id())
+    assert sorted((r.station, r.pollutant_avg) for r in clean(raw).collect()) == [("A", "5"), ("B", "6")]
+    # same page size, fewer records: the page beyond the new total is dropped
+    root2 = str(tmp_path / "landing2")
+    put(root2, "2024_03_01", "p0.json", page([a], 0, 2, 1), mtime=1_000_000)
+    put(root2, "2024_03_01", "p1.json", page([b], 1, 2, 1), mtime=1_000_000)
+    put(root2, "2024_03_02", "q0.json", page([record("A", "PM10", "7")], 0, 1, 1), mtime=2_000_000)
+    raw2 = raw_of(spark, root2).withColumn("id", F.monotonically_increasing_id())
+    assert [(r.station, r.pollutant_avg) for r in clean(raw2).collect()] == [("A", "7")]
+    # same page size, same pages: each page keeps its newest version
+    root3 = str(tmp_path / "landing3")
+    put(root3, "2024_03_01", "p0.json", page([a], 0, 2, 1), mtime=1_000_000)
+    put(root3, "2024_03_01", "p1.json", page([b], 1, 2, 1), mtime=1_000_000)
+    put(root3, "2024_03_02", "q1.json", page([record("B", "PM10", "9")], 1, 2, 1), mtime=2_000_000)
+    raw3 = raw_of(spark, root3).withColumn("id", F.monotonically_increasing_id())
+    assert sorted((r.station, r.pollutant_avg) for r in clean(raw3).collect()) == [("A", "1"), ("B", "9")]
