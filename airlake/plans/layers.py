@@ -7,7 +7,6 @@ clean: newest delivery of every (hour, page), its records unnested, typed.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,27 +20,26 @@ RAW_COLUMNS = ["id", "index_record_ts", "json_data", "record_count", "json_versi
 VERSION_ORDER = ["_stg_file_load_ts", "_stg_file_name", "_stg_file_md5", "id"]
 
 
-def next_id(spark: SparkSession, raw_path: str, before_batch: int | None = None) -> int:
-    """1 + the largest id already stored (of batches before ``before_batch``), or 1.
+# id layout: batch (23 bits) | partition of the batch (16 bits) | row in the partition (24 bits)
+_PART_BITS, _ROW_BITS = 16, 24
 
-    Ids grow from batch to batch, so the largest one is in the latest earlier batch
-    partition: that partition is found from the file listing and only its ids are read.
+
+def with_ids(raw_docs: DataFrame, batch: int) -> DataFrame:
+    """Unique ids that grow from batch to batch (gaps allowed), computed where the rows are.
+
+    ``monotonically_increasing_id`` is (partition << 33) + row; the id re-packs it under the
+    batch number, so no earlier data is read and nothing is numbered in a single task. A
+    batch with more partitions or rows per partition than the layout holds fails loudly.
     """
-    try:
-        files = spark.read.parquet(raw_path).inputFiles()
-    except Exception:  # no table yet
-        return 1
-    batches = {int(m.group(1)) for f in files if (m := re.search(r"ingest_batch=(\d+)", f))}
-    prior = sorted(b for b in batches if before_batch is None or b < before_batch)
-    if not prior:
-        return 1
-    top = spark.read.parquet(f"{raw_path.rstrip('/')}/ingest_batch={prior[-1]}").agg(F.max("id")).first()[0]
-    return 1 if top is None else int(top) + 1
-
-
-def with_ids(raw_docs: DataFrame, first_id: int) -> DataFrame:
-    """Unique increasing ids (gaps allowed) without a global sort or a single-task window."""
-    return raw_docs.select((F.lit(first_id) + F.monotonically_increasing_id()).alias("id"), "*")
+    if not 0 <= batch < (1 << (63 - _PART_BITS - _ROW_BITS)):
+        raise ValueError(f"batch {batch} out of range for the id layout")
+    part = F.spark_partition_id().cast("bigint")
+    row = F.monotonically_increasing_id() - F.shiftleft(part, 33)
+    packed = (F.lit(batch).cast("bigint") * F.lit(1 << (_PART_BITS + _ROW_BITS))
+              + F.shiftleft(part, _ROW_BITS) + row)
+    fits = (part < F.lit(1 << _PART_BITS)) & (row < F.lit(1 << _ROW_BITS))
+    ident = F.when(fits, packed).otherwise(F.raise_error(F.lit("raw id layout exceeded")).cast("bigint"))
+    return raw_docs.select(ident.alias("id"), "*")
 
 
 def write_raw_batch(raw_rows: DataFrame, raw_path: str, batch: int) -> None:

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.plans.layers import next_id, with_ids, write_raw_batch
+from airlake.plans.layers import with_ids, write_raw_batch
 from airlake.session import shared_dir
 from airlake.sources.landing import raw_documents, read_landing
 
@@ -45,7 +45,7 @@ def ingest(spark: SparkSession, landing: str, raw_path: str, checkpoint: str | N
     def load(batch_df: DataFrame, batch_id: int) -> None:
         rows = raw_documents(batch_df, on_error=on_error,
                              copy_ts=None if copy_ts is None else F.lit(copy_ts))
-        rows = with_ids(rows, next_id(spark, raw_path, before_batch=batch_id))
+        rows = with_ids(rows, batch_id)
         write_raw_batch(rows, raw_path, batch_id)
         batches.append(batch_id)
         if on_batch is not None:
@@ -67,4 +67,4 @@ def load_batch(spark: SparkSession, landing: str, raw_path: str, batch: int = 0,
     """One-off batch load of everything in ``landing`` (no file memory)."""
     rows = raw_documents(read_landing(spark, landing, framing=framing), on_error=on_error,
                          copy_ts=None if copy_ts is None else F.lit(copy_ts))
-    write_raw_batch(with_ids(rows, next_id(spark, raw_path, before_batch=batch)), raw_path, batch)
+    write_raw_batch(with_ids(rows, batch), raw_path, batch)

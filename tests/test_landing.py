@@ -230,3 +230,10 @@ def test_shrinking_redelivery_drops_stale_pages(spark, tmp_path):
     put(root3, "2024_03_02", "q1.json", page([record("B", "PM10", "9")], 1, 2, 1), mtime=2_000_000)
     raw3 = raw_of(spark, root3).withColumn("id", F.monotonically_increasing_id())
     assert sorted((r.station, r.pollutant_avg) for r in clean(raw3).collect()) == [("A", "1"), ("B", "9")]
+
+
+def test_ids_grow_with_batches(spark):
+    from airlake.plans.layers import with_ids
+    a = [r.id for r in with_ids(spark.range(0, 1000, numPartitions=7), 3).collect()]
+    b = [r.id for r in with_ids(spark.range(0, 10, numPartitions=2), 4).collect()]
+    assert len(set(a)) == 1000 and min(b) > max(a)
