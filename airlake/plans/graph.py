@@ -119,6 +119,10 @@ class TableGraph:
         return done
 
     def _write(self, df: DataFrame, t: Table, incremental: bool) -> None:
+        # REBALANCE on the partition column: AQE sizes the write tasks by the day they
+        # hold (small days coalesced, big days split), so a day gets a few right-sized
+        # files instead of one file from every task
+        df = df.hint("rebalance", t.partition_by) if t.partition_by else df.hint("rebalance")
         w = df.write.mode("overwrite")
         if t.partition_by:
             w = (w.option("partitionOverwriteMode", "dynamic" if incremental else "static")

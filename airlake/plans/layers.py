@@ -44,7 +44,7 @@ def with_ids(raw_docs: DataFrame, batch: int) -> DataFrame:
 
 def write_raw_batch(raw_rows: DataFrame, raw_path: str, batch: int) -> None:
     """Write one ingest batch; re-running the same batch replaces it (idempotent)."""
-    (raw_rows.withColumn("ingest_batch", F.lit(batch))
+    (raw_rows.withColumn("ingest_batch", F.lit(batch)).hint("rebalance")   # right-sized files
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ingest_batch").parquet(raw_path))
 
