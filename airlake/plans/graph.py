@@ -176,11 +176,11 @@ def incremental_refresh(graph: TableGraph, target: str = "city_day") -> Callable
 
 def snapshot_weather(weather: DataFrame, path: str) -> None:
     """Replace the weather table with ``weather`` (create-or-replace)."""
-    weather.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy("measurement_dt").parquet(path)
+    weather.hint("rebalance", "measurement_dt").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static").partitionBy("measurement_dt").parquet(path)
 
 
 def append_weather_day(weather_day: DataFrame, path: str) -> None:
     """Add one day's rows; re-running for the same day replaces that day (idempotent)."""
-    weather_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("measurement_dt").parquet(path)
+    weather_day.hint("rebalance", "measurement_dt").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("measurement_dt").parquet(path)
