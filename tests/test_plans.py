@@ -103,3 +103,18 @@ def test_stored_fact_is_pruned_to_one_day(spark, tmp_path):
     assert sorted(map(tuple, V.latest_map(fact, dates, locs).collect())) == want_map
     got = V.station_trend(fact, dates, locs, V.default_station(locs), day=V.default_day(dates)).collect()
     assert [tuple(r) for r in got] == want_trend and len(got) > 0
+
+
+def test_checked_broadcast_both_ways(spark):
+    from pyspark.sql import functions as F
+
+    from airlake.operators import broadcast_if_small, preview
+    big = spark.range(0, 5000).withColumn("k", F.col("id") % 50)
+    small = spark.range(0, 50).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    for bound, expect_hint in ((1000, True), (10, False)):
+        side = broadcast_if_small(small, max_rows=bound)
+        j = big.join(side, "k")
+        logical = j._jdf.queryExecution().analyzed().toString()
+        assert ("broadcast" in logical.lower()) == expect_hint
+        assert j.count() == 5000 and j.agg(F.sum("v")).first()[0] == sum((i % 50) * 2 for i in range(5000))
+    assert [r.id for r in preview(big, 3, [F.col("id").desc()]).collect()] == [4999, 4998, 4997]
