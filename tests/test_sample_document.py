@@ -47,3 +47,21 @@ def test_sample_hour_through_the_pipeline(spark, tmp_path):
     assert (h.city, h.pm10_avg, h.prominent_pollutant, h.aqi) == ("Bengaluru", 75.0, "PM10", 75.0)
     day = g.read("city_day").first()
     assert (str(day.measurement_date), day.pm10_avg, day.aqi) == ("2023-12-30", 75, 75)
+
+
+def test_job_entry_point(spark, tmp_path):
+    from airlake import job
+    landing = tmp_path / "landing" / "2023_12_30"
+    os.makedirs(landing)
+    (landing / "a.json").write_text(json.dumps(sample_document()))
+    os.utime(landing / "a.json", (1_000_000, 1_000_000))    # an old delivery
+    lake = str(tmp_path / "lake")
+    assert job.main(["--landing", str(tmp_path / "landing"), "--lake", lake, "--full"], spark=spark) == 0
+    g = G.aqi_pipeline(spark, lake, f"{lake}/stage/raw")
+    assert g.read("city_day").first().aqi == 75
+    assert g.read("aqi_wide").count() == 1                  # --full builds every table
+    doc = sample_document()
+    doc["records"] = [dict(r, pollutant_avg="90") if r["pollutant_id"] == "PM10" else r for r in doc["records"]]
+    (landing / "b.json").write_text(json.dumps(doc))        # a corrected re-delivery of the hour
+    assert job.main(["--landing", str(tmp_path / "landing"), "--lake", lake], spark=spark) == 0
+    assert g.read("city_day").first().aqi == 90             # touched day refreshed
