@@ -3,8 +3,6 @@
 import gzip
 import json
 import os
-import shutil
-import time
 
 import pytest
 from pyspark.sql import functions as F

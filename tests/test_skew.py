@@ -1,6 +1,5 @@
 """A hot key holding a third of all rows: results stay exact, pre-aggregation happens."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from airlake.operators import latest_per_key
