@@ -283,6 +283,10 @@ def q_top10_latest_day(spark, d):
     return V.top_cities_latest_day(_Star(spark, d).city_day(), 10)
 
 
+def q_location_key_duplicates(spark, d):
+    return V.location_key_duplicates(_Star(spark, d).locations)
+
+
 def q_latest_map(spark, d):
     s = _Star(spark, d)
     return V.latest_map(s.fact, s.dates, s.locations)
@@ -367,6 +371,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "city_trend": q_city_trend,
     "top10_latest_day": q_top10_latest_day,
     "latest_map": q_latest_map,
+    "location_key_duplicates": q_location_key_duplicates,
     "landing_roundtrip": q_landing_roundtrip,
     "refresh_incremental": q_refresh_incremental,
 }
@@ -659,6 +664,9 @@ _ORACLE: dict[str, str] = {
     "landing_roundtrip": _with(_READINGS) + "SELECT * FROM readings",
     "refresh_incremental": _with(_READINGS.replace("readings AS", "readings_v1 AS", 1), _READINGS_V2,
                                  *_DAY_CTES[1:]) + "SELECT * FROM day_level",
+    "location_key_duplicates": _with(_READINGS, _PIVOTED, _FLAT, _LOCS) + (
+        "SELECT latitude, longitude, count(*) AS descriptions, min(station) AS first_station, "
+        "max(station) AS last_station FROM locs GROUP BY latitude, longitude HAVING count(*) > 1"),
     "latest_map": _with(*_STAR_CTES) + (
         "SELECT CAST(l.latitude AS DOUBLE) AS lat, CAST(l.longitude AS DOUBLE) AS lon, f.aqi "
         "FROM fact f JOIN locs l ON f.latitude = l.latitude AND f.longitude = l.longitude "
@@ -668,7 +676,7 @@ _ORACLE: dict[str, str] = {
 
 # queries whose output carries the coordinates (decimal in the tables, double when presented)
 _WITH_COORDS = {"pivot_pollutants", "clean_flatten", "aqi_wide", "sub_index_count", "location_dim",
-                "star_fact", "station_trend", "landing_roundtrip"}
+                "star_fact", "station_trend", "landing_roundtrip", "location_key_duplicates"}
 
 
 def _present_sql(name: str, sql: str) -> str:

@@ -170,6 +170,20 @@ def series_between(day_weather: DataFrame, start, end, **where) -> DataFrame:
             .select("measurement_date", "aqi", "temperature_in_f"))
 
 
+# -- data quality ------------------------------------------------------------
+
+def location_key_duplicates(locations: DataFrame) -> DataFrame:
+    """Location keys shared by more than one station description (they fan out the star
+    join): coordinates, number of descriptions and the first / last station name. One
+    partial aggregate by key; no group is collected."""
+    return (locations.groupBy("location_pk")
+            .agg(F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"),
+                 F.count(F.lit(1)).alias("descriptions"),
+                 F.min("station").alias("first_station"), F.max("station").alias("last_station"))
+            .filter(F.col("descriptions") > 1)
+            .drop("location_pk"))
+
+
 # -- chart frames ------------------------------------------------------------
 
 def chart_frames(trend: DataFrame) -> dict[str, DataFrame]:
