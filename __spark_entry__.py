@@ -187,7 +187,7 @@ def q_event_hours(spark, d):
     e = TB.table(spark, d, "events")
     return (e.groupBy(F.to_date("ts").alias("event_date"), F.hour("ts").cast("int").alias("event_hour"),
                       "event_type")
-             .agg(F.round(F.avg("value"), 6).alias("avg_value")))
+             .agg(F.avg(F.col("value").cast("decimal(18,2)")).alias("avg_value")))   # exact, half up at 6
 
 
 def q_weather_snapshot(spark, d):
@@ -613,9 +613,12 @@ _ORACLE: dict[str, str] = {
         "ELSE strftime(ts, '%d-%m-%Y %H:%M:%S') END AS last_update FROM events) "
         "SELECT event_id, last_update, try_strptime(last_update, '%d-%m-%Y %H:%M:%S') AS index_record_ts "
         "FROM e WHERE try_strptime(last_update, '%d-%m-%Y %H:%M:%S') IS NOT NULL"),
+    # exact mean of the 2-decimal values, rounded half up at 6 places with integer arithmetic
     "event_hours": (
+        "SELECT event_date, event_hour, event_type, "
+        "CAST((cents * 20000 + n) // (2 * n) AS DOUBLE) / 1000000.0 AS avg_value FROM ("
         "SELECT CAST(ts AS DATE) AS event_date, CAST(hour(ts) AS INTEGER) AS event_hour, event_type, "
-        "round(avg(value), 6) AS avg_value FROM events GROUP BY 1, 2, 3"),
+        "sum(CAST(round(value * 100) AS BIGINT)) AS cents, count(*) AS n FROM events GROUP BY 1, 2, 3)"),
     "weather_snapshot": _with(_WSRC) + (
         "SELECT 'India' AS country, 'Delhi' AS state, 'Delhi' AS city, date_valid_std AS measurement_dt, "
         "avg_temperature_air_2m_f AS temperature_in_f FROM wsrc WHERE country = 'ASIA' "

@@ -128,7 +128,11 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
     page = F.pmod(F.xxhash64("country", "state", "city", "station", "latitude", "longitude"), pages)
     with_page = records.join(counts, "index_record_ts").withColumn("__page", page)
     rec = F.struct(*[F.col(f) for f in RECORD_FIELDS])
-    grouped = (with_page.groupBy("index_record_ts", "__page")
+    # shuffle the records by document first: a map-side partial collect_list would save no
+    # bytes and only hold a whole task's records in memory; after the shuffle every task
+    # builds its own documents (sort-based once it holds many of them)
+    grouped = (with_page.repartition("index_record_ts", "__page")
+               .groupBy("index_record_ts", "__page")
                .agg(F.collect_list(rec).alias("records"), F.count(F.lit(1)).cast("int").alias("count"),
                     F.first("__n").cast("int").alias("total")))
     epoch = F.unix_timestamp(delivered_at.cast("timestamp")).cast("long")
