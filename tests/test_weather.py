@@ -52,3 +52,27 @@ def test_one_row_per_day_option(spark):
     want = (src.filter((F.col("country") == "ASIA") & (F.col("date_valid_std") == r.measurement_dt))
             .agg(F.avg("avg_temperature_air_2m_f")).first()[0])
     assert abs(r.temperature_in_f - want) < 1e-9 and (r.country, r.state, r.city) == labels
+
+
+def test_sql_over_registered_views_matches_views(spark, tmp_path):
+    from airlake.functions.sql import register_functions
+    from airlake.plans import views as V
+    run = str(tmp_path)
+    E._deliver(spark, TB.feed_records(spark, SF_SMALL), f"{run}/landing", "2024-03-01 10:45:00")
+    ingest(spark, f"{run}/landing", f"{run}/raw", f"{run}/ck", framing="lines")
+    g = G.aqi_pipeline(spark, f"{run}/t", f"{run}/raw")
+    g.refresh()
+    g.register_views()
+    register_functions(spark)
+    top = spark.sql("""
+        SELECT state, city, aqi FROM agg_city_fact_day_level
+        WHERE measurement_date = (SELECT max(measurement_date) FROM agg_city_fact_day_level)
+        ORDER BY aqi DESC, state, city LIMIT 10""")
+    want = V.top_cities_latest_day(g.read("city_day")).select("state", "city", "aqi")
+    assert [tuple(r) for r in top.collect()] == [tuple(r) for r in want.collect()]
+    # the whole-number rules as SQL functions over the stored station-hour table
+    wide = spark.sql("""
+        SELECT count(*) FROM aqi_final_wide_dt
+        WHERE prominent_index(pm25_avg, pm10_avg, so2_avg, no2_avg, nh3_avg, co_avg, o3_avg)
+              <> prominent_pollutant""").first()[0]
+    assert wide == 0
