@@ -17,6 +17,9 @@ DEFAULTS = {
     # raw rows hold whole documents (~1 MB each); a vectorized batch of the default 4096
     # rows would reserve ~4 GB per task. 256 rows bounds it; narrow scans are not slower.
     "spark.sql.parquet.columnarReaderBatchSize": "256",
+    # checked broadcasts checkpoint small frames; remove their files once unreferenced
+    # (a scheduled ingest would otherwise accumulate them)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
