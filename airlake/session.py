@@ -54,15 +54,18 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     is an error, never a machine-local folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = getattr(spark, "_sc", None)                            # absent on a remote (Connect) session
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares "
                                "(a machine-local folder does not survive on a cluster)")
         base = tempfile.mkdtemp(prefix="airlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(base)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)                               # a conf set after start-up
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"

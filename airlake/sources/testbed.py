@@ -26,9 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's (read-only) tables. The reader - a plan, no data - is kept per
     session and path, so repeated queries do not list and read the footers again."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    owner = getattr(spark, "_jsparkSession", spark)             # the session the reader belongs to
     hit = _READS.get(path)
-    if hit is None or hit[0] is not spark._jsparkSession:      # another (or a new) session
-        hit = _READS[path] = (spark._jsparkSession, spark.read.parquet(path))
+    if hit is None or hit[0] is not owner:                      # another (or a new) session
+        hit = _READS[path] = (owner, spark.read.parquet(path))
     return hit[1]
 
 
