@@ -27,3 +27,27 @@ def test_rules_match_model(spark, rows):
     df = spark.createDataFrame(rows, ", ".join(f"{c} bigint" for c in COLS))
     got = df.select(prominent(*COLS).alias("p"), sub_index_count(*COLS).alias("n"), aqi(*COLS).alias("a")).collect()
     assert [(r.p, r.n, r.a) for r in got] == [model(list(v)) for v in rows]
+
+
+text_reading = st.one_of(
+    st.none(), st.just("NA"),
+    st.integers(min_value=-500, max_value=500).map(str),
+    st.tuples(st.integers(min_value=-500, max_value=500), st.integers(min_value=0, max_value=999))
+      .map(lambda t: f"{'-' if t[0] < 0 else ''}{abs(t[0])}.{t[1]:03d}"),
+    st.integers(min_value=-50, max_value=50).map(lambda i: f"{i}.5"),          # exact ties
+)
+
+
+def clean_model(text):
+    from decimal import ROUND_HALF_UP, Decimal
+    if text is None or text == "NA":
+        return 0
+    return int(Decimal(text).quantize(Decimal(1), rounding=ROUND_HALF_UP))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(text_reading, min_size=20, max_size=60))
+def test_clean_up_matches_model(spark, texts):
+    from airlake.functions import na_to_zero
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r[0] for r in df.select(na_to_zero("v")).collect()] == [clean_model(t) for t in texts]
