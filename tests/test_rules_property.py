@@ -51,3 +51,24 @@ def test_clean_up_matches_model(spark, texts):
     from airlake.functions import na_to_zero
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     assert [r[0] for r in df.select(na_to_zero("v")).collect()] == [clean_model(t) for t in texts]
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["s1", "s2", "s3"]),
+                          st.sampled_from(["PM2.5", "PM10", "SO2", "NO2", "NH3", "CO", "OZONE", "XX"]),
+                          st.one_of(st.none(), st.text(alphabet="0123456789.NAé-", max_size=5))),
+                min_size=1, max_size=80))
+def test_text_pivot_matches_model(spark, rows):
+    from airlake.operators import pivot_max
+    from airlake.schemas import POLLUTANT_COLUMNS
+    df = spark.createDataFrame(rows, "k string, p string, v string")
+    got = {r.k: tuple(r[c] for c in POLLUTANT_COLUMNS.values())
+           for r in pivot_max(df, ["k"], "p", "v", POLLUTANT_COLUMNS).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        vals = []
+        for pid in POLLUTANT_COLUMNS:
+            xs = [v for kk, p, v in rows if kk == k and p == pid and v is not None]
+            vals.append(max(xs) if xs else None)
+        want[k] = tuple(vals)
+    assert got == want
