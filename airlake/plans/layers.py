@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from airlake.operators import broadcast_if_small, duplicate_report, explode_array
 from airlake.schemas import LAT_LON_TYPE, RECORDS_DDL
 
-RAW_COLUMNS = ["id", "index_record_ts", "json_data", "record_count", "json_version", "page_offset",
-               "page_limit", "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts", "landing_date"]
 VERSION_ORDER = ["_stg_file_load_ts", "_stg_file_name", "_stg_file_md5", "id"]
 
 

@@ -27,7 +27,6 @@ MISSING = "NA"
 FEED_TS_FORMAT = "dd-MM-yyyy HH:mm:ss"
 # Landing layout: dated folder and file name (IST clock).
 LANDING_DIR_FORMAT = "yyyy_MM_dd"
-LANDING_FILE_PREFIX = "air_quality_data_"
 LANDING_FILE_TS_FORMAT = "yyyy_MM_dd_HH_mm_ss"
 LANDING_ZONE = "Asia/Kolkata"
 # Upper bound of records per landed document (API page size).
@@ -61,10 +60,3 @@ DOCUMENT = T.StructType([
     T.StructField("field", T.ArrayType(T.StringType())),
     T.StructField("records", T.ArrayType(RECORD)),
 ])
-
-# Long-form readings (the clean layer without audit columns).
-READINGS_COLUMNS = [
-    "index_record_ts", "country", "state", "city", "station", "latitude", "longitude",
-    "pollutant_id", "pollutant_max", "pollutant_min", "pollutant_avg",
-]
-AUDIT_COLUMNS = ["_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts"]

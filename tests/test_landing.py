@@ -235,3 +235,14 @@ def test_ids_grow_with_batches(spark):
     a = [r.id for r in with_ids(spark.range(0, 1000, numPartitions=7), 3).collect()]
     b = [r.id for r in with_ids(spark.range(0, 10, numPartitions=2), 4).collect()]
     assert len(set(a)) == 1000 and min(b) > max(a)
+
+
+def test_typed_document_reader(spark, tmp_path):
+    from airlake.sources.landing import read_documents_typed
+    root = str(tmp_path / "landing")
+    put(root, "2024_03_01", "a.json", document([record("A", "PM10", "1"), record("B", "NO2", "5")]))
+    put(root, "2024_03_01", "b.json", document([record("C", "SO2", "7")]), gz=True)
+    docs = read_documents_typed(spark, root)
+    rows = docs.select("_stg_file_name", "total", F.expr("records.pollutant_avg").alias("avgs")).collect()
+    assert sorted((r._stg_file_name, r.total, list(r.avgs)) for r in rows) == [
+        ("2024_03_01/a.json", 2, ["1", "5"]), ("2024_03_01/b.json.gz", 1, ["7"])]
