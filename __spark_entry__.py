@@ -2,8 +2,10 @@
 
 Every query reads the driver's tables (whole) through the adapters in
 ``airlake.sources.testbed`` and runs a library product or view on them. The oracle
-for each is an independent DuckDB statement over the same tables. Averages are
-compared at 6 decimals in both engines (floating sums differ in the last bits).
+for each is an independent DuckDB statement over the same tables. Floating averages are
+compared at 6 decimals in both engines (floating sums differ in the last bits); means that
+can sit on a rounding tie are computed exactly. Decimal outputs (the coordinates) are
+presented as double in both engines, as the dashboards convert them.
 """
 
 from __future__ import annotations
