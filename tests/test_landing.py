@@ -246,3 +246,12 @@ def test_typed_document_reader(spark, tmp_path):
     rows = docs.select("_stg_file_name", "total", F.expr("records.pollutant_avg").alias("avgs")).collect()
     assert sorted((r._stg_file_name, r.total, list(r.avgs)) for r in rows) == [
         ("2024_03_01/a.json", 2, ["1", "5"]), ("2024_03_01/b.json.gz", 1, ["7"])]
+
+
+def test_numbers_as_json_numbers(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    rec = record("A", "PM10", "75") | {"latitude": 12.917348, "longitude": 77.622813, "pollutant_avg": 75}
+    put(root, "2024_03_01", "a.json", document([rec]))
+    raw = raw_of(spark, root).withColumn("id", F.monotonically_increasing_id())
+    r = clean(raw).first()
+    assert (str(r.latitude), str(r.longitude), r.pollutant_avg) == ("12.9173480", "77.6228130", "75")
