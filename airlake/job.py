@@ -43,6 +43,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         result.awaitTermination()
         return 0
     if a.full:
+        try:
+            spark.read.parquet(raw)
+        except Exception:                                     # nothing was ever loaded
+            print("no raw data yet; nothing to refresh")
+            return 0
         graph.refresh(a.target)
     print(f"loaded {result} batch(es); refreshed {'all tables' if a.full else 'touched days'}")
     return 0

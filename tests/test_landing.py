@@ -255,3 +255,10 @@ def test_numbers_as_json_numbers(spark, tmp_path):
     raw = raw_of(spark, root).withColumn("id", F.monotonically_increasing_id())
     r = clean(raw).first()
     assert (str(r.latitude), str(r.longitude), r.pollutant_avg) == ("12.9173480", "77.6228130", "75")
+
+
+def test_empty_landing_zone(spark, tmp_path):
+    import os as _os
+    root = tmp_path / "landing"
+    _os.makedirs(root)
+    assert ingest(spark, str(root), str(tmp_path / "raw"), str(tmp_path / "ck")) == 0

@@ -65,3 +65,10 @@ def test_job_entry_point(spark, tmp_path):
     (landing / "b.json").write_text(json.dumps(doc))        # a corrected re-delivery of the hour
     assert job.main(["--landing", str(tmp_path / "landing"), "--lake", lake], spark=spark) == 0
     assert g.read("city_day").first().aqi == 90             # touched day refreshed
+
+
+def test_job_on_empty_landing(spark, tmp_path):
+    from airlake import job
+    os.makedirs(tmp_path / "landing")
+    assert job.main(["--landing", str(tmp_path / "landing"), "--lake", str(tmp_path / "lake"), "--full"],
+                    spark=spark) == 0
