@@ -49,8 +49,12 @@ def ingest(spark: SparkSession, landing: str, raw_path: str, checkpoint: str | N
         write_raw_batch(rows, raw_path, batch_id)
         batches.append(batch_id)
         if on_batch is not None:
-            stored = spark.read.parquet(raw_path).filter(F.col("ingest_batch") == batch_id)
-            on_batch(batch_id, touched_days(stored))
+            try:
+                stored = spark.read.parquet(raw_path).filter(F.col("ingest_batch") == batch_id)
+                days = touched_days(stored)
+            except Exception:          # nothing stored yet (every document of the batch skipped)
+                days = []
+            on_batch(batch_id, days)
 
     w = docs.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if every is not None:

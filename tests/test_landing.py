@@ -262,3 +262,12 @@ def test_empty_landing_zone(spark, tmp_path):
     root = tmp_path / "landing"
     _os.makedirs(root)
     assert ingest(spark, str(root), str(tmp_path / "raw"), str(tmp_path / "ck")) == 0
+
+
+def test_all_skipped_first_batch(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    put(root, "2024_03_01", "bad.json", None, raw_text='{"records": [')
+    seen = []
+    n = ingest(spark, root, str(tmp_path / "raw"), str(tmp_path / "ck"), on_error="skip",
+               on_batch=lambda b, days: seen.append(days))
+    assert n == 1 and seen == [[]]
