@@ -14,8 +14,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
-    # raw rows hold whole documents (~1 MB each); a vectorized batch of the default 4096
-    # rows would reserve ~4 GB per task. 256 rows bounds it; narrow scans are not slower.
+    # raw rows hold whole documents (~0.3 MB as VARIANT); a vectorized batch of the default
+    # 4096 rows would reserve over 1 GB per task. 256 rows bounds it; narrow scans are not
+    # slower.
     "spark.sql.parquet.columnarReaderBatchSize": "256",
     # checked broadcasts checkpoint small frames; remove their files once unreferenced
     # (a scheduled ingest would otherwise accumulate them)
