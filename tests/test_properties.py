@@ -48,3 +48,25 @@ def test_refresh_twice_and_incremental_equals_full(spark, tmp_path):
     full.refresh("city_day")
     for n, rows in incremental.items():
         assert _snapshot(full.read(n)) == rows, n
+
+
+def test_graph_order_and_checks(spark, tmp_path):
+    import pytest
+
+    g = G.TableGraph(spark, str(tmp_path))
+    g.source("raw", str(tmp_path / "raw"))
+    noop = lambda t, d: None                                   # noqa: E731
+    g.add("a", ["raw"], noop)
+    g.add("b", ["a"], noop)
+    g.add("c", ["a"], noop)
+    g.add("d", ["b", "c"], noop)
+    assert g.order("b") == ["a", "b"]                         # ancestors only, sources excluded
+    order = g.order()
+    assert order.index("a") < order.index("b") < order.index("d") and order.index("c") < order.index("d")
+    with pytest.raises(KeyError):
+        g.add("e", ["missing"], noop)
+    g.tables["a"].inputs = ["d"]                              # a cycle
+    with pytest.raises(ValueError):
+        g.order("d")
+    assert g.tables["b"].path.endswith("/consumption/b")
+    assert G.aqi_pipeline(spark, str(tmp_path / "p"), "raw").tables["clean_aqi"].path.endswith("/clean/clean_aqi")
