@@ -129,6 +129,11 @@ def city_trend(hour_level: DataFrame, state, city=None, day=None) -> DataFrame:
     Pass the values, or one frame with ``state``, ``city`` and ``measurement_date``.
     """
     on_day = {"measurement_date": F.to_date("measurement_time")}
+    if "measurement_date" in hour_level.columns:
+        # stored hour level: prune to the day's partition (literal or scalar subquery)
+        d_val = state.select("measurement_date").scalar() if isinstance(state, DataFrame) else \
+            F.lit(day).cast("date")
+        hour_level = hour_level.filter(F.col("measurement_date") == d_val).drop("measurement_date")
     if isinstance(state, DataFrame):
         t = _bind(hour_level, state.select("state", "city", "measurement_date"), on_day)
     else:

@@ -38,6 +38,10 @@ def test_day_filter_prunes_stored_tables(spark, tmp_path):
     g = G.aqi_pipeline(spark, f"{run}/t", f"{run}/raw")
     g.refresh("city_hour")
     hl = g.read("city_hour")
+    sel = V.default_city_day(hl).first()
+    by_frame = V.city_trend(hl, V.default_city_day(hl)).collect()
+    by_value = V.city_trend(hl, sel.state, sel.city, sel.measurement_date).collect()
+    assert [tuple(r) for r in by_frame] == [tuple(r) for r in by_value] and len(by_value) > 0
     t = V.city_trend(hl, "NATION 1", "NATION_1-C1", "1998-01-01")
     p = t._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(measurement_date" in p or "measurement_date" in p
