@@ -72,3 +72,23 @@ def test_job_on_empty_landing(spark, tmp_path):
     os.makedirs(tmp_path / "landing")
     assert job.main(["--landing", str(tmp_path / "landing"), "--lake", str(tmp_path / "lake"), "--full"],
                     spark=spark) == 0
+
+
+def test_job_with_weather(spark, tmp_path):
+    import datetime as dt
+
+    from airlake import job
+    from airlake.plans import products as P
+    landing = tmp_path / "landing" / "2023_12_30"
+    os.makedirs(landing)
+    (landing / "a.json").write_text(json.dumps(sample_document()))
+    source = spark.createDataFrame([("IN", dt.date(2023, 12, 30), 61.5), ("IN", dt.date(2023, 12, 31), 60.0)],
+                                   "country string, date_valid_std date, avg_temperature_air_2m_f double")
+    weather = str(tmp_path / "weather")
+    G.snapshot_weather(P.weather_data(source, "IN", "2023-12-01", "2023-12-31",
+                                      labels=("India", "Karnataka", "Bengaluru")), weather)
+    lake = str(tmp_path / "lake")
+    assert job.main(["--landing", str(tmp_path / "landing"), "--lake", lake, "--weather", weather], spark=spark) == 0
+    g = G.aqi_pipeline(spark, lake, f"{lake}/stage/raw", weather_path=weather)
+    r = g.read("city_day_weather").first()
+    assert (str(r.measurement_date), r.temperature_in_f, r.aqi) == ("2023-12-30", 61.5, 75)
