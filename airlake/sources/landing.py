@@ -149,7 +149,7 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
     grouped = (with_page.repartition("index_record_ts", "__page")
                .groupBy("index_record_ts", "__page")
                .agg(F.collect_list(rec).alias("records"), F.count(F.lit(1)).cast("int").alias("count"),
-                    F.first("__n").cast("int").alias("total")))
+                    F.max("__n").cast("int").alias("total")))
     epoch = F.unix_timestamp(delivered_at.cast("timestamp")).cast("long")
     iso = F.date_format(delivered_at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     doc = F.struct(
