@@ -52,6 +52,8 @@ def on_days(ts_col: str, days: Sequence) -> F.Column:
     timestamp: the range reaches the Parquet scan (row groups are skipped by their min/max
     statistics), the exact day test then refines it."""
     days = list(days)
+    if not days:
+        return F.lit(False)
     lo = F.lit(min(days)).cast("date").cast("timestamp_ntz")
     hi = F.date_add(F.lit(max(days)).cast("date"), 1).cast("timestamp_ntz")
     ts = F.col(ts_col)

@@ -70,3 +70,14 @@ def test_graph_order_and_checks(spark, tmp_path):
         g.order("d")
     assert g.tables["b"].path.endswith("/consumption/b")
     assert G.aqi_pipeline(spark, str(tmp_path / "p"), "raw").tables["clean_aqi"].path.endswith("/clean/clean_aqi")
+
+
+def test_refresh_with_no_days_changes_nothing(spark, tmp_path):
+    run = str(tmp_path)
+    E._deliver(spark, TB.feed_records(spark, SF_SMALL), f"{run}/landing", "2024-03-01 10:45:00")
+    ingest(spark, f"{run}/landing", f"{run}/raw", f"{run}/ck", framing="lines")
+    g = G.aqi_pipeline(spark, f"{run}/t", f"{run}/raw")
+    g.refresh("city_day")
+    before = _snapshot(g.read("city_day"))
+    g.refresh("city_day", days=[])
+    assert _snapshot(g.read("city_day")) == before
