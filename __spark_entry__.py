@@ -10,6 +10,8 @@ presented as double in both engines, as the dashboards convert them.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -401,8 +403,23 @@ def _presented(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the llm subpackage and the corpus pipeline, if they are there."""
+    found: tuple[dict, dict] = ({}, {})
+    if importlib.util.find_spec("airlake.llm"):
+        module = importlib.import_module("airlake.llm.queries")
+        found[0].update(module.QUERIES)
+        found[1].update(module.ORACLE)
+        if importlib.util.find_spec("corpus_pipeline"):
+            pipeline = importlib.import_module("corpus_pipeline")
+            found[0]["pipeline"] = pipeline.run
+            if pipeline.ORACLE_SQL:
+                found[1]["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _presented(fn) for k, fn in _QUERIES.items()}
+    return {k: _presented(fn) for k, fn in _QUERIES.items()} | _llm()[0]
 
 
 # ---------------------------------------------------------------------------
@@ -692,4 +709,4 @@ def _present_sql(name: str, sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _present_sql(k, v) for k, v in _ORACLE.items() if k in _QUERIES}
+    return {k: _present_sql(k, v) for k, v in _ORACLE.items() if k in _QUERIES} | _llm()[1]
