@@ -31,7 +31,7 @@ from airlake.llm.tables import bound_arrow
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Unicode White_Space, as the pattern's \s has it.
-_SPACE = "\t-\r \x85\xa0  -     　"
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A match of the pattern never crosses from one chunk to another: white space before a word
 #: is one match but for its last character, which joins the word if it is a plain space.
 _CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airlake.llm import bpe
+from airlake.llm import bpe, mixing
 from airlake.llm.tables import documents
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.draw(documents(spark, sf_dir, "doc_id", "text", "source"))
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
-QUERIES = {"op10_bpe": op10_bpe}
-ORACLE: dict[str, str] = {}
+QUERIES = {"op3_mixing": op3_mixing, "op10_bpe": op10_bpe}
+ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE}

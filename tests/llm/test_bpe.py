@@ -1,0 +1,66 @@
+import base64
+import hashlib
+import random
+
+import public_tokenizers as P
+import tiktoken
+
+from airlake.llm import bpe
+from llm_helpers import SF_SMALL, make_docs
+
+
+def reference():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def samples(n):
+    rng = random.Random(5)
+    pool = [chr(x) for x in [*range(0, 0x250), *range(0x2000, 0x2070), 0x85, 0x180E, 0x3000, 0xFEFF, 0x1680, 0xD7FF, 0x1F600, 0x200D, 0x300, 0x4E00, 0x10FFFF, 0x660, 0x2160, 0xB2, 0xE33, 0x1D7CE]]
+    return ["".join(rng.choice(pool) if rng.random() < 0.5 else rng.choice(" \n\t'sabtl1") for _ in range(rng.randint(0, 30))) for _ in range(n)]
+
+
+def test_ids_equal_the_ranks_library_on_mixed_text():
+    tool, ref = bpe.Codec(P.path(bpe.VOCABULARY)), reference()
+    texts = samples(6000) + ["<|endoftext|> x", "a" * 5000, " " * 300 + "\n\n x", "😀é" * 40]
+    for text, ids in zip(texts, tool.encode(texts)):
+        assert ids == ref.encode_ordinary(text), ascii(text)
+        assert tool.decode(ids) == text.encode()
+
+
+def test_offsets_cover_split_characters():
+    tool = bpe.Codec(P.path(bpe.VOCABULARY))
+    text = "aé😀𝟎 b"
+    ids = tool.encode([text])[0]
+    starts, ends = tool.offsets(ids, text.encode())
+    whole = tool.tokenizer.encode(text, add_special_tokens=False)
+    assert whole.ids == ids
+    assert [tuple(map(int, x)) for x in zip(starts, ends)][-1][1] == len(text)
+    assert all(0 <= a < b <= len(text) for a, b in zip(starts, ends))
+    assert sorted({c for a, b in zip(starts, ends) for c in range(a, b)}) == list(range(len(text)))
+
+
+def test_edge_rows(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, None), (1, ""), (None, "x y"), (3, "same"), (3, "same"), (4, "word " * 60000)]
+    df = make_docs(spark, rows).withColumn("ids", F.lit("old")).withColumn("n_tokens", F.lit(1))
+    out = bpe.decode(bpe.encode(df)).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens, bytes(r.decoded)) for r in out) == sorted((i or 0, len(reference().encode_ordinary(t or "")), (t or "").encode()) for i, t in rows)
+    assert bpe.encode(make_docs(spark, [])).count() == 0
+    got = bpe.round_trip(make_docs(spark, rows), ["doc_id"]).collect()
+    assert sorted(r.decoded_sha256 for r in got) == sorted(hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows)
+
+
+def test_query_against_the_ranks_library(spark):
+    from airlake.llm.queries import QUERIES
+
+    ref = reference()
+    texts = dict(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect())
+    rows = QUERIES["op10_bpe"](spark, SF_SMALL).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = ref.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()

@@ -1,0 +1,66 @@
+import random
+
+import pytest
+from airlake.llm import mixing
+from airlake.llm.queries import ORACLE, QUERIES
+from compare import compare_one, duck
+from llm_helpers import SF_SMALL, make_docs
+
+
+@pytest.mark.parametrize("sf_dir", [SF_SMALL, "/root/testdata/sf0.01"])
+def test_query_matches_sql(spark, sf_dir):
+    r = compare_one(spark, duck(sf_dir), "op3_mixing", QUERIES["op3_mixing"], ORACLE["op3_mixing"], sf_dir)
+    assert r["cols_match"] and r["values_match"], r
+
+
+def brute_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
+    keys = sorted(sizes)
+    w = {k: weights[i % len(weights)] for i, k in enumerate(keys)}
+    total, capped = share * sum(sizes.values()), set()
+    while True:
+        left = total - sum(cap * sizes[k] for k in capped)
+        rest = sum(w[k] for k in keys if k not in capped)
+        target = {k: cap * sizes[k] if k in capped else left * w[k] / rest for k in keys}
+        new = {k for k in keys if k not in capped and target[k] > cap * sizes[k]}
+        if not new:
+            return target
+        capped |= new
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets_are_reshared_until_none_is_above(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"0s{i:02d}": rng.choice([0, 1, 10, 100, 10_000]) * rng.randint(1, 9) for i in range(rng.randint(1, 9))}
+    sizes["1"] = 77
+    got = {r.skey: r.target for r in mixing.source_targets(spark.createDataFrame([*sizes.items()], "skey string, source_size long")).collect()}
+    assert got == pytest.approx(brute_targets(sizes), rel=1e-9)
+
+
+def test_words_taken_come_near_the_targets(spark):
+    rows = QUERIES["op3_mixing"](spark, "/root/testdata/sf0.01").collect()
+    assert sorted(rows) == sorted(QUERIES["op3_mixing"](spark, "/root/testdata/sf0.01").collect())
+    by = {}
+    for r in rows:
+        assert r.taken in (0, r.size, 2 * r.size)
+        x = by.setdefault((r.target, r.source_size), [0, 0])
+        x[0] += r.taken
+        x[1] = max(x[1], r.size)
+    for (target, _), (taken, largest) in by.items():
+        assert abs(taken - target) <= largest
+
+
+def test_edge_rows(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, None, "a"), (2, "", "a"), (None, "x y", None), (3, "p q r", "b"), (3, "p q r", "b"), (4, " ", "c")]
+    rows += [(10 + i, "w " * 5, "hot") for i in range(200)]
+    df = make_docs(spark, rows).withColumns({"size": F.lit("old"), "copies": F.lit(9), "row": F.lit("r"), "skey": F.lit("k")})
+    out = mixing.draw(df).collect()
+    assert len(out) == len(rows) and out[0].row == "r"
+    assert {r.source: r.target for r in out}["c"] == 0
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns
+    assert mixed.count() == sum(r.copies for r in out)
+    assert mixing.draw(make_docs(spark, [])).count() == 0
+    # rows in one tie group are dealt over many salts like the others
+    assert sum(r.copies * r["size"] for r in out if r.source == "hot") == pytest.approx(next(r.target for r in out if r.source == "hot"), abs=5)
