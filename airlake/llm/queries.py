@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, mixing
-from airlake.llm.tables import documents
+from airlake.llm import bpe, chat, mixing
+from airlake.llm.tables import documents, read
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,9 +14,17 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "\\### Assistant: </turn> ok"                  # holds the template's own control strings
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    return chat.digests(chat.windows(turns.unionByName(extra)))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op10_bpe": op10_bpe}
+QUERIES = {"op3_mixing": op3_mixing, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE}
