@@ -15,8 +15,11 @@ an empty table gives an empty one. An input column named like an output column i
 
 from __future__ import annotations
 
+import array
 import functools
+import gc
 import hashlib
+import itertools
 import json
 import re
 
@@ -32,11 +35,14 @@ from airlake.llm.tables import bound_arrow
 VOCABULARY = "byte_bpe_50k.json"
 #: Unicode White_Space, as the pattern's \s has it.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: A match of the pattern never crosses from one chunk to another: white space before a word
-#: is one match but for its last character, which joins the word if it is a plain space.
-_CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: No match of the pattern crosses from one chunk to another. A run of Latin letters before an
+#: ASCII character that is no letter is a match of its own, with one plain space before it;
+#: white space before a word is one match but for its last character, which joins the word if
+#: it is a plain space.
+_CHUNK = re.compile(f" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]++(?=[\x00-@\\[-`{{-\x7f]|\\Z)|"
+                    f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: Distinct chunks kept by a task, and the longest one that is kept.
-CACHE_CHUNKS, CACHE_LENGTH = 200_000, 40
+CACHE_CHUNKS, CACHE_LENGTH = 600_000, 40
 
 
 def byte_characters() -> dict[int, str]:
@@ -65,27 +71,28 @@ class Codec:
                 self.bytes_of[i] = bytes(back[c] for c in token)
         self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}            # chunk -> its ids as int32
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text (int32)."""
         cut = [_CHUNK.findall(t) for t in texts]
         if len(self.known) > CACHE_CHUNKS:
             self.known.clear()
-        known = self.known
-        here: dict[str, list[int]] = {}
-        new = list({c for chunks in cut for c in chunks if c not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at: at + 4096]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                (known if len(chunk) <= CACHE_LENGTH else here)[chunk] = found.ids
-        out = []
-        for chunks in cut:
-            ids: list[int] = []
-            for chunk in chunks:
-                ids += known[chunk] if chunk in known else here[chunk]
-            out.append(ids)
-        return out
+        known, long = self.known, {}
+        new = list(set(itertools.chain.from_iterable(cut)).difference(known))
+        collecting = gc.isenabled()
+        gc.disable()                                  # many small results, none of them in a cycle
+        try:
+            for at in range(0, len(new), 8192):
+                part = new[at: at + 8192]
+                for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                    (known if len(chunk) <= CACHE_LENGTH else long)[chunk] = array.array("i", found.ids).tobytes()
+        finally:
+            if collecting:
+                gc.enable()
+        if not long:
+            return [np.frombuffer(b"".join(map(known.__getitem__, chunks)), np.int32) for chunks in cut]
+        return [np.frombuffer(b"".join([known.get(c) or long[c] for c in chunks]), np.int32) for chunks in cut]
 
     def decode(self, ids) -> bytes:
         """Bytes of a sequence of ids."""
@@ -94,12 +101,13 @@ class Codec:
     def offsets(self, ids, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Character offsets (start, end exclusive) of each token; a token that holds a part of
         a character covers that character whole, as the library reports it."""
-        ends = np.cumsum(self.lengths[np.asarray(ids, dtype=np.int64)]) if len(ids) else np.empty(0, np.int64)
-        starts = np.concatenate(([0], ends[:-1])) if len(ids) else ends
+        ends = np.cumsum(self.lengths[ids])
+        if not len(ends):
+            return ends, ends
+        starts = np.concatenate(([0], ends[:-1]))
         lead = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
         before = np.concatenate(([0], np.cumsum(lead)))       # characters begun before each byte
-        first = before[starts] - (~lead[starts] if len(ids) else 0)
-        return first, before[ends]
+        return before[starts] - ~lead[starts], before[ends]
 
 
 @functools.cache
@@ -171,12 +179,12 @@ def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str
             for part in slices(batch, column):
                 counts, hashed, decoded, split = [], [], [], []
                 for ids in tool.encode([t or "" for t in part.column(column).to_pylist()]):
-                    raw = tool.decode(ids)
-                    ends = np.cumsum(tool.lengths[ids]) if ids else np.zeros(1, np.int64)
-                    counts.append(len(ids))
-                    hashed.append(hashlib.sha256(" ".join(map(tool.text_of.__getitem__, ids)).encode()).hexdigest())
+                    listed = ids.tolist()
+                    raw = tool.decode(listed)
+                    counts.append(len(listed))
+                    hashed.append(hashlib.sha256(" ".join(map(tool.text_of.__getitem__, listed)).encode()).hexdigest())
                     decoded.append(hashlib.sha256(raw).hexdigest())
-                    inner = np.frombuffer(raw, np.uint8)[ends[:-1]]
+                    inner = np.frombuffer(raw, np.uint8)[np.cumsum(tool.lengths[ids])[:-1]]
                     split.append(int(((inner & 0xC0) == 0x80).sum()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in keep] + [pa.array(counts, pa.int64()), pa.array(hashed), pa.array(decoded), pa.array(split, pa.int64())],
