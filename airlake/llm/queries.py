@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, chat, mixing
+from airlake.llm import bpe, chat, mixing, pii
 from airlake.llm.tables import documents, read
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.detect(documents(spark, sf_dir, "doc_id", "text")), ["doc_id"])
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.draw(documents(spark, sf_dir, "doc_id", "text", "source"))
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -26,5 +30,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
+QUERIES = {"op2_pii": op2_pii, "op3_mixing": op3_mixing, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE}
