@@ -23,8 +23,6 @@ named like an added column are replaced.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,25 +42,48 @@ TOKEN = r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++"
 #: Rounds of scoring, the least score of a discovered value, the least number of distinct seeds
 #: behind a pattern, and the smoothing count of a pattern's confidence.
 ROUNDS, THRESHOLD, SUPPORT, SMOOTHING = 3, 0.9, 5, 1.0
-_CONTEXT = 32
+_CONTEXT, _BLOCK, _CHUNK = 32, 256, 8192
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _blocks(items: Column, use) -> Column:
+    """``use(block number, block)`` for every run of ``_BLOCK`` items: folds that append to an
+    array then cost a block's square, not the whole text's."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / F.lit(_BLOCK)).cast("int")),
+                       lambda b: _let(F.slice(items, b * _BLOCK + 1, F.lit(_BLOCK)), lambda block: use(b, block)))
 
 
 def match_spans(text: Column, pattern: str) -> Column:
     """All leftmost non-overlapping matches: array of struct(start, end, value, left, right) in
-    code points; left and right are the texts beside the match, at most 32 code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    zipped = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("value"), F.slice(gaps, 2, F.greatest(F.size(found), F.lit(0))).alias("next"))
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string,left:string,right:string>>)")
+    code points; left and right are the texts beside the match, at most 32 code points.
+
+    The matches and the texts between them give the places as running sums of lengths.
+    """
+    none = F.expr("cast(array() as array<struct<start:int,end:int,value:string,left:string,right:string>>)")
 
     def step(acc, x):
         begin = acc["at"] + F.length(x["gap"])
         end = begin + F.length(x["value"])
         one = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"),
-                       F.right(F.rtrim(F.right(x["gap"], F.lit(4 * _CONTEXT))), F.lit(_CONTEXT)).alias("left"), F.left(F.ltrim(F.left(x["next"], F.lit(4 * _CONTEXT))), F.lit(_CONTEXT)).alias("right"))
+                       F.right(F.rtrim(F.right(x["gap"], F.lit(4 * _CONTEXT))), F.lit(_CONTEXT)).alias("left"),
+                       F.left(F.ltrim(F.left(x["next"], F.lit(4 * _CONTEXT))), F.lit(_CONTEXT)).alias("right"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+    def placed(items):
+        return _let(_blocks(items, lambda _, block: F.aggregate(block, F.struct(F.lit(0).alias("at"), none.alias("out")), step)), lambda parts: F.flatten(
+            F.zip_with(parts, F.slice(F.aggregate(parts, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["at"]))), 1, F.size(parts)),
+                       lambda part, ahead: F.transform(part["out"], lambda m: F.struct(
+                           (m["start"] + ahead).alias("start"), (m["end"] + ahead).alias("end"), m["value"].alias("value"), m["left"].alias("left"), m["right"].alias("right"))))))
+
+    def zipped(z):
+        return F.arrays_zip(F.slice(z["gaps"], 1, F.size(z["found"])).alias("gap"), z["found"].alias("value"), F.slice(z["gaps"], 2, F.size(z["found"])).alias("next"))
+
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
+    return _let(both, lambda z: F.when(F.size(z["found"]) == 0, none).otherwise(_let(zipped(z), placed)))
 
 
 def _valid(kind: str):
@@ -98,17 +119,25 @@ def shape(value: Column) -> Column:
 def occurrences(docs: DataFrame) -> DataFrame:
     """Identifier-like tokens of every text: key (digest of the text), start, end, value,
     kind (of the base span that holds it, else null), patterns (before, after)."""
-    tokens = F.when(F.col("body").rlike("[0-9@]"), match_spans(F.col("body"), TOKEN))
-    rows = docs.select("key", *KINDS, F.explode(tokens).alias("m"))
+    base = F.concat(*[_base_of(k) for k in KINDS])
+
+    def with_kind(part, spans):
+        bounds = F.struct(F.element_at(part, 1)["start"].alias("first"), F.element_at(part, -1)["end"].alias("last"))
+        close = _let(bounds, lambda b: F.filter(spans, lambda s: (s["start"] < b["last"]) & (b["first"] < s["end"])))
+        return _let(close, lambda near: F.transform(part, lambda t: F.struct(
+            t["start"].alias("start"), t["value"].alias("value"), t["left"].alias("left"), t["right"].alias("right"),
+            F.get(F.filter(near, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])), F.lit(0))["kind"].alias("kind"))))
+
+    both = F.struct(match_spans(F.col("body"), TOKEN).alias("tokens"), base.alias("base"))
+    tokens = _let(both, lambda z: F.when(F.size(z["tokens"]) > 0, F.flatten(_blocks(z["tokens"], lambda _, part: with_kind(part, z["base"])))))
+    rows = docs.where(F.col("body").rlike("[0-9@]")).select("key", F.explode(tokens).alias("m"))
     # punctuation around the token is not part of the value
     ahead = F.length("m.value") - F.length(F.regexp_replace("m.value", r"^[^\p{L}0-9+(]++", ""))
     core = F.regexp_replace(F.regexp_replace("m.value", r"^[^\p{L}0-9+(]++", ""), r"(?<=[\p{L}0-9)])[^\p{L}0-9)]++$", "")
-    rows = rows.select("key", *KINDS, "m", core.alias("value"), (F.col("m.start") + ahead).alias("start"))
+    rows = rows.select("key", "m", core.alias("value"), (F.col("m.start") + ahead).alias("start"))
     rows = rows.withColumn("end", F.col("start") + F.length("value")).where(F.col("value").rlike("[0-9@]"))
-    inside = lambda kind: F.exists(kind, lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
-    kind = reduce(lambda other, k: F.when(inside(k), k).otherwise(other), reversed(KINDS), F.lit(None).cast("string"))
     form = shape(F.col("value"))
-    return rows.select("key", "start", "end", "value", kind.alias("kind"), F.array(
+    return rows.select("key", "start", "end", "value", F.col("m.kind").alias("kind"), F.array(
         F.concat(form, F.lit("<"), _masked(_last_token(F.col("m.left")))),
         F.concat(form, F.lit(">"), _masked(F.element_at(F.split("m.right", r"\s+"), 1)))).alias("patterns"))
 
@@ -152,10 +181,12 @@ def detect(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, threshold:
     return rows.join(spans, "key", "left").withColumn("added", F.coalesce("added", none))
 
 
+def _base_of(kind: str) -> Column:
+    return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+
+
 def _of_kind(kind: str) -> Column:
-    base = F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    more = F.filter("added", lambda s: s["kind"] == kind)
-    return F.array_sort(F.concat(base, more))
+    return F.array_sort(F.concat(_base_of(kind), F.filter("added", lambda s: s["kind"] == kind)))
 
 
 def _listed(spans: Column) -> Column:
@@ -164,25 +195,41 @@ def _listed(spans: Column) -> Column:
 
 def report(found: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns, base counts, digest of the base spans, all spans, number added."""
-    base = F.concat(*[F.transform(k, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS])
+    base = F.concat(*[_base_of(k) for k in KINDS])
     return found.select(*[F.col(f"row.`{c}`") for c in keep], *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
                         F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.concat(*[_of_kind(k) for k in KINDS])).alias("spans"),
                         F.size("added").cast("long").alias("n_added"))
 
 
 def redacted(found: DataFrame) -> Column:
-    """The text with the union of all spans replaced: ``[EMAIL]``, ``[IP]``, ..."""
+    """The text with the union of all spans replaced: ``[EMAIL]``, ``[IP]``, ...
+
+    Text between spans is cut from a chunk that moves along, so a text with many spans is not
+    walked from its beginning for each of them.
+    """
     spans = F.array_sort(F.transform(F.concat(*[_of_kind(k) for k in KINDS]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     body = F.col("body")
+    chunk = lambda at: F.substring(body, at + 1, F.lit(_CHUNK))
 
     def step(acc, s):
-        gap = F.substring(body, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        length = F.greatest(s["start"] - acc["at"], F.lit(0))
+        near = acc["at"] + length - acc["base"] <= _CHUNK
+        gap = F.when(near, F.substring(acc["chunk"], acc["at"] - acc["base"] + 1, length)).otherwise(F.substring(body, acc["at"] + 1, length))
         mark = F.when(s["start"] >= acc["at"], F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(gap, mark)).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    new = F.aggregate(spans, zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(body, acc["at"] + 1, F.length(body))))
-    return F.when(F.size(spans) > 0, new).otherwise(body)
+        at = F.greatest(acc["at"], s["end"])
+        move = at - acc["base"] > _CHUNK // 2
+        return F.struct(at.alias("at"), F.when(move, at).otherwise(acc["base"]).alias("base"), F.when(move, chunk(at)).otherwise(acc["chunk"]).alias("chunk"),
+                        F.concat(acc["out"], F.array(gap, mark)).alias("out"))
+
+    def block(items):
+        def one(number, part):
+            first = F.when(number == 0, F.lit(0)).otherwise(F.array_max(F.transform(F.slice(items, 1, F.greatest(number * _BLOCK, F.lit(1))), lambda s: s["end"])))
+            zero = lambda at: F.struct(at.alias("at"), at.alias("base"), chunk(at).alias("chunk"), F.expr("cast(array() as array<string>)").alias("out"))
+            return F.aggregate(part, zero(first), step, lambda acc: F.array_join(acc["out"], ""))
+        rest = F.substring(body, F.array_max(F.transform(items, lambda s: s["end"])) + 1, F.length(body))
+        return F.concat(F.array_join(_blocks(items, one), ""), rest)
+
+    return _let(spans, lambda items: F.when(F.size(items) == 0, body).otherwise(block(items)))
 
 
 def redact(docs: DataFrame, text: str = "text", **options) -> DataFrame:

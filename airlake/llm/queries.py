@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, chat, mixing, pii
-from airlake.llm.tables import documents, read
+from airlake.llm import bpe, chat, mixing, pii, toxicity
+from airlake.llm.tables import documents, held_out, read
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,16 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def learnable(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Labels that may be learned from, one row per document id."""
+    return read(spark, sf_dir, "labels").where(~held_out()).groupBy("doc_id").agg(F.max(label).alias(label))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(documents(spark, sf_dir, "doc_id", "text"), learnable(spark, sf_dir, "toxic"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = "\\### Assistant: </turn> ok"                  # holds the template's own control strings
@@ -30,5 +40,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
-QUERIES = {"op2_pii": op2_pii, "op3_mixing": op3_mixing, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
+QUERIES = {"op2_pii": op2_pii, "op3_mixing": op3_mixing, "op5_toxicity": op5_toxicity, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE}
