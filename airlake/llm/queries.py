@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, chat, mixing, pii, toxicity
+from airlake.llm import bpe, chat, mixing, pii, quality, toxicity
 from airlake.llm.tables import documents, held_out, read
 
 
@@ -28,6 +28,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, learnable(spark, sf_dir, "quality")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = "\\### Assistant: </turn> ok"                  # holds the template's own control strings
@@ -40,5 +46,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
-QUERIES = {"op2_pii": op2_pii, "op3_mixing": op3_mixing, "op5_toxicity": op5_toxicity, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
+QUERIES = {"op2_pii": op2_pii, "op3_mixing": op3_mixing, "op5_toxicity": op5_toxicity, "op7_quality": op7_quality, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE}
