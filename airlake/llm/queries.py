@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, chat, mixing, pii, quality, toxicity
+from airlake.llm import bpe, chat, fingerprint, mixing, pii, quality, toxicity
 from airlake.llm.tables import documents, held_out, read
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.detect(documents(spark, sf_dir, "doc_id", "text")), ["doc_id"])
 
@@ -46,5 +50,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
-QUERIES = {"op2_pii": op2_pii, "op3_mixing": op3_mixing, "op5_toxicity": op5_toxicity, "op7_quality": op7_quality, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
+QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op5_toxicity": op5_toxicity, "op7_quality": op7_quality, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE}

@@ -1,0 +1,115 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from airlake.llm import fingerprint as fp
+from airlake.llm.queries import QUERIES
+from llm_helpers import SF_SMALL, make_docs
+
+
+def brute_walk(text):
+    """The walk of one text, one step at a time."""
+    data = [max(1, ord(c) if ord(c) < 128 else 128 + (ord(c) * 2654435761 % 2**32 >> 25)) for c in text] + [0]
+    level = int(fp.levels(np.array([len(text)]))[0])
+    stride = 1 << level - fp.BITS.bit_length() + 1
+    bits, at = [], 0
+    for j in range(1 << level):
+        c = data[at]
+        if (j + 1) % stride == 0:
+            bits.append(int(fp._BIT[j % 4096, c]))
+        at += int(fp._MOVE[j % 4096, c])
+    return level, len(text), bits
+
+
+def brute_likeness(a, b):
+    to = max(a[0], b[0])
+
+    def bit(x, place):                                        # the ended walk beyond its places
+        step = 1 << x[0] - fp.BITS.bit_length() + 1
+        return x[2][(place + 1) // step - 1] if place < 1 << x[0] else int(fp._BIT[place % 4096, 0])
+
+    stride = 1 << to - fp.BITS.bit_length() + 1
+    places = [(k + 1) * stride - 1 for k in range(fp.BITS)]
+    used = places[: max(1, min(fp.BITS, 2 * max(a[1], b[1]) // stride))]
+    if not a[1] and not b[1]:
+        return 1.0
+    return max(0.0, 2 * sum(bit(a, p) == bit(b, p) for p in used) / len(used) - 1)
+
+
+def samples(n, seed=0):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abc dé😀\x00\n") for _ in range(rng.choice([0, 1, 2, 40, 199, 200, 700, 3000]))) for _ in range(n)]
+
+
+def test_walk_against_brute_force():
+    texts = samples(230) + ["é" * 20_000]
+    level, lengths, bits = fp.walk(texts)
+    for i, t in enumerate(texts):
+        assert (level[i], lengths[i], bits[i].tolist()) == brute_walk(t)
+    back = fp.parsed(fp.written(level, lengths, bits))
+    assert all((x == y).all() for x, y in zip(back, (level, lengths, bits)))
+
+
+def test_likeness_against_brute_force_and_order():
+    texts = samples(60, 3)
+    a, b = fp.walk(texts), fp.walk(texts[1:] + texts[:1])
+    got = fp.likeness(a, b)
+    assert got == pytest.approx([brute_likeness(brute_walk(s), brute_walk(t)) for s, t in zip(texts, texts[1:] + texts[:1])])
+    rng = random.Random(1)
+    text = "".join(rng.choice("etaoin shrdlu") for _ in range(4000))
+    few = text[:1000] + "X" + text[1002:2500] + "yz" + text[2500:]
+    other = "".join(rng.choice("etaoin shrdlu") for _ in range(4000))
+    near = fp.likeness(fp.walk([text] * 4), fp.walk([text, few, text[:2000] + other[:2000], other]))
+    assert near[0] == 1 and near[0] > near[1] > near[2] > near[3] and near[1] > 0.7 and near[3] < 0.25
+
+
+def expected(rows):
+    order = sorted(((i is None, i or 0, t or "") for i, t in rows))
+    out = []
+    for (none, i, t), (_, _, u) in zip(order, order[1:] + order[:1]):
+        e = t[: len(t) - len(t) // 2] + u[: len(t) // 2]
+        w = [brute_walk(x) for x in (t, e, u)]
+        out.append((None if none else i, len(t), hashlib.sha256(e.encode()).hexdigest(), round(brute_likeness(w[0], w[1]), 9), round(brute_likeness(w[0], w[2]), 9)))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in df.collect()), key=repr)
+
+
+def test_next_document_against_brute_force(spark, monkeypatch):
+    rows = [(i * 3, t) for i, t in enumerate(samples(60, 5))] + [(None, "none"), (None, None), (9, "twice"), (9, "twice"), (-5, "")]
+    assert got(fp.with_next(make_docs(spark, rows))) == expected(rows)
+    monkeypatch.setattr(fp, "BUCKET_ROWS", 7)                  # several buckets
+    assert got(fp.with_next(make_docs(spark, rows).repartition(3))) == expected(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "alone")], [(None, "x"), (None, None)], [(4, "same")] * 3])
+def test_edge_tables(spark, rows):
+    assert got(fp.with_next(make_docs(spark, rows))) == expected(rows)
+    assert fp.fingerprints(make_docs(spark, rows)).count() == len(rows)
+
+
+def test_near_classes_find_edited_copies(spark):
+    rng = random.Random(2)
+    base = ["".join(rng.choice("etaoin shrdlu") for _ in range(1500)) for _ in range(12)]
+    rows = []
+    for i, t in enumerate(base):
+        rows += [(10 * i, t), (10 * i + 1, t), (10 * i + 2, t[:700] + "#" + t[701:])]
+    out = {r.doc_id: r.class_id for r in fp.near_classes(make_docs(spark, rows)).collect()}
+    assert out == {i: 10 * (i // 10) for i, _ in rows}
+
+
+def test_query_against_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    table = QUERIES["op1_fingerprints"](spark, SF_SMALL)
+    order = sorted(rows)
+    want = {i: hashlib.sha256(fp.edited(t, u).encode()).hexdigest() for (i, t), (_, u) in zip(order, order[1:] + order[:1])}
+    all_ = table.collect()
+    assert {r.doc_id: r.edited_sha256 for r in all_} == want and {r.doc_id: r.n_chars for r in all_} == {i: len(t) for i, t in rows}
+    texts = dict(rows)
+    for r in all_[:25]:
+        level, n, bits = brute_walk(texts[r.doc_id])
+        assert r.fingerprint == fp.written(np.array([level]), np.array([n]), np.array([bits], np.uint8))[0]
+    assert np.mean([r.near_edited for r in all_]) > np.mean([r.near_next for r in all_]) + 0.3
