@@ -36,7 +36,7 @@ from airlake.llm.tables import bound_arrow, saved
 
 #: Learning: labelled rows (chosen by a hash of the id), features, and the least number of
 #: toxic rows and the least share of toxic rows among those that a feature occurs in.
-SAMPLE_ROWS, FEATURES, SUPPORT, PURITY, RIDGE = 20_000, 256, 8, 0.6, 0.5
+SAMPLE_ROWS, FEATURES, SUPPORT, PURITY, RIDGE = 20_000, 256, 5, 0.6, 0.05
 THRESHOLD, BEAM = 0.3, 48
 #: Letters that a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -243,7 +243,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, label: str = "t
     base = totals[1] / (totals[0] + totals[1])
     share = (F.col("toxic") + 0.5 * base) / (F.col("n") + 0.5)
     gain = F.when(share > F.greatest(F.lit(base), F.lit(PURITY)), F.col("toxic") * F.log(share / base) + (F.col("n") - F.col("toxic")) * F.log((1 - share + 1e-9) / (1 - base)))
-    names = [r.feature for r in counted.withColumn("gain", gain).where("gain > 10").orderBy(F.desc("gain"), "feature").limit(size).collect()]
+    names = [r.feature for r in counted.withColumn("gain", gain).where("gain > 6").orderBy(F.desc("gain"), "feature").limit(size).collect()]
     place = {f: i for i, f in enumerate(names)}
 
     def rows_of(batches):
