@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, chat, fingerprint, mixing, passages, pii, quality, toxicity
+from airlake.llm import bpe, chat, fingerprint, hamming, mixing, passages, pii, quality, toxicity
 from airlake.llm.tables import documents, held_out, read
 
+#: Length of the vectors in ``embeddings``.
+EMBEDDING_DIMENSION = 64
+
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(documents(spark, sf_dir, "doc_id", "text"))
@@ -50,9 +53,15 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(turns.unionByName(extra)))
 
 
+def op9_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = hamming.top_k(vectors, vectors.where("vec_id % 100 = 0"), EMBEDDING_DIMENSION)
+    return found.select(F.col("query").alias("query_id"), F.col("id").alias("vec_id"), "distance", "rank")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
-QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op10_bpe": op10_bpe}
+QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op9_hamming": op9_hamming, "op10_bpe": op10_bpe}
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE}
