@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, chat, fingerprint, hamming, mixing, passages, pii, quality, toxicity
+from airlake.llm import bpe, chat, fingerprint, hamming, mixing, neardup, passages, pii, quality, toxicity
 from airlake.llm.tables import documents, held_out, read
 
 #: Length of the vectors in ``embeddings``.
@@ -29,6 +29,10 @@ def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.digests(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def learnable(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     """Labels that may be learned from, one row per document id."""
     return read(spark, sf_dir, "labels").where(~held_out()).groupBy("doc_id").agg(F.max(label).alias(label))
@@ -63,5 +67,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
 
 
-QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op9_hamming": op9_hamming, "op10_bpe": op10_bpe}
+QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op4_near_duplicates": op4_near_duplicates, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op9_hamming": op9_hamming, "op10_bpe": op10_bpe}
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE}
