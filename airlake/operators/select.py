@@ -43,17 +43,3 @@ def latest_key(dim: DataFrame, key_col: str, time_col: str) -> DataFrame:
 def preview(df: DataFrame, n: int = 10, order: Sequence[Column | str] | None = None) -> DataFrame:
     """First ``n`` rows, in ``order`` if given (a sampling report; the limit is the feature)."""
     return (df.orderBy(*order) if order else df).limit(n)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """``df`` cut from its lineage and marked for broadcast when it has at most ``max_rows``.
-
-    The size is checked, not assumed: the (small, aggregated) frame is checkpointed into
-    the shared checkpoint folder and counted; above the bound it is returned unmarked and
-    the planner uses a shuffle join (with AQE skew splitting) instead.
-    """
-    from airlake.session import shared_dir
-
-    shared_dir(df.sparkSession)
-    cut = df.checkpoint(eager=True)
-    return F.broadcast(cut) if cut.count() <= max_rows else cut

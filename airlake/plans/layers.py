@@ -1,109 +1,103 @@
 """Raw layer (K1) and clean layer (K2).
 
 raw  : one row per landed document (``json_data`` VARIANT + audit columns), stored as
-       Parquet partitioned by ``ingest_batch`` so a retried batch overwrites itself.
-clean: newest delivery of every (hour, page), its records unnested, typed.
+       Parquet by record day, then load and batch, so a retried batch overwrites itself,
+       two loads never overwrite each other, and a day is read without the others.
+clean: newest delivery of every hour, its records unnested, typed.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.operators import broadcast_if_small, duplicate_report, explode_array
+from airlake.operators import duplicate_report, explode_array
 from airlake.schemas import LAT_LON_TYPE, RECORDS_DDL
+from airlake.session import file_system
 
-VERSION_ORDER = ["_stg_file_load_ts", "_stg_file_name", "_stg_file_md5", "id"]
+#: A raw row is identified by its load, its batch there, and its number in the batch.
+RAW_KEY = ["ingest_load", "ingest_batch", "id"]
+RAW_DAY = "record_day"
+VERSION_ORDER = ["_stg_file_load_ts", "_stg_file_name", "_stg_file_md5", *RAW_KEY]
+#: What the documents of one delivery of an hour share.
+DELIVERY = ["delivered", "record_count", "page_limit"]
 
 
-# id layout: batch (23 bits) | partition of the batch (16 bits) | row in the partition (24 bits)
-_PART_BITS, _ROW_BITS = 16, 24
+def with_ids(raw_docs: DataFrame, load: str, batch: int) -> DataFrame:
+    """The raw key: the load and the batch that bring a row, and a number unique in the batch
+    (gaps allowed). Nothing is numbered in one task and no earlier data is read."""
+    return raw_docs.select(F.lit(load).alias("ingest_load"), F.lit(batch).cast("bigint").alias("ingest_batch"),
+                           F.monotonically_increasing_id().alias("id"), "*")
 
 
-def with_ids(raw_docs: DataFrame, batch: int) -> DataFrame:
-    """Unique ids that grow from batch to batch (gaps allowed), computed where the rows are.
-
-    ``monotonically_increasing_id`` is (partition << 33) + row; the id re-packs it under the
-    batch number, so no earlier data is read and nothing is numbered in a single task. A
-    batch with more partitions or rows per partition than the layout holds fails loudly.
-    """
-    if not 0 <= batch < (1 << (63 - _PART_BITS - _ROW_BITS)):
-        raise ValueError(f"batch {batch} out of range for the id layout")
-    part = F.spark_partition_id().cast("bigint")
-    row = F.monotonically_increasing_id() - F.shiftleft(part, 33)
-    packed = (F.lit(batch).cast("bigint") * F.lit(1 << (_PART_BITS + _ROW_BITS))
-              + F.shiftleft(part, _ROW_BITS) + row)
-    fits = (part < F.lit(1 << _PART_BITS)) & (row < F.lit(1 << _ROW_BITS))
-    ident = F.when(fits, packed).otherwise(F.raise_error(F.lit("raw id layout exceeded")).cast("bigint"))
-    return raw_docs.select(ident.alias("id"), "*")
-
-
-def write_raw_batch(raw_rows: DataFrame, raw_path: str, batch: int) -> None:
-    """Write one ingest batch; re-running the same batch replaces it (idempotent)."""
-    (raw_rows.withColumn("ingest_batch", F.lit(batch)).hint("rebalance")   # right-sized files
+def write_raw_batch(raw_rows: DataFrame, raw_path: str) -> None:
+    """Write one ingest batch (``with_ids`` rows); re-running the same batch replaces it
+    (idempotent)."""
+    (raw_rows.withColumn(RAW_DAY, F.to_date("index_record_ts"))
+     .hint("rebalance", RAW_DAY)                                           # right-sized files
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("ingest_batch").parquet(raw_path))
+     .partitionBy(RAW_DAY, "ingest_load", "ingest_batch").parquet(raw_path))
+
+
+def stored_days(spark: SparkSession, raw_path: str, load: str, batch: int) -> list:
+    """The days a stored batch holds, from its folders: one listing, no data is read."""
+    fs, pattern = file_system(spark, f"{raw_path}/{RAW_DAY}=*/ingest_load={load}/ingest_batch={batch}")
+    found = [x.getPath().getParent().getParent().getName().partition("=")[2] for x in fs.globStatus(pattern) or []]
+    return sorted(datetime.date.fromisoformat(d) for d in found if d[:1].isdigit())
+
+
+def of_days(raw: DataFrame, days: Sequence | None) -> DataFrame:
+    """Rows of the given record days (all if None). A stored raw table is read by partition."""
+    if days is None:
+        return raw
+    day = F.col(RAW_DAY) if RAW_DAY in raw.columns else F.to_date("index_record_ts")
+    return raw.filter(day.isin(list(days)) if len(days) else F.lit(False))
 
 
-def on_days(ts_col: str, days: Sequence) -> F.Column:
-    """``to_date(ts) IN days``, led by the covering range ``[min day, max day + 1)`` on the raw
-    timestamp: the range reaches the Parquet scan (row groups are skipped by their min/max
-    statistics), the exact day test then refines it."""
-    days = list(days)
-    if not days:
-        return F.lit(False)
-    lo = F.lit(min(days)).cast("date").cast("timestamp_ntz")
-    hi = F.date_add(F.lit(max(days)).cast("date"), 1).cast("timestamp_ntz")
-    ts = F.col(ts_col)
-    return (ts >= lo) & (ts < hi) & F.to_date(ts).isin(days)
+def keyed(raw: DataFrame) -> DataFrame:
+    """``raw`` with the whole raw key; rows that were not loaded by batch have an empty one."""
+    missing = {"ingest_load": F.lit(""), "ingest_batch": F.lit(0).cast("bigint")}
+    return raw.withColumns({k: v for k, v in missing.items() if k not in raw.columns})
 
 
 def superseded_ids(raw: DataFrame, days: Sequence | None = None) -> DataFrame:
-    """Ids of documents that are not part of the current version of their hour.
-
-    A document survives when it is the newest version of its (hour, page) *and* its page
-    still exists in the hour's newest delivery, i.e. the most recently loaded document of
-    the hour has the same page size (``limit``) and a ``total`` above the page's
-    ``offset``. A re-delivery with fewer pages, or paged differently, leaves no stale page
-    behind. For single-page deliveries this is simply the newest file per hour. Both choices are partial (map-side) aggregates over the metadata columns only,
-    so documents are never shuffled for the ranking and a hot hour is pre-aggregated in
-    every task.
+    """Keys of documents that are not part of the current version of their hour.
+
+    The newest document of an hour (by load time, then name, digest and key) names the hour's
+    current delivery: all its documents with the same ``created``, ``total`` and ``limit``;
+    without ``created``, those loaded from files of the same time. All other documents of the
+    hour are superseded, whatever pages they hold, and so are older copies of a page of the
+    current delivery. Both choices are partial (map-side) aggregates over metadata columns, so
+    documents are never shuffled for the ranking and a hot hour is pre-aggregated in every task.
     """
-    meta = raw.select("id", "index_record_ts", "page_offset", "page_limit", "record_count",
-                      *VERSION_ORDER[:-1]).filter(
-        F.col("index_record_ts").isNotNull())
-    if days is not None:
-        meta = meta.filter(on_days("index_record_ts", days))
-    version = F.struct(*[F.col(c) for c in VERSION_ORDER])
-    best = (meta.groupBy("index_record_ts", "page_offset")
-            .agg(F.max(F.struct(*[F.col(c) for c in VERSION_ORDER], F.col("page_limit"))).alias("__best"))
-            .select("index_record_ts", "page_offset", F.col("__best.id").alias("id"),
-                    F.col("__best.page_limit").alias("page_limit")))
-    latest = (meta.groupBy("index_record_ts")
-              .agg(F.max_by(F.struct("record_count", "page_limit"), version).alias("__latest")))
-    offset = F.coalesce(F.col("page_offset").try_cast("bigint"), F.lit(0))
-    kept = (best.join(latest, "index_record_ts")
-            .filter((offset < F.greatest(F.col("__latest.record_count"), F.lit(1)))
-                    & (F.col("page_limit") == F.col("__latest.page_limit")))
-            .select("id"))
-    return meta.select("id").join(kept, "id", "left_anti")
+    meta = of_days(keyed(raw), days).filter(F.col("index_record_ts").isNotNull())
+    when = F.coalesce(F.col("delivered"), F.unix_micros(F.col("_stg_file_load_ts").cast("timestamp")))
+    delivery = F.struct(when.alias("delivered"), *DELIVERY[1:])
+    version = F.struct(*VERSION_ORDER)
+    meta = meta.select("index_record_ts", "page_offset", delivery.alias("delivery"), version.alias("version"))
+    latest = meta.groupBy("index_record_ts").agg(F.max_by("delivery", "version").alias("current"))
+    pages = meta.groupBy("index_record_ts", "delivery", "page_offset").agg(F.max("version").alias("version"))
+    kept = pages.join(latest, "index_record_ts").filter(F.col("delivery").eqNullSafe(F.col("current")))
+    key = [F.col(f"version.{k}").alias(k) for k in RAW_KEY]
+    return meta.select(*key).join(kept.select(*key), RAW_KEY, "left_anti")
 
 
 def clean(raw: DataFrame, days: Sequence | None = None, strict: bool = True) -> DataFrame:
-    """Dedupe (newest file per hour/page) and unnest the records (clean layer).
+    """Dedupe (newest delivery per hour) and unnest the records (clean layer).
 
-    The superseded ids are few (re-deliveries): they are materialised and counted, and
-    broadcast when under the bound, so the documents stream through the anti-join
-    without a shuffle (a plan-time estimate would see the whole raw files and shuffle the
-    documents by id). Above the bound the join falls back to a shuffle.
+    With ``days`` the superseded keys are those of a few days' documents, a few dozen bytes for
+    each document of many kilobytes, and are broadcast: documents stream through the anti-join
+    unshuffled. ``TableGraph.refresh`` goes through the days in runs of bounded length. Without
+    ``days`` the planner chooses, as nothing bounds the keys.
     ``strict`` casts coordinates strictly ('NA' fails); otherwise bad ones become NULL.
     """
-    docs = raw.filter(F.col("index_record_ts").isNotNull())
-    if days is not None:
-        docs = docs.filter(on_days("index_record_ts", days))
-    docs = docs.join(broadcast_if_small(superseded_ids(raw, days)), "id", "left_anti")
+    raw = keyed(raw)
+    gone = superseded_ids(raw, days)
+    docs = of_days(raw, days).filter(F.col("index_record_ts").isNotNull())
+    docs = docs.join(gone if days is None else F.broadcast(gone), RAW_KEY, "left_anti")
     recs = explode_array(
         docs.withColumn("__records", F.variant_get("json_data", "$.records", RECORDS_DDL)), "__records",
         keep=["index_record_ts", "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts"])
@@ -136,9 +130,10 @@ def doc_field_sample(raw: DataFrame, index: int = 1) -> DataFrame:
 
 
 def raw_duplicate_report(raw: DataFrame, n: int = 10) -> DataFrame:
-    """Versions of the newest hours with their rank (1 = the one kept), top ``n``."""
+    """Versions of the newest hours with their rank (1 = the newest document; the others of its
+    delivery are kept with it), top ``n``."""
     cols = ["index_record_ts", "record_count", "json_version", "_stg_file_name", "_stg_file_load_ts",
-            "_stg_file_md5", "_copy_data_ts", "id"]
-    return duplicate_report(raw.select(*cols), ["index_record_ts"], VERSION_ORDER,
+            "_stg_file_md5", "_copy_data_ts", *RAW_KEY]
+    return duplicate_report(keyed(raw).select(*cols), ["index_record_ts"], VERSION_ORDER,
                             report_order=[F.col("index_record_ts").desc(), F.col("latest_file_rank").asc()],
-                            n=n).drop("id")
+                            n=n).drop(*RAW_KEY)

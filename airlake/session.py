@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -65,16 +65,40 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         base = tempfile.mkdtemp(prefix="airlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         sc.setCheckpointDir(base)
+    if sc is not None and not sc.master.startswith("local") and base.startswith("file:"):
+        raise RuntimeError("spark.checkpoint.dir is a machine-local folder; on a cluster it must be one "
+                           "that every executor shares")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)                               # a conf set after start-up
-    path = base.rstrip("/")
-    for p in parts:
-        path = f"{path}/{p}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    path = "/".join([base.rstrip("/"), *parts])
+    if sc is not None:
+        fs, there = file_system(spark, path)
+        fs.mkdirs(there)                                        # in the folder's own file system
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library has written; nothing happens if it is not there."""
+    fs, there = file_system(spark, path)
+    fs.delete(there, True)
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table, or None if nothing has been written yet. Other errors are raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Settings for a cluster run, from the expected largest shuffle and the core count.
 

@@ -12,18 +12,22 @@ whole files, nothing passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlake.functions import feed_ts, landing_stamp, to_ntz
-from airlake.operators import broadcast_if_small
-from airlake.schemas import DOCUMENT, LANDING_DIR_FORMAT, PAGE_LIMIT, RECORD_FIELDS
+from airlake.schemas import DOCUMENT, LANDING_DIR_FORMAT, LANDING_FILE_PREFIX, PAGE_LIMIT, RECORD_FIELDS
 
-_DAY_IN_PATH = r"(\d{4}_\d{2}_\d{2})/[^/]+$"
-_REL_PATH = r"([^/]+/[^/]+)$"
+# the sink keeps each delivery in a folder of its own below the day
+_DAY_IN_PATH = r"(\d{4}_\d{2}_\d{2})/(?:landing_name=[^/]+/)?[^/]+$"
+_REL_PATH = r"([^/]+/(?:landing_name=[^/]+/)?[^/]+)$"
+#: Cells that the records of an hour are numbered in.
+CELLS = 256
+#: Longer than any feed: a file is new however old it is.
+NO_FILE_AGE = "36500d"
 
 
-def _reader(spark: SparkSession, framing: str, stream: bool, max_files_per_trigger: int | None):
+def _reader(spark: SparkSession, framing: str, stream: bool, max_files_per_trigger: int | None, archive: str | None = None):
     r = spark.readStream if stream else spark.read
     r = (r.format("text").option("recursiveFileLookup", "true")
           .option("pathGlobFilter", "*.json*"))
@@ -31,20 +35,28 @@ def _reader(spark: SparkSession, framing: str, stream: bool, max_files_per_trigg
         r = r.option("wholetext", "true")
     elif framing != "lines":
         raise ValueError("framing must be 'file' or 'lines'")
-    if stream and max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if stream:
+        # the default forgets files a week older than the newest one, and would never load them
+        r = r.option("maxFileAge", NO_FILE_AGE)
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        if archive:
+            r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return r
 
 
 def read_landing(spark: SparkSession, path: str, framing: str = "file", stream: bool = False,
-                 max_files_per_trigger: int | None = 1000, days=None) -> DataFrame:
+                 max_files_per_trigger: int | None = 1000, days=None, archive: str | None = None) -> DataFrame:
     """Landed documents with file metadata.
 
+    A stream remembers every file it has loaded, whatever its age. ``archive``: a folder to
+    which loaded files are moved, which keeps that memory and the listing small.
+
     Columns: ``doc`` (text), ``_stg_file_name`` (day folder/file), ``_stg_file_load_ts``
     (file modification time), ``landing_date`` (from the folder name). ``days`` (batch
     only) lists only the dated folders of those days - the other folders are not listed.
     """
-    r = _reader(spark, framing, stream, max_files_per_trigger)
+    r = _reader(spark, framing, stream, max_files_per_trigger, archive)
     if days is not None and not stream:
         stamps = ",".join(d.strftime("%Y_%m_%d") if hasattr(d, "strftime") else str(d) for d in days)
         df = r.load(f"{path.rstrip('/')}/{{,landing_day=}}{{{stamps}}}")
@@ -115,6 +127,7 @@ def raw_documents(docs: DataFrame, on_error: str = "abort", copy_ts: Column | No
         version.alias("json_version"),
         F.coalesce(get("json_data", "$.offset", "string"), F.lit("0")).alias("page_offset"),
         F.coalesce(get("json_data", "$.limit", "string"), F.lit("")).alias("page_limit"),
+        get("json_data", "$.created", "long").alias("delivered"),
         "_stg_file_name", "_stg_file_load_ts",
         F.md5("doc").alias("_stg_file_md5"),
         (copy_ts if copy_ts is not None else F.current_timestamp()).cast("timestamp_ntz").alias("_copy_data_ts"),
@@ -124,32 +137,34 @@ def raw_documents(docs: DataFrame, on_error: str = "abort", copy_ts: Column | No
 
 def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
                            delivered_at: Column | None = None) -> DataFrame:
-    """Feed records -> JSON documents, one per (hour, page) with at most ~``limit`` records.
+    """Feed records -> JSON documents, one per (hour, page) with at most ``limit`` records.
 
     As in the feed's own header, ``total`` is the number of records of the whole hour,
     ``count`` the number in this document and ``offset`` where its page starts.
 
-    ``records``: ``index_record_ts`` plus the eleven text fields of a record. The page of
-    a record is a hash of its station modulo the hour's page count, so a large hour is
-    split over many documents instead of being collected into one, all readings of a
-    station-hour stay in one document (the pivot then collapses them in the map task),
-    and pages are stable between re-deliveries of the same stations.
+    ``records``: ``index_record_ts`` plus the eleven text fields of a record. Records are dealt
+    to (hour, cell) by a hash of the whole record and numbered there; the cells of an hour
+    follow each other, so a record's number in its hour is its number in the cell plus the
+    sizes of the cells before it. A hot station or hour is thus numbered in many tasks, and no
+    page holds more than ``limit`` records.
     """
     delivered_at = delivered_at if delivered_at is not None else F.current_timestamp()
-    # one row per hour; broadcast after a row-count check, so records are not shuffled by
-    # hour (a hot hour would land in one task) - above the bound: a shuffle join
-    counts = broadcast_if_small(records.groupBy("index_record_ts").agg(F.count(F.lit(1)).alias("__n")))
-    pages = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(limit)).cast("int"))
-    page = F.pmod(F.xxhash64("country", "state", "city", "station", "latitude", "longitude"), pages)
-    with_page = records.join(counts, "index_record_ts").withColumn("__page", page)
+    text = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in RECORD_FIELDS]
     rec = F.struct(*[F.col(f) for f in RECORD_FIELDS])
-    # shuffle the records by document first: a map-side partial collect_list would save no
-    # bytes and only hold a whole task's records in memory; after the shuffle every task
-    # builds its own documents (sort-based once it holds many of them)
-    grouped = (with_page.repartition("index_record_ts", "__page")
+    dealt = records.select("index_record_ts", rec.alias("rec"), F.pmod(F.xxhash64(*text), F.lit(CELLS)).alias("__cell"))
+    sizes = dealt.groupBy("index_record_ts", "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    hour = Window.partitionBy("index_record_ts")                # at most CELLS rows each
+    before = hour.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumns({"__total": F.sum("__n").over(hour), "__ahead": F.coalesce(F.sum("__n").over(before), F.lit(0))})
+    inside = Window.partitionBy("index_record_ts", "__cell").orderBy("rec")
+    place = F.col("__ahead") + F.row_number().over(inside) - 1
+    paged = (dealt.join(sizes, ["index_record_ts", "__cell"])
+             .withColumn("__page", F.floor(place / F.lit(limit)).cast("int")))
+    # to the document's task first: a partial collect_list before it would save no bytes
+    grouped = (paged.repartition("index_record_ts", "__page")
                .groupBy("index_record_ts", "__page")
-               .agg(F.collect_list(rec).alias("records"), F.count(F.lit(1)).cast("int").alias("count"),
-                    F.max("__n").cast("int").alias("total")))
+               .agg(F.array_sort(F.collect_list("rec")).alias("records"), F.count(F.lit(1)).cast("int").alias("count"),
+                    F.max("__total").cast("int").alias("total")))
     epoch = F.unix_timestamp(delivered_at.cast("timestamp")).cast("long")
     iso = F.date_format(delivered_at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     doc = F.struct(
@@ -162,15 +177,19 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
         F.col("records"),
     )
     day = landing_stamp(delivered_at, fmt=LANDING_DIR_FORMAT)     # dated folder on the feed's clock
-    return (grouped.select(day.alias("landing_day"), doc.alias("d"))
-            .select("landing_day", "d.*"))
+    name = F.concat(F.lit(LANDING_FILE_PREFIX), landing_stamp(delivered_at))
+    return (grouped.select(day.alias("landing_day"), name.alias("landing_name"), doc.alias("d"))
+            .select("landing_day", "landing_name", "d.*"))
 
 
 def write_landing(documents: DataFrame, landing: str, compression: str = "gzip") -> None:
-    """Append JSON-Lines files (``*.json.gz``) into dated folders ``landing_day=YYYY_MM_DD``.
+    """Write a delivery as JSON-Lines files (``*.json.gz``) into
+    ``landing_day=YYYY_MM_DD/landing_name=air_quality_data_<stamp>``.
 
-    Each row of ``documents`` (top-level document fields + ``landing_day``) becomes one
-    line; many documents share a file, each keeps its own md5.
+    The name is the delivery's, as in the feed, and writing it again replaces its files, so a
+    repeated job does not land a delivery twice. Each row is one line; many documents share a
+    file, each keeps its own md5.
     """
-    (documents.write.mode("append").partitionBy("landing_day")
+    (documents.hint("rebalance", "landing_day", "landing_name").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("landing_day", "landing_name")
      .option("compression", compression).json(landing))

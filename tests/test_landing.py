@@ -138,7 +138,7 @@ def test_streaming_ingest_once_and_redelivery(spark, tmp_path):
         mtime=2_000_000)
     ingest(spark, root, raw_path, ck, on_batch=lambda b, days: touched.extend(days))
     raw = spark.read.parquet(raw_path)
-    ids = [r.id for r in raw.collect()]
+    ids = [(r.ingest_load, r.ingest_batch, r.id) for r in raw.collect()]
     assert len(ids) == len(set(ids)) == 3
     got = {(str(r.index_record_ts), r.pollutant_id, r.pollutant_avg) for r in clean(raw).collect()}
     assert got == {("2024-03-01 11:00:00", "PM10", "11"), ("2024-03-01 11:00:00", "SO2", "4"),
@@ -196,7 +196,7 @@ def test_failed_batch_rerun_does_not_duplicate(spark, tmp_path):
     assert spark.read.parquet(raw_path).count() == 2        # written, but the batch never committed
     ingest(spark, root, raw_path, ck)                       # restart: the same batch runs again
     raw = spark.read.parquet(raw_path)
-    assert raw.count() == 2 and raw.select("id").distinct().count() == 2
+    assert raw.count() == 2 and raw.select("ingest_load", "ingest_batch", "id").distinct().count() == 2
     assert ingest(spark, root, raw_path, ck) == 0
 
 
@@ -221,20 +221,83 @@ def test_shrinking_redelivery_drops_stale_pages(spark, tmp_path):
     put(root2, "2024_03_02", "q0.json", page([record("A", "PM10", "7")], 0, 1, 1), mtime=2_000_000)
     raw2 = raw_of(spark, root2).withColumn("id", F.monotonically_increasing_id())
     assert [(r.station, r.pollutant_avg) for r in clean(raw2).collect()] == [("A", "7")]
-    # same page size, same pages: each page keeps its newest version
+    # a later delivery of one page alone replaces the hour, as one newer file does
     root3 = str(tmp_path / "landing3")
     put(root3, "2024_03_01", "p0.json", page([a], 0, 2, 1), mtime=1_000_000)
     put(root3, "2024_03_01", "p1.json", page([b], 1, 2, 1), mtime=1_000_000)
     put(root3, "2024_03_02", "q1.json", page([record("B", "PM10", "9")], 1, 2, 1), mtime=2_000_000)
     raw3 = raw_of(spark, root3).withColumn("id", F.monotonically_increasing_id())
-    assert sorted((r.station, r.pollutant_avg) for r in clean(raw3).collect()) == [("A", "1"), ("B", "9")]
+    assert sorted((r.station, r.pollutant_avg) for r in clean(raw3).collect()) == [("B", "9")]
 
 
-def test_ids_grow_with_batches(spark):
-    from airlake.plans.layers import with_ids
-    a = [r.id for r in with_ids(spark.range(0, 1000, numPartitions=7), 3).collect()]
-    b = [r.id for r in with_ids(spark.range(0, 10, numPartitions=2), 4).collect()]
-    assert len(set(a)) == 1000 and min(b) > max(a)
+def test_keys_are_unique_over_loads_and_batches(spark):
+    from airlake.plans.layers import RAW_KEY, with_ids
+    rows = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "n")
+    every = with_ids(rows, "a", 3).unionByName(with_ids(rows, "a", 4)).unionByName(with_ids(rows, "b", 3))
+    assert every.select(*RAW_KEY).distinct().count() == 3000
+
+
+def test_files_of_any_age_are_loaded(spark, tmp_path):
+    root, raw_path, ck = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "ck")
+    now = 1_700_000_000
+    put(root, "2024_03_01", "new.json", document([record("A", "PM10", "1")]), mtime=now)
+    ingest(spark, root, raw_path, ck)
+    put(root, "2024_02_01", "old.json", document([record("A", "PM10", "2", ts="01-02-2024 11:00:00")]), mtime=now - 30 * 86400)
+    put(root, "2024_03_01", "next.json", document([record("A", "PM10", "3", ts="01-03-2024 12:00:00")]), mtime=now + 60)
+    ingest(spark, root, raw_path, ck)
+    assert spark.read.parquet(raw_path).count() == 3
+
+
+def test_loads_never_overwrite_each_other(spark, tmp_path):
+    raw_path = str(tmp_path / "raw")
+    put(str(tmp_path / "a"), "2024_03_01", "a.json", document([record("A", "PM10", "1")]))
+    put(str(tmp_path / "b"), "2024_03_01", "b.json", document([record("B", "PM10", "2", ts="01-03-2024 12:00:00")]))
+    load_batch(spark, str(tmp_path / "a"), raw_path)
+    ingest(spark, str(tmp_path / "b"), raw_path, str(tmp_path / "ck1"))
+    ingest(spark, str(tmp_path / "b"), raw_path, str(tmp_path / "ck2"))     # the checkpoint was lost
+    load_batch(spark, str(tmp_path / "a"), raw_path)
+    raw = spark.read.parquet(raw_path)
+    assert raw.count() == 3 and raw.select("ingest_load").distinct().count() == 3
+    assert sorted((r.station, r.pollutant_avg) for r in clean(raw).collect()) == [("A", "1"), ("B", "2")]
+
+
+def test_redelivery_with_other_pages_replaces_the_hour(spark, tmp_path):
+    from airlake.sources.landing import documents_from_records, write_landing
+
+    def hour(stations, value):
+        rows = [("2024-03-01 11:00:00", "India", "K", "B", s, "01-03-2024 11:00:00", "1.0", "2.0", "PM10", "1", "9", value) for s in stations]
+        names = "t string, country string, state string, city string, station string, last_update string, latitude string, longitude string, pollutant_id string, pollutant_min string, pollutant_max string, pollutant_avg string"
+        return spark.createDataFrame(rows, names).withColumn("index_record_ts", F.col("t").cast("timestamp_ntz")).drop("t")
+
+    landing, raw_path, ck = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "ck")
+    for names, value, at in (("S0 S1 S2 S3 S4 S5", "1", "2024-03-01 10:45:00"), ("S0 S1 S2 S3 S4", "2", "2024-03-01 11:45:00")):
+        docs = documents_from_records(hour(names.split(), value), limit=1, delivered_at=F.lit(at).cast("timestamp"))
+        assert docs.agg(F.max("count")).first()[0] == 1
+        write_landing(docs, landing)
+        write_landing(docs, landing)                                       # a repeated job lands nothing twice
+        ingest(spark, landing, raw_path, ck, framing="lines")
+    raw = spark.read.parquet(raw_path)
+    assert raw.count() == 11
+    want = [(f"S{i}", "2") for i in range(5)]
+    assert sorted((r.station, r.pollutant_avg) for r in clean(raw).collect()) == want
+    import datetime
+    assert sorted((r.station, r.pollutant_avg) for r in clean(raw, [datetime.date(2024, 3, 1)]).collect()) == want
+
+
+def test_a_page_beyond_the_total_is_kept(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    put(root, "2024_03_01", "p.json", document([record("A", "PM10", "1")], total=1) | {"offset": "1"})
+    raw = raw_of(spark, root).withColumn("id", F.monotonically_increasing_id())
+    assert clean(raw).count() == 1
+
+
+def test_errors_while_storing_are_raised(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    put(root, "2024_03_01", "a.json", document([record("A", "PM10", "1")]))
+    blocked = tmp_path / "raw"
+    blocked.write_text("a file where the table should be")
+    with pytest.raises(Exception):
+        ingest(spark, root, str(blocked), str(tmp_path / "ck"))
 
 
 def test_typed_document_reader(spark, tmp_path):
