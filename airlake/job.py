@@ -1,7 +1,7 @@
 """Job entry point: load new landing files and keep the tables fresh.
 
     spark-submit airlake/job.py --landing <dir> --lake <dir> [--framing file|lines]
-                                [--every "5 minutes"] [--full] [--target city_day]
+                                [--every "5 minutes"] [--full] [--target <table>]
 
 One run (default) loads every file not seen before and refreshes the days it touched;
 ``--every`` keeps a scheduled stream running instead; ``--full`` rebuilds all tables
@@ -28,24 +28,21 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a = p.parse_args(argv)
 
     from airlake.plans.graph import aqi_pipeline, incremental_refresh
-    from airlake.session import get_spark
+    from airlake.session import get_spark, read_if_there
     from airlake.streaming.ingest import ingest
 
     spark = spark or get_spark()
     lake = a.lake.rstrip("/")
     raw = f"{lake}/stage/raw"
     graph = aqi_pipeline(spark, lake, raw, weather_path=a.weather)
-    target = a.target or ("city_day_weather" if a.weather else "city_day")
-    on_batch = None if a.full else incremental_refresh(graph, target)
+    on_batch = None if a.full else incremental_refresh(graph, a.target)
     result = ingest(spark, a.landing, raw, f"{lake}/_checkpoints/ingest", framing=a.framing,
                     on_error=a.on_error, on_batch=on_batch, every=a.every)
     if a.every:
         result.awaitTermination()
         return 0
     if a.full:
-        try:
-            spark.read.parquet(raw)
-        except Exception:                                     # nothing was ever loaded
+        if read_if_there(spark, raw) is None:                 # nothing was ever loaded
             print("no raw data yet; nothing to refresh")
             return 0
         graph.refresh(a.target)

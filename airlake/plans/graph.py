@@ -2,15 +2,17 @@
 
 Each table is a builder ``(inputs, days) -> DataFrame`` over named input tables and is
 stored as Parquet under ``base/<name>``. ``refresh(target)`` rebuilds the target and
-everything it depends on, in dependency order. ``refresh(target, days=[...])`` rebuilds
-only the given days: day-partitioned tables overwrite just those partitions (dynamic
-partition overwrite). Unpartitioned tables (the dimensions) are rebuilt whole from their
-inputs every time: they are small, their scans read one to six columns, and a rebuild
-never reads the files it overwrites - a refresh that fails half-way is simply re-run.
+everything it depends on, in dependency order. ``refresh(target, days=[...])`` gives the
+same tables as a full rebuild would, from the given days: day-partitioned tables overwrite
+just those partitions, and a day that comes out empty is cleared. The location dimension is
+built from the stations of each day (``location_days``), not from the readings; the days of
+every location whose descriptions change join the scope of the tables behind it. It is
+written as a new version beside the old one, so readers and failures never meet half a table.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -19,13 +21,15 @@ from pyspark.sql import functions as F
 
 from airlake.plans import layers as L
 from airlake.plans import products as P
+from airlake.session import delete, file_system, read_if_there
 
 DAY = "measurement_date"
 
 # The layer of every table, and the table names SQL users query.
 LAYERS = {
     "raw": "stage", "clean_aqi": "clean", "clean_flatten": "clean", "aqi_wide": "consumption",
-    "date_dim": "consumption", "location_dim": "consumption", "air_quality_fact": "consumption",
+    "date_dim": "consumption", "location_days": "consumption", "location_dim": "consumption",
+    "air_quality_fact": "consumption",
     "city_hour": "consumption", "city_day": "consumption", "weather_data": "consumption",
     "city_day_weather": "consumption",
 }
@@ -38,6 +42,10 @@ SQL_NAMES = {
 }
 
 
+#: Days that one job of a full refresh takes on, which bounds what it broadcasts.
+REFRESH_DAYS = 31
+
+
 @dataclass
 class Table:
     name: str
@@ -45,47 +53,60 @@ class Table:
     build: Callable[[dict[str, DataFrame], Sequence | None], DataFrame] | None
     partition_by: str | None = DAY
     path: str = ""
+    show_day: bool = True              # the day column belongs to the table, not to its layout only
+    by_day_runs: bool = False          # a full refresh goes through the days of its (raw) input
 
 
 class TableGraph:
     def __init__(self, spark: SparkSession, base: str):
-        from airlake.session import shared_dir
-
         self.spark, self.base = spark, base.rstrip("/")
         self.tables: dict[str, Table] = {}
-        shared_dir(spark)  # checked broadcasts cut lineage with checkpoint()
 
     # -- registration ---------------------------------------------------------
     def source(self, name: str, path: str, partition_by: str | None = None) -> None:
         """An input table maintained elsewhere (raw load, weather snapshot)."""
         self.tables[name] = Table(name, [], None, partition_by, path=path)
 
-    def add(self, name: str, inputs: Sequence[str], build, partition_by: str | None = DAY) -> None:
+    def add(self, name: str, inputs: Sequence[str], build, partition_by: str | None = DAY, **more) -> None:
         missing = [i for i in inputs if i not in self.tables]
         if missing:
             raise KeyError(f"{name}: unknown inputs {missing}")
         layer = LAYERS.get(name, "consumption")
         self.tables[name] = Table(name, list(inputs), build, partition_by,
-                                  path=f"{self.base}/{layer}/{name}")
+                                  path=f"{self.base}/{layer}/{name}", **more)
 
     # -- access ---------------------------------------------------------------
-    def read(self, name: str, days: Sequence | None = None) -> DataFrame:
+    def read(self, name: str, days: Sequence | None = None, layout: bool = False) -> DataFrame:
+        """A stored table (of the given days, by partition); ``layout`` keeps a day column that
+        is not the table's own."""
         t = self.tables[name]
-        df = self.spark.read.parquet(t.path)
+        df = self.spark.read.parquet(self._current(t))
         if days is not None and t.partition_by == DAY:
-            df = df.filter(F.col(DAY).isin(list(days)))   # partition pruning
-        return df
+            df = df.filter(F.col(DAY).isin(list(days)) if len(days) else F.lit(False))
+        return df if layout or t.show_day else df.drop(DAY)
+
+    def _versions(self, t: Table) -> list[int]:
+        """Complete versions of an unpartitioned table, oldest first."""
+        fs, pattern = file_system(self.spark, f"{t.path}/version=*/_SUCCESS")
+        return sorted(int(x.getPath().getParent().getName().partition("=")[2]) for x in fs.globStatus(pattern) or [])
+
+    def _current(self, t: Table) -> str:
+        if t.partition_by or t.build is None:
+            return t.path
+        versions = self._versions(t)
+        return f"{t.path}/version={versions[-1]}" if versions else t.path
+
+    def stored(self, name: str) -> bool:
+        return read_if_there(self.spark, self._current(self.tables[name])) is not None
 
     def register_views(self, sql_names: dict[str, str] | None = None) -> list[str]:
         """Temp views over the stored tables, under the names SQL users know."""
         names = SQL_NAMES if sql_names is None else sql_names
         done = []
         for name in self.tables:
-            try:
+            if self.stored(name):
                 self.read(name).createOrReplaceTempView(names.get(name, name))
                 done.append(names.get(name, name))
-            except Exception:  # not built yet
-                pass
         return done
 
     def order(self, target: str | None = None) -> list[str]:
@@ -104,30 +125,93 @@ class TableGraph:
             visit(n)
         return [n for n in seen if self.tables[n].build is not None]
 
+    def ancestors(self, name: str) -> set[str]:
+        found: set[str] = set()
+        for i in self.tables[name].inputs:
+            found |= {i} | self.ancestors(i)
+        return found
+
     # -- refresh --------------------------------------------------------------
     def refresh(self, target: str | None = None, days: Sequence | None = None) -> list[str]:
-        done = []
-        for name in self.order(target):
+        """Rebuild ``target`` (all tables if None) and what it depends on; with ``days``, as far
+        as those days' input can have changed."""
+        return self._build(self.order(target), days)
+
+    def refresh_consumers(self, source: str, days: Sequence | None = None) -> list[str]:
+        """Rebuild the tables behind ``source``, of the given days, from stored inputs."""
+        names = [n for n in self.order() if source in self.ancestors(n)]
+        ready = [n for n in names if all(self.stored(i) or i in names for i in self.tables[n].inputs)]
+        return self._build(ready, days)
+
+    def _build(self, names: list[str], days: Sequence | None) -> list[str]:
+        wider = days
+        for name in names:
             t = self.tables[name]
-            # a day-restricted refresh narrows the inputs of day-partitioned tables only;
-            # whole tables (dimensions) are built from their whole inputs
-            scope = days if t.partition_by == DAY else None
-            inputs = {i: self.read(i, scope) for i in t.inputs}
-            df = t.build(inputs, scope)
-            self._write(df, t, incremental=scope is not None)
-            done.append(name)
-        return done
-
-    def _write(self, df: DataFrame, t: Table, incremental: bool) -> None:
-        # REBALANCE on the partition column: AQE sizes the write tasks by the day they
-        # hold (small days coalesced, big days split), so a day gets a few right-sized
-        # files instead of one file from every task
-        df = df.hint("rebalance", t.partition_by) if t.partition_by else df.hint("rebalance")
-        w = df.write.mode("overwrite")
-        if t.partition_by:
-            w = (w.option("partitionOverwriteMode", "dynamic" if incremental else "static")
-                  .partitionBy(t.partition_by))
-        w.parquet(t.path)
+            if t.partition_by == DAY:
+                behind = any(not self.tables[i].partition_by and self.tables[i].build for i in self.ancestors(name))
+                self._build_days(t, wider if behind else days)
+                continue
+            old = self.read(name) if days is not None and self.stored(name) else None
+            self._write_version(t, t.build({i: self.read(i, layout=True) for i in t.inputs}, None))
+            if days is not None:
+                wider = sorted({*wider, *self._days_of_changes(t, old)})
+        return list(names)
+
+    def _build_days(self, t: Table, days: Sequence | None) -> None:
+        runs: list = [days]
+        if days is None and t.by_day_runs:
+            every = self._raw_days(self.tables[t.inputs[0]])
+            if every is not None:
+                self._clear(t, [d for d in self._stored_days(t) if d not in set(every)])
+                runs = [every[k: k + REFRESH_DAYS] for k in range(0, len(every), REFRESH_DAYS)] or [[]]
+        for run in runs:
+            inputs = {i: self.read(i, run, layout=True) for i in t.inputs}
+            before = self._files(t, run)
+            df = t.build(inputs, run)
+            # REBALANCE on the partition column: AQE sizes the write tasks by the day they
+            # hold, so a day gets a few right-sized files instead of one file from every task
+            (df.hint("rebalance", DAY).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static" if run is None else "dynamic")
+             .partitionBy(DAY).parquet(t.path))
+            # an overwritten day has new files; one that kept its files got no rows
+            after = self._files(t, run)
+            self._clear(t, [d for d, files in before.items() if files and after[d] == files])
+
+    def _files(self, t: Table, days: Sequence | None) -> dict:
+        """File names of each given day's partition."""
+        out = {}
+        for d in days or []:
+            fs, folder = file_system(self.spark, f"{t.path}/{DAY}={d}")
+            out[d] = {x.getPath().getName() for x in fs.listStatus(folder)} if fs.exists(folder) else set()
+        return out
+
+    def _stored_days(self, t: Table, column: str = DAY) -> list:
+        fs, pattern = file_system(self.spark, f"{t.path}/{column}=*")
+        names = [x.getPath().getName().partition("=")[2] for x in fs.globStatus(pattern) or []]
+        return sorted(datetime.date.fromisoformat(n) for n in names if n[:1].isdigit())
+
+    def _raw_days(self, t: Table) -> list | None:
+        """Record days of the raw table; None if it is not stored by day."""
+        return self._stored_days(t, L.RAW_DAY) or None
+
+    def _clear(self, t: Table, days: Sequence) -> None:
+        for d in days:
+            delete(self.spark, f"{t.path}/{DAY}={d}")
+
+    def _write_version(self, t: Table, df: DataFrame) -> None:
+        """A new version beside the current one; the one before that goes."""
+        versions = self._versions(t)
+        new = versions[-1] + 1 if versions else 0
+        df.hint("rebalance").write.mode("overwrite").parquet(f"{t.path}/version={new}")
+        for old in versions[:-1]:
+            delete(self.spark, f"{t.path}/version={old}")
+
+    def _days_of_changes(self, t: Table, old: DataFrame | None) -> list:
+        """Days of the locations whose descriptions the new version changes."""
+        new = self.read(t.name)
+        changed = new if old is None else new.exceptAll(old).unionByName(old.exceptAll(new))
+        days = self.read(t.inputs[0], layout=True)
+        return [r[0] for r in days.join(changed.select("location_pk").distinct(), "location_pk").select(DAY).distinct().collect()]
 
 
 def _with_day(df: DataFrame, time_col: str) -> DataFrame:
@@ -144,28 +228,31 @@ def aqi_pipeline(spark: SparkSession, base: str, raw_path: str, weather_path: st
     g = TableGraph(spark, base)
     g.source("raw", raw_path)
     g.add("clean_aqi", ["raw"],
-          lambda t, d: _with_day(L.clean(t["raw"], d, strict=strict), "index_record_ts"))
+          lambda t, d: _with_day(L.clean(t["raw"], d, strict=strict), "index_record_ts"), by_day_runs=True)
     g.add("clean_flatten", ["clean_aqi"],
           lambda t, d: _with_day(P.clean_flatten(t["clean_aqi"], numeric_max), "index_record_ts"))
     g.add("aqi_wide", ["clean_flatten"],
           lambda t, d: _with_day(P.aqi_wide(t["clean_flatten"].drop(DAY)), "index_record_ts"))
-    g.add("date_dim", ["clean_flatten"], lambda t, d: P.date_dim(t["clean_flatten"]), partition_by=None)
-    g.add("location_dim", ["clean_flatten"], lambda t, d: P.location_dim(t["clean_flatten"]),
-          partition_by=None)
+    g.add("date_dim", ["clean_flatten"], lambda t, d: _with_day(P.date_dim(t["clean_flatten"]), "measurement_time"),
+          show_day=False)
+    g.add("location_days", ["clean_flatten"], lambda t, d: P.location_days(t["clean_flatten"]))
+    g.add("location_dim", ["location_days"], lambda t, d: t["location_days"].drop(DAY).distinct(), partition_by=None)
     g.add("air_quality_fact", ["clean_flatten"], lambda t, d: P.air_quality_fact(t["clean_flatten"]))
     g.add("city_hour", ["air_quality_fact", "date_dim", "location_dim"],
-          lambda t, d: _with_day(P.city_hour(t["air_quality_fact"], t["date_dim"], t["location_dim"],
+          lambda t, d: _with_day(P.city_hour(t["air_quality_fact"], t["date_dim"].drop(DAY), t["location_dim"],
                                              round_inputs=round_inputs), "measurement_time"))
     g.add("city_day", ["city_hour"], lambda t, d: P.city_day(t["city_hour"].drop(DAY)))
     if weather_path:
         g.source("weather_data", weather_path, partition_by=None)
         g.add("city_day_weather", ["city_day", "weather_data"],
-              lambda t, d: P.city_day_weather(t["city_day"], t["weather_data"]))
+              lambda t, d: P.city_day_weather(t["city_day"], t["weather_data"] if d is None else
+                                              t["weather_data"].filter(F.col("measurement_dt").isin(list(d)) if len(d) else F.lit(False))))
     return g
 
 
-def incremental_refresh(graph: TableGraph, target: str = "city_day") -> Callable[[int, list], None]:
-    """An ``on_batch`` callback for ``ingest``: refresh the days a batch touched."""
+def incremental_refresh(graph: TableGraph, target: str | None = None) -> Callable[[int, list], None]:
+    """An ``on_batch`` callback for ``ingest``: refresh the days a batch touched, in all tables
+    or as far as ``target``."""
     def on_batch(batch_id: int, days: list) -> None:
         if days:
             graph.refresh(target, days=days)
@@ -174,13 +261,20 @@ def incremental_refresh(graph: TableGraph, target: str = "city_day") -> Callable
 
 # -- weather snapshot (CTAS) and daily append ------------------------------------
 
-def snapshot_weather(weather: DataFrame, path: str) -> None:
-    """Replace the weather table with ``weather`` (create-or-replace)."""
+def snapshot_weather(weather: DataFrame, path: str, graph: TableGraph | None = None) -> None:
+    """Replace the weather table with ``weather`` (create-or-replace); ``graph``: then rebuild
+    the tables behind it."""
     weather.hint("rebalance", "measurement_dt").write.mode("overwrite") \
         .option("partitionOverwriteMode", "static").partitionBy("measurement_dt").parquet(path)
+    if graph is not None:
+        graph.refresh_consumers("weather_data")
 
 
-def append_weather_day(weather_day: DataFrame, path: str) -> None:
-    """Add one day's rows; re-running for the same day replaces that day (idempotent)."""
+def append_weather_day(weather_day: DataFrame, path: str, graph: TableGraph | None = None) -> None:
+    """Add one day's rows; re-running for the same day replaces that day (idempotent).
+    ``graph``: then refresh that day in the tables behind the weather."""
     weather_day.hint("rebalance", "measurement_dt").write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("measurement_dt").parquet(path)
+    if graph is not None:
+        days = [r[0] for r in weather_day.select("measurement_dt").distinct().collect()]
+        graph.refresh_consumers("weather_data", days)

@@ -72,6 +72,12 @@ def location_dim(flat: DataFrame) -> DataFrame:
             .select(surrogate_key("latitude", "longitude").alias("location_pk"), *LOCATION_COLUMNS))
 
 
+def location_days(flat: DataFrame) -> DataFrame:
+    """Station descriptions of each day, keyed as in the location dimension."""
+    return (flat.select(F.to_date("index_record_ts").alias("measurement_date"), *LOCATION_COLUMNS).distinct()
+            .select("measurement_date", surrogate_key("latitude", "longitude").alias("location_pk"), *LOCATION_COLUMNS))
+
+
 def air_quality_fact(flat: DataFrame, with_date: bool = True) -> DataFrame:
     """Station-hour facts keyed by hashes of (time, coordinates).
 

@@ -25,23 +25,18 @@ def _bind(df: DataFrame, selection, on: dict[str, F.Column] | None = None) -> Da
     """Keep the rows of ``df`` that match ``selection``.
 
     ``selection`` is either a dict of literal values or a one-row DataFrame (e.g. the
-    default selection computed on the cluster); the one-row frame is broadcast - its
-    size is fixed - so no value travels through the driver. ``on`` maps a selection
-    column to the expression of ``df`` it is compared with (default: the same column).
+    default selection computed on the cluster). The frame's values are scalar subqueries, so
+    none travels through the driver, and a frame of several rows is an error rather than a
+    join that multiplies rows. ``on`` maps a selection column to the expression of ``df`` it is
+    compared with (default: the same column).
     """
     on = on or {}
-    if isinstance(selection, dict):
-        cond = None
-        for k, v in selection.items():
-            c = on.get(k, F.col(k)) == F.lit(v)
-            cond = c if cond is None else cond & c
-        return df.filter(cond) if cond is not None else df
-    sel = selection.select(*[F.col(c).alias(f"__sel_{c}") for c in selection.columns])
-    cond = None
-    for c in selection.columns:
-        e = (on[c] if c in on else df[c]) == F.col(f"__sel_{c}")
-        cond = e if cond is None else cond & e
-    return df.join(F.broadcast(sel), cond, "inner").drop(*sel.columns)
+    names = list(selection) if isinstance(selection, dict) else selection.columns
+    cond = F.lit(True)
+    for k in names:
+        value = F.lit(selection[k]) if isinstance(selection, dict) else selection.select(k).scalar()
+        cond &= (on[k] if k in on else df[k]) == value
+    return df.filter(cond)
 
 
 # -- default selections (the first item of every picker), as one-row frames ---
