@@ -30,7 +30,7 @@ from airlake.plans import layers as L  # noqa: E402
 from airlake.plans import products as P  # noqa: E402
 from airlake.plans import views as V  # noqa: E402
 from airlake.schemas import FEED_TS_FORMAT, WIDE_COLUMNS  # noqa: E402
-from airlake.session import shared_dir  # noqa: E402
+from airlake.session import file_system, shared_dir  # noqa: E402
 from airlake.sources import landing as LD  # noqa: E402
 from airlake.sources import testbed as TB  # noqa: E402
 from airlake.streaming.ingest import ingest  # noqa: E402
@@ -40,7 +40,9 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Parameters of the registered views (dates of the adapter are 1995..2001 year starts).
 SERIES_START, SERIES_END = "1996-01-01", "1999-12-31"
 WEATHER_START, WEATHER_AS_OF = "1995-01-01", "2001-12-31"
-WEATHER_DAY = "1998-01-01"
+WEATHER_DAY, WEATHER_BEFORE = "1998-01-01", "1997-12-31"
+# The one place whose days the enriched table holds.
+PLACE = ("ASIA", "NATION 7", "NATION_7-C1")
 
 
 # ---------------------------------------------------------------------------
@@ -195,8 +197,12 @@ def q_event_hours(spark, d):
 
 
 def q_weather_snapshot(spark, d):
+    """Create-or-replace, over an older table, and read back."""
+    path = _scratch(spark, "weather") + "/weather"
     src = TB.weather_source(spark, d)
-    return P.weather_data(src, "ASIA", WEATHER_START, WEATHER_AS_OF, labels=("India", "Delhi", "Delhi"))
+    G.snapshot_weather(P.weather_data(src, "EUROPE", labels=("India", "Delhi", "Delhi")), path)
+    G.snapshot_weather(P.weather_data(src, "ASIA", WEATHER_START, WEATHER_AS_OF, labels=("India", "Delhi", "Delhi")), path)
+    return spark.read.parquet(path).select("country", "state", "city", "measurement_dt", "temperature_in_f")
 
 
 def q_weather_stage(spark, d):
@@ -206,8 +212,14 @@ def q_weather_stage(spark, d):
 
 
 def q_weather_append(spark, d):
+    """A stored table up to a day, that day appended twice, read back."""
+    path = _scratch(spark, "weather") + "/weather"
     src = TB.weather_source(spark, d)
-    return P.weather_data(src, "ASIA", WEATHER_DAY, WEATHER_DAY, labels=("India", "Delhi", "Delhi"))
+    data = lambda start, end: P.weather_data(src, "ASIA", start, end, labels=("India", "Delhi", "Delhi"))
+    G.snapshot_weather(data(WEATHER_START, WEATHER_BEFORE), path)
+    for _ in range(2):
+        G.append_weather_day(data(WEATHER_DAY, WEATHER_DAY), path)
+    return spark.read.parquet(path).select("country", "state", "city", "measurement_dt", "temperature_in_f")
 
 
 def _day_weather(spark, d):
@@ -338,6 +350,64 @@ def q_refresh_incremental(spark, d):
     return g.read("city_day")
 
 
+def q_landing_redelivery(spark, d):
+    """Hours 00-02 delivered again with other pages and without some stations; hour 05 comes
+    late, in a file dated 30 days before the others. Each load takes what is new."""
+    run = _scratch(spark, "redelivery")
+    landing, raw = f"{run}/landing", f"{run}/raw"
+    records, hour = TB.feed_records(spark, d), F.hour("index_record_ts")
+
+    def load(rows, limit, at):
+        LD.write_landing(LD.documents_from_records(rows, limit, F.lit(at).cast("timestamp")), landing)
+
+    load(records.filter(hour != 5), 500, "2024-03-01 10:45:00")
+    ingest(spark, landing, raw, f"{run}/checkpoint", framing="lines")
+    load(records.filter(hour == 5), LD.PAGE_LIMIT, "2024-02-01 10:45:00")
+    fs, pattern = file_system(spark, f"{landing}/landing_day=2024_02_01/*/*.json.gz")
+    for file in fs.globStatus(pattern):
+        fs.setTimes(file.getPath(), file.getModificationTime() - 30 * 86_400_000, -1)
+    load(redelivered(records).filter(~F.col("station").endswith("5")), 700, "2024-03-02 10:45:00")
+    ingest(spark, landing, raw, f"{run}/checkpoint", framing="lines")
+    c = L.clean(spark.read.parquet(raw))
+    return c.select("index_record_ts", "country", "state", "city", "station", "latitude", "longitude",
+                    "pollutant_id", "pollutant_max", "pollutant_min", "pollutant_avg")
+
+
+def renamed(records: DataFrame) -> DataFrame:
+    """Hours 00-02 with every station of a city number 1 moved into city number 9, its
+    coordinates kept."""
+    return records.filter(F.hour("index_record_ts") < 3).withColumn("city", F.regexp_replace("city", "-C1$", "-C9"))
+
+
+def q_refresh_renamed_station(spark, d):
+    """Full build, then a re-delivery that renames the city of some stations."""
+    run = _scratch(spark, "renamed")
+    landing, raw = f"{run}/landing", f"{run}/raw"
+    g = G.aqi_pipeline(spark, f"{run}/tables", raw)
+    records = TB.feed_records(spark, d)
+    _deliver(spark, records, landing, "2024-03-01 10:45:00")
+    ingest(spark, landing, raw, f"{run}/checkpoint", framing="lines")
+    g.refresh("city_day")
+    _deliver(spark, renamed(records), landing, "2024-03-02 10:45:00")
+    ingest(spark, landing, raw, f"{run}/checkpoint", framing="lines", on_batch=G.incremental_refresh(g, "city_day"))
+    return g.read("city_day")
+
+
+def q_delhi_day(spark, d):
+    """The day level of one place with the weather stamped with that place's names, through the
+    stored tables: weather first, then the feed, then one more weather day."""
+    run = _scratch(spark, "place-day")
+    landing, raw, weather = f"{run}/landing", f"{run}/raw", f"{run}/weather"
+    src = TB.weather_source(spark, d)
+    data = lambda start, end: P.weather_data(src, "ASIA", start, end, labels=PLACE, agg_per_day=True)
+    G.snapshot_weather(data(WEATHER_START, WEATHER_BEFORE), weather)
+    g = G.aqi_pipeline(spark, f"{run}/tables", raw, weather_path=weather)
+    _deliver(spark, TB.feed_records(spark, d), landing, "2024-03-01 10:45:00")
+    ingest(spark, landing, raw, f"{run}/checkpoint", framing="lines", on_batch=G.incremental_refresh(g, "city_day_weather"))
+    G.append_weather_day(data(WEATHER_DAY, WEATHER_DAY), weather, g)
+    return _r6(g.read("city_day_weather"), ["temperature_in_f"])
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pivot_pollutants": q_pivot_pollutants,
     "clean_flatten": q_clean_flatten,
@@ -378,6 +448,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_key_duplicates": q_location_key_duplicates,
     "landing_roundtrip": q_landing_roundtrip,
     "refresh_incremental": q_refresh_incremental,
+    "landing_redelivery": q_landing_redelivery,
+    "refresh_renamed_station": q_refresh_renamed_station,
+    "delhi_day": q_delhi_day,
 }
 
 
@@ -649,7 +722,7 @@ _ORACLE: dict[str, str] = {
     "weather_append": _with(_WSRC) + (
         "SELECT 'India' AS country, 'Delhi' AS state, 'Delhi' AS city, date_valid_std AS measurement_dt, "
         "avg_temperature_air_2m_f AS temperature_in_f FROM wsrc WHERE country = 'ASIA' "
-        f"AND date_valid_std = DATE '{WEATHER_DAY}'"),
+        f"AND date_valid_std BETWEEN DATE '{WEATHER_START}' AND DATE '{WEATHER_DAY}'"),
     "weather_join": _with(*_DAY_CTES, _WSRC, _DAY_WEATHER) + "SELECT * FROM day_weather",
     "series_between": _with(*_DAY_CTES, _WSRC, _DAY_WEATHER) + (
         "SELECT measurement_date, aqi, temperature_in_f FROM day_weather "
@@ -686,6 +759,19 @@ _ORACLE: dict[str, str] = {
     "landing_roundtrip": _with(_READINGS) + "SELECT * FROM readings",
     "refresh_incremental": _with(_READINGS.replace("readings AS", "readings_v1 AS", 1), _READINGS_V2,
                                  *_DAY_CTES[1:]) + "SELECT * FROM day_level",
+    "landing_redelivery": _with(_READINGS.replace("readings AS", "readings_v1 AS", 1), _READINGS_V2) + (
+        "SELECT * FROM readings WHERE hour(index_record_ts) >= 3 OR right(station, 1) <> '5'"),
+    "refresh_renamed_station": _with(
+        _READINGS.replace("readings AS", "readings_v1 AS", 1),
+        "readings AS (SELECT * REPLACE (CASE WHEN hour(index_record_ts) < 3 THEN regexp_replace(city, '-C1$', '-C9') "
+        "ELSE city END AS city) FROM readings_v1)", *_DAY_CTES[1:]) + "SELECT * FROM day_level",
+    "delhi_day": _with(*_DAY_CTES, _WSRC) + (
+        "SELECT a.measurement_date, a.country, a.state, a.city, " + _r(f"a.{c}" for c in _W)
+        + ", round(t.f, 6) AS temperature_in_f, a.prominent_pollutant, a.aqi FROM day_level a JOIN "
+          "(SELECT date_valid_std AS day, avg(avg_temperature_air_2m_f) AS f FROM wsrc WHERE country = 'ASIA' "
+          f"AND date_valid_std BETWEEN DATE '{WEATHER_START}' AND DATE '{WEATHER_DAY}' GROUP BY date_valid_std) t "
+          "ON a.measurement_date = t.day "
+          f"WHERE a.country = '{PLACE[0]}' AND a.state = '{PLACE[1]}' AND a.city = '{PLACE[2]}'"),
     "location_key_duplicates": _with(_READINGS, _PIVOTED, _FLAT, _LOCS) + (
         "SELECT latitude, longitude, count(*) AS descriptions, min(station) AS first_station, "
         "max(station) AS last_station FROM locs GROUP BY latitude, longitude HAVING count(*) > 1"),
@@ -698,7 +784,7 @@ _ORACLE: dict[str, str] = {
 
 # queries whose output carries the coordinates (decimal in the tables, double when presented)
 _WITH_COORDS = {"pivot_pollutants", "clean_flatten", "aqi_wide", "sub_index_count", "location_dim",
-                "star_fact", "station_trend", "landing_roundtrip", "location_key_duplicates"}
+                "star_fact", "station_trend", "landing_roundtrip", "landing_redelivery", "location_key_duplicates"}
 
 
 def _present_sql(name: str, sql: str) -> str:
