@@ -60,8 +60,10 @@ class _Star:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.readings = TB.readings(spark, sf_dir)
         self.flat = P.clean_flatten(self.readings)
-        self.dates = P.date_dim(self.flat)
-        self.locations = P.location_dim(self.flat)
+        # the dimensions' columns come straight from the readings: same rows, no pivot
+        named = self.readings.withColumn("state", F.replace("state", F.lit("_"), F.lit(" ")))
+        self.dates = P.date_dim(named)
+        self.locations = P.location_dim(named)
         self.fact = P.air_quality_fact(self.flat)
 
     def city_hour(self, **kw) -> DataFrame:
@@ -260,8 +262,9 @@ def q_picker_hour_states(spark, d):
 
 def q_picker_hour_dates(spark, d):
     """Days of the default (state, city) in the hour-level table, latest first."""
-    hl = _Star(spark, d).city_hour()
-    return V.picker_dates(hl, selection=V.default_city_day(hl).select("state", "city"))
+    s = _Star(spark, d)
+    hl = s.city_hour()
+    return V.picker_dates(hl, selection=V.default_city_day(hl, s.locations).select("state", "city"))
 
 
 def q_picker_dates(spark, d):
@@ -291,12 +294,14 @@ def q_chart_map(spark, d):
 
 
 def q_city_trend(spark, d):
-    hl = _Star(spark, d).city_hour()
-    return _r6(V.city_trend(hl, V.default_city_day(hl)), WIDE_COLUMNS)
+    s = _Star(spark, d)
+    hl = s.city_hour()
+    return _r6(V.city_trend(hl, V.default_city_day(hl, s.locations)), WIDE_COLUMNS)
 
 
 def q_top10_latest_day(spark, d):
-    return V.top_cities_latest_day(_Star(spark, d).city_day(), 10)
+    s = _Star(spark, d)
+    return V.top_cities_latest_day(s.city_day(), 10, s.dates)
 
 
 def q_location_key_duplicates(spark, d):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from airlake.functions import calendar, na_to_zero, surrogate_key, with_aqi
 from airlake.operators import pivot_max
-from airlake.schemas import MISSING, POLLUTANT_COLUMNS, STATION_KEYS, WIDE_COLUMNS
+from airlake.schemas import MISSING, POLLUTANT_COLUMNS, STATION_KEYS, STORED_COLUMNS, WIDE_COLUMNS
 
 
 def pivot_pollutants(clean: DataFrame, numeric: bool = False) -> DataFrame:
@@ -50,7 +50,7 @@ def aqi_wide(flat: DataFrame) -> DataFrame:
     cal = calendar("index_record_ts")
     out = flat.select(
         "index_record_ts", *[v.alias(k) for k, v in cal.items()],
-        "country", "state", "city", "station", "latitude", "longitude", *WIDE_COLUMNS,
+        "country", "state", "city", "station", "latitude", "longitude", *STORED_COLUMNS,
     )
     return with_aqi(out)
 
@@ -88,7 +88,7 @@ def air_quality_fact(flat: DataFrame, with_date: bool = True) -> DataFrame:
         surrogate_key("index_record_ts", "latitude", "longitude").alias("aqi_pk"),
         surrogate_key("index_record_ts").alias("date_fk"),
         surrogate_key("latitude", "longitude").alias("location_fk"),
-        *WIDE_COLUMNS,
+        *STORED_COLUMNS,
     ]
     if with_date:
         cols.append(F.to_date("index_record_ts").alias("measurement_date"))
@@ -115,7 +115,7 @@ def city_hour(fact: DataFrame, dates: DataFrame, locations: DataFrame,
     the fractions (see README, "whole-number rule arguments").
     """
     s = star(fact, dates, locations)
-    agg = s.groupBy("measurement_time", *keys).agg(*[F.avg(c).alias(c) for c in WIDE_COLUMNS])
+    agg = s.groupBy("measurement_time", *keys).agg(*[F.avg(c).alias(c) for c in STORED_COLUMNS])
     return with_aqi(agg, round_inputs=round_inputs)
 
 
@@ -128,7 +128,7 @@ def city_day(hour_level: DataFrame) -> DataFrame:
     """Day averages of the hourly city averages, rounded; prominent pollutant and AQI."""
     agg = (hour_level.groupBy(F.to_date("measurement_time").alias("measurement_date"),
                               "country", "state", "city")
-           .agg(*[round_avg(c).alias(c) for c in WIDE_COLUMNS]))
+           .agg(*[round_avg(c).alias(c) for c in STORED_COLUMNS]))
     return with_aqi(agg)
 
 
@@ -173,5 +173,5 @@ def city_day_weather(day_level: DataFrame, weather: DataFrame) -> DataFrame:
             F.col("a.city") == F.col("t.city")]
     return a.join(t, cond, "inner").select(
         "a.measurement_date", "a.country", "a.state", "a.city",
-        *[f"a.{c}" for c in ["pm10_avg", "pm25_avg", "so2_avg", "no2_avg", "nh3_avg", "co_avg", "o3_avg"]],
+        *[f"a.{c}" for c in STORED_COLUMNS],
         "t.temperature_in_f", "a.prominent_pollutant", "a.aqi")

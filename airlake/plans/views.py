@@ -53,10 +53,16 @@ def default_day(table: DataFrame, time_col: str = "measurement_time") -> DataFra
     return table.agg(F.max(F.to_date(time_col)).alias("measurement_date"))
 
 
-def default_city_day(hour_level: DataFrame) -> DataFrame:
-    """state, city, then day - each the first of its descending picker - one aggregate."""
-    top = hour_level.agg(F.max(F.struct("state", "city", F.to_date("measurement_time").alias("d"))).alias("s"))
-    return top.select("s.state", "s.city", F.col("s.d").alias("measurement_date"))
+def default_city_day(hour_level: DataFrame, locations: DataFrame | None = None) -> DataFrame:
+    """state, city, then day - each the first of its descending picker. With ``locations`` the
+    place comes from that small table, and only its rows of the hour level are looked at."""
+    if locations is None:
+        top = hour_level.agg(F.max(F.struct("state", "city", F.to_date("measurement_time").alias("d"))).alias("s"))
+        return top.select("s.state", "s.city", F.col("s.d").alias("measurement_date"))
+    place = locations.agg(F.max(F.struct("state", "city")).alias("s"))
+    mine = _bind(hour_level, place.select("s.state", "s.city"))
+    return mine.agg(F.max("state").alias("state"), F.max("city").alias("city"),
+                    F.max(F.to_date("measurement_time")).alias("measurement_date"))
 
 
 # -- pickers -----------------------------------------------------------------
@@ -140,10 +146,17 @@ def city_trend(hour_level: DataFrame, state, city=None, day=None) -> DataFrame:
 
 # -- latest slices -----------------------------------------------------------
 
-def top_cities_latest_day(day_level: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` worst cities (by AQI) of the latest day; ties broken by state, city."""
-    top = top_n_on_latest(day_level, "measurement_date", n,
-                          [F.col("aqi").desc(), F.col("state").asc(), F.col("city").asc()])
+def top_cities_latest_day(day_level: DataFrame, n: int = 10, dates: DataFrame | None = None) -> DataFrame:
+    """The ``n`` worst cities (by AQI) of the latest day; ties broken by state, city.
+
+    With ``dates`` the latest day comes from the date dimension, so a day level that is not
+    stored is computed for that day only.
+    """
+    order = [F.col("aqi").desc(), F.col("state").asc(), F.col("city").asc()]
+    if dates is None:
+        top = top_n_on_latest(day_level, "measurement_date", n, order)
+    else:
+        top = day_level.filter(F.col("measurement_date") == default_day(dates).scalar()).orderBy(*order).limit(n)
     return top.select("state", "city", *WIDE_COLUMNS, "prominent_pollutant", "aqi")
 
 

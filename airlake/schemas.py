@@ -21,6 +21,8 @@ POLLUTANT_COLUMNS = {
 # the prominent rule returns for each argument (ties go to the earlier one).
 PROMINENT_LABELS = ["PM25", "PM10", "SO2", "NO2", "NH3", "CO", "O3"]
 WIDE_COLUMNS = ["pm25_avg", "pm10_avg", "so2_avg", "no2_avg", "nh3_avg", "co_avg", "o3_avg"]
+# Order of the averages in the wide table, the fact and the rollups.
+STORED_COLUMNS = ["pm10_avg", "pm25_avg", "so2_avg", "no2_avg", "nh3_avg", "co_avg", "o3_avg"]
 # Sentinel the feed uses for a missing reading.
 MISSING = "NA"
 # Timestamp pattern of record.last_update.
