@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 #: Production parameters: new tokens per window, and repeated turns before them.
 SPAN_TOKENS, HISTORY = 512, 2
-TOKEN = r"\S+"
+TOKEN = r"[^\x20\x09-\x0D]+"
 _TURN = r"(?s)### ((?:[^\\\n]++|\\.)*+)\n((?:[^\\<]++|\\.)*+)</turn>\n"
 
 
@@ -99,3 +99,27 @@ def digests(formatted: DataFrame) -> DataFrame:
     """``read_back`` with digests in place of the texts."""
     return read_back(formatted).select("conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
                                        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+#: ``digests(windows(...))`` of ``conversations`` and one more conversation in DuckDB SQL.
+ORACLE = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls last, role, text) as place,
+  len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as tokens from turns),
+spanned as (select *, place = 1 and role = 'system' as retained,
+  coalesce(sum(case when place = 1 and role = 'system' then 0 else tokens end)
+    over (partition by conv_id order by place rows between unbounded preceding and 1 preceding), 0) // 512 as span,
+  length('### ' || regexp_replace(role, '([\\#<' || chr(10) || '])', '\\\1', 'g') || ' ' || regexp_replace(text, '([\\#<])', '\\\1', 'g') || '</turn> ') as chars
+  from placed),
+used as (select *, case when retained then (select count(distinct s.span) from spanned s where s.conv_id is not distinct from x.conv_id)
+  else 1 + coalesce(cast(lead(span, 1) over w <> span as int), 0)
+    + coalesce(cast(lead(span, 2) over w <> span and lead(span, 2) over w <> lead(span, 1) over w as int), 0) end as uses
+  from spanned x window w as (partition by conv_id order by place))
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by place) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars * uses) as bigint) as formatted_chars
+from used group by conv_id
+"""

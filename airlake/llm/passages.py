@@ -260,3 +260,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([r[2].decode() for r in rows], pa.string()), pa.array([r[0] for r in rows], pa.int64()),
                                            pa.array([r[1] for r in rows], pa.int64())], names=["doc_id", "text", "n_words", "n_removed"])
     return _passes(docs, finish, "doc_id long, text string, n_words long, n_removed long")
+
+
+#: ``digests`` of ``documents`` in DuckDB SQL.
+ORACLE = r"""
+with texts as (select row_number() over () as row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+places as (select row_id, unnest(range(1, len(w) + 1)) as p, w from texts),
+words as (select row_id, p, w[p] as word, case when p + 34 <= len(w) then md5(array_to_string(w[p:p + 34], ' ')) end as passage from places),
+counted as (select *, passage is not null and count(*) over (partition by passage) > 1 as again from words),
+covered as (select *, bool_or(again) over (partition by row_id order by p rows between 34 preceding and current row) as gone from counted),
+kept as (select row_id, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by p) filter (not gone) as kept from covered group by row_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts left join kept using (row_id)
+"""
