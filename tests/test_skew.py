@@ -60,3 +60,15 @@ def test_hot_city_rollup(spark):
     assert len(hot) == 1
     plan = ch._jdf.queryExecution().executedPlan().toString()
     assert "partial_avg" in plan
+
+
+def test_landing_pages_are_strict_for_one_hot_station(spark):
+    """One station holding every record of an hour is cut into pages of at most the limit."""
+    from airlake.sources.landing import documents_from_records
+    r = TB.feed_records(spark, SF_SMALL)
+    hot = r.withColumns({c: F.lit("HOT") for c in ("country", "state", "city", "station")}).withColumns({"latitude": F.lit("1"), "longitude": F.lit("2")})
+    docs = documents_from_records(hot, limit=37)
+    got = docs.agg(F.max("count").alias("most"), F.sum("count").alias("records"), F.countDistinct("total", "offset", F.col("records")[0]["last_update"]).alias("pages"), F.count("*").alias("n")).first()
+    assert got.most <= 37 and got.records == r.count() and got.pages == got.n
+    per_hour = hot.groupBy("index_record_ts").count().select(F.ceil(F.col("count") / 37).alias("p")).agg(F.sum("p")).first()[0]
+    assert got.n == per_hour
