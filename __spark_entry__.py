@@ -413,6 +413,40 @@ def q_delhi_day(spark, d):
     return _r6(g.read("city_day_weather"), ["temperature_in_f"])
 
 
+def _document_files(spark, d) -> str:
+    """One file per document, the feed's own framing, in dated folders; the first time stamp of
+    every seventh hour's document cannot be read."""
+    landing = _scratch(spark, "documents") + "/landing"
+    records = TB.event_records(spark, d)
+    spoiled = F.when(F.hour("index_record_ts") % 7 == 0, F.date_format("index_record_ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.col("last_update"))
+    docs = LD.documents_from_records(records.withColumn("last_update", spoiled), delivered_at=F.lit("2024-03-01 10:45:00").cast("timestamp"))
+    stamp = F.col("records")[0]["last_update"]
+    hour = F.coalesce(feed_ts(stamp), F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"))
+    files = docs.drop("landing_day", "landing_name").withColumns({
+        "landing_day": F.date_format(hour, "yyyy_MM_dd"), "landing_name": F.concat_ws("_", F.date_format(hour, "HH"), F.col("offset"))})
+    LD.write_landing(files, landing)
+    return landing
+
+
+def q_document_files(spark, d):
+    """Files of one document each, bad ones skipped: header fields and the second record."""
+    landing = _document_files(spark, d)
+    raw = landing + "-raw"
+    ingest(spark, landing, raw, landing + "-checkpoint", framing="file", on_error="skip")
+    return L.doc_field_sample(spark.read.parquet(raw), 1).select(
+        "record_count", "count", "record_ts", "country", "state", "city", "station", "pollutant_id", "pollutant_avg")
+
+
+def q_landing_inventory(spark, d):
+    """Files of each dated folder, and the documents that a lenient read finds in them."""
+    landing = _document_files(spark, d)
+    day = F.regexp_extract("path", "landing_day=([0-9_]+)", 1)
+    files = LD.list_landing(spark, landing).groupBy(day.alias("landing_day")).agg(F.count("*").alias("files"))
+    good = LD.raw_documents(LD.read_landing(spark, landing), on_error="skip").groupBy(
+        F.date_format("landing_date", "yyyy_MM_dd").alias("landing_day")).agg(F.count("*").alias("documents"), F.sum("record_count").alias("records"))
+    return files.join(good, "landing_day", "left")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pivot_pollutants": q_pivot_pollutants,
     "clean_flatten": q_clean_flatten,
@@ -456,6 +490,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_redelivery": q_landing_redelivery,
     "refresh_renamed_station": q_refresh_renamed_station,
     "delhi_day": q_delhi_day,
+    "document_files": q_document_files,
+    "landing_inventory": q_landing_inventory,
 }
 
 
@@ -770,6 +806,21 @@ _ORACLE: dict[str, str] = {
         _READINGS.replace("readings AS", "readings_v1 AS", 1),
         "readings AS (SELECT * REPLACE (CASE WHEN hour(index_record_ts) < 3 THEN regexp_replace(city, '-C1$', '-C9') "
         "ELSE city END AS city) FROM readings_v1)", *_DAY_CTES[1:]) + "SELECT * FROM day_level",
+    "document_files": (
+        "WITH e AS (SELECT date_trunc('hour', ts) AS h, event_type AS state, 'user-' || (user_id % 10) AS city, "
+        "CAST(event_id AS VARCHAR) AS station, CAST(CAST(trunc(value) AS INTEGER) AS VARCHAR) AS v FROM events), "
+        "r AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY state, city, station) AS n, "
+        "count(*) OVER (PARTITION BY h) AS c FROM e) "
+        "SELECT CAST(c AS INTEGER) AS record_count, CAST(c AS INTEGER) AS count, "
+        "max(strftime(h, '%d-%m-%Y %H:%M:%S')) FILTER (n = 2) AS record_ts, max('India') FILTER (n = 2) AS country, "
+        "max(state) FILTER (n = 2) AS state, max(city) FILTER (n = 2) AS city, max(station) FILTER (n = 2) AS station, "
+        "max('PM10') FILTER (n = 2) AS pollutant_id, max(v) FILTER (n = 2) AS pollutant_avg "
+        "FROM r WHERE hour(h) % 7 <> 0 GROUP BY h, c"),
+    "landing_inventory": (
+        "WITH f AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1) "
+        "SELECT strftime(h, '%Y_%m_%d') AS landing_day, count(*) AS files, "
+        "nullif(count(*) FILTER (hour(h) % 7 <> 0), 0) AS documents, "
+        "CAST(sum(n) FILTER (hour(h) % 7 <> 0) AS BIGINT) AS records FROM f GROUP BY 1"),
     "delhi_day": _with(*_DAY_CTES, _WSRC) + (
         "SELECT a.measurement_date, a.country, a.state, a.city, " + _r(f"a.{c}" for c in _W)
         + ", round(t.f, 6) AS temperature_in_f, a.prominent_pollutant, a.aqi FROM day_level a JOIN "

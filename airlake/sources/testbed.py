@@ -101,6 +101,19 @@ def weather_source(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg((F.max("o_totalprice") / F.lit(1000.0)).alias("avg_temperature_air_2m_f")))
 
 
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as feed records: hour of the event, one station per event."""
+    e = table(spark, sf_dir, "events")
+    hour = hour_floor("ts")
+    return e.select(
+        hour.alias("index_record_ts"), F.lit("India").alias("country"), F.col("event_type").alias("state"),
+        F.concat(F.lit("user-"), (F.col("user_id") % 10).cast("string")).alias("city"),
+        F.col("event_id").cast("string").alias("station"), F.date_format(hour, FEED_TS_FORMAT).alias("last_update"),
+        F.lit("1.0").alias("latitude"), F.lit("2.0").alias("longitude"), F.lit("PM10").alias("pollutant_id"),
+        F.lit("0").alias("pollutant_min"), F.lit("100").alias("pollutant_max"),
+        F.col("value").cast("int").cast("string").alias("pollutant_avg"))
+
+
 def event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events seen as landed files: hour of the event = hour of the document."""
     e = table(spark, sf_dir, "events")
