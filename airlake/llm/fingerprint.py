@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airlake.llm.linking import near_components
+from airlake.llm.linking import cross_pairs, near_components
 from airlake.llm.tables import bound_arrow
 
 BITS, SEED = 512, 20_11
@@ -275,8 +275,19 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, width
                 yield batch.filter(pa.array(near))
         return pairs.mapInArrow(run, pairs.schema)
 
+    def rest(blocks: DataFrame) -> DataFrame:
+        def run(group: pa.Table) -> pa.Table:
+            names = group.column("item").to_pylist()
+            all_, links = parsed(names), []
+            one = group.column("lo")[0].as_py() == group.column("hi")[0].as_py()
+            for x, ys in cross_pairs(np.unique(group.column("label").to_pylist(), return_inverse=True)[1], np.array(group.column("block")), one):
+                near = likeness(tuple(np.repeat(v[x: x + 1], len(ys), axis=0) for v in all_), tuple(v[ys] for v in all_)) >= threshold
+                links += [tuple(sorted((names[x], names[y]))) for y in ys[near]]
+            return pa.table({"a": pa.array([a for a, _ in links], pa.string()), "b": pa.array([b for _, b in links], pa.string())})
+        return blocks.groupBy("key", "lo", "hi").applyInArrow(run, "a string, b string")
+
     items = prints.select(F.col("fingerprint").alias("item")).distinct()
-    classes_ = near_components(items, items.mapInArrow(keys, "item string, key string"), verified)
+    classes_ = near_components(items, items.mapInArrow(keys, "item string, key string"), verified, rest)
     by_print = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     named = classes_.join(by_print, classes_.item == by_print.fingerprint).select("item", "label", "n_links", "least")
     roots = named.groupBy("label").agg(F.min("least").alias("class_id"))

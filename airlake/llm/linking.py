@@ -1,27 +1,31 @@
 """Groups of linked items from band keys and a verifier, without pairs inside known groups.
 
 Items that share a key are candidates. Comparing all pairs of a key grows with the square of
-a group, so the comparisons go in rounds: first each item with the least item of its key;
-linked items are joined to groups; then, while that finds links, the least member of each group
-of a key with that of the key's least group; at last the exact rest: all pairs of a key whose
-items still lie in different groups. Every candidate pair is thus either inside one group or
-verified, so the groups are the connected components of all verified candidate pairs.
-
-Hot keys stay partial sums (``min``) in the first rounds; the last one joins on key and runs on
-keys with several groups only.
+a group, so the comparisons go in rounds: first each item with the hub of its key, the item
+that shares keys with most others; linked items are joined to groups; then, while that finds
+links, the hub of each group of a key with that of the key's first group; at last the exact
+rest: the items of a key that lie in different groups are compared in blocks of bounded size,
+inside the tasks, and only links come out. Every candidate pair is thus either inside one group
+or compared, so the groups are the connected components of all verified candidate pairs.
+
+Hot keys stay partial sums (counts and maxima) in the first rounds; in the last one a key of
+any size is cut into blocks, so no task holds more than two of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.llm.tables import saved
 
-#: Rounds between groups before the exact rest.
-ROUNDS = 3
+#: Rounds between the hubs of groups before the exact rest.
+ROUNDS = 2
+#: Items of a key that a task compares with each other, or with as many others.
+BLOCK = 2048
 
 
 def components(items: DataFrame, links: DataFrame) -> DataFrame:
@@ -41,39 +45,69 @@ def components(items: DataFrame, links: DataFrame) -> DataFrame:
     return items.select("item").join(linked, "item", "left").select("item", F.coalesce("label", "item").alias("label"))
 
 
-def near_components(items: DataFrame, keys: DataFrame, verified: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after links between items of different groups: components of the few groups
+    that are linked, not of the items."""
+    of = labels.select(F.col("item").alias("a"), F.col("label").alias("la"))
+    to = labels.select(F.col("item").alias("b"), F.col("label").alias("lb"))
+    edges = saved(links.join(of, "a").join(to, "b").where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
+    ends = edges.select(F.col("a").alias("item")).unionByName(edges.select(F.col("b").alias("item"))).distinct()
+    new = components(ends, edges).select(F.col("item").alias("label"), F.col("label").alias("new"))
+    return saved(labels.join(new, "label", "left").select("item", F.coalesce("new", "label").alias("label")))
+
+
+def near_components(items: DataFrame, keys: DataFrame, verified: Callable[[DataFrame], DataFrame],
+                    rest: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """(item, label, n_links) for all ``items`` (item).
 
     ``keys``: (item, key). ``verified`` takes pairs (a, b), a < b, and returns those that link.
-    n_links counts the verified links of an item that the rounds needed.
+    ``rest`` takes (key, lo, hi, block, item, label): for each (key, lo, hi) the items of two
+    blocks (or of one, if lo = hi), and returns the links (a, b) between items of different
+    labels (and of different blocks, if lo < hi). n_links counts the links that were found.
     """
-    shared = keys.groupBy("key").agg(F.min("item").alias("least"), F.count("*").alias("n")).where("n > 1")
-    candidates = saved(keys.join(shared, "key").select("key", "item", "least"))
-    pairs = saved(candidates.where("item <> least").select(F.col("least").alias("a"), F.col("item").alias("b")).distinct())
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    busy = saved(keys.join(shared, "key").select("key", "item", "n"))
+    weight = busy.groupBy("item").agg(F.sum("n").alias("weight"))
+    candidates = saved(busy.join(weight, "item").select("key", "item", F.struct("weight", "item").alias("rank"), "n"))
+    ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    hubs = candidates.groupBy("key").agg(F.max("rank").alias("hub"))
+    pairs = saved(candidates.join(hubs, "key").where("item <> hub.item").select(*ordered(F.col("item"), F.col("hub.item"))).distinct())
     seen = pairs
     links = saved(verified(pairs))
     labels = saved(components(candidates.select("item").distinct(), links))
-    for turn in range(rounds + 1):
-        exact = turn == rounds
-        grouped = candidates.select("key", "item").join(labels, "item").groupBy("key", "label").agg(F.min("item").alias("least"))
-        several = grouped.groupBy("key").agg(F.min(F.struct("label", "least")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        if exact:
-            open_ = candidates.select("key", "item").join(several.select("key"), "key").join(labels, "item")
-            other = open_.select("key", F.col("item").alias("b"), F.col("label").alias("label_b"))
-            pairs = open_.withColumnRenamed("item", "a").join(other, "key").where("a < b AND label <> label_b").select("a", "b")
-        else:
-            pairs = grouped.join(several, "key").where("label <> first.label").select(
-                F.least("least", "first.least").alias("a"), F.greatest("least", "first.least").alias("b"))
+    for _ in range(rounds):
+        grouped = candidates.join(labels, "item").groupBy("key", "label").agg(F.max("rank").alias("hub"))
+        first = grouped.groupBy("key").agg(F.max("hub").alias("first"), F.count("*").alias("n")).where("n > 1")
+        pairs = grouped.join(first, "key").where("hub.item <> first.item").select(*ordered(F.col("hub.item"), F.col("first.item")))
         pairs = saved(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
-            if exact:
-                break
-            continue
-        seen = seen.unionByName(pairs)
+            break
         found = saved(verified(pairs))
-        links = links.unionByName(found)
-        if not found.isEmpty():
-            labels = saved(components(candidates.select("item").distinct(), links))
+        if found.isEmpty():
+            break
+        seen, links = seen.unionByName(pairs), links.unionByName(found)
+        labels = _merged(labels, found)
+    several = candidates.join(labels, "item").groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("key")
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    open_ = candidates.join(several, "key").join(labels, "item").select("key", "item", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("item"), blocks).cast("int").alias("block"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    open_ = open_.select("key", "item", "label", "block", other).select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "item", "label")
+    found = saved(rest(open_).select("a", "b").distinct())
+    links = links.unionByName(found)
+    labels = _merged(labels, found)
     counts = links.select(F.col("a").alias("item")).unionByName(links.select(F.col("b").alias("item"))).groupBy("item").agg(F.count("*").alias("n_links"))
     return items.select("item").join(labels, "item", "left").join(counts, "item", "left").select(
         "item", F.coalesce("label", "item").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def cross_pairs(labels: np.ndarray, blocks: np.ndarray, one_block: bool):
+    """(x, ys) for every item x outside the largest group: the items to compare it with, each
+    pair once."""
+    _, group, sizes = np.unique(labels, return_inverse=True, return_counts=True)
+    small = group != sizes.argmax()
+    for x in np.flatnonzero(small):
+        with_ = (group != group[x]) & (~small | (np.arange(len(labels)) > x))
+        if not one_block:
+            with_ &= blocks != blocks[x]
+        if with_.any():
+            yield x, np.flatnonzero(with_)

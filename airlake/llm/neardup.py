@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlake.llm.arrowtext import Words, gram_hashes, mix64, slices
-from airlake.llm.linking import near_components
+from airlake.llm.linking import cross_pairs, near_components
 from airlake.llm.tables import bound_arrow, saved
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 32, 4
@@ -153,6 +153,45 @@ def _verifier(texts: DataFrame, threshold: float):
     return verified
 
 
+def _compared(group: pa.Table, threshold: float) -> list[tuple[int, int]]:
+    """Links between items of different groups in one block pair of a key. A pair is compared
+    only in the first of the bands that it shares."""
+    items, labels = np.array(group.column("item")), np.array(group.column("label"))
+    keys = np.array(group.column("keys").combine_chunks().flatten()).reshape(len(items), BANDS)
+    band = int(np.flatnonzero(keys[0] == group.column("key")[0].as_py())[0])
+    before = keys[:, :band]
+    grams, weights, ranges = shingles(group.column("text").combine_chunks())
+    words, number = np.unique(grams, return_inverse=True)
+    size = np.diff(ranges)
+    plain = np.maximum.reduceat(weights, ranges[:-1]) == 1
+    mark = np.zeros(len(words), bool)
+    links = []
+    for x, ys in cross_pairs(labels, np.array(group.column("block")), group.column("lo")[0].as_py() == group.column("hi")[0].as_py()):
+        ys = ys[~(before[ys] == before[x]).any(axis=1)] if band else ys
+        if not len(ys):
+            continue
+        # exact intersections with all of them at once
+        mark[number[ranges[x]: ranges[x + 1]]] = True
+        at = np.repeat(ranges[ys], size[ys]) + (np.arange(size[ys].sum()) - np.repeat(np.cumsum(size[ys]) - size[ys], size[ys]))
+        common = np.add.reduceat(mark[number[at]].astype(np.int64), np.cumsum(size[ys]) - size[ys])
+        mark[number[ranges[x]: ranges[x + 1]]] = False
+        similar = common / (size[x] + size[ys] - common)      # J_P of texts without repeated shingles
+        for k in np.flatnonzero((common > 0) & ~(plain[ys] & plain[x])):
+            y = ys[k]
+            similar[k] = probability_jaccard(grams[ranges[x]: ranges[x + 1]], weights[ranges[x]: ranges[x + 1]], grams[ranges[y]: ranges[y + 1]], weights[ranges[y]: ranges[y + 1]])
+        links += [(int(min(items[x], items[y])), int(max(items[x], items[y]))) for y in ys[similar >= threshold - 1e-9]]
+    return links
+
+
+def _rest(texts: DataFrame, threshold: float):
+    def rest(blocks: DataFrame) -> DataFrame:
+        def run(group: pa.Table) -> pa.Table:
+            links = _compared(group, threshold)
+            return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+        return blocks.join(texts, "item").groupBy("key", "lo", "hi").applyInArrow(run, "a long, b long")
+    return rest
+
+
 def _labelled(docs: DataFrame, threshold: float) -> DataFrame:
     """(doc_id, item, words, label, n_links) of every row; ``words``: the text has any."""
     rows = saved(signed(docs))
@@ -160,11 +199,11 @@ def _labelled(docs: DataFrame, threshold: float) -> DataFrame:
     keys = items.select("item", F.explode("keys").alias("key"))
     # texts of the items that share a band with another, once each
     busy = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    wanted = items.join(keys.join(busy, "key").select("item").distinct(), "item").select("item", F.col("doc_id").alias("id"))
-    named = docs.select("doc_id", "text", item().alias("item"))
-    texts = named.join(wanted.withColumnRenamed("item", "named"), (F.col("item") == F.col("named")) & F.col("doc_id").eqNullSafe(F.col("id")))
-    texts = saved(texts.select("item", "text").dropDuplicates(["item"]))
-    linked = near_components(texts.select("item"), keys, _verifier(texts, threshold))
+    wanted = items.join(keys.join(busy, "key").select("item").distinct(), "item").select(F.col("item").alias("named"), F.col("doc_id").alias("id"), "keys")
+    texts = docs.select("doc_id", "text", item().alias("item")).join(wanted, (F.col("item") == F.col("named")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    texts = saved(texts.select("item", "text", "keys").dropDuplicates(["item"]))
+    keys = texts.select("item", F.explode("keys").alias("key"))
+    linked = near_components(texts.select("item"), keys, _verifier(texts, threshold), _rest(texts, threshold))
     return rows.select("doc_id", "item", (F.size("keys") > 0).alias("words")).join(linked, "item", "left").select(
         "doc_id", "item", "words", F.coalesce("label", "item").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 

@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from airlake.llm import neardup as nd
-from airlake.llm.linking import components, near_components
+from airlake.llm import linking
+from airlake.llm.linking import components, cross_pairs, near_components
 from airlake.llm.queries import QUERIES
 from llm_helpers import SF_SMALL, make_docs
 
@@ -117,14 +118,24 @@ def test_edge_rows_and_one_row_of_each_group(spark):
     assert nd.classes(make_docs(spark, [])).count() == 0 and nd.deduplicate(make_docs(spark, [])).count() == 0
 
 
-def test_components_and_cross_group_rest(spark):
+def test_components_and_cross_group_rest(spark, monkeypatch):
     links = spark.createDataFrame([(1, 2), (2, 3), (3, 9), (20, 21), (8, 9)], "a long, b long")
     items = spark.createDataFrame([(i,) for i in (1, 2, 3, 8, 9, 20, 21, 30)], "item long")
     assert {r.item: r.label for r in components(items, links).collect()} == {1: 1, 2: 1, 3: 1, 8: 1, 9: 1, 20: 20, 21: 20, 30: 30}
     # one key for all; only i ~ i + 6 links, so no star around the least item finds the groups
     keys = items.select("item").limit(0).unionByName(spark.range(18).withColumnRenamed("id", "item")).selectExpr("item", "'k' AS key")
-    got = near_components(keys.select("item"), keys, lambda p: p.where("b - a = 6")).collect()
-    assert {r.item: r.label for r in got} == {i: i % 6 for i in range(18)}
+    def rest(blocks):
+        def run(group):
+            at, x = group.column("item").to_numpy(), []
+            for i, js in cross_pairs(group.column("label").to_numpy(), group.column("block").to_numpy(), group.column("lo")[0] == group.column("hi")[0]):
+                x += [(min(at[i], at[j]), max(at[i], at[j])) for j in js if abs(at[i] - at[j]) == 6]
+            return pa.table({"a": pa.array([a for a, _ in x], pa.int64()), "b": pa.array([b for _, b in x], pa.int64())})
+        return blocks.groupBy("key", "lo", "hi").applyInArrow(run, "a long, b long")
+
+    for block in (2048, 4):
+        monkeypatch.setattr(linking, "BLOCK", block)
+        got = near_components(keys.select("item"), keys, lambda p: p.where("b - a = 6"), rest).collect()
+        assert {r.item: r.label for r in got} == {i: i % 6 for i in range(18)}
 
 
 def test_query_against_brute_force(spark):
