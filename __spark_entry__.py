@@ -543,22 +543,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _LABELS = ["PM25", "PM10", "SO2", "NO2", "NH3", "CO", "O3"]
 
 
+# The rules over lists of the seven values, not as the library writes them.
+
 def _sql_prominent(cols):
-    vals = [f"coalesce({c}, 0)" for c in cols]
-    top = f"greatest({', '.join(vals)})"
-    whens = " ".join(f"WHEN {v} = {top} THEN '{lab}'" for v, lab in zip(vals, _LABELS))
-    return f"CASE {whens} END"
+    values = "[" + ", ".join(f"coalesce({c}, 0)" for c in cols) + "]"
+    return f"{_LABELS}[list_position({values}, list_max({values}))]"
 
 
 def _sql_sub_index(cols):
     pm25, pm10, *gases = cols
-    gas = " + ".join(f"(CASE WHEN {g} IS NOT NULL AND {g} <> 0 THEN 1 ELSE 0 END)" for g in gases)
-    return (f"CAST((CASE WHEN {pm25} > 0 OR {pm10} > 0 THEN 1 ELSE 0 END) + least(2, {gas}) AS INTEGER)")
+    return (f"(CAST(coalesce(list_max([{pm25}, {pm10}]) > 0, false) AS INTEGER) "
+            f"+ CAST(least(2, len([g for g in [{', '.join(gases)}] if g <> 0])) AS INTEGER))")
 
 
 def _sql_aqi(cols, round_inputs=False):
     args = [f"round({c}, 0)" for c in cols] if round_inputs else cols
-    return f"CASE WHEN {_sql_sub_index(args)} > 2 THEN greatest({', '.join(cols)}) ELSE 0 END"
+    return f"if({_sql_sub_index(args)} >= 3, list_max([{', '.join(cols)}]), 0)"
 
 
 def _sql_prominent_r(cols, round_inputs=False):
@@ -566,8 +566,7 @@ def _sql_prominent_r(cols, round_inputs=False):
 
 
 def _sql_na_to_zero(c):
-    return (f"CAST(CASE WHEN {c} IS NULL OR {c} = 'NA' THEN 0 "
-            f"ELSE round(CAST({c} AS DECIMAL(38,9)), 0) END AS BIGINT)")
+    return f"coalesce(CAST(round(CAST(nullif({c}, 'NA') AS DECIMAL(38,9)), 0) AS BIGINT), 0)"
 
 
 _W = WIDE_COLUMNS

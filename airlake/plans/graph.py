@@ -80,7 +80,10 @@ class TableGraph:
         """A stored table (of the given days, by partition); ``layout`` keeps a day column that
         is not the table's own."""
         t = self.tables[name]
-        df = self.spark.read.parquet(self._current(t))
+        path = self._current(t)
+        df = read_if_there(self.spark, path) if self._finished(t) else self.spark.read.parquet(path)
+        if df is None:                                        # built, and every day came out empty
+            df = t.build({i: self.read(i, [], layout=True) for i in t.inputs}, []).limit(0)
         if days is not None and t.partition_by == DAY:
             df = df.filter(F.col(DAY).isin(list(days)) if len(days) else F.lit(False))
         return df if layout or t.show_day else df.drop(DAY)
@@ -96,8 +99,14 @@ class TableGraph:
         versions = self._versions(t)
         return f"{t.path}/version={versions[-1]}" if versions else t.path
 
+    def _finished(self, t: Table) -> bool:
+        """A table of ours that has been written, with or without rows."""
+        fs, folder = file_system(self.spark, self._current(t))
+        return t.build is not None and fs.exists(folder)
+
     def stored(self, name: str) -> bool:
-        return read_if_there(self.spark, self._current(self.tables[name])) is not None
+        t = self.tables[name]
+        return self._finished(t) or read_if_there(self.spark, self._current(t)) is not None
 
     def register_views(self, sql_names: dict[str, str] | None = None) -> list[str]:
         """Temp views over the stored tables, under the names SQL users know."""
