@@ -16,11 +16,9 @@ an empty table gives an empty one. An input column named like an output column i
 from __future__ import annotations
 
 import array
-import functools
 import gc
 import hashlib
 import itertools
-import json
 import re
 
 import numpy as np
@@ -30,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from airlake.llm.arrowtext import slices
-from airlake.llm.tables import bound_arrow
+from airlake.llm.tables import bound_arrow, tidy
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Unicode White_Space, as the pattern's \s has it.
@@ -42,7 +40,7 @@ _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]++(?=[\x00-@\\[-`{{-\x7f]|\\Z)|"
                     f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: Distinct chunks kept by a task, and the longest one that is kept.
-CACHE_CHUNKS, CACHE_LENGTH = 600_000, 40
+CACHE_CHUNKS, CACHE_LENGTH = 300_000, 40
 
 
 def byte_characters() -> dict[int, str]:
@@ -54,7 +52,7 @@ def byte_characters() -> dict[int, str]:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary file; one per Python worker."""
+    """Encoder and decoder of one vocabulary file; one per task."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -64,7 +62,7 @@ class Codec:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         back = {c: b for b, c in byte_characters().items()}
-        vocabulary = json.load(open(path, encoding="utf-8"))["model"]["vocab"]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes_of: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             if all(c in back for c in token):
@@ -110,29 +108,26 @@ class Codec:
         return before[starts] - ~lead[starts], before[ends]
 
 
-@functools.cache
-def codec(path: str) -> Codec:
-    return Codec(path)
-
-
 def _schema(df: DataFrame, *fields: T.StructField) -> T.StructType:
     new = {f.name.lower() for f in fields}
     return T.StructType([f for f in df.schema.fields if f.name.lower() not in new] + list(fields))
 
 
-def encode(docs: DataFrame, column: str = "text", path: str | None = None, offsets: bool = True) -> DataFrame:
+def encode(docs: DataFrame, column: str = "text", path: str | None = None, offsets: bool = True, decoded: bool = False) -> DataFrame:
     """Add ``ids`` (int array), ``n_tokens`` and, with ``offsets``, ``token_starts`` and
-    ``token_ends`` (character offsets, int arrays) of every whole text."""
+    ``token_ends`` (character offsets, int arrays) of every whole text. ``decoded`` adds
+    ``decoded_sha256``, the digest of the bytes that the ids decode to."""
     path = path or public_tokenizers.path(VOCABULARY)
     ints = T.ArrayType(T.IntegerType())
     fields = [T.StructField("ids", ints), T.StructField("n_tokens", T.LongType())]
     fields += [T.StructField("token_starts", ints), T.StructField("token_ends", ints)] * offsets
+    fields += [T.StructField("decoded_sha256", T.StringType())] * decoded
     schema = _schema(docs, *fields)
     kept = [f.name for f in schema.fields[: len(schema.fields) - len(fields)]]
     bound_arrow(docs.sparkSession)
 
     def run(batches):
-        tool = codec(path)
+        tool = Codec(path)
         for batch in batches:
             for part in slices(batch, column):
                 texts = [t or "" for t in part.column(column).to_pylist()]
@@ -141,9 +136,11 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None, offse
                 if offsets:
                     spans = [tool.offsets(x, t.encode()) for x, t in zip(ids, texts)]
                     new += [pa.array([s[k] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
+                if decoded:
+                    new.append(pa.array([hashlib.sha256(tool.decode(x.tolist())).hexdigest() for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + new, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, column: str = "ids", path: str | None = None) -> DataFrame:
@@ -153,12 +150,12 @@ def decode(encoded: DataFrame, column: str = "ids", path: str | None = None) ->
     bound_arrow(encoded.sparkSession)
 
     def run(batches):
-        tool = codec(path)
+        tool = Codec(path)
         for batch in batches:
             raw = [tool.decode(x or ()) for x in batch.column(column).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in schema.names[:-1]] + [pa.array(raw, pa.binary())], names=schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(tidy(run), schema)
 
 
 def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str | None = None) -> DataFrame:
@@ -174,7 +171,7 @@ def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str
     bound_arrow(docs.sparkSession)
 
     def run(batches):
-        tool = codec(path)
+        tool = Codec(path)
         for batch in batches:
             for part in slices(batch, column):
                 counts, hashed, decoded, split = [], [], [], []
@@ -190,4 +187,4 @@ def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str
                     [part.column(c) for c in keep] + [pa.array(counts, pa.int64()), pa.array(hashed), pa.array(decoded), pa.array(split, pa.int64())],
                     names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlake.llm.linking import cross_pairs, near_components
-from airlake.llm.tables import bound_arrow
+from airlake.llm.tables import bound_arrow, tidy
 
 BITS, SEED = 512, 20_11
 _BASE_LEVEL = BITS.bit_length() - 1
@@ -228,7 +228,7 @@ def with_next(docs: DataFrame) -> DataFrame:
                     group.append((i, text))
                     chars += len(text)
 
-    return consecutive(docs.select("doc_id", "text")).mapInArrow(run, schema)
+    return consecutive(docs.select("doc_id", "text")).mapInArrow(tidy(run), schema)
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -242,7 +242,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
             made = written(*walk([t or "" for t in batch.column(text).to_pylist()]))
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in fields] + [pa.array(made, pa.string())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, width: int = 12) -> DataFrame:
@@ -273,7 +273,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, width
                 a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
                 near = likeness(parsed(a), parsed(b)) >= threshold if a else np.zeros(0, bool)
                 yield batch.filter(pa.array(near))
-        return pairs.mapInArrow(run, pairs.schema)
+        return pairs.mapInArrow(tidy(run), pairs.schema)
 
     def rest(blocks: DataFrame) -> DataFrame:
         def run(group: pa.Table) -> pa.Table:
@@ -287,7 +287,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, width
         return blocks.groupBy("key", "lo", "hi").applyInArrow(run, "a string, b string")
 
     items = prints.select(F.col("fingerprint").alias("item")).distinct()
-    classes_ = near_components(items, items.mapInArrow(keys, "item string, key string"), verified, rest)
+    classes_ = near_components(items, items.mapInArrow(tidy(keys), "item string, key string"), verified, rest)
     by_print = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     named = classes_.join(by_print, classes_.item == by_print.fingerprint).select("item", "label", "n_links", "least")
     roots = named.groupBy("label").agg(F.min("least").alias("class_id"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlake.llm.tables import saved
+from airlake.llm.tables import saved, tidy
 
 #: Code length, segments, hits per query, and queries that are broadcast at a time.
 BITS, SEGMENTS, TOP, BLOCK = 64, 4, 10, 16_384
@@ -47,7 +47,7 @@ def codes(vectors: DataFrame, dimension: int, id_: str = "vec_id", vector: str =
 
     usable = vectors.select(F.col(id_).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     usable = usable.where(F.col("id").isNotNull() & (F.size("v") == dimension) & ~F.exists("v", lambda e: e.isNull()))
-    return usable.mapInArrow(run, "id long, code long").distinct()
+    return usable.mapInArrow(tidy(run), "id long, code long").distinct()
 
 
 def masks(radius: int) -> np.ndarray:
@@ -122,7 +122,7 @@ def _round(classes: DataFrame, block: list[tuple[int, int]], radius: int, k: int
                 q, i, d = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(d, pa.int32())], names=["query", "id", "distance"])
 
-    return classes.mapInArrow(run, "query long, id long, distance int")
+    return classes.mapInArrow(tidy(run), "query long, id long, distance int")
 
 
 def _best(hits: DataFrame, k: int) -> DataFrame:

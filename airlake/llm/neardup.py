@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from airlake.llm.arrowtext import Words, gram_hashes, mix64, slices
 from airlake.llm.linking import cross_pairs, near_components
-from airlake.llm.tables import bound_arrow, saved
+from airlake.llm.tables import bound_arrow, saved, tidy
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 32, 4
 REGISTERS = BANDS * ROWS
@@ -132,7 +132,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 offsets = pa.array(np.concatenate(([0], np.cumsum(full) * BANDS)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("item"), pa.ListArray.from_arrays(offsets, flat)], names=["doc_id", "item", "keys"])
 
-    return docs.select("doc_id", "text", item().alias("item")).mapInArrow(run, "doc_id long, item long, keys array<long>")
+    return docs.select("doc_id", "text", item().alias("item")).mapInArrow(tidy(run), "doc_id long, item long, keys array<long>")
 
 
 def _verifier(texts: DataFrame, threshold: float):
@@ -149,7 +149,7 @@ def _verifier(texts: DataFrame, threshold: float):
 
         first = pairs.join(texts.select(F.col("item").alias("a"), F.col("text").alias("text_a")), "a")
         both = first.join(texts.select(F.col("item").alias("b"), F.col("text").alias("text_b")), "b")
-        return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+        return both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "a long, b long")
     return verified
 
 

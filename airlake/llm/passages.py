@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.llm.arrowtext import Words, gram_hashes, mix64, slices
-from airlake.llm.tables import bound_arrow
+from airlake.llm.tables import bound_arrow, tidy
 
 WINDOW, GRAM, SHARD_ROWS = 35, 8, 1024
 _PLACE = np.uint64(4095)
@@ -229,7 +229,7 @@ def _passes(docs: DataFrame, finish, schema: str) -> DataFrame:
     shards = max(1, -(-docs.count() // SHARD_ROWS))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
-    counted = rows.select("text", "shard").mapInArrow(_anchor_counts, "anchor long, shard int, n long")
+    counted = rows.select("text", "shard").mapInArrow(tidy(_anchor_counts), "anchor long, shard int, n long")
     total = counted.withColumn("total", F.expr("sum(n) OVER (PARTITION BY anchor)"))
     anchors = total.where("total > 1").select("shard", "anchor")
     grouped = rows.groupBy("shard")

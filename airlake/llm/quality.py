@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlake.llm.arrowtext import Words, slices, utf8
-from airlake.llm.tables import bound_arrow
+from airlake.llm.tables import bound_arrow, tidy
 from airlake.llm.toxicity import labelled_sample
 
 #: Bounds of the learned part and of the vectors.
@@ -85,7 +85,7 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(BINS), -1)), pa.array(np.append(seen, n))], names=["bin", "n"])
 
-    rows = docs.select(text).mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.select(text).mapInArrow(tidy(run), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
     found = dict(zip(rows.column("bin").to_pylist(), rows.column("n").to_pylist()))
     return np.array([found.get(b, 0) for b in range(BINS)], float), found.get(-1, 0)
 
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", F.col(label).cast("int").alias("y"), "text")
     # a repeated id counts once, so the sample stays within its bound
     texts = texts.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
-    table = texts.mapInArrow(run, "doc_id long, y int, raw binary").toArrow().sort_by("doc_id")
+    table = texts.mapInArrow(tidy(run), "doc_id long, y int, raw binary").toArrow().sort_by("doc_id")
     if not table.num_rows:
         return Model(idf, np.zeros((BINS + 5, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
     x = np.stack([np.frombuffer(r, np.float16) for r in table.column("raw").to_pylist()]).astype(np.float32)
@@ -170,4 +170,4 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     block = part.slice(at, 512)
                     yield pa.RecordBatch.from_arrays([block.column(f.name) for f in fields] + [pa.array(model.vote(block.column(text)))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +26,20 @@ def bound_arrow(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def tidy(run):
+    """``run`` for ``mapInArrow``; when a task ends, what its Python worker no longer needs goes
+    back to the system, as the worker serves later tasks of other operators too."""
+    @functools.wraps(run)
+    def inner(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return inner
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the shared folder ``spark.checkpoint.dir``."""
     shared_dir(df.sparkSession)

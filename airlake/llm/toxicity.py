@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlake.llm.arrowtext import slices, utf8
-from airlake.llm.tables import bound_arrow, saved
+from airlake.llm.tables import bound_arrow, saved, tidy
 
 #: Learning: labelled rows (chosen by a hash of the id), features, and the least number of
 #: toxic rows and the least share of toxic rows among those that a feature occurs in.
@@ -65,7 +65,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){2,}[^\W_](?![^\W_])")
 _ODD = re.compile(r"[^\W\d_][" + re.escape("".join(LEET) + _SEPARATORS) + r"]+[^\W\d_]|[" + re.escape("".join(LEET)) + r"][^\W\d_]{2}|(.)\1\1")
 _EDGE = ".,;:?\"()[]{}<>#%&*~_-'=/\\"
-LONGEST = 24
+#: The longest token that is read as a disguise, and the distinct tokens that a task keeps.
+LONGEST, CACHE = 24, 150_000
 
 
 def plain(word: str) -> str:
@@ -92,7 +93,7 @@ def letter_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
             part = found[at: at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["gram", "n"])
 
-    rows = docs.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.select(text).mapInArrow(tidy(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(_SIZE ** 4)
     counts[rows.column("gram").to_numpy()] = rows.column("n").to_numpy()
     return counts.reshape((_SIZE,) * 4)
@@ -174,7 +175,7 @@ class Restorer:
     def words(self, text: str) -> set[str]:
         """All plain and restored words."""
         known = self.known
-        if len(known) > 400_000:
+        if len(known) > CACHE:
             known.clear()
         out: set[str] = set()
         for token in set(_TOKEN.findall(text)):
@@ -226,7 +227,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, label: str = "t
                 yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(words, pa.list_(pa.string()))], names=["y", "words"])
 
     # equal texts teach once
-    rows_ = saved(texts.dropDuplicates(["text", "y"]).mapInArrow(run, T.StructType([T.StructField("y", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType()))])))
+    rows_ = saved(texts.dropDuplicates(["text", "y"]).mapInArrow(tidy(run), T.StructType([T.StructField("y", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType()))])))
     totals = {r.y: r.n for r in rows_.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not totals.get(1) or not totals.get(0):
         return [], np.array([-50.0 if not totals.get(1) else 50.0])
@@ -237,7 +238,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, label: str = "t
                 found = sorted({f for w in words for f in features(w)})
                 yield pa.RecordBatch.from_arrays([pa.array([y] * len(found), pa.int32()), pa.array(found, pa.string())], names=["y", "feature"])
 
-    counted = rows_.mapInArrow(expand, "y int, feature string").groupBy("feature").agg(
+    counted = rows_.mapInArrow(tidy(expand), "y int, feature string").groupBy("feature").agg(
         F.sum("y").alias("toxic"), F.count("*").alias("n")).where(F.col("toxic") >= SUPPORT)
     # one-sided evidence: signed log-likelihood gain of rows with the feature over the base rate
     base = totals[1] / (totals[0] + totals[1])
@@ -251,7 +252,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, label: str = "t
             found = [sorted({place[f] for w in words for f in features(w) if f in place}) for words in batch.column("words").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.int32()))], names=["y", "at"])
 
-    table = rows_.mapInArrow(rows_of, "y int, at array<int>").groupBy("y", "at").agg(F.count("*").alias("n")).toArrow()
+    table = rows_.mapInArrow(tidy(rows_of), "y int, at array<int>").groupBy("y", "at").agg(F.count("*").alias("n")).toArrow()
     x = np.zeros((table.num_rows, len(names) + 1))
     x[:, -1] = 1
     for i, at in enumerate(table.column("at").to_pylist()):
@@ -288,7 +289,7 @@ def score(docs: DataFrame, model: np.ndarray, names: list[str], weights: np.ndar
         def found(word):
             got = weighty.get(word)
             if got is None:
-                if len(weighty) > 400_000:
+                if len(weighty) > CACHE:
                     weighty.clear()
                 got = weighty[word] = tuple(sorted({place[f] for f in features(word) if f in place}))
             return got
@@ -303,7 +304,7 @@ def score(docs: DataFrame, model: np.ndarray, names: list[str], weights: np.ndar
                     out.append(1 / (1 + np.exp(-np.clip(w[-1] + sum(w[k] for k in sorted(at)), -50, 50))))
                 yield pa.RecordBatch.from_arrays([part.column(f.name) for f in fields] + [pa.array(out, pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:

@@ -45,8 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of what they decode to."""
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), offsets=False).drop("text")
-    return bpe.decode(encoded).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    return bpe.encode(docs.select("doc_id", "lang", "source", "text"), offsets=False, decoded=True).drop("text")
 
 
 STAGES = [
