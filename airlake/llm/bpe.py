@@ -39,8 +39,9 @@ _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: it is a plain space.
 _CHUNK = re.compile(f" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]++(?=[\x00-@\\[-`{{-\x7f]|\\Z)|"
                     f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-#: Distinct chunks kept by a task, and the longest one that is kept.
-CACHE_CHUNKS, CACHE_LENGTH = 300_000, 40
+#: Bytes of text encoded at a time, distinct chunks kept by a task, the longest one kept.
+SLICE = 512 << 10
+CACHE_CHUNKS, CACHE_LENGTH = 80_000, 40
 
 
 def byte_characters() -> dict[int, str]:
@@ -129,7 +130,7 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None, offse
     def run(batches):
         tool = Codec(path)
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, SLICE):
                 texts = [t or "" for t in part.column(column).to_pylist()]
                 ids = tool.encode(texts)
                 new = [pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
@@ -173,7 +174,7 @@ def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str
     def run(batches):
         tool = Codec(path)
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, SLICE):
                 counts, hashed, decoded, split = [], [], [], []
                 for ids in tool.encode([t or "" for t in part.column(column).to_pylist()]):
                     listed = ids.tolist()
