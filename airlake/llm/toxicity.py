@@ -63,8 +63,9 @@ _TOKEN = re.compile(r"\S+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Three or more single signs with a blank or mark between: letters that are spaced out.
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){2,}[^\W_](?![^\W_])")
-_ODD = re.compile(r"[^\W\d_][" + re.escape("".join(LEET) + _SEPARATORS) + r"]+[^\W\d_]|[" + re.escape("".join(LEET)) + r"][^\W\d_]{2}|(.)\1\1")
-_EDGE = ".,;:?\"()[]{}<>#%&*~_-'=/\\"
+#: What a folded token must hold to have more than one reading: a sign of the channel, or a doubled letter.
+_ODD = re.compile("[" + re.escape("".join(LEET) + _SEPARATORS) + "]|([a-z])\\1")
+_EDGE = ".,;:?\")[]{}<>#%&*~_-'=/\\"
 #: The longest token that is read as a disguise, and the distinct tokens that a task keeps.
 LONGEST, CACHE = 24, 150_000
 
@@ -166,9 +167,8 @@ class Restorer:
 
     def token(self, token: str) -> tuple[str, ...]:
         words = tuple(plain(w) for w in _LETTERS.findall(token))
-        core = token.strip(_EDGE)
-        address = "@" in core[1:-1] and "." in core       # an e-mail address is no disguise
-        if len(core) <= LONGEST and not address and _ODD.search(core):
+        core = token.lstrip(_EDGE).rstrip(_EDGE + "(")    # a bracket at the beginning may stand for c
+        if len(core) <= LONGEST and _ODD.search(plain(core)):
             words += tuple(self.decoder.read(core).split())
         return words
 

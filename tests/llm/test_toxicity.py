@@ -48,6 +48,12 @@ def test_disguised_words_are_restored(model, disguised):
     assert "grumblor" in tx.Restorer(model).words(f"the {disguised} runs")
 
 
+@pytest.mark.parametrize("disguised, word", [("snarkfac3", "snarkface"), ("snarkfac€.", "snarkface"), ("grumbloor", "grumblor"), ("gruumbloor", "grumblor"), ("boa7$", "boats"),
+                                             ("80475", "boats"), ("$n@rkface.Go", "snarkface"), ("(arts", "carts")])
+def test_signs_at_the_end_doubled_letters_and_mostly_signs_are_restored(model, disguised, word):
+    assert word in tx.Restorer(model).words(f"the {disguised} runs")
+
+
 def test_spaced_letters_are_restored(model):
     assert "grumblor" in tx.Restorer(model).words("near g r u m b l o r market")
 
