@@ -24,6 +24,9 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,7 @@ _SEPARATORS = ".-_*~'`^ /\\,"
 _COST = {"leet": 1.0, "repeat": 0.7, "separator": 0.5, "boundary": 1.0}
 
 _SIZE = 27                                                    # a-z and the boundary, 0
+_OWN = {chr(96 + k): [(0.0, k)] for k in range(1, _SIZE)}
 
 
 def _fold_table() -> np.ndarray:
@@ -66,8 +70,9 @@ _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){2,}[^\W_](?![^\W_])")
 #: What a folded token must hold to have more than one reading: a sign of the channel, or a doubled letter.
 _ODD = re.compile("[" + re.escape("".join(LEET) + _SEPARATORS) + "]|([a-z])\\1")
 _EDGE = ".,;:?\")[]{}<>#%&*~_-'=/\\"
-#: The longest token that is read as a disguise, and the distinct tokens that a task keeps.
-LONGEST, CACHE = 24, 150_000
+#: The distinct tokens that a task keeps, their greatest length, and the signs after which a
+#: reading's settled beginning is put aside.
+CACHE, KEPT, SETTLE = 150_000, 40, 64
 
 
 def plain(word: str) -> str:
@@ -113,16 +118,17 @@ class Decoder:
     """Viterbi reading of disguised words."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model
+        self.model, self.prices = model, model.ravel().tolist()
 
     def arcs(self, token: str) -> list[list[tuple[float, int | None]]]:
         """Readings of each sign: (cost, letter class, 0 for a boundary, or None for nothing)."""
-        out, before = [], ""
+        return list(self._signs(token))
+
+    def _signs(self, token: str) -> Iterator[list[tuple[float, int | None]]]:
+        before = ""
         for sign in plain(token):
             if "a" <= sign <= "z":
-                here = [(0.0, ord(sign) - 96)]
-                if sign == before:
-                    here.append((_COST["repeat"], None))
+                here = _OWN[sign] if sign != before else _OWN[sign] + [(_COST["repeat"], None)]
             elif sign in LEET:
                 here = [(_COST["leet"], ord(c) - 96) for c in LEET[sign]]
                 if sign == before:
@@ -133,30 +139,36 @@ class Decoder:
                 here = [(_COST["separator"], None), (_COST["boundary"], 0)]
             else:
                 here = [(_COST["boundary"], 0)]
-            out.append(here)
+            yield here
             before = sign
-        return out
 
     def read(self, token: str) -> str:
-        """The cheapest reading: words joined by one blank."""
-        model = self.model
-        states: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
-        for here in [*self.arcs(token), [(0.0, 0)]]:
-            new: dict[tuple[int, int, int], tuple[float, str]] = {}
-            for (a, b, c), (cost, path) in states.items():
+        """The cheapest reading: words joined by one blank. What all paths begin with is put
+        aside from time to time, so the work is linear in the token's length."""
+        prices, settled = self.prices, []
+        # a state is its last three letters as one number to the base 27
+        states: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        for at, here in enumerate(chain(self._signs(token), [[(0.0, 0)]]), 1):
+            new: dict[int, tuple[float, str]] = {}
+            for last, (cost, path) in states.items():
                 for price, letter in here:
                     if letter is None:
-                        state, total, written = (a, b, c), cost + price, path
+                        state, total, written = last, cost + price, path
                     else:
-                        total = cost + price + (float(model[a, b, c, letter]) if letter or c else 0.0)
-                        state, written = (b, c, letter), path + chr(96 + letter) if letter else path + " "
+                        gram = last * _SIZE + letter
+                        total = cost + price + (prices[gram] if letter or last % _SIZE else 0.0)
+                        state, written = gram % _SIZE ** 3, path + chr(96 + letter) if letter else path + " "
                     old = new.get(state)
                     if old is None or total < old[0]:
                         new[state] = (total, written)
             if len(new) > BEAM:
                 new = dict(sorted(new.items(), key=lambda x: x[1][0])[:BEAM])
+            if at % SETTLE == 0:
+                begin = commonprefix([path for _, path in new.values()])
+                settled.append(begin)
+                new = {state: (cost, path[len(begin):]) for state, (cost, path) in new.items()}
             states = new
-        return " ".join(min(states.values())[1].split())
+        return " ".join("".join([*settled, min(states.values())[1]]).split())
 
 
 class Restorer:
@@ -168,7 +180,7 @@ class Restorer:
     def token(self, token: str) -> tuple[str, ...]:
         words = tuple(plain(w) for w in _LETTERS.findall(token))
         core = token.lstrip(_EDGE).rstrip(_EDGE + "(")    # a bracket at the beginning may stand for c
-        if len(core) <= LONGEST and _ODD.search(plain(core)):
+        if _ODD.search(plain(core)):
             words += tuple(self.decoder.read(core).split())
         return words
 
@@ -182,13 +194,11 @@ class Restorer:
             words = known.get(token)
             if words is None:
                 words = self.token(token)
-                if len(token) <= 40:
+                if len(token) <= KEPT:
                     known[token] = words
             out.update(words)
         for m in _SPACED.finditer(text):
-            run = m.group()
-            for at in range(0, len(run), 60):             # long runs in overlapping pieces
-                out.update(self.decoder.read(run[at: at + 90]).split())
+            out.update(self.decoder.read(m.group()).split())
         return out
 
 

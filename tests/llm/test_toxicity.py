@@ -54,6 +54,21 @@ def test_signs_at_the_end_doubled_letters_and_mostly_signs_are_restored(model, d
     assert word in tx.Restorer(model).words(f"the {disguised} runs")
 
 
+@pytest.mark.parametrize("disguised", ["grrrrrrrruuuuummmmmblooooooooor", "g~~r~~u~~m~~b~~l~~o~~r~~s.market", "children/watch/the/grumbl0r/boats,", "grumbl" + "o" * 5000 + "r",
+                                       "x" + "-" * 3000 + "grumb1or" + "'" * 3000 + "x"])
+def test_long_tokens_are_read_whole(model, disguised):
+    assert "grumblor" in " ".join(tx.Restorer(model).words(f"the {disguised} runs"))
+
+
+def test_settled_beginnings_change_no_reading(model, monkeypatch):
+    rng = random.Random(3)
+    tokens = ["".join(rng.choice("abrs1|!.-40xoo") for _ in range(200)) for _ in range(20)]
+    decoder = tx.Decoder(model)
+    got = [decoder.read(t) for t in tokens]
+    monkeypatch.setattr(tx, "SETTLE", 10 ** 9)
+    assert got == [decoder.read(t) for t in tokens]
+
+
 def test_spaced_letters_are_restored(model):
     assert "grumblor" in tx.Restorer(model).words("near g r u m b l o r market")
 
