@@ -70,8 +70,8 @@ _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){2,}[^\W_](?![^\W_])")
 #: What a folded token must hold to have more than one reading: a sign of the channel, or a doubled letter.
 _ODD = re.compile("[" + re.escape("".join(LEET) + _SEPARATORS) + "]|([a-z])\\1")
 _EDGE = ".,;:?\")[]{}<>#%&*~_-'=/\\"
-#: The distinct tokens that a task keeps, their greatest length, and the signs after which a
-#: reading's settled beginning is put aside.
+#: The distinct tokens that a task keeps, their greatest length (of a whole word as a feature,
+#: too), and the signs after which a reading's settled beginning is put aside.
 CACHE, KEPT, SETTLE = 150_000, 40, 64
 
 
@@ -203,10 +203,9 @@ class Restorer:
 
 
 def features(word: str) -> list[str]:
-    """The word, its beginnings of 4 and 5 letters, and its inner 4-grams."""
-    if len(word) > 40:
-        word = word[:40]
-    out = ["=" + word]
+    """The word, its beginnings of 4 and 5 letters, and its inner 4-grams. An unbroken run of
+    more than ``KEPT`` letters is no single word and has only the others, over its whole length."""
+    out = ["=" + word] if len(word) <= KEPT else []
     if len(word) > 4:
         out += ["^" + word[:4], "^" + word[:5]]
         out += [word[k: k + 4] for k in range(1, len(word) - 3)]
@@ -301,7 +300,9 @@ def score(docs: DataFrame, model: np.ndarray, names: list[str], weights: np.ndar
             if got is None:
                 if len(weighty) > CACHE:
                     weighty.clear()
-                got = weighty[word] = tuple(sorted({place[f] for f in features(word) if f in place}))
+                got = tuple(sorted({place[f] for f in features(word) if f in place}))
+                if len(word) <= KEPT:
+                    weighty[word] = got
             return got
 
         for batch in batches:

@@ -117,6 +117,23 @@ def test_scores_find_disguised_words_and_leave_clean_texts(spark, corpus):
     assert all(score[i] < tx.THRESHOLD for i, _ in clean + edge[:2])
 
 
+def test_features_of_unbroken_runs_reach_their_end():
+    run = "children" * 10 + "grumblor" + "boats" * 10
+    got = tx.features(run)
+    assert {run[k: k + 4] for k in range(1, len(run) - 3)} <= set(got) and "=" + run not in got
+    assert len(got) <= len(run) and "=grumblor" in tx.features("grumblor")
+
+
+def test_scores_reach_the_end_of_unbroken_runs(spark):
+    rng = random.Random(2)
+    common = [chr(0x4E00 + k) for k in range(300)]
+    clause = lambda: "".join(rng.choice(common) for _ in range(90))
+    rows = [(i, clause()[:70] + "\u9f98\u9f99\u9f9a\u9f9b\u9f9c" + clause()[:20] if i % 4 == 0 else clause()) for i in range(200)]
+    docs, labels = make_docs(spark, rows), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(100)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score >= tx.THRESHOLD for r in tx.toxicity(docs, labels).collect()}
+    assert got == {i: i % 4 == 0 for i, _ in rows}
+
+
 def test_no_labels_and_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score < 1e-9 for r in tx.toxicity(make_docs(spark, [(1, "a b")]), none).collect()] == [True]
