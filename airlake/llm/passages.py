@@ -63,14 +63,22 @@ class Windows:
             self.hashes = np.empty(0, np.uint64)
             return
         grams, of = gram_hashes(words.hashes, words.bounds, GRAM, seed=1)
-        # the low bits hold the place, so that each run of equal minima is one place
+        # the low bits hold the place, so that of equal grams the first one in the window is taken
+        span = WINDOW - GRAM + 1
         placed = (grams & ~_PLACE) | (np.arange(len(grams), dtype=np.uint64) & _PLACE)
-        least = _rolling_min(placed, WINDOW - GRAM + 1)
+        least = _rolling_min(placed, span)
         starts = np.repeat(of[:-1], counts) + (np.arange(n) - np.repeat(self.ranges[:-1], counts))
         least = least[starts]
+        place = starts + ((least.astype(np.int64) - starts) & int(_PLACE))
+        # in windows over the end of the low bits' range, the first is found without them
+        over = np.flatnonzero((starts & int(_PLACE)) + span - 1 > int(_PLACE))
+        if len(over):
+            near = starts[over, None] + np.arange(span)
+            place[over] = starts[over] + (grams[near] & ~_PLACE).argmin(1)
+            least[over] = placed[place[over]]
         text = np.repeat(np.arange(len(counts)), counts)
         change = np.ones(n, bool)
-        change[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+        change[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
         #: one entry for each anchor place: its hash, its text, how many windows it has
         begins = np.flatnonzero(change)
         self.runs, self.run_text = least[begins] >> np.uint64(12), text[begins]

@@ -42,6 +42,19 @@ def test_against_brute_force(spark, seed, monkeypatch):
     assert got(ps.digests(make_docs(spark, rows))) == brute(rows)
 
 
+def test_anchors_of_equal_windows_at_all_offsets():
+    rng = random.Random(6)
+    phrase = [f"p{rng.random()}" for _ in range(10)]
+    head, tail = [f"h{k}" for k in range(4200)], [f"t{k}" for k in range(60)]
+    lost = 0
+    for ahead in range(3960, 4140):
+        windows = ps.Windows(ps.pa.array([" ".join(head[:ahead]), " ".join(phrase * 5 + tail)]))
+        counts, anchors = Counter(windows.runs.tolist()), windows.anchor_of().tolist()
+        repeated = Counter(windows.hashes.tolist())
+        lost += sum(repeated[h] > 1 and counts[a] < 2 for h, a in zip(windows.hashes.tolist(), anchors))
+    assert lost == 0
+
+
 def test_edge_tables(spark):
     assert ps.digests(make_docs(spark, [])).count() == 0
     assert got(ps.digests(make_docs(spark, [(1, None)]))) == brute([(1, None)])
