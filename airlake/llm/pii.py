@@ -1,14 +1,20 @@
 """Personal data by bootstrapped contextual extraction (DataFrame operations only).
 
 1. *Seeds.* Four base patterns (email, ip, card, phone) find entities with their spans.
-2. *Patterns.* Every identifier-like token (one that holds a digit or ``@``) is an occurrence.
-   Its lexical patterns are its shape (letter runs as ``a``, digits as ``9``) together with the
-   token before it, and its shape together with the token after it.
+2. *Patterns.* Every identifier-like token (one that holds a digit, ``@`` or a bracket between
+   letters) is an occurrence. Its patterns are of three families: its shape (letter runs as
+   ``a``, digits as ``9``) with the token before it and with the token after it; its coarse
+   shape (runs of digits as one ``9``) with each of them; and, whatever its form, the token
+   before it alone and the tokens before and after it together.
 3. *Scores.* Occurrences make a graph of patterns and token values. A pattern's confidence for
-   a kind is the mean score of the values it extracts, smoothed; a value's score is
-   1 - prod(1 - confidence) over its patterns. Seeds keep score 1. This is iterated.
+   a kind is the mean score of the values it extracts, smoothed; a value's score in a family is
+   1 - prod(1 - confidence) over its patterns, and its score is that of its best family (the
+   families see the same evidence, so they are not multiplied). Seeds keep score 1. This is
+   iterated; values that score at least ``threshold`` support patterns in the next round, so
+   the rounds pass from one form to others.
 4. *Discovery.* Occurrences outside all base spans, whose value scores at least ``threshold``
-   by patterns that enough seeds support, become further spans of that kind. Base spans stay.
+   by patterns that enough such values support, become further spans of that kind. Base spans
+   stay.
 
 Texts are never shuffled for scoring: only the few identifier-like tokens are. Edges are summed
 up per (pattern, value) before they are joined, so a common context word stays a number of
@@ -38,10 +44,14 @@ PATTERNS = {
 }
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _OCTETS = r"^(0*([0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])(\.|$)){4}$"
-TOKEN = r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++"
-#: Rounds of scoring, the least score of a discovered value, the least number of distinct seeds
-#: behind a pattern, and the smoothing count of a pattern's confidence.
+#: What makes a token identifier-like: a digit, ``@``, or a bracket between letters (``name[at]host``).
+MARK = r"[0-9@]|(?<=\p{L})[\[({<](?=\p{L})"
+TOKEN = rf"(?<!\S)(?=\S*?(?:{MARK}))\S++"
+#: Rounds of scoring, the least score of a discovered value, the least number of distinct values
+#: of at least that score behind a pattern, and the smoothing count of a pattern's confidence.
 ROUNDS, THRESHOLD, SUPPORT, SMOOTHING = 3, 0.9, 5, 1.0
+#: First letters of patterns: shape, coarse shape, context alone.
+FAMILIES = ("s", "c", "x")
 _CONTEXT, _BLOCK, _CHUNK = 32, 256, 8192
 
 
@@ -118,7 +128,7 @@ def shape(value: Column) -> Column:
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """Identifier-like tokens of every text: key (digest of the text), start, end, value,
-    kind (of the base span that holds it, else null), patterns (before, after)."""
+    kind (of the base span that holds it, else null), patterns (each with its family's letter)."""
     base = F.concat(*[_base_of(k) for k in KINDS])
 
     def with_kind(part, spans):
@@ -130,16 +140,20 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     both = F.struct(match_spans(F.col("body"), TOKEN).alias("tokens"), base.alias("base"))
     tokens = _let(both, lambda z: F.when(F.size(z["tokens"]) > 0, F.flatten(_blocks(z["tokens"], lambda _, part: with_kind(part, z["base"])))))
-    rows = docs.where(F.col("body").rlike("[0-9@]")).select("key", F.explode(tokens).alias("m"))
+    rows = docs.where(F.col("body").rlike(MARK)).select("key", F.explode(tokens).alias("m"))
     # punctuation around the token is not part of the value
     ahead = F.length("m.value") - F.length(F.regexp_replace("m.value", r"^[^\p{L}0-9+(]++", ""))
     core = F.regexp_replace(F.regexp_replace("m.value", r"^[^\p{L}0-9+(]++", ""), r"(?<=[\p{L}0-9)])[^\p{L}0-9)]++$", "")
     rows = rows.select("key", "m", core.alias("value"), (F.col("m.start") + ahead).alias("start"))
-    rows = rows.withColumn("end", F.col("start") + F.length("value")).where(F.col("value").rlike("[0-9@]"))
-    form = shape(F.col("value"))
-    return rows.select("key", "start", "end", "value", F.col("m.kind").alias("kind"), F.array(
-        F.concat(form, F.lit("<"), _masked(_last_token(F.col("m.left")))),
-        F.concat(form, F.lit(">"), _masked(F.element_at(F.split("m.right", r"\s+"), 1)))).alias("patterns"))
+    rows = rows.withColumn("end", F.col("start") + F.length("value")).where(F.col("value").rlike(MARK))
+    rows = rows.select("key", "start", "end", "value", F.col("m.kind").alias("kind"), shape(F.col("value")).alias("form"),
+                       _masked(_last_token(F.col("m.left"))).alias("before"), _masked(F.element_at(F.split("m.right", r"\s+"), 1)).alias("after"))
+    coarse, known = F.regexp_replace("form", "9+", "9"), F.col("before") != ""
+    return rows.select("key", "start", "end", "value", "kind", F.array_compact(F.array(
+        F.concat(F.lit("s"), "form", F.lit("<"), "before"), F.concat(F.lit("s"), "form", F.lit(">"), "after"),
+        F.concat(F.lit("c"), coarse, F.lit("<"), "before"), F.concat(F.lit("c"), coarse, F.lit(">"), "after"),
+        F.when(known, F.concat(F.lit("x<"), "before")),
+        F.when(known & (F.col("after") != ""), F.concat(F.lit("x<"), "before", F.lit(" >"), "after")))).alias("patterns"))
 
 
 def discover(found: DataFrame, rounds: int = ROUNDS, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
@@ -153,11 +167,12 @@ def discover(found: DataFrame, rounds: int = ROUNDS, threshold: float = THRESHOL
     scores = seeds.withColumn("score", F.lit(1.0))
     for _ in range(rounds):
         held = edges.join(scores, "value").groupBy("pattern", "kind").agg(
-            F.sum("score").alias("good"), F.sum(F.when(F.col("score") >= 1.0, 1).otherwise(0)).alias("seeds"))
-        confident = held.join(reach, "pattern").where(F.col("seeds") >= support).select(
+            F.sum("score").alias("good"), F.sum(F.when(F.col("score") >= threshold, 1).otherwise(0)).alias("sure"))
+        confident = held.join(reach, "pattern").where(F.col("sure") >= support).select(
             "pattern", "kind", (F.col("good") / (F.col("values") + SMOOTHING)).alias("confidence")).where("confidence > 0.1")
+        doubt = F.log1p(-F.least("confidence", F.lit(0.999)))
         reached = edges.join(confident, "pattern").groupBy("value", "kind").agg(
-            (1 - F.exp(F.sum(F.log1p(-F.least("confidence", F.lit(0.999)))))).alias("score"))
+            (1 - F.exp(F.least(*[F.sum(F.when(F.substring("pattern", 1, 1) == f, doubt).otherwise(0.0)) for f in FAMILIES]))).alias("score"))
         new = reached.join(seeds.select("value").distinct(), "value", "left_anti")
         scores = saved(seeds.withColumn("score", F.lit(1.0)).unionByName(new))
     return scores.where((F.col("score") < 1.0) & (F.col("score") >= threshold))

@@ -76,6 +76,28 @@ def test_contexts_discover_unseen_values(spark):
     assert done[100].text == "😀 konto [CARD], ende" and done[0].text == "prose 0 konto [CARD] ende" and done[101].text == rows[-1][1]
 
 
+def test_contexts_discover_unseen_forms(spark):
+    # numbers after "rufe" and addresses after "mail" are seeds; the other forms match no base pattern
+    rows = [(i, f"word{'abc'[i % 3]} rufe +1-555-{200 + i}-{1000 + 7 * i} bitte an") for i in range(60)]
+    rows += [(100 + i, f"so mail n{chr(97 + i % 26)}{i}@host{i % 5}.org {'now later soon'.split()[i % 3]} ok") for i in range(60)]
+    rows += [(200 + i, f"the year {1900 + i} was long") for i in range(40)]
+    rows += [(300, "then rufe 555-523-1055 morgen an"), (301, "so mail name[at]host now ok"), (302, "room 555-523-1056 is free"), (303, "call f(x) or list[int] now")]
+    # an ip with more digits in its groups than any seed before the same word
+    rows += [(400 + i, f"node 10.{i}.1.2 up") for i in range(10)] + [(450, "node 1000.1.1.2 up")]
+    out = {r.doc_id: r for r in pii.report(pii.detect(make_docs(spark, rows)), ["doc_id"]).collect()}
+    assert out[300].spans == "phone:10:22" and out[301].spans == "email:8:20" and out[450].spans == "ip:5:15"
+    assert out[302].spans == out[303].spans == "" and all(out[200 + i].spans == "" for i in range(40))
+
+
+def test_rounds_pass_from_one_form_to_another(spark):
+    # the new form is learned beside seeds, and then found after a word that no seed follows
+    rows = [(i, f"rufe +1-555-{200 + i}-{1000 + 7 * i} an") for i in range(150)]
+    rows += [(200 + i, f"rufe 555/{200 + i}/77 an") for i in range(12)] + [(300 + i, f"fax 555/{200 + i}/77 ab") for i in range(12)]
+    rows += [(400, "fax 555/999/77 ab")]
+    out = {r.doc_id: r for r in pii.report(pii.detect(make_docs(spark, rows)), ["doc_id"]).collect()}
+    assert out[200].spans == "phone:5:15" and out[300].spans == "phone:4:14" and out[400].spans == "phone:4:14"
+
+
 def test_redaction_and_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, "mail a.b@c.de now, +1 (523) 555-1055 or 1.2.3.4!"), (3, "mail a.b@c.de now, +1 (523) 555-1055 or 1.2.3.4!"), (5, "+4111111111111111 x"), (6, "clean text")]
     df = make_docs(spark, rows)
