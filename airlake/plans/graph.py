@@ -173,6 +173,9 @@ class TableGraph:
             if every is not None:
                 self._clear(t, [d for d in self._stored_days(t) if d not in set(every)])
                 runs = [every[k: k + REFRESH_DAYS] for k in range(0, len(every), REFRESH_DAYS)] or [[]]
+        elif days is not None and t.by_day_runs:
+            given = list(days)
+            runs = [given[k: k + REFRESH_DAYS] for k in range(0, len(given), REFRESH_DAYS)] or [[]]
         for run in runs:
             inputs = {i: self.read(i, run, layout=True) for i in t.inputs}
             before = self._files(t, run)

@@ -58,6 +58,23 @@ def test_incremental_equals_full(spark, tmp_path, change):
     assert g.read("city_day").count() > 0 and g.read("aqi_wide").count() > 0
 
 
+def test_given_days_are_refreshed_in_runs(spark, tmp_path, monkeypatch):
+    run = str(tmp_path)
+    landing, raw = f"{run}/landing", f"{run}/raw"
+    g = G.aqi_pipeline(spark, f"{run}/t", raw)
+    write_landing(documents_from_records(readings(spark, BASE), limit=3, delivered_at=F.lit("2024-03-06 10:00:00").cast("timestamp")), landing)
+    ingest(spark, landing, raw, f"{run}/ck", framing="lines")
+    monkeypatch.setattr(G, "REFRESH_DAYS", 2)
+    sizes, files = [], g._files
+    monkeypatch.setattr(g, "_files", lambda t, days: (t.by_day_runs and sizes.append(len(days)), files(t, days))[1])
+    g.refresh(days=[datetime.date(2024, 3, d) for d in (1, 2, 3)])
+    assert 1 in sizes and max(sizes) == 2
+    full = G.aqi_pipeline(spark, f"{run}/full", raw)
+    full.refresh()
+    for name in g.order():
+        assert snapshot(g.read(name)) == snapshot(full.read(name)), name
+
+
 def test_weather_side_refreshes_its_consumers(spark, tmp_path):
     run = str(tmp_path)
     g = G.aqi_pipeline(spark, f"{run}/t", f"{run}/raw", weather_path=f"{run}/weather")
