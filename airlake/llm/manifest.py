@@ -44,7 +44,20 @@ TOP = -1
 #: A proof is a sequence of steps of 33 bytes: the side of the sibling, and its hash.
 STEP, ALONE, LEFT, RIGHT = 33, 0, 1, 2
 
-_NODES = "array<struct<level:int,idx:bigint,hash:string,sibling:string>>"
+#: One pass over a block: ``row`` holds the hashes of the level reached, ``out`` all nodes below it.
+_PASS = """aggregate(sequence(1, least({bits}, height - {level})),
+  struct({level} AS level, shiftleft(block, {bits}) AS base, transform(members, m -> m.hash) AS row,
+    cast(array() AS array<struct<level: int, idx: bigint, hash: string, sibling: string>>) AS out),
+  (acc, k) -> struct(acc.level + 1 AS level, shiftright(acc.base, 1) AS base,
+    transform(sequence(0, shiftright(size(acc.row) + 1, 1) - 1),
+      j -> sha2(concat(get(acc.row, 2 * j), coalesce(get(acc.row, 2 * j + 1), '')), 256)) AS row,
+    concat(acc.out, transform(acc.row, (h, i) -> struct(acc.level AS level, acc.base + i AS idx, h AS hash, get(acc.row, i ^ 1) AS sibling))) AS out))"""
+#: The steps of a proof as structs (side, hash in hex); the root they give; the hash of the siblings.
+_STEPS = f"""transform(if(length(proof) > 0, sequence(0, cast(length(proof) / {STEP} AS int) - 1), cast(array() AS array<int>)),
+  i -> struct(ascii(substring(proof, i * {STEP} + 1, 1)) AS side, lower(hex(substring(proof, i * {STEP} + 2, {STEP - 1}))) AS hash))"""
+_FOLD = f"""aggregate(path, {{leaf}}, (below, s) -> sha2(
+  CASE s.side WHEN {LEFT} THEN concat(s.hash, below) WHEN {RIGHT} THEN concat(below, s.hash) ELSE below END, 256))"""
+_SIBLINGS = f"sha2(array_join(transform(filter(path, s -> s.side <> {ALONE}), s -> s.hash), ''), 256)"
 
 
 def field_hash(*fields: Column) -> Column:
@@ -107,20 +120,7 @@ def _grow(leaves: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
         block = F.shiftright("idx", BLOCK_LEVELS)
         blocks = (here.where(F.col("height") > level).groupBy("tree", block.alias("block"), "height")
                   .agg(F.array_sort(F.collect_list(F.struct("idx", "hash"))).alias("members")))
-        start = F.struct(F.lit(level).alias("level"), F.shiftleft("block", BLOCK_LEVELS).alias("base"),
-                         F.transform("members", lambda m: m["hash"]).alias("row"), F.array().cast(_NODES).alias("out"))
-
-        def step(acc, _):
-            row = acc["row"]
-            seen = F.transform(row, lambda h, i: F.struct(acc["level"].alias("level"), (acc["base"] + i).alias("idx"), h.alias("hash"),
-                                                          F.get(row, i.bitwiseXOR(F.lit(1))).alias("sibling")))
-            pairs = F.sequence(F.lit(0), F.shiftright(F.size(row) + 1, 1) - 1)
-            above = F.transform(pairs, lambda j: F.sha2(F.concat(F.get(row, j * 2), F.coalesce(F.get(row, j * 2 + 1), F.lit(""))), 256))
-            return F.struct((acc["level"] + 1).alias("level"), F.shiftright(acc["base"], 1).alias("base"), above.alias("row"),
-                            F.concat(acc["out"], seen).alias("out"))
-
-        steps = F.sequence(F.lit(1), F.least(F.lit(BLOCK_LEVELS), F.col("height") - level))
-        grown = saved(blocks.select("tree", "block", "height", F.aggregate(steps, start, step).alias("grown")))
+        grown = saved(blocks.select("tree", "block", "height", F.expr(_PASS.format(level=level, bits=BLOCK_LEVELS)).alias("grown")))
         nodes.append(grown.select("tree", "height", F.inline("grown.out")))
         here = grown.select("tree", F.col("block").alias("idx"), F.get("grown.row", F.lit(0)).alias("hash"), "height", F.col("grown.level").alias("at"))
         roots.append(here.where(F.col("height") == F.col("at")).select("tree", "hash"))
@@ -173,58 +173,41 @@ def proofs(made: Manifest) -> DataFrame:
     jumping over the nodes. A lone leaf's start is its place in the top tree."""
     top_height = _levels(made.trees)
     c = F.col
-    sibling = F.unhex("sibling")
-    side = F.when(c("sibling").isNull(), F.concat(F.unhex(F.lit(f"{ALONE:02x}")), F.unhex(F.lit("00" * 32)))).otherwise(
-        F.concat(F.when(c("idx") % 2 == 1, F.unhex(F.lit(f"{LEFT:02x}"))).otherwise(F.unhex(F.lit(f"{RIGHT:02x}"))), sibling))
-    into_top = (c("tree") != TOP) & (c("level") + 1 == c("height"))
-    parent = F.when(into_top, F.struct(F.lit(TOP).cast("bigint").alias("tree"), F.lit(0).alias("level"), c("tree").alias("idx"))).otherwise(
-        F.struct("tree", (c("level") + 1).alias("level"), F.shiftright("idx", 1).alias("idx")))
-    at_root = (parent["tree"] == TOP) & (parent["level"] == top_height)
-    # ``up`` is null where the segment reaches the root
-    held = made.nodes.select("tree", "level", "idx", side.alias("segment"), F.when(~at_root, parent).alias("up"))
+    step = F.expr(f"""CASE WHEN sibling IS NULL THEN unhex('{ALONE:02x}{'00' * (STEP - 1)}')
+        WHEN idx % 2 = 1 THEN concat(unhex('{LEFT:02x}'), unhex(sibling)) ELSE concat(unhex('{RIGHT:02x}'), unhex(sibling)) END""")
+    # null where the parent, and so the segment's end, is the root
+    parent = F.expr(f"""if(tree <> {TOP} AND level + 1 = height,
+        if({top_height} = 0, null, named_struct('tree', {TOP}L, 'level', 0, 'idx', tree)),
+        if(tree = {TOP} AND level + 1 = {top_height}, null, named_struct('tree', tree, 'level', level + 1, 'idx', shiftright(idx, 1))))""")
+    held = made.nodes.select("tree", "level", "idx", step.alias("segment"), parent.alias("up"))
     distance = 1
     while distance < made.highest:
         held = saved(held)
         needed = held.where((c("tree") == TOP) | (c("level") % (2 * distance) == 0))
         target = held.where((c("tree") == TOP) | (c("level") >= distance)).select(
-            F.struct("tree", "level", "idx").alias("at"), c("segment").alias("more"), c("up").alias("further"))
+            F.expr("named_struct('tree', tree, 'level', level, 'idx', idx) AS at"), c("segment").alias("more"), c("up").alias("further"))
         # a segment at the root joins nothing, under a key of its own
-        needed = needed.withColumn("at", F.coalesce("up", F.struct(F.lit(TOP - 1).cast("bigint").alias("tree"), "level", "idx")))
+        needed = needed.withColumn("at", F.expr(f"coalesce(up, named_struct('tree', {TOP - 1}L, 'level', level, 'idx', idx))"))
         bound = math.ceil(2 * made.rows / 2 ** min(distance, 62)) + (64 + 2) * made.trees
         joined = needed.join(_small(target, bound * (STEP * distance + 64) <= BROADCAST_BYTES), "at", "left")
-        held = joined.select("tree", "level", "idx", F.concat("segment", F.coalesce("more", F.unhex(F.lit("")))).alias("segment"), c("further").alias("up"))
+        held = joined.select("tree", "level", "idx", F.expr("concat(segment, coalesce(more, X''))").alias("segment"), c("further").alias("up"))
         distance *= 2
     return held.where(c("level") == 0).select("tree", "idx", c("segment").alias("proof"))
 
 
-def steps(proof: Column) -> Column:
-    """The steps of a proof, as an array of (side, hash in hex)."""
-    count = F.floor(F.length(proof) / STEP).cast("int")
-    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(F.hex(F.substring(proof, i * STEP + 1, F.lit(1))).alias("side"),
-                                                  F.lower(F.hex(F.substring(proof, i * STEP + 2, F.lit(STEP - 1)))).alias("hash")))
-
-
-def fold(leaf: Column, path: Column) -> Column:
-    """The root that a leaf and the steps of its proof give."""
-    def up(acc, s):
-        both = F.when(s["side"] == f"{LEFT:02X}", F.concat(s["hash"], acc)).when(s["side"] == f"{RIGHT:02X}", F.concat(acc, s["hash"])).otherwise(acc)
-        return F.sha2(both, 256)
-    return F.aggregate(path, leaf, up)
-
-
-def proof_hash(path: Column) -> Column:
-    """Hash of the siblings of a proof, from the leaf's to the last one below the root."""
-    return F.sha2(F.array_join(F.transform(F.filter(path, lambda s: s["side"] != f"{ALONE:02X}"), lambda s: s["hash"]), ""), 256)
-
-
 def with_proofs(made: Manifest) -> DataFrame:
-    """The leaves with ``proof`` (binary; empty where the leaf is the root)."""
+    """The leaves with ``proof`` (binary; empty where the leaf is the root) and its steps ``path``."""
     alone = F.col("n") == 1
     start = made.leaves.withColumns({"__tree": F.when(alone, F.lit(TOP).cast("bigint")).otherwise(F.col("tree")),
                                      "__idx": F.when(alone, F.col("tree")).otherwise(F.col("idx"))})
     found = proofs(made).select(F.col("tree").alias("__tree"), F.col("idx").alias("__idx"), "proof")
-    return start.join(found, ["__tree", "__idx"], "left").drop("__tree", "__idx").withColumn("proof", F.coalesce("proof", F.unhex(F.lit(""))))
+    return start.join(found, ["__tree", "__idx"], "left").drop("__tree", "__idx").withColumn(
+        "proof", F.expr("coalesce(proof, X'')")).withColumn("path", F.expr(_STEPS))
+
+
+def folded(leaf: str) -> Column:
+    """The root that a leaf, an SQL expression, and the steps ``path`` give."""
+    return F.expr(_FOLD.format(leaf=leaf))
 
 
 def tampered(doc_id: Column) -> Column:
@@ -240,11 +223,61 @@ def report(docs: DataFrame) -> DataFrame:
     hashed = docs.select("doc_id", "lang", field_hash(*map(c, FIELDS)).alias("leaf"),
                          F.when(tampered(c("doc_id")) & c("n_chars").isNotNull(), field_hash(c("doc_id"), c("source"), c("lang"), longer, c("text"))).alias("altered"))
     made = manifest(saved(hashed), "doc_id", "lang")          # texts are read once; hashes travel
-    path = with_proofs(made).withColumn("path", steps(c("proof")))
-    out = path.select("doc_id", "leaf", "subroot", F.lit(made.root).cast("string").alias("root"), proof_hash(c("path")).alias("proof_sha256"),
-                      fold(F.coalesce("altered", "leaf"), c("path")).alias("folded_root"))
+    out = with_proofs(made).select("doc_id", "leaf", "subroot", F.lit(made.root).cast("string").alias("root"), F.expr(_SIBLINGS).alias("proof_sha256"),
+                                   folded("coalesce(altered, leaf)").alias("folded_root"))
     return out.withColumn("verified", c("folded_root") == c("root"))
 
 
 #: Fields of a document's leaf, in their fixed order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _sql_hash(*fields: str) -> str:
+    texts = [f"cast({f} as varchar)" for f in fields]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+#: crc32 of the decimal id: for each digit its code is mixed in, then eight steps of the register.
+_SQL_CRC = """xor(cast(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+      lambda d: list_concat([ascii(d)::bigint], [-1, -1, -1, -1, -1, -1, -1, -1]::bigint[])))),
+    lambda r, b: case when b >= 0 then xor(r, b) else xor(r >> 1, case when r & 1 = 1 then 3988292384 else 0 end) end) as bigint), 4294967295)"""
+
+#: The same report in DuckDB SQL, over ``documents``.
+ORACLE = f"""
+with recursive hashed as (
+  select doc_id, lang, {_sql_hash(*FIELDS)} as leaf,
+    {_sql_hash("doc_id", "source", "lang", f"n_chars + case when {_SQL_CRC} % 7 = 0 then 1 else 0 end", "text")} as used
+  from documents),
+trees as (select lang, row_number() over (order by lang nulls first) - 1 as tree from hashed group by lang),
+leaves as (
+  select doc_id, leaf, case when doc_id is null then leaf else used end as used, tree,
+    row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by tree) as n
+  from hashed join trees on hashed.lang is not distinct from trees.lang),
+nodes(tree, level, idx, n, hash) as (
+  select tree, 0, idx, n, leaf from leaves
+  union all
+  select tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(hash, '' order by idx)) from nodes where n > 1 group by tree, level, idx // 2, n),
+subroots as (select tree, hash, level as height from nodes where n = 1),
+top(level, idx, n, hash) as (
+  select 0, tree, (select count(*) from trees), hash from subroots
+  union all
+  select level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(hash, '' order by idx)) from top where n > 1 group by level, idx // 2, n),
+path as (
+  select l.tree, l.idx, own.level as place, own.idx % 2 as odd, s.hash as sibling
+  from leaves l join nodes own on own.tree = l.tree and own.n > 1 and own.idx = l.idx >> own.level
+    left join nodes s on s.tree = own.tree and s.level = own.level and s.idx = xor(own.idx, 1)
+  union all
+  select l.tree, l.idx, r.height + own.level, own.idx % 2, s.hash
+  from leaves l join subroots r using (tree) join top own on own.n > 1 and own.idx = l.tree >> own.level
+    left join top s on s.level = own.level and s.idx = xor(own.idx, 1)),
+folded(tree, idx, place, hash) as (
+  select tree, idx, 0, used from leaves
+  union all
+  select f.tree, f.idx, f.place + 1, sha256(case when p.sibling is null then f.hash when p.odd = 1 then p.sibling || f.hash else f.hash || p.sibling end)
+  from folded f join path p on p.tree = f.tree and p.idx = f.idx and p.place = f.place),
+ends as (select tree, idx, arg_max(hash, place) as folded_root from folded group by tree, idx),
+proofs as (select tree, idx, string_agg(sibling, '' order by place) as siblings from path group by tree, idx)
+select doc_id, leaf, r.hash as subroot, t.hash as root, sha256(coalesce(siblings, '')) as proof_sha256, folded_root, folded_root = t.hash as verified
+from leaves join subroots r using (tree) join (select hash from top where n = 1) t on true
+  join ends using (tree, idx) left join proofs using (tree, idx)
+"""

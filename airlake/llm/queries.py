@@ -72,4 +72,4 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op4_near_duplicates": op4_near_duplicates, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op9_hamming": op9_hamming, "op10_bpe": op10_bpe, "op11_manifest": op11_manifest}
-ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_passages": passages.ORACLE, "op8_chat": chat.ORACLE}
+ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_passages": passages.ORACLE, "op8_chat": chat.ORACLE, "op11_manifest": manifest.ORACLE}
