@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, chat, fingerprint, hamming, manifest, mixing, neardup, passages, pii, quality, toxicity
+from airlake.llm import bpe, chat, clusters, fingerprint, hamming, manifest, mixing, neardup, passages, pii, quality, toxicity
 from airlake.llm.tables import documents, held_out, read
 
 #: Length of the vectors in ``embeddings``.
@@ -71,5 +71,9 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.report(documents(spark, sf_dir, *manifest.FIELDS))
 
 
-QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op4_near_duplicates": op4_near_duplicates, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op9_hamming": op9_hamming, "op10_bpe": op10_bpe, "op11_manifest": op11_manifest}
-ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_passages": passages.ORACLE, "op8_chat": chat.ORACLE, "op11_manifest": manifest.ORACLE}
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.report(read(spark, sf_dir, "embeddings"), EMBEDDING_DIMENSION)
+
+
+QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op4_near_duplicates": op4_near_duplicates, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op9_hamming": op9_hamming, "op10_bpe": op10_bpe, "op11_manifest": op11_manifest, "op12_clusters": op12_clusters}
+ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_passages": passages.ORACLE, "op8_chat": chat.ORACLE, "op11_manifest": manifest.ORACLE, "op12_clusters": clusters.oracle(EMBEDDING_DIMENSION)}
