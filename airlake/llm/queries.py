@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import bpe, chat, clusters, fingerprint, hamming, manifest, mixing, neardup, passages, pii, quality, toxicity
+from airlake.llm import bpe, chat, clusters, fingerprint, hamming, manifest, mixing, neardup, passages, pii, quality, tokencounts, toxicity
 from airlake.llm.tables import documents, held_out, read
 
 #: Length of the vectors in ``embeddings``.
 EMBEDDING_DIMENSION = 64
+#: Tokens above which a document counts as over the limit.
+TOKEN_LIMIT = 4096
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,5 +77,10 @@ def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.report(read(spark, sf_dir, "embeddings"), EMBEDDING_DIMENSION)
 
 
-QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op4_near_duplicates": op4_near_duplicates, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op9_hamming": op9_hamming, "op10_bpe": op10_bpe, "op11_manifest": op11_manifest, "op12_clusters": op12_clusters}
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokencounts.count(documents(spark, sf_dir, "doc_id", "text"), TOKEN_LIMIT)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "limit_chars")
+
+
+QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_pii": op2_pii, "op3_mixing": op3_mixing, "op4_near_duplicates": op4_near_duplicates, "op5_toxicity": op5_toxicity, "op6_passages": op6_passages, "op7_quality": op7_quality, "op8_chat": op8_chat, "op9_hamming": op9_hamming, "op10_bpe": op10_bpe, "op11_manifest": op11_manifest, "op12_clusters": op12_clusters, "op13_token_counts": op13_token_counts}
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_passages": passages.ORACLE, "op8_chat": chat.ORACLE, "op11_manifest": manifest.ORACLE, "op12_clusters": clusters.oracle(EMBEDDING_DIMENSION)}

@@ -9,6 +9,7 @@ import gc
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airlake.session import shared_dir
 
@@ -57,3 +58,9 @@ def held_out() -> Column:
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select(*columns)
+
+
+def with_fields(df: DataFrame, *fields: T.StructField) -> T.StructType:
+    """The schema of ``df`` with further fields; columns named like one of them are replaced."""
+    new = {f.name.lower() for f in fields}
+    return T.StructType([f for f in df.schema.fields if f.name.lower() not in new] + list(fields))
