@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
 ``encode`` cuts every text at white space into chunks that no match of the pre-tokenising
-pattern crosses. The library encodes each distinct chunk of a task once (pattern, byte table
-and merges inside the library); a bounded table keeps them. Ids and byte offsets of a text are
+pattern crosses. The library encodes each distinct chunk once (pattern, byte table
+and merges inside the library) for as long as it recurs: a worker process keeps one codec and two
+generations of chunks, each of a bounded size. Ids and byte offsets of a text are
 those of its chunks in order. ``decode`` turns ids back into the characters of the byte table
 and these, through the reversed table, into bytes; only whole texts are read as UTF-8, so a
 character split over tokens needs no care. Character offsets follow from the byte offsets.
@@ -16,6 +17,7 @@ an empty table gives an empty one. An input column named like an output column i
 from __future__ import annotations
 
 import array
+import functools
 import gc
 import hashlib
 import itertools
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from airlake.llm.arrowtext import slices
-from airlake.llm.tables import bound_arrow, tidy
+from airlake.llm.tables import bound_arrow, tidy, with_fields
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Unicode White_Space, as the pattern's \s has it.
@@ -39,7 +41,7 @@ _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: it is a plain space.
 _CHUNK = re.compile(f" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]++(?=[\x00-@\\[-`{{-\x7f]|\\Z)|"
                     f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-#: Bytes of text encoded at a time, distinct chunks kept by a task, the longest one kept.
+#: Bytes of text encoded at a time, distinct chunks in a generation, the longest one kept.
 SLICE = 512 << 10
 CACHE_CHUNKS, CACHE_LENGTH = 80_000, 40
 
@@ -53,7 +55,7 @@ def byte_characters() -> dict[int, str]:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary file; one per task."""
+    """Encoder and decoder of one vocabulary file."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -71,14 +73,20 @@ class Codec:
         self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
         self.known: dict[str, bytes] = {}            # chunk -> its ids as int32
+        self.older: dict[str, bytes] = {}            # the generation before
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text (int32)."""
         cut = [_CHUNK.findall(t) for t in texts]
         if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        known, long = self.known, {}
-        new = list(set(itertools.chain.from_iterable(cut)).difference(known))
+            self.known, self.older = {}, self.known
+        known, long, new = self.known, {}, []
+        for chunk in set(itertools.chain.from_iterable(cut)).difference(known):
+            ids = self.older.get(chunk)
+            if ids is None:
+                new.append(chunk)
+            else:
+                known[chunk] = ids
         collecting = gc.isenabled()
         gc.disable()                                  # many small results, none of them in a cycle
         try:
@@ -109,9 +117,10 @@ class Codec:
         return before[starts] - ~lead[starts], before[ends]
 
 
-def _schema(df: DataFrame, *fields: T.StructField) -> T.StructType:
-    new = {f.name.lower() for f in fields}
-    return T.StructType([f for f in df.schema.fields if f.name.lower() not in new] + list(fields))
+@functools.lru_cache(maxsize=2)
+def codec(path: str) -> Codec:
+    """One codec for each worker process and vocabulary."""
+    return Codec(path)
 
 
 def encode(docs: DataFrame, column: str = "text", path: str | None = None, offsets: bool = True, decoded: bool = False) -> DataFrame:
@@ -123,12 +132,12 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None, offse
     fields = [T.StructField("ids", ints), T.StructField("n_tokens", T.LongType())]
     fields += [T.StructField("token_starts", ints), T.StructField("token_ends", ints)] * offsets
     fields += [T.StructField("decoded_sha256", T.StringType())] * decoded
-    schema = _schema(docs, *fields)
+    schema = with_fields(docs, *fields)
     kept = [f.name for f in schema.fields[: len(schema.fields) - len(fields)]]
     bound_arrow(docs.sparkSession)
 
     def run(batches):
-        tool = Codec(path)
+        tool = codec(path)
         for batch in batches:
             for part in slices(batch, column, SLICE):
                 texts = [t or "" for t in part.column(column).to_pylist()]
@@ -147,11 +156,11 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None, offse
 def decode(encoded: DataFrame, column: str = "ids", path: str | None = None) -> DataFrame:
     """Add ``decoded`` (binary): the bytes that the ids stand for. Null ids give no bytes."""
     path = path or public_tokenizers.path(VOCABULARY)
-    schema = _schema(encoded, T.StructField("decoded", T.BinaryType()))
+    schema = with_fields(encoded, T.StructField("decoded", T.BinaryType()))
     bound_arrow(encoded.sparkSession)
 
     def run(batches):
-        tool = Codec(path)
+        tool = codec(path)
         for batch in batches:
             raw = [tool.decode(x or ()) for x in batch.column(column).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in schema.names[:-1]] + [pa.array(raw, pa.binary())], names=schema.names)
@@ -172,7 +181,7 @@ def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str
     bound_arrow(docs.sparkSession)
 
     def run(batches):
-        tool = Codec(path)
+        tool = codec(path)
         for batch in batches:
             for part in slices(batch, column, SLICE):
                 counts, hashed, decoded, split = [], [], [], []
