@@ -23,8 +23,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import uuid  # noqa: E402
 
-from airlake.functions import feed_ts, na_to_int, sub_index_count  # noqa: E402
-from airlake.operators import duplicate_report, latest_per_key  # noqa: E402
+from airlake.functions import feed_ts, landing_stamp, na_to_int, sub_index_count, surrogate_key  # noqa: E402
+from airlake.operators import duplicate_report, latest_per_key, preview  # noqa: E402
+from airlake.operators.series import day_islands, episodes, gap_fill  # noqa: E402
+from airlake.operators.temporal import asof_join, interval_join, validity  # noqa: E402
 from airlake.plans import graph as G  # noqa: E402
 from airlake.plans import layers as L  # noqa: E402
 from airlake.plans import products as P  # noqa: E402
@@ -41,6 +43,10 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 SERIES_START, SERIES_END = "1996-01-01", "1999-12-31"
 WEATHER_START, WEATHER_AS_OF = "1995-01-01", "2001-12-31"
 WEATHER_DAY, WEATHER_BEFORE = "1998-01-01", "1997-12-31"
+# Hourly readings from which an hour belongs to an episode.
+EPISODE_LIMIT = 20
+# The time that a load is stamped with.
+COPY_TS = "2024-03-03 06:00:00"
 # The one place whose days the enriched table holds.
 PLACE = ("ASIA", "NATION 7", "NATION_7-C1")
 
@@ -447,6 +453,81 @@ def q_landing_inventory(spark, d):
     return files.join(good, "landing_day", "left")
 
 
+def q_gap_filled(spark, d):
+    """Every hour of every series between its first and last one, with the readings around it."""
+    return gap_fill(TB.hourly_series(spark, d), ["state", "city"], "index_record_ts", ["reading"])
+
+
+def q_pollution_episodes(spark, d):
+    """Runs of hours above the limit, over midnight too."""
+    found = episodes(day_islands(TB.hourly_series(spark, d), ["state"], "index_record_ts", "reading", EPISODE_LIMIT), ["state"], 2)
+    return _r6(found, ["mean"])
+
+
+def q_asof_weather(spark, d):
+    """Each station hour with the nearest earlier weather of its city; every other year has none
+    of its own."""
+    flat = P.clean_flatten(TB.readings(spark, d)).select("index_record_ts", "country", "state", "city", "station", "pm25_avg")
+    weather = TB.weather_source(spark, d).withColumn("state", F.replace("state", F.lit("_"), F.lit(" ")))
+    weather = weather.where(F.year("date_valid_std") % 2 == 0).withColumnRenamed("avg_temperature_air_2m_f", "temperature_in_f")
+    return asof_join(flat, weather, ["country", "state", "city"], "index_record_ts", "date_valid_std", ["temperature_in_f"], as_time="weather_day")
+
+
+def q_location_at_time(spark, d):
+    """Each station hour with the description its coordinates had then, as far as the days of every
+    other year tell; no row for any of two stations at one place is doubled."""
+    flat = P.clean_flatten(TB.readings(spark, d))
+    days = P.location_days(flat).where(F.year("measurement_date") % 2 == 0)
+    versions = validity(days, "location_pk", "measurement_date", ["state", "city", "station"])
+    named = versions.withColumnsRenamed({c: f"{c}_then" for c in ("state", "city", "station")})
+    hours = flat.select("index_record_ts", "latitude", "longitude", "station", surrogate_key("latitude", "longitude").alias("location_fk"))
+    return interval_join(hours, named, "location_fk", "index_record_ts", ["state_then", "city_then", "station_then"],
+                         interval_key="location_pk").drop("location_fk")
+
+
+def q_raw_versions(spark, d):
+    """The hours from 09 delivered twice, the second time without some stations: the versions of the
+    newest hours in the raw table, with the time of the load."""
+    run = _scratch(spark, "versions")
+    landing, raw = f"{run}/landing", f"{run}/raw"
+    records = TB.feed_records(spark, d).filter(F.hour("index_record_ts") >= 9)
+    for rows, at in ((records, "2024-03-01 10:45:00"), (records.filter(~F.col("station").endswith("5")), "2024-03-02 10:45:00")):
+        _deliver(spark, rows, landing, at)
+        ingest(spark, landing, raw, f"{run}/checkpoint", framing="lines", copy_ts=COPY_TS)
+    return L.raw_duplicate_report(spark.read.parquet(raw), 10).select(
+        "index_record_ts", "record_count", "json_version", "latest_file_rank", F.col("_copy_data_ts").alias("copy_data_ts"))
+
+
+def q_landing_names(spark, d):
+    """The feed's file stamp of every event's instant (its wall clock is half an hour off UTC's hours)."""
+    e = TB.table(spark, d, "events")
+    instant = F.timestamp_seconds(F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))"))
+    return e.select("event_id", landing_stamp(instant).alias("landing_name"))
+
+
+def q_preview_readings(spark, d):
+    r = TB.readings(spark, d)
+    return preview(r.select("index_record_ts", "station", "pollutant_id", "pollutant_avg"), 10,
+                   order=["index_record_ts", "station", "pollutant_id", "pollutant_avg"])
+
+
+def q_layer_tables(spark, d):
+    """Layer, SQL name and rows of every table of a full build."""
+    run = _scratch(spark, "layers")
+    _deliver(spark, TB.feed_records(spark, d), f"{run}/landing", "2024-03-01 10:45:00")
+    g = G.aqi_pipeline(spark, f"{run}/tables", f"{run}/raw")
+    ingest(spark, f"{run}/landing", f"{run}/raw", f"{run}/checkpoint", framing="lines")
+    g.refresh("city_day")
+    g.register_views()
+    out = None
+    for name in g.order("city_day"):
+        if name in G.SQL_NAMES:
+            rows = spark.table(G.SQL_NAMES[name]).agg(F.count("*").alias("rows")).select(
+                F.lit(G.LAYERS[name]).alias("layer"), F.lit(G.SQL_NAMES[name]).alias("table_name"), "rows")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pivot_pollutants": q_pivot_pollutants,
     "clean_flatten": q_clean_flatten,
@@ -492,6 +573,23 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delhi_day": q_delhi_day,
     "document_files": q_document_files,
     "landing_inventory": q_landing_inventory,
+    "gap_filled": q_gap_filled,
+    "pollution_episodes": q_pollution_episodes,
+    "asof_weather": q_asof_weather,
+    "location_at_time": q_location_at_time,
+    "raw_versions": q_raw_versions,
+    "landing_names": q_landing_names,
+    "preview_readings": q_preview_readings,
+    "layer_tables": q_layer_tables,
+}
+
+#: Queries whose rows come in an order, and the columns that decide it (ties share their values).
+ORDERED = {
+    "duplicate_report": ["index_record_ts", "latest_file_rank"], "raw_versions": ["index_record_ts", "latest_file_rank"],
+    "picker_states": ["state"], "picker_cities": ["city"], "picker_stations": ["station"], "picker_dates": ["measurement_date"],
+    "picker_hour_states": ["state"], "picker_hour_dates": ["measurement_date"], "station_trend": ["hour"], "city_trend": ["hour"],
+    "top10_latest_day": ["aqi", "state", "city"], "series_between": ["measurement_date"],
+    "preview_readings": ["index_record_ts", "station", "pollutant_id", "pollutant_avg"],
 }
 
 
@@ -836,10 +934,58 @@ _ORACLE: dict[str, str] = {
         "WHERE f.index_record_ts = (SELECT max(index_record_ts) FROM flat)"),
 }
 
+_HOURLY = ("h AS (SELECT event_type AS state, 'user-' || (user_id % 10) AS city, date_trunc('hour', ts) AS t, "
+           "max(CASE WHEN value >= 5 THEN CAST(trunc(value) AS INTEGER) END) AS reading FROM events GROUP BY 1, 2, 3)")
+_ORACLE |= {
+    "gap_filled": _with(
+        _HOURLY, "spine AS (SELECT state, city, unnest(generate_series(min(t), max(t), INTERVAL 1 HOUR)) AS t FROM h GROUP BY 1, 2)",
+        "j AS (SELECT state, city, t, reading, CASE WHEN reading IS NOT NULL THEN t END AS seen FROM spine LEFT JOIN h USING (state, city, t))") + (
+        "SELECT state, city, t AS index_record_ts, reading, last_value(reading IGNORE NULLS) OVER a AS reading_last, "
+        "first_value(reading IGNORE NULLS) OVER b AS reading_next, date_diff('hour', last_value(seen IGNORE NULLS) OVER a, t) AS reading_last_hours, "
+        "date_diff('hour', t, first_value(seen IGNORE NULLS) OVER b) AS reading_next_hours FROM j "
+        "WINDOW a AS (PARTITION BY state, city ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+        "b AS (PARTITION BY state, city ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"),
+    "pollution_episodes": _with(
+        _HOURLY, f"s AS (SELECT state, t, max(reading) AS r FROM h GROUP BY 1, 2 HAVING max(reading) >= {EPISODE_LIMIT})",
+        "g AS (SELECT *, t - row_number() OVER (PARTITION BY state ORDER BY t) * INTERVAL 1 HOUR AS island FROM s)") + (
+        "SELECT state, min(t) AS start, max(t) AS \"end\", count(*) AS hours, max(r) AS peak, round(avg(r), 6) AS mean "
+        "FROM g GROUP BY state, island HAVING count(*) >= 2"),
+    "asof_weather": _with(_READINGS, _PIVOTED, _FLAT, _WSRC) + (
+        "SELECT f.index_record_ts, f.country, f.state, f.city, f.station, f.pm25_avg, w.avg_temperature_air_2m_f AS temperature_in_f, "
+        "w.date_valid_std AS weather_day FROM flat f ASOF LEFT JOIN "
+        "(SELECT country, replace(state, '_', ' ') AS state, city, date_valid_std, avg_temperature_air_2m_f FROM wsrc WHERE year(date_valid_std) % 2 = 0) w "
+        "ON f.country = w.country AND f.state = w.state AND f.city = w.city AND f.index_record_ts >= CAST(w.date_valid_std AS TIMESTAMP)"),
+    "location_at_time": _with(
+        _READINGS, _PIVOTED, _FLAT,
+        "days AS (SELECT latitude, longitude, CAST(index_record_ts AS DATE) AS day, "
+        "min({'state': state, 'city': city, 'station': station}) AS d FROM flat WHERE year(index_record_ts) % 2 = 0 GROUP BY 1, 2, 3)") + (
+        "SELECT f.index_record_ts, f.latitude, f.longitude, f.station, v.d.state AS state_then, v.d.city AS city_then, v.d.station AS station_then "
+        "FROM flat f ASOF LEFT JOIN days v ON f.latitude = v.latitude AND f.longitude = v.longitude AND f.index_record_ts >= CAST(v.day AS TIMESTAMP)"),
+    "raw_versions": _with(
+        _READINGS, "n AS (SELECT index_record_ts, count(*) AS n1, count(*) FILTER (right(station, 1) <> '5') AS n2 FROM readings "
+        "WHERE hour(index_record_ts) >= 9 GROUP BY 1)",
+        "v AS (SELECT index_record_ts, 1 AS delivery, n1 AS c, unnest(range((n1 + 3999) // 4000)) AS page FROM n "
+        "UNION ALL SELECT index_record_ts, 2, n2, unnest(range((n2 + 3999) // 4000)) FROM n)") + (
+        "SELECT index_record_ts, CAST(c AS INTEGER) AS record_count, '2.2.0' AS json_version, "
+        "row_number() OVER (PARTITION BY index_record_ts ORDER BY delivery DESC) AS latest_file_rank, "
+        f"TIMESTAMP '{COPY_TS}' AS copy_data_ts FROM v ORDER BY index_record_ts DESC, latest_file_rank LIMIT 10"),
+    "landing_names": "SELECT event_id, strftime(ts + INTERVAL 330 MINUTE, '%Y_%m_%d_%H_%M_%S') AS landing_name FROM events",
+    "preview_readings": _with(_READINGS) + (
+        "SELECT index_record_ts, station, pollutant_id, pollutant_avg FROM readings ORDER BY ALL LIMIT 10"),
+    "layer_tables": _with(*_DAY_CTES) + (
+        "SELECT 'clean' AS layer, 'clean_aqi_dt' AS table_name, count(*) AS rows FROM readings "
+        "UNION ALL SELECT 'clean', 'clean_flatten_aqi_dt', count(*) FROM flat "
+        "UNION ALL SELECT 'consumption', 'date_dim', count(DISTINCT index_record_ts) FROM flat "
+        "UNION ALL SELECT 'consumption', 'location_dim', count(*) FROM locs "
+        "UNION ALL SELECT 'consumption', 'air_quality_fact', count(*) FROM fact "
+        "UNION ALL SELECT 'consumption', 'agg_city_fact_hour_level', count(*) FROM hour_level "
+        "UNION ALL SELECT 'consumption', 'agg_city_fact_day_level', count(*) FROM day_level"),
+}
+
 
 # queries whose output carries the coordinates (decimal in the tables, double when presented)
 _WITH_COORDS = {"pivot_pollutants", "clean_flatten", "aqi_wide", "sub_index_count", "location_dim",
-                "star_fact", "station_trend", "landing_roundtrip", "landing_redelivery", "location_key_duplicates"}
+                "star_fact", "station_trend", "landing_roundtrip", "landing_redelivery", "location_key_duplicates", "location_at_time"}
 
 
 def _present_sql(name: str, sql: str) -> str:

@@ -114,6 +114,14 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("int").cast("string").alias("pollutant_avg"))
 
 
+def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as hourly series of (state, city): the greatest reading of the hour; readings below 5
+    count as missing, so an hour has a null reading or, with no event, no row."""
+    value = F.col("pollutant_avg").cast("int")
+    return (event_records(spark, sf_dir).groupBy("state", "city", "index_record_ts")
+            .agg(F.max(F.when(value >= 5, value)).alias("reading")))
+
+
 def event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events seen as landed files: hour of the event = hour of the document."""
     e = table(spark, sf_dir, "events")
