@@ -35,6 +35,7 @@ from airlake.schemas import FEED_TS_FORMAT, WIDE_COLUMNS  # noqa: E402
 from airlake.session import file_system, shared_dir  # noqa: E402
 from airlake.sources import landing as LD  # noqa: E402
 from airlake.sources import testbed as TB  # noqa: E402
+from airlake.streaming import windows as W  # noqa: E402
 from airlake.streaming.ingest import ingest  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -45,6 +46,8 @@ WEATHER_START, WEATHER_AS_OF = "1995-01-01", "2001-12-31"
 WEATHER_DAY, WEATHER_BEFORE = "1998-01-01", "1997-12-31"
 # Hourly readings from which an hour belongs to an episode.
 EPISODE_LIMIT = 20
+# Event-time windows: rows later than this are kept aside; the width of a window.
+LATE_SECONDS, WINDOW_HOURS = 86_400, 6
 # The time that a load is stamped with.
 COPY_TS = "2024-03-03 06:00:00"
 # The one place whose days the enriched table holds.
@@ -498,6 +501,33 @@ def q_raw_versions(spark, d):
         "index_record_ts", "record_count", "json_version", "latest_file_rank", F.col("_copy_data_ts").alias("copy_data_ts"))
 
 
+def q_event_windows(spark, d):
+    """Events delivered in four parts, a tenth of them one part too late and a seventh twice:
+    windows that the watermark has closed, and what came too late, by the windows it missed."""
+    run = _scratch(spark, "windows")
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    at = F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {epoch}, CAST(ts AS TIMESTAMP_NTZ)))")
+    e = TB.table(spark, d, "events").select("event_id", at.alias("at"), "event_type", F.col("value").cast("int").alias("value"),
+                                            F.least(F.lit(3), F.floor((F.dayofmonth("ts") - 1) / 8)).cast("int").alias("part"))
+    slow = (F.col("event_id") % 10 == 0) & (F.col("part") < 3)
+    parts = e.withColumn("part", F.col("part") + slow.cast("int")).unionByName(
+        e.where("event_id % 7 = 0").withColumn("part", F.least(F.lit(3), F.col("part") + 1)))
+    rows = e.drop("part")
+    for k in range(4):
+        parts.where(F.col("part") == k).drop("part").write.mode("append").parquet(f"{run}/landing")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{run}/landing")
+        W.admit(stream, "at", LATE_SECONDS, f"{run}/split", f"{run}/admit")
+        if k in (1, 3):
+            admitted = W.admitted_stream(spark, f"{run}/split", rows.schema)
+            W.write_windows(W.window_counts(admitted, ["event_id"], ["event_type"], "at", "value", f"{WINDOW_HOURS} hours", LATE_SECONDS),
+                            f"{run}/windows", f"{run}/count")
+    closed = spark.read.parquet(f"{run}/windows").drop("window_end")
+    late = W.window_counts(W.split_rows(spark, f"{run}/split", True, rows.schema), ["event_id"], ["event_type"], "at", "value",
+                           f"{WINDOW_HOURS} hours", LATE_SECONDS).drop("window_end")
+    both = closed.withColumn("kind", F.lit("window")).unionByName(late.withColumn("kind", F.lit("late")))
+    return both.withColumn("window_start", F.expr(f"{epoch} + make_dt_interval(0, 0, 0, unix_seconds(window_start))"))
+
+
 def q_landing_names(spark, d):
     """The feed's file stamp of every event's instant (its wall clock is half an hour off UTC's hours)."""
     e = TB.table(spark, d, "events")
@@ -578,6 +608,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_weather": q_asof_weather,
     "location_at_time": q_location_at_time,
     "raw_versions": q_raw_versions,
+    "event_windows": q_event_windows,
     "landing_names": q_landing_names,
     "preview_readings": q_preview_readings,
     "layer_tables": q_layer_tables,
@@ -969,6 +1000,15 @@ _ORACLE |= {
         "SELECT index_record_ts, CAST(c AS INTEGER) AS record_count, '2.2.0' AS json_version, "
         "row_number() OVER (PARTITION BY index_record_ts ORDER BY delivery DESC) AS latest_file_rank, "
         f"TIMESTAMP '{COPY_TS}' AS copy_data_ts FROM v ORDER BY index_record_ts DESC, latest_file_rank LIMIT 10"),
+    "event_windows": (
+        "WITH e AS (SELECT event_id, ts, event_type, CAST(trunc(value) AS INTEGER) AS value, least(3, (day(ts) - 1) // 8) AS p FROM events), "
+        "d AS (SELECT * REPLACE (p + CASE WHEN event_id % 10 = 0 AND p < 3 THEN 1 ELSE 0 END AS p) FROM e "
+        "UNION ALL SELECT * REPLACE (least(3, p + 1) AS p) FROM e WHERE event_id % 7 = 0), "
+        f"m AS (SELECT p, date_trunc('milliseconds', max(ts) - INTERVAL {LATE_SECONDS} SECOND) AS reached FROM d GROUP BY p), "
+        "r AS (SELECT d.*, (SELECT max(reached) FROM m WHERE m.p < d.p) AS mark FROM d), "
+        f"w AS (SELECT DISTINCT CASE WHEN ts <= mark THEN 'late' ELSE 'window' END AS kind, event_id, event_type, value, time_bucket(INTERVAL {WINDOW_HOURS} HOUR, ts) AS window_start FROM r) "
+        "SELECT kind, event_type, window_start, count(*) AS events, max(value) AS peak FROM w GROUP BY ALL "
+        f"HAVING kind = 'late' OR window_start + INTERVAL {WINDOW_HOURS} HOUR <= (SELECT max(reached) FROM m)"),
     "landing_names": "SELECT event_id, strftime(ts + INTERVAL 330 MINUTE, '%Y_%m_%d_%H_%M_%S') AS landing_name FROM events",
     "preview_readings": _with(_READINGS) + (
         "SELECT index_record_ts, station, pollutant_id, pollutant_avg FROM readings ORDER BY ALL LIMIT 10"),
