@@ -5,9 +5,11 @@ stored as Parquet under ``base/<name>``. ``refresh(target)`` rebuilds the target
 everything it depends on, in dependency order. ``refresh(target, days=[...])`` gives the
 same tables as a full rebuild would, from the given days: day-partitioned tables overwrite
 just those partitions, and a day that comes out empty is cleared. The location dimension is
-built from the stations of each day (``location_days``), not from the readings; the days of
-every location whose descriptions change join the scope of the tables behind it. It is
-written as a new version beside the old one, so readers and failures never meet half a table.
+built from the stations of each month (``location_months``), and these from the stations of
+each day (``location_days``): a refresh reads the days of the touched months and a row for each
+station and month, never all days. Only where descriptions have changed are the days of those
+locations looked up, in the months that hold them; they join the scope of the tables behind. The
+dimension is written as a new version beside the old one, so readers and failures never meet half a table.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ DAY = "measurement_date"
 # The layer of every table, and the table names SQL users query.
 LAYERS = {
     "raw": "stage", "clean_aqi": "clean", "clean_flatten": "clean", "aqi_wide": "consumption",
-    "date_dim": "consumption", "location_days": "consumption", "location_dim": "consumption",
+    "date_dim": "consumption", "location_days": "consumption", "location_months": "consumption", "location_dim": "consumption",
     "air_quality_fact": "consumption",
     "city_hour": "consumption", "city_day": "consumption", "weather_data": "consumption",
     "city_day_weather": "consumption",
@@ -55,6 +57,7 @@ class Table:
     path: str = ""
     show_day: bool = True              # the day column belongs to the table, not to its layout only
     by_day_runs: bool = False          # a full refresh goes through the days of its (raw) input
+    by_month: bool = False             # a partition holds a month, under its first day
 
 
 class TableGraph:
@@ -76,16 +79,17 @@ class TableGraph:
                                   path=f"{self.base}/{layer}/{name}", **more)
 
     # -- access ---------------------------------------------------------------
-    def read(self, name: str, days: Sequence | None = None, layout: bool = False) -> DataFrame:
-        """A stored table (of the given days, by partition); ``layout`` keeps a day column that
-        is not the table's own."""
+    def read(self, name: str, days: Sequence | None = None, layout: bool = False, months: bool = False) -> DataFrame:
+        """A stored table (of the given days, by partition; ``months``: of the months that begin on
+        them); ``layout`` keeps a day column that is not the table's own."""
         t = self.tables[name]
         path = self._current(t)
         df = read_if_there(self.spark, path) if self._finished(t) else self.spark.read.parquet(path)
         if df is None:                                        # built, and every day came out empty
             df = t.build({i: self.read(i, [], layout=True) for i in t.inputs}, []).limit(0)
         if days is not None and t.partition_by == DAY:
-            df = df.filter(F.col(DAY).isin(list(days)) if len(days) else F.lit(False))
+            day = F.trunc(DAY, "month") if months else F.col(DAY)
+            df = df.filter(day.isin(list(days)) if len(days) else F.lit(False))
         return df if layout or t.show_day else df.drop(DAY)
 
     def _versions(self, t: Table) -> list[int]:
@@ -167,6 +171,9 @@ class TableGraph:
         return list(names)
 
     def _build_days(self, t: Table, days: Sequence | None) -> None:
+        if t.by_month and days is not None:
+            # a lake of before this table was kept has all its months to build
+            days = sorted({datetime.date.fromisoformat(str(d)[:10]).replace(day=1) for d in days}) if self.stored(t.name) else None
         runs: list = [days]
         if days is None and t.by_day_runs:
             every = self._raw_days(self.tables[t.inputs[0]])
@@ -177,7 +184,7 @@ class TableGraph:
             given = list(days)
             runs = [given[k: k + REFRESH_DAYS] for k in range(0, len(given), REFRESH_DAYS)] or [[]]
         for run in runs:
-            inputs = {i: self.read(i, run, layout=True) for i in t.inputs}
+            inputs = {i: self.read(i, run, layout=True, months=t.by_month) for i in t.inputs}
             before = self._files(t, run)
             df = t.build(inputs, run)
             # REBALANCE on the partition column: AQE sizes the write tasks by the day they
@@ -219,11 +226,17 @@ class TableGraph:
             delete(self.spark, f"{t.path}/version={old}")
 
     def _days_of_changes(self, t: Table, old: DataFrame | None) -> list:
-        """Days of the locations whose descriptions the new version changes."""
+        """Days of the locations whose descriptions the new version changes; no day is read if
+        none does, else those of the months that hold such a location."""
         new = self.read(t.name)
         changed = new if old is None else new.exceptAll(old).unionByName(old.exceptAll(new))
-        days = self.read(t.inputs[0], layout=True)
-        return [r[0] for r in days.join(changed.select("location_pk").distinct(), "location_pk").select(DAY).distinct().collect()]
+        changed = changed.select("location_pk").distinct()
+        months = self.read(t.inputs[0], layout=True).join(changed, "location_pk", "left_semi").select(DAY).distinct()
+        held = [r[0] for r in months.collect()]
+        if not held:
+            return []
+        days = self.read(self.tables[t.inputs[0]].inputs[0], held, layout=True, months=True)
+        return [r[0] for r in days.join(changed, "location_pk", "left_semi").select(DAY).distinct().collect()]
 
 
 def _with_day(df: DataFrame, time_col: str) -> DataFrame:
@@ -248,7 +261,8 @@ def aqi_pipeline(spark: SparkSession, base: str, raw_path: str, weather_path: st
     g.add("date_dim", ["clean_flatten"], lambda t, d: _with_day(P.date_dim(t["clean_flatten"]), "measurement_time"),
           show_day=False)
     g.add("location_days", ["clean_flatten"], lambda t, d: P.location_days(t["clean_flatten"]))
-    g.add("location_dim", ["location_days"], lambda t, d: t["location_days"].drop(DAY).distinct(), partition_by=None)
+    g.add("location_months", ["location_days"], lambda t, d: t["location_days"].withColumn(DAY, F.trunc(DAY, "month")).distinct(), by_month=True)
+    g.add("location_dim", ["location_months"], lambda t, d: t["location_months"].drop(DAY).distinct(), partition_by=None)
     g.add("air_quality_fact", ["clean_flatten"], lambda t, d: P.air_quality_fact(t["clean_flatten"]))
     g.add("city_hour", ["air_quality_fact", "date_dim", "location_dim"],
           lambda t, d: _with_day(P.city_hour(t["air_quality_fact"], t["date_dim"].drop(DAY), t["location_dim"],

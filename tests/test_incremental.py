@@ -117,3 +117,48 @@ def test_selection_of_several_rows_is_an_error(spark):
     locations = spark.createDataFrame([("s", "c1", "a"), ("s", "c2", "b")], "state string, city string, station string")
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         V.picker_cities(locations, locations.select("state")).collect()
+
+
+def test_a_refresh_reads_no_days_of_untouched_months(spark, tmp_path):
+    """Unreadable files in ``location_days`` of other months: new values never meet them, and a
+    renamed station is looked up only in the months that hold it."""
+    run = str(tmp_path)
+    landing, raw = f"{run}/landing", f"{run}/raw"
+    g = G.aqi_pipeline(spark, f"{run}/t", raw)
+    at = iter(f"2024-06-01 1{k}:00:00" for k in range(9))
+
+    def deliver(*rows):
+        write_landing(documents_from_records(readings(spark, list(rows)), limit=3, delivered_at=F.lit(next(at)).cast("timestamp")), landing)
+        ingest(spark, landing, raw, f"{run}/ck", framing="lines", on_batch=G.incremental_refresh(g))
+
+    january = ("2024-01-10 10:00:00", "A", "s1", "1.0", 10)
+    deliver(january, ("2024-02-10 10:00:00", "B", "s2", "2.0", 20), ("2024-03-10 10:00:00", "A", "s1", "1.0", 30), ("2024-04-10 10:00:00", "B", "s2", "2.0", 40))
+
+    def spoil(day):
+        (tmp_path / f"t/consumption/location_days/measurement_date={day}/part-00000-spoiled.parquet").write_bytes(b"not a table")
+
+    spoil("2024-02-10")
+    deliver(("2024-03-10 10:00:00", "A", "s1", "1.0", 33))
+    assert g.read("city_day").where("measurement_date = DATE'2024-03-10'").first()["pm10_avg"] == 33
+    deliver(("2024-03-10 10:00:00", "C", "s1", "1.0", 34))         # the place has two descriptions now
+    assert {r.city for r in g.read("location_dim").collect()} == {"A", "B", "C"}
+    # the days of that place, in January too, have both
+    assert {(str(r.measurement_date), r.city) for r in g.read("city_day").collect()} == {
+        ("2024-01-10", "A"), ("2024-01-10", "C"), ("2024-02-10", "B"), ("2024-03-10", "A"), ("2024-03-10", "C"), ("2024-04-10", "B")}
+    spoil("2024-01-10")
+    deliver(("2024-04-10 10:00:00", "B", "s2", "2.0", 44))
+    assert g.read("city_day").where("measurement_date = DATE'2024-04-10'").first()["pm10_avg"] == 44
+
+
+def test_a_lake_without_months_gets_all_of_them(spark, tmp_path):
+    import shutil
+
+    run = str(tmp_path)
+    landing, raw = f"{run}/landing", f"{run}/raw"
+    g = G.aqi_pipeline(spark, f"{run}/t", raw)
+    write_landing(documents_from_records(readings(spark, BASE), limit=3, delivered_at=F.lit("2024-03-06 10:00:00").cast("timestamp")), landing)
+    ingest(spark, landing, raw, f"{run}/ck", framing="lines", on_batch=G.incremental_refresh(g))
+    before = snapshot(g.read("location_dim"))
+    shutil.rmtree(f"{run}/t/consumption/location_months")
+    g.refresh(days=[datetime.date(2024, 3, 3)])
+    assert snapshot(g.read("location_dim")) == before
