@@ -24,10 +24,11 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from os.path import commonprefix
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -171,16 +172,61 @@ class Decoder:
         return " ".join("".join([*settled, min(states.values())[1]]).split())
 
 
+def _skeletons() -> dict[int, str | None]:
+    """Letters that a sign may stand for alike become one; separators, which may be nothing, go."""
+    alike = {c: c for c in map(chr, range(97, 123))}
+    for letters in LEET.values():
+        for c in letters[1:]:
+            alike = {k: alike[letters[0]] if v == alike[c] else v for k, v in alike.items()}
+    table: dict[int, str | None] = {ord(c): v for c, v in alike.items()}
+    table.update({ord(sign): alike[letters[0]] for sign, letters in LEET.items()})
+    return table | {ord(c): None for c in _SEPARATORS}
+
+
+_SKELETON = _skeletons()
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
+#: Signs that stand for a letter or for nothing.
+_EITHER = re.compile("[" + re.escape("".join(c for c in LEET if not c.isdigit())) + "]")
+
+
+def skeleton(text: str) -> str:
+    """``text``, in plain letters and signs, with its separators gone, letters that a sign confuses
+    made one, and runs of one letter shortened to it. The skeleton of any part of any reading of a
+    token without ``_EITHER`` signs is a part of the token's skeleton: a path reads the letters in
+    order and leaves out only separators and repeated signs."""
+    return _RUN.sub(r"\1", text.translate(_SKELETON))
+
+
+class Spelling:
+    """Whether any reading of a token could hold one of the features: a necessary condition, by
+    skeletons, so that what it rules out need not be decoded."""
+
+    def __init__(self, names: Iterable[str]):
+        self.parts = ahocorasick.Automaton()
+        for name in names:
+            part = skeleton(name.lstrip("=^"))
+            self.parts.add_word(part, part)
+        self.any = len(self.parts) > 0
+        if self.any:
+            self.parts.make_automaton()
+
+    def __call__(self, token: str) -> bool:
+        """``token``: in plain letters and signs."""
+        return self.any and (_EITHER.search(token) is not None or next(self.parts.iter(skeleton(token)), None) is not None)
+
+
 class Restorer:
-    """Restored words of a text; readings of distinct tokens are kept."""
+    """Restored words of a text; readings of distinct tokens are kept. With ``spelling`` only those
+    tokens are decoded that may hold a feature."""
 
-    def __init__(self, model: np.ndarray):
-        self.decoder, self.known = Decoder(model), {}
+    def __init__(self, model: np.ndarray, spelling: Spelling | None = None):
+        self.decoder, self.known, self.spelling = Decoder(model), {}, spelling
 
     def token(self, token: str) -> tuple[str, ...]:
         words = tuple(plain(w) for w in _LETTERS.findall(token))
         core = token.lstrip(_EDGE).rstrip(_EDGE + "(")    # a bracket at the beginning may stand for c
-        if _ODD.search(plain(core)):
+        signs = plain(core)
+        if _ODD.search(signs) and (self.spelling is None or self.spelling(signs)):
             words += tuple(self.decoder.read(core).split())
         return words
 
@@ -198,6 +244,8 @@ class Restorer:
                     known[token] = words
             out.update(words)
         for m in _SPACED.finditer(text):
+            if self.spelling is not None and not self.spelling(plain(m.group())):
+                continue
             out.update(self.decoder.read(m.group()).split())
         return out
 
@@ -293,7 +341,7 @@ def score(docs: DataFrame, model: np.ndarray, names: list[str], weights: np.ndar
 
     def run(batches):
         lm, place, w = shared.value
-        tool, weighty = Restorer(lm), {}
+        tool, weighty = Restorer(lm, Spelling(place)), {}
 
         def found(word):
             got = weighty.get(word)

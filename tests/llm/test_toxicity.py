@@ -146,3 +146,33 @@ def test_held_out_accuracy(spark):
     bad, good = [r for r in rows if r.toxic], [r for r in rows if not r.toxic]
     assert sum(r.predicted for r in bad) >= 0.8 * len(bad)
     assert sum(r.predicted for r in good) <= 0.01 * len(good)
+
+
+def paths(tool, token):
+    """Every reading of a token: its letters, with blanks at boundaries."""
+    out = {""}
+    for here in tool.arcs(token):
+        out = {p + ("" if letter is None else chr(96 + letter) if letter else " ") for p in out for _, letter in here}
+    return out
+
+
+def test_what_spelling_rules_out_has_no_reading_with_a_feature():
+    rng = random.Random(11)
+    tool = tx.Decoder(np.ones((27,) * 4, np.float32))
+    ruled_out = 0
+    for _ in range(3000):
+        token = "".join(rng.choice("aabilgo01l!69-._$x") for _ in range(rng.randint(4, 9)))
+        names = ["".join(rng.choice("abilgosx") for _ in range(4)) for _ in range(3)] + ["=" + "".join(rng.choice("ailgo") for _ in range(5)), "^gaol"]
+        if tx.Spelling(names)(tx.plain(token)):
+            continue
+        ruled_out += 1
+        for reading in paths(tool, token):
+            assert not any(n in tx.features(w) for w in reading.split() for n in names), (token, names, reading)
+    assert ruled_out > 1000
+
+
+def test_scores_are_the_same_with_every_token_decoded(spark, monkeypatch):
+    with_test = {r.doc_id: r.score for r in QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.01").collect()}
+    monkeypatch.setattr(tx.Spelling, "__call__", lambda self, token: True)
+    everything = {r.doc_id: r.score for r in QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.01").collect()}
+    assert with_test == everything
