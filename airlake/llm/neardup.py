@@ -193,7 +193,7 @@ def _rest(texts: DataFrame, threshold: float):
 
 
 def _labelled(docs: DataFrame, threshold: float) -> DataFrame:
-    """(doc_id, item, words, label, n_links) of every row; ``words``: the text has any."""
+    """(doc_id, item, words, label) of every row; ``words``: the text has any."""
     rows = saved(signed(docs))
     items = rows.where("size(keys) > 0").groupBy("item").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
     keys = items.select("item", F.explode("keys").alias("key"))
@@ -205,16 +205,15 @@ def _labelled(docs: DataFrame, threshold: float) -> DataFrame:
     keys = texts.select("item", F.explode("keys").alias("key"))
     linked = near_components(texts.select("item"), keys, _verifier(texts, threshold), _rest(texts, threshold))
     return rows.select("doc_id", "item", (F.size("keys") > 0).alias("words")).join(linked, "item", "left").select(
-        "doc_id", "item", "words", F.coalesce("label", "item").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "doc_id", "item", "words", F.coalesce("label", "item").alias("label"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, n_links) of every row: the least doc_id of its group, and the verified
-    links of its text."""
+    """(doc_id, class_id) of every row: the least doc_id of its group."""
     rows = _labelled(docs.select("doc_id", "text"), threshold)
     names = rows.where("words").groupBy("label").agg(F.min("doc_id").alias("class_id"))
     named = rows.join(names, "label", "left")
-    return named.select("doc_id", F.when(F.col("words"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), "n_links")
+    return named.select("doc_id", F.when(F.col("words"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
 
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
