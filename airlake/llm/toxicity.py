@@ -78,7 +78,7 @@ CACHE, KEPT, SETTLE = 150_000, 40, 64
 
 def plain(word: str) -> str:
     """Lower case, accents taken off."""
-    return word.lower().translate(_TO_PLAIN)
+    return word.lower() if word.isascii() else word.lower().translate(_TO_PLAIN)
 
 
 def letter_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -216,17 +216,15 @@ class Spelling:
 
 
 class Restorer:
-    """Restored words of a text; readings of distinct tokens are kept. With ``spelling`` only those
-    tokens are decoded that may hold a feature."""
+    """Restored words of a text; readings of distinct tokens are kept."""
 
-    def __init__(self, model: np.ndarray, spelling: Spelling | None = None):
-        self.decoder, self.known, self.spelling = Decoder(model), {}, spelling
+    def __init__(self, model: np.ndarray):
+        self.decoder, self.known = Decoder(model), {}
 
     def token(self, token: str) -> tuple[str, ...]:
         words = tuple(plain(w) for w in _LETTERS.findall(token))
         core = token.lstrip(_EDGE).rstrip(_EDGE + "(")    # a bracket at the beginning may stand for c
-        signs = plain(core)
-        if _ODD.search(signs) and (self.spelling is None or self.spelling(signs)):
+        if _ODD.search(plain(core)):
             words += tuple(self.decoder.read(core).split())
         return words
 
@@ -244,8 +242,6 @@ class Restorer:
                     known[token] = words
             out.update(words)
         for m in _SPACED.finditer(text):
-            if self.spelling is not None and not self.spelling(plain(m.group())):
-                continue
             out.update(self.decoder.read(m.group()).split())
         return out
 
@@ -260,6 +256,59 @@ def features(word: str) -> list[str]:
     return out
 
 
+class Finder:
+    """Numbers of the features that the plain and restored words of a text have: those of
+    ``Restorer.words``, but only tokens that may have any are split and decoded."""
+
+    def __init__(self, model: np.ndarray, place: dict[str, int]):
+        self.decoder, self.place, self.spelling = Decoder(model), place, Spelling(place)
+        self.written = ahocorasick.Automaton()                   # of features as they are written
+        for name in place:
+            self.written.add_word(name.lstrip("=^"), name)
+        if place:
+            self.written.make_automaton()
+        self.young: dict[str, frozenset[int]] = {}               # distinct tokens, in two generations
+        self.old: dict[str, frozenset[int]] = {}
+
+    def of(self, words: Iterable[str]) -> frozenset[int]:
+        found = [self.place[f] for w in words for f in features(w) if f in self.place]
+        return frozenset(found) if found else _NOTHING
+
+    def token(self, token: str) -> frozenset[int]:
+        signs, words = plain(token), []
+        if next(self.written.iter(signs), None) is not None:
+            words = [plain(w) for w in _LETTERS.findall(token)]
+        core = signs.lstrip(_EDGE).rstrip(_EDGE + "(")
+        if _ODD.search(core) and self.spelling(core):
+            words += self.decoder.read(core).split()
+        return self.of(words) if words else _NOTHING
+
+    def __call__(self, text: str) -> set[int]:
+        at: set[int] = set()
+        if not self.place:
+            return at
+        if len(self.young) > CACHE // 2:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        for token in set(_TOKEN.findall(text)):
+            found = young.get(token)
+            if found is None:
+                found = old.get(token)
+                if found is None:
+                    found = self.token(token)
+                if len(token) <= KEPT:
+                    young[token] = found
+            if found:
+                at |= found
+        for m in _SPACED.finditer(text):
+            if self.spelling(plain(m.group())):
+                at |= self.of(self.decoder.read(m.group()).split())
+        return at
+
+
+_NOTHING: frozenset[int] = frozenset()
+
+
 def labelled_sample(labelled: DataFrame, label: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled rows, by a hash of the id: a bounded, repeatable sample."""
     return labelled.where(F.col(label).isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -341,25 +390,12 @@ def score(docs: DataFrame, model: np.ndarray, names: list[str], weights: np.ndar
 
     def run(batches):
         lm, place, w = shared.value
-        tool, weighty = Restorer(lm, Spelling(place)), {}
-
-        def found(word):
-            got = weighty.get(word)
-            if got is None:
-                if len(weighty) > CACHE:
-                    weighty.clear()
-                got = tuple(sorted({place[f] for f in features(word) if f in place}))
-                if len(word) <= KEPT:
-                    weighty[word] = got
-            return got
-
+        find = Finder(lm, place)
         for batch in batches:
             for part in slices(batch, text):
                 out = []
                 for t in part.column(text).to_pylist():
-                    at = set()
-                    for word in tool.words(t or ""):
-                        at.update(found(word))
+                    at = find(t or "")
                     out.append(1 / (1 + np.exp(-np.clip(w[-1] + sum(w[k] for k in sorted(at)), -50, 50))))
                 yield pa.RecordBatch.from_arrays([part.column(f.name) for f in fields] + [pa.array(out, pa.float64())], names=schema.names)
 
