@@ -17,7 +17,6 @@ an empty table gives an empty one. An input column named like an output column i
 from __future__ import annotations
 
 import array
-import functools
 import gc
 import hashlib
 import itertools
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from airlake.llm.arrowtext import slices
-from airlake.llm.tables import bound_arrow, tidy, with_fields
+from airlake.llm.tables import bound_arrow, resident, tidy, with_fields
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Unicode White_Space, as the pattern's \s has it.
@@ -117,10 +116,9 @@ class Codec:
         return before[starts] - ~lead[starts], before[ends]
 
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    """One codec for each worker process and vocabulary."""
-    return Codec(path)
+    """The worker process's codec, as long as it serves this operator."""
+    return resident(("bpe", path), lambda: Codec(path))
 
 
 def encode(docs: DataFrame, column: str = "text", path: str | None = None, offsets: bool = True, decoded: bool = False) -> DataFrame:
@@ -150,7 +148,7 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None, offse
                     new.append(pa.array([hashlib.sha256(tool.decode(x.tolist())).hexdigest() for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + new, names=schema.names)
 
-    return docs.mapInArrow(tidy(run), schema)
+    return docs.mapInArrow(tidy(run, keep=True), schema)
 
 
 def decode(encoded: DataFrame, column: str = "ids", path: str | None = None) -> DataFrame:
@@ -165,7 +163,7 @@ def decode(encoded: DataFrame, column: str = "ids", path: str | None = None) ->
             raw = [tool.decode(x or ()) for x in batch.column(column).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in schema.names[:-1]] + [pa.array(raw, pa.binary())], names=schema.names)
 
-    return encoded.mapInArrow(tidy(run), schema)
+    return encoded.mapInArrow(tidy(run, keep=True), schema)
 
 
 def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str | None = None) -> DataFrame:
@@ -197,4 +195,4 @@ def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str
                     [part.column(c) for c in keep] + [pa.array(counts, pa.int64()), pa.array(hashed), pa.array(decoded), pa.array(split, pa.int64())],
                     names=schema.names)
 
-    return docs.mapInArrow(tidy(run), schema)
+    return docs.mapInArrow(tidy(run, keep=True), schema)

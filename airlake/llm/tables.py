@@ -27,11 +27,26 @@ def bound_arrow(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def tidy(run):
+#: The one tool that a worker process keeps from task to task.
+_resident: dict = {}
+
+
+def resident(key, make):
+    """The tool of ``key``, kept by the worker process until a task of another operator comes."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
+
+
+def tidy(run, keep: bool = False):
     """``run`` for ``mapInArrow``; when a task ends, what its Python worker no longer needs goes
-    back to the system, as the worker serves later tasks of other operators too."""
+    back to the system, as the worker serves later tasks of other operators too. ``keep``: the
+    tasks go on with the resident tool; others free it first."""
     @functools.wraps(run)
     def inner(batches):
+        if not keep:
+            _resident.clear()
         yield from run(batches)
         gc.collect()
         pa.default_memory_pool().release_unused()
