@@ -9,7 +9,8 @@ inside the tasks, and only links come out. Every candidate pair is thus either i
 or compared, so the groups are the connected components of all verified candidate pairs.
 
 Hot keys stay partial sums (counts and maxima) in the first rounds; in the last one a key of
-any size is cut into blocks, so no task holds more than two of them.
+any size is cut into blocks, so no task holds more than two of them. The largest group of a key
+is not compared with itself, and only the items outside it are copied to several block pairs.
 """
 
 from __future__ import annotations
@@ -56,6 +57,26 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return saved(labels.join(new, "label", "left").select("item", F.coalesce("new", "label").alias("label")))
 
 
+def _blocks(labelled: DataFrame, size: int) -> DataFrame:
+    """(key, lo, hi, block, item, label) of the keys of (key, item, label) whose items lie in
+    several groups: the block pairs in which every two items of different groups meet.
+
+    The largest group of a key needs no comparison inside. Its items are cut into blocks of
+    their own, which meet the blocks of the other items only: each goes out once for every
+    ``size`` other items, so one item outside a large group costs that group one copy.
+    """
+    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n")).where("n > main.n")
+    count = lambda n: F.ceil(n / F.lit(size)).cast("int")
+    main = main.select("key", F.col("main.label").alias("largest"), count(F.col("n") - F.col("main.n")).alias("others"), count(F.col("main.n")).alias("own"))
+    dealt = labelled.join(main, "key").withColumn("inner", F.col("label") == F.col("largest"))
+    place = F.xxhash64("item")
+    dealt = dealt.withColumn("block", F.when(F.col("inner"), F.col("others") + F.pmod(place, "own")).otherwise(F.pmod(place, "others")).cast("int"))
+    last = F.when(F.col("inner"), F.col("others")).otherwise(F.col("others") + F.col("own")) - 1
+    met = dealt.select("key", "item", "label", "block", F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    return met.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "item", "label")
+
+
 def near_components(items: DataFrame, keys: DataFrame, verified: Callable[[DataFrame], DataFrame],
                     rest: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """(item, label, n_links) for all ``items`` (item).
@@ -68,7 +89,7 @@ def near_components(items: DataFrame, keys: DataFrame, verified: Callable[[DataF
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     busy = saved(keys.join(shared, "key").select("key", "item", "n"))
     weight = busy.groupBy("item").agg(F.sum("n").alias("weight"))
-    candidates = saved(busy.join(weight, "item").select("key", "item", F.struct("weight", "item").alias("rank"), "n"))
+    candidates = saved(busy.join(weight, "item").select("key", "item", F.struct("weight", "item").alias("rank")))
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     hubs = candidates.groupBy("key").agg(F.max("rank").alias("hub"))
     pairs = saved(candidates.join(hubs, "key").where("item <> hub.item").select(*ordered(F.col("item"), F.col("hub.item"))).distinct())
@@ -87,12 +108,7 @@ def near_components(items: DataFrame, keys: DataFrame, verified: Callable[[DataF
             break
         seen, links = seen.unionByName(pairs), links.unionByName(found)
         labels = _merged(labels, found)
-    several = candidates.join(labels, "item").groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("key")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    open_ = candidates.join(several, "key").join(labels, "item").select("key", "item", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("item"), blocks).cast("int").alias("block"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    open_ = open_.select("key", "item", "label", "block", other).select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "item", "label")
-    found = saved(rest(open_).select("a", "b").distinct())
+    found = saved(rest(_blocks(candidates.join(labels, "item").select("key", "item", "label"), BLOCK)).select("a", "b").distinct())
     links = links.unionByName(found)
     labels = _merged(labels, found)
     counts = links.select(F.col("a").alias("item")).unionByName(links.select(F.col("b").alias("item"))).groupBy("item").agg(F.count("*").alias("n_links"))

@@ -138,6 +138,27 @@ def test_components_and_cross_group_rest(spark, monkeypatch):
         assert {r.item: r.label for r in got} == {i: i % 6 for i in range(18)}
 
 
+@pytest.mark.parametrize("groups", [[100, 1], [100, 1, 1, 30], [1] * 40, [7, 7], [20]])
+def test_blocks_of_the_rest(spark, groups):
+    """Items of different groups of a key meet once; one outlier costs a large group one copy."""
+    labels = [g for g, n in enumerate(groups) for _ in range(n)]
+    rows = [(k, i, g) for k in (1, 2) for i, g in enumerate(labels)]
+    sent = linking._blocks(spark.createDataFrame(rows, "key long, item long, label long"), 8).collect()
+    tasks = {}
+    for r in sent:
+        tasks.setdefault((r["key"], r["lo"], r["hi"]), []).append(r)
+    met = Counter()
+    for (key, lo, hi), group in tasks.items():
+        block = np.array([r["block"] for r in group])
+        assert max(Counter(block.tolist()).values()) <= 30
+        for x, ys in cross_pairs(np.array([r["label"] for r in group]), block, lo == hi):
+            met.update((key, *sorted((group[x]["item"], group[y]["item"]))) for y in ys)
+    n = len(labels)
+    assert met == Counter((k, a, b) for k in (1, 2) for a in range(n) for b in range(a + 1, n) if labels[a] != labels[b])
+    if groups == [100, 1]:
+        assert len(sent) <= 2 * (100 + 13 + 1)
+
+
 def test_query_against_brute_force(spark):
     rows = sorted(tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect())
     assert sorted((r.doc_id, r.class_id) for r in QUERIES["op4_near_duplicates"](spark, SF_SMALL).collect()) == brute_classes(rows)
