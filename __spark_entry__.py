@@ -25,6 +25,7 @@ import uuid  # noqa: E402
 
 from airlake.functions import feed_ts, landing_stamp, na_to_int, sub_index_count, surrogate_key  # noqa: E402
 from airlake.operators import duplicate_report, latest_per_key, preview  # noqa: E402
+from airlake.operators.ranks import global_ranks  # noqa: E402
 from airlake.operators.series import day_islands, episodes, gap_fill  # noqa: E402
 from airlake.operators.temporal import asof_join, interval_join, validity  # noqa: E402
 from airlake.plans import graph as G  # noqa: E402
@@ -52,6 +53,8 @@ LATE_SECONDS, WINDOW_HOURS = 86_400, 6
 COPY_TS = "2024-03-03 06:00:00"
 # The one place whose days the enriched table holds.
 PLACE = ("ASIA", "NATION 7", "NATION_7-C1")
+# The years whose stored days are corrected in the cube's query, and by how much.
+CORRECTED, CORRECTION = (1996, 1998), 10
 
 
 # ---------------------------------------------------------------------------
@@ -558,6 +561,42 @@ def q_layer_tables(spark, d):
     return out
 
 
+def q_place_time_cube(spark, d):
+    """Country, state and city by year and month with all totals, from stored month states; some days
+    are corrected after the first build, and only those days and months are built again."""
+    run = _scratch(spark, "cube")
+    flat = P.clean_flatten(TB.readings(spark, d)).withColumn(G.DAY, F.to_date("index_record_ts"))
+    g = G.TableGraph(spark, f"{run}/tables")
+    g.source("clean_flatten", f"{run}/flat", G.DAY)
+    G.state_tables(g)
+    write = lambda df: df.hint("rebalance", G.DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(G.DAY).parquet(f"{run}/flat")
+    write(flat)
+    g.refresh()
+    fixed = flat.where(F.year(G.DAY).isin(*CORRECTED)).withColumn("pm25_avg", F.col("pm25_avg") + CORRECTION)
+    write(fixed)
+    g.refresh(days=[r[0] for r in g.read("station_day_states").where(F.year(G.DAY).isin(*CORRECTED)).select(G.DAY).distinct().collect()])
+    return _r6(G.place_time_cube(g), [f"{c}_mean" for c in WIDE_COLUMNS])
+
+
+def q_aqi_ranks(spark, d):
+    """Every station hour with the ranks of its AQI among all, the worst first."""
+    wide = P.aqi_wide(P.clean_flatten(TB.readings(spark, d))).select("index_record_ts", "state", "city", "station", "aqi")
+    return global_ranks(wide, "aqi", descending=True)
+
+
+def q_load_report(spark, d):
+    """Documents that a load kept aside, by landing day and what was wrong, beside the counts that
+    its report gives for all batches."""
+    landing = _document_files(spark, d)
+    aside = landing + "-aside"
+    ingest(spark, landing, landing + "-raw", landing + "-checkpoint", framing="file", on_error="quarantine", quarantine=aside)
+    report = spark.read.parquet(f"{aside}/report")
+    kept = spark.read.parquet(f"{aside}/documents").groupBy(F.date_format("landing_date", "yyyy_MM_dd").alias("landing_day"), "problem").agg(F.count("*").alias("documents"))
+    totals = [report.agg(F.sum(c).alias(c)).scalar().alias(f"all_{c}") for c in ("documents", "records", "rejected", "no_time")]
+    return kept.select("*", *totals)
+
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pivot_pollutants": q_pivot_pollutants,
     "clean_flatten": q_clean_flatten,
@@ -612,6 +651,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_names": q_landing_names,
     "preview_readings": q_preview_readings,
     "layer_tables": q_layer_tables,
+    "place_time_cube": q_place_time_cube,
+    "aqi_ranks": q_aqi_ranks,
+    "load_report": q_load_report,
 }
 
 #: Queries whose rows come in an order, and the columns that decide it (ties share their values).
@@ -1022,6 +1064,25 @@ _ORACLE |= {
         "UNION ALL SELECT 'consumption', 'agg_city_fact_day_level', count(*) FROM day_level"),
 }
 
+_ORACLE |= {
+    "place_time_cube": _with(
+        _READINGS, _PIVOTED, _FLAT, "fixed AS (SELECT * REPLACE (CASE WHEN year(index_record_ts) IN "
+        f"{CORRECTED} THEN pm25_avg + {CORRECTION} ELSE pm25_avg END AS pm25_avg), CAST(year(index_record_ts) AS INTEGER) AS year, "
+        "CAST(month(index_record_ts) AS INTEGER) AS month FROM flat)") + (
+        "SELECT country, state, city, year, month, CAST(GROUPING(country, state, city, year, month) AS INTEGER) AS level, "
+        + ", ".join(f"count({c}) AS {c}_n, round(avg({c}), 6) AS {c}_mean, min({c}) AS {c}_min, max({c}) AS {c}_max" for c in _W)
+        + " FROM fixed GROUP BY ROLLUP (country, state, city), ROLLUP (year, month)"),
+    "aqi_ranks": _with(_READINGS, _PIVOTED, _FLAT, _FACT) + (
+        "SELECT index_record_ts, state, city, station, aqi, rank() OVER w AS rank, dense_rank() OVER w AS dense_rank, "
+        "percent_rank() OVER w AS percent_rank, cume_dist() OVER w AS cume_dist FROM fact WINDOW w AS (ORDER BY aqi DESC)"),
+    "load_report": (
+        "WITH f AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1) "
+        "SELECT strftime(h, '%Y_%m_%d') AS landing_day, 'time' AS problem, count(*) AS documents, "
+        "(SELECT count(*) FROM f WHERE hour(h) % 7 <> 0) AS all_documents, (SELECT CAST(sum(n) AS BIGINT) FROM f WHERE hour(h) % 7 <> 0) AS all_records, "
+        "(SELECT count(*) FROM f WHERE hour(h) % 7 = 0) AS all_rejected, (SELECT count(*) FROM f WHERE hour(h) % 7 = 0) AS all_no_time "
+        "FROM f WHERE hour(h) % 7 = 0 GROUP BY 1"),
+}
+
 
 # queries whose output carries the coordinates (decimal in the tables, double when presented)
 _WITH_COORDS = {"pivot_pollutants", "clean_flatten", "aqi_wide", "sub_index_count", "location_dim",

@@ -21,8 +21,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlake.operators.cube import cube_states, means, merge_states, partial_states
 from airlake.plans import layers as L
 from airlake.plans import products as P
+from airlake.schemas import STORED_COLUMNS
 from airlake.session import delete, file_system, read_if_there
 
 DAY = "measurement_date"
@@ -33,7 +35,7 @@ LAYERS = {
     "date_dim": "consumption", "location_days": "consumption", "location_months": "consumption", "location_dim": "consumption",
     "air_quality_fact": "consumption",
     "city_hour": "consumption", "city_day": "consumption", "weather_data": "consumption",
-    "city_day_weather": "consumption",
+    "city_day_weather": "consumption", "station_day_states": "consumption", "city_month_states": "consumption",
 }
 SQL_NAMES = {
     "raw": "raw_aqi", "clean_aqi": "clean_aqi_dt", "clean_flatten": "clean_flatten_aqi_dt",
@@ -276,6 +278,24 @@ def aqi_pipeline(spark: SparkSession, base: str, raw_path: str, weather_path: st
     return g
 
 
+def state_tables(g: TableGraph, values: Sequence[str] = STORED_COLUMNS) -> TableGraph:
+    """Adds partial states to a graph that has ``clean_flatten``: of each station and day, from the
+    readings of that day alone, and of each city and month, from the day states of that month."""
+    def month(t: dict[str, DataFrame], d: Sequence | None) -> DataFrame:
+        return merge_states(t["station_day_states"].withColumn(DAY, F.trunc(DAY, "month")), [DAY, "country", "state", "city"], values)
+
+    g.add("station_day_states", ["clean_flatten"], lambda t, d: partial_states(t["clean_flatten"], [DAY, "country", "state", "city", "station"], values))
+    g.add("city_month_states", ["station_day_states"], month, by_month=True)
+    return g
+
+
+def place_time_cube(g: TableGraph, values: Sequence[str] = STORED_COLUMNS) -> DataFrame:
+    """Count, mean, least and greatest value of country, state and city by year and month with all
+    totals, from the stored month states."""
+    months = g.read("city_month_states", layout=True).withColumns({"year": F.year(DAY), "month": F.month(DAY)})
+    return means(cube_states(months, [["country", "state", "city"], ["year", "month"]], values), values)
+
+
 def incremental_refresh(graph: TableGraph, target: str | None = None) -> Callable[[int, list], None]:
     """An ``on_batch`` callback for ``ingest``: refresh the days a batch touched, in all tables
     or as far as ``target``."""

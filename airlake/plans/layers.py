@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from airlake.operators import duplicate_report, explode_array
 from airlake.schemas import LAT_LON_TYPE, RECORDS_DDL
-from airlake.session import file_system
+from airlake.session import file_system, read_if_there
 
 #: A raw row is identified by its load, its batch there, and its number in the batch.
 RAW_KEY = ["ingest_load", "ingest_batch", "id"]
@@ -42,6 +42,39 @@ def write_raw_batch(raw_rows: DataFrame, raw_path: str) -> None:
      .partitionBy(RAW_DAY, "ingest_load", "ingest_batch").parquet(raw_path))
 
 
+def _write_of_batch(rows: DataFrame, path: str) -> None:
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("ingest_load", "ingest_batch").parquet(path))
+
+
+def write_quarantine(rejected: DataFrame, quarantine: str, load: str, batch: int) -> None:
+    """The rejected documents of a batch, under ``quarantine/documents``; a batch run again
+    replaces its own."""
+    own = rejected.withColumns({"ingest_load": F.lit(load), "ingest_batch": F.lit(batch).cast("bigint")})
+    _write_of_batch(own.hint("rebalance"), f"{quarantine}/documents")
+
+
+#: What a document can be rejected for, in the order of the tests.
+PROBLEMS = ["malformed", "time", "total", "version"]
+
+
+def write_load_report(spark: SparkSession, raw_path: str, quarantine: str, load: str, batch: int) -> None:
+    """One row for a batch, under ``quarantine/report``: documents and records loaded, documents
+    rejected, in all and by what was wrong. Counted from what the batch has stored, so the report
+    tells what is there, however often a task or the batch was run."""
+    def of_batch(path: str, schema: str) -> DataFrame:
+        found = read_if_there(spark, path)
+        if found is None:
+            return spark.createDataFrame([], schema)
+        return found.filter((F.col("ingest_load") == load) & (F.col("ingest_batch") == batch))
+
+    loaded = of_batch(raw_path, "record_count int").agg(F.count("*").alias("documents"), F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"))
+    rejected = of_batch(f"{quarantine}/documents", "problem string").agg(
+        F.count("*").alias("rejected"), *[F.count_if(F.col("problem") == p).alias(f"no_{p}" if p != "malformed" else p) for p in PROBLEMS])
+    both = loaded.select("*", *[rejected.select(c).scalar().alias(c) for c in rejected.columns])
+    _write_of_batch(both.withColumns({"ingest_load": F.lit(load), "ingest_batch": F.lit(batch).cast("bigint")}), f"{quarantine}/report")
+
+
 def stored_days(spark: SparkSession, raw_path: str, load: str, batch: int) -> list:
     """The days a stored batch holds, from its folders: one listing, no data is read."""
     fs, pattern = file_system(spark, f"{raw_path}/{RAW_DAY}=*/ingest_load={load}/ingest_batch={batch}")

@@ -97,13 +97,32 @@ def list_landing(spark: SparkSession, path: str) -> DataFrame:
             .select("path", "length", F.col("modificationTime").cast("timestamp_ntz").alias("modification_time")))
 
 
+def _header(parsed: str = "json_data") -> tuple[Column, Column, Column]:
+    """First record's time, number of records and version of a parsed document."""
+    get = F.try_variant_get
+    return (feed_ts(get(parsed, "$.records[0].last_update", "string")), get(parsed, "$.total", "int"),
+            get(parsed, "$.version", "string"))
+
+
+def rejected_documents(docs: DataFrame) -> DataFrame:
+    """Landed documents that ``raw_documents(on_error="skip")`` leaves out, as they are, with the first
+    thing wrong: ``malformed`` JSON, no readable ``time``, no ``total``, no ``version``. (A file of no
+    bytes holds no document; ``list_landing`` shows it.)"""
+    ts, total, version = _header()
+    problem = (F.when(F.col("json_data").isNull(), "malformed").when(ts.isNull(), "time")
+               .when(total.isNull(), "total").when(version.isNull(), "version"))
+    marked = docs.select("*", F.try_parse_json("doc").alias("json_data")).withColumn("problem", problem)
+    return marked.filter(F.col("problem").isNotNull()).select(
+        "doc", "problem", "_stg_file_name", "_stg_file_load_ts", F.md5("doc").alias("_stg_file_md5"), "landing_date")
+
+
 def raw_documents(docs: DataFrame, on_error: str = "abort", copy_ts: Column | None = None) -> DataFrame:
     """Landed documents -> raw rows (without ``id``).
 
     ``index_record_ts`` is the *first* record's ``last_update``, stamped on the whole
     document. ``on_error="abort"``: malformed JSON, an unparsable first timestamp, or a
     missing ``total`` / ``version`` fails the load (NOT NULL + abort). ``"skip"``: such
-    documents are left out.
+    documents are left out; ``rejected_documents`` gives them.
     """
     if on_error not in ("abort", "skip"):
         raise ValueError("on_error must be 'abort' or 'skip'")
@@ -111,9 +130,7 @@ def raw_documents(docs: DataFrame, on_error: str = "abort", copy_ts: Column | No
     v = F.parse_json("doc") if strict else F.try_parse_json("doc")
     get = F.try_variant_get
     d = docs.select("*", v.alias("json_data"))
-    ts = feed_ts(get("json_data", "$.records[0].last_update", "string"))
-    total = get("json_data", "$.total", "int")
-    version = get("json_data", "$.version", "string")
+    ts, total, version = _header()
     bad = F.col("json_data").isNull() | ts.isNull() | total.isNull() | version.isNull()
     if strict:
         ts = F.when(bad, F.raise_error(F.concat(F.lit("raw load aborted: bad document in "),

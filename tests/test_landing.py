@@ -334,3 +334,65 @@ def test_all_skipped_first_batch(spark, tmp_path):
     n = ingest(spark, root, str(tmp_path / "raw"), str(tmp_path / "ck"), on_error="skip",
                on_batch=lambda b, days: seen.append(days))
     assert n == 1 and seen == [[]]
+
+
+BAD = {"bad_json.json": ('{"records": [', "malformed"), "bad_time.json": (json.dumps(document([record("A", "PM10", "1", ts="2024-03-01")])), "time"),
+       "no_records.json": (json.dumps(document([])), "time"), "blank.json": (" \n", "malformed"),
+       "no_total.json": (json.dumps({k: v for k, v in document([record("A", "PM10", "1")]).items() if k != "total"}), "total"),
+       "no_version.json": (json.dumps({k: v for k, v in document([record("A", "PM10", "1")]).items() if k != "version"}), "version")}
+
+
+def put_good_and_bad(root):
+    for k in range(5):
+        put(root, "2024_03_01", f"good{k}.json", document([record("A", "PM10", "1", ts=f"0{k + 1}-03-2024 12:00:00"), record("B", "PM10", "2")]))
+    for name, (text, _) in BAD.items():
+        put(root, "2024_03_02", name, None, raw_text=text)
+
+
+def test_quarantine_keeps_bad_documents_and_counts(spark, tmp_path):
+    root, raw_path, aside = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "aside")
+    put_good_and_bad(root)
+    n = ingest(spark, root, raw_path, str(tmp_path / "ck"), on_error="quarantine", quarantine=aside, max_files_per_trigger=3)
+    assert n > 1
+    kept = {r["_stg_file_name"].split("/")[1]: (r["doc"], r["problem"]) for r in spark.read.parquet(f"{aside}/documents").collect()}
+    assert kept == {name: (text, why) for name, (text, why) in BAD.items()}
+    report = spark.read.parquet(f"{aside}/report").collect()
+    assert len(report) == n and len({(r["ingest_load"], r["ingest_batch"]) for r in report}) == n
+    total = {c: sum(r[c] for r in report) for c in ("documents", "records", "rejected", "malformed", "no_time", "no_total", "no_version")}
+    assert total == {"documents": 5, "records": 10, "rejected": 6, "malformed": 2, "no_time": 2, "no_total": 1, "no_version": 1}
+    # the raw rows are those of a load that skips; one that aborts loads nothing of them
+    skipped = str(tmp_path / "skipped")
+    ingest(spark, root, skipped, str(tmp_path / "ck2"), on_error="skip")
+    names = lambda p: sorted(r[0] for r in spark.read.parquet(p).select("_stg_file_md5").collect())
+    assert names(raw_path) == names(skipped)
+    with pytest.raises(Exception, match="bad document|MALFORMED"):
+        ingest(spark, root, str(tmp_path / "aborted"), str(tmp_path / "ck3"))
+
+
+def test_quarantine_of_a_batch_run_again(spark, tmp_path):
+    root, raw_path, aside, ck = (str(tmp_path / x) for x in ("landing", "raw", "aside", "ck"))
+    put_good_and_bad(root)
+
+    def crash(batch_id, days):
+        raise RuntimeError("driver lost after the batch was written")
+
+    options = {"on_error": "quarantine", "quarantine": aside}
+    with pytest.raises(Exception):
+        ingest(spark, root, raw_path, ck, on_batch=crash, **options)
+    assert ingest(spark, root, raw_path, ck, **options) == 1
+    assert spark.read.parquet(raw_path).count() == 5 and spark.read.parquet(f"{aside}/documents").count() == 6
+    assert [(r["documents"], r["rejected"]) for r in spark.read.parquet(f"{aside}/report").collect()] == [(5, 6)]
+
+
+def test_quarantine_of_one_kind_only(spark, tmp_path):
+    """Batches of good documents only, of bad ones only, and no batch at all."""
+    for name, texts in (("good", []), ("bad", ["{"])):
+        root, raw_path, aside = (str(tmp_path / f"{name}-{x}") for x in ("landing", "raw", "aside"))
+        put(root, "2024_03_01", "a.json", document([record("A", "PM10", "1")]), raw_text=texts[0] if texts else None)
+        assert ingest(spark, root, raw_path, str(tmp_path / f"{name}-ck"), on_error="quarantine", quarantine=aside) == 1
+        assert [(r["documents"], r["rejected"]) for r in spark.read.parquet(f"{aside}/report").collect()] == [(0, 1) if texts else (1, 0)]
+        assert ingest(spark, root, raw_path, str(tmp_path / f"{name}-ck"), on_error="quarantine", quarantine=aside) == 0
+    with pytest.raises(ValueError):
+        ingest(spark, root, raw_path, on_error="quarantine")
+    with pytest.raises(ValueError):
+        ingest(spark, root, raw_path, on_error="skip", quarantine=aside)
