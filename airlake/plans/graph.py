@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from airlake.operators.cube import cube_states, means, merge_states, partial_states
 from airlake.plans import layers as L
 from airlake.plans import products as P
+from airlake.plans.compaction import raw_days, read_raw
 from airlake.schemas import STORED_COLUMNS
 from airlake.session import delete, file_system, read_if_there
 
@@ -60,6 +61,7 @@ class Table:
     show_day: bool = True              # the day column belongs to the table, not to its layout only
     by_day_runs: bool = False          # a full refresh goes through the days of its (raw) input
     by_month: bool = False             # a partition holds a month, under its first day
+    raw: bool = False                  # a raw table: old days may be folded (see compaction)
 
 
 class TableGraph:
@@ -68,9 +70,9 @@ class TableGraph:
         self.tables: dict[str, Table] = {}
 
     # -- registration ---------------------------------------------------------
-    def source(self, name: str, path: str, partition_by: str | None = None) -> None:
+    def source(self, name: str, path: str, partition_by: str | None = None, raw: bool = False) -> None:
         """An input table maintained elsewhere (raw load, weather snapshot)."""
-        self.tables[name] = Table(name, [], None, partition_by, path=path)
+        self.tables[name] = Table(name, [], None, partition_by, path=path, raw=raw)
 
     def add(self, name: str, inputs: Sequence[str], build, partition_by: str | None = DAY, **more) -> None:
         missing = [i for i in inputs if i not in self.tables]
@@ -86,6 +88,8 @@ class TableGraph:
         them); ``layout`` keeps a day column that is not the table's own."""
         t = self.tables[name]
         path = self._current(t)
+        if t.raw and (df := read_raw(self.spark, path, days)) is not None:
+            return df
         df = read_if_there(self.spark, path) if self._finished(t) else self.spark.read.parquet(path)
         if df is None:                                        # built, and every day came out empty
             df = t.build({i: self.read(i, [], layout=True) for i in t.inputs}, []).limit(0)
@@ -112,6 +116,8 @@ class TableGraph:
 
     def stored(self, name: str) -> bool:
         t = self.tables[name]
+        if t.raw:
+            return read_raw(self.spark, t.path) is not None
         return self._finished(t) or read_if_there(self.spark, self._current(t)) is not None
 
     def register_views(self, sql_names: dict[str, str] | None = None) -> list[str]:
@@ -213,7 +219,7 @@ class TableGraph:
 
     def _raw_days(self, t: Table) -> list | None:
         """Record days of the raw table; None if it is not stored by day."""
-        return self._stored_days(t, L.RAW_DAY) or None
+        return (raw_days(self.spark, t.path) if t.raw else self._stored_days(t, L.RAW_DAY)) or None
 
     def _clear(self, t: Table, days: Sequence) -> None:
         for d in days:
@@ -253,7 +259,7 @@ def aqi_pipeline(spark: SparkSession, base: str, raw_path: str, weather_path: st
     ``numeric_max=True`` pivots with a numeric max (opt-in; see ``products.pivot_pollutants``).
     """
     g = TableGraph(spark, base)
-    g.source("raw", raw_path)
+    g.source("raw", raw_path, raw=True)
     g.add("clean_aqi", ["raw"],
           lambda t, d: _with_day(L.clean(t["raw"], d, strict=strict), "index_record_ts"), by_day_runs=True)
     g.add("clean_flatten", ["clean_aqi"],
