@@ -10,6 +10,7 @@ presented as double in both engines, as the dashboards convert them.
 
 from __future__ import annotations
 
+import datetime
 import importlib
 import importlib.util
 import os
@@ -26,18 +27,21 @@ import uuid  # noqa: E402
 from airlake.functions import feed_ts, landing_stamp, na_to_int, sub_index_count, surrogate_key  # noqa: E402
 from airlake.operators import duplicate_report, latest_per_key, preview  # noqa: E402
 from airlake.operators.ranks import global_ranks  # noqa: E402
+from airlake.operators.reconcile import reconcile  # noqa: E402
 from airlake.operators.series import day_islands, episodes, gap_fill  # noqa: E402
 from airlake.operators.temporal import asof_join, interval_join, validity  # noqa: E402
 from airlake.plans import graph as G  # noqa: E402
 from airlake.plans import layers as L  # noqa: E402
 from airlake.plans import products as P  # noqa: E402
 from airlake.plans import views as V  # noqa: E402
+from airlake.plans.compaction import compact_raw  # noqa: E402
+from airlake.plans.dashboards import register_dashboards  # noqa: E402
 from airlake.schemas import FEED_TS_FORMAT, WIDE_COLUMNS  # noqa: E402
 from airlake.session import file_system, shared_dir  # noqa: E402
 from airlake.sources import landing as LD  # noqa: E402
 from airlake.sources import testbed as TB  # noqa: E402
 from airlake.streaming import windows as W  # noqa: E402
-from airlake.streaming.ingest import ingest  # noqa: E402
+from airlake.streaming.ingest import ingest, load_batch  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -596,6 +600,69 @@ def q_load_report(spark, d):
     return kept.select("*", *totals)
 
 
+def q_compacted_refresh(spark, d):
+    """Two deliveries loaded, the days' folders folded, the second load run again from its start, and
+    the day level built from what was folded and what was not."""
+    run = _scratch(spark, "compacted")
+    landing, raw = f"{run}/landing", f"{run}/raw"
+    records = TB.feed_records(spark, d)
+    for k, rows in enumerate((records, redelivered(records))):
+        _deliver(spark, rows, f"{landing}-{k}", f"2024-03-0{k + 1} 10:45:00")
+        load_batch(spark, f"{landing}-{k}", raw, k, "lines", load="feed")
+    compact_raw(spark, raw, datetime.date(2000, 1, 1))
+    load_batch(spark, f"{landing}-1", raw, 1, "lines", load="feed")
+    g = G.aqi_pipeline(spark, f"{run}/tables", raw)
+    g.refresh("city_day")
+    return g.read("city_day")
+
+
+def q_lake_differences(spark, d):
+    """Readings stored twice by day, the second time with some days' early hours corrected and some
+    days' rows of one pollutant missing: the rows that one of both has more often."""
+    run = _scratch(spark, "reconcile")
+    first = TB.readings(spark, d).withColumn(G.DAY, F.to_date("index_record_ts"))
+    touched = F.year(G.DAY).isin(*CORRECTED) & (F.hour("index_record_ts") < 3) & (F.col("pollutant_avg") != "NA")
+    second = first.withColumn("pollutant_avg", F.when(touched, F.concat("pollutant_avg", F.lit("0"))).otherwise(F.col("pollutant_avg")))
+    second = second.filter((F.year(G.DAY) != CORRECTED[0]) | (F.col("pollutant_id") != "CO"))
+    for name, rows in (("first", first), ("second", second)):
+        rows.hint("rebalance", G.DAY).write.partitionBy(G.DAY).parquet(f"{run}/{name}")
+    found = reconcile(spark.read.parquet(f"{run}/first"), spark.read.parquet(f"{run}/second"), G.DAY)
+    return found.groupBy("side", G.DAY, "station", "pollutant_id", "pollutant_avg").agg(F.count("*").alias("rows"))
+
+
+def _dashboards(spark, d) -> None:
+    """The star's views under their SQL names, and the table functions over them."""
+    s = _Star(spark, d)
+    hours = s.city_hour()
+    for name, df in {"date_dim": s.dates, "location_dim": s.locations, "air_quality_fact": s.fact,
+                     "city_hour": hours.withColumn(G.DAY, F.to_date("measurement_time")), "city_day": P.city_day(hours)}.items():
+        df.createOrReplaceTempView(G.SQL_NAMES[name])
+    register_dashboards(spark)
+
+
+def q_sql_pickers(spark, d):
+    """All pickers by SQL, each with the selection that the one before shows first."""
+    _dashboards(spark, d)
+    state = "(SELECT min(state) FROM feed_states())"
+    city = f"(SELECT max(city) FROM state_cities({state}))"
+    return spark.sql(f"SELECT 'state' AS picker, state AS item FROM feed_states() UNION ALL SELECT 'city', city FROM state_cities({state}) "
+                     f"UNION ALL SELECT 'station', station FROM city_stations({state}, {city}) "
+                     "UNION ALL SELECT 'day', CAST(measurement_date AS STRING) FROM feed_days()")
+
+
+def q_sql_station_day(spark, d):
+    """A station's day by SQL: the first selection of every picker as scalar subqueries."""
+    _dashboards(spark, d)
+    state = "(SELECT min(state) FROM feed_states())"
+    city = f"(SELECT max(city) FROM state_cities({state}))"
+    station = f"(SELECT max(station) FROM city_stations({state}, {city}))"
+    return spark.sql(f"SELECT * FROM station_day({state}, {city}, {station}, (SELECT max(measurement_date) FROM feed_days())) ORDER BY hour")
+
+
+def q_sql_top_cities(spark, d):
+    _dashboards(spark, d)
+    return spark.sql("SELECT * FROM top_cities() ORDER BY aqi DESC, state, city")
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pivot_pollutants": q_pivot_pollutants,
@@ -654,6 +721,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "place_time_cube": q_place_time_cube,
     "aqi_ranks": q_aqi_ranks,
     "load_report": q_load_report,
+    "compacted_refresh": q_compacted_refresh,
+    "lake_differences": q_lake_differences,
+    "sql_pickers": q_sql_pickers,
+    "sql_station_day": q_sql_station_day,
+    "sql_top_cities": q_sql_top_cities,
 }
 
 #: Queries whose rows come in an order, and the columns that decide it (ties share their values).
@@ -663,6 +735,7 @@ ORDERED = {
     "picker_hour_states": ["state"], "picker_hour_dates": ["measurement_date"], "station_trend": ["hour"], "city_trend": ["hour"],
     "top10_latest_day": ["aqi", "state", "city"], "series_between": ["measurement_date"],
     "preview_readings": ["index_record_ts", "station", "pollutant_id", "pollutant_avg"],
+    "sql_station_day": ["hour"], "sql_top_cities": ["aqi", "state", "city"],
 }
 
 
@@ -1083,9 +1156,27 @@ _ORACLE |= {
         "FROM f WHERE hour(h) % 7 = 0 GROUP BY 1"),
 }
 
+_ORACLE |= {
+    "compacted_refresh": _ORACLE["refresh_incremental"],
+    "lake_differences": _with(
+        _READINGS, "a AS (SELECT *, CAST(index_record_ts AS DATE) AS measurement_date FROM readings)",
+        f"b AS (SELECT * REPLACE (CASE WHEN year(measurement_date) IN {CORRECTED} AND hour(index_record_ts) < 3 AND pollutant_avg <> 'NA' "
+        f"THEN pollutant_avg || '0' ELSE pollutant_avg END AS pollutant_avg) FROM a WHERE year(measurement_date) <> {CORRECTED[0]} OR pollutant_id <> 'CO')") + (
+        "SELECT side, measurement_date, station, pollutant_id, pollutant_avg, count(*) AS rows FROM ("
+        "SELECT 'left' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL "
+        "SELECT 'right', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) GROUP BY ALL"),
+    "sql_pickers": _with(_READINGS, _PIVOTED, _FLAT, _LOCS) + (
+        "SELECT DISTINCT 'state' AS picker, state AS item FROM locs "
+        f"UNION SELECT 'city', city FROM locs WHERE state = {_DEF_STATE} "
+        f"UNION SELECT 'station', station FROM locs WHERE state = {_DEF_STATE} AND city = {_DEF_CITY} "
+        "UNION SELECT 'day', strftime(index_record_ts, '%Y-%m-%d') FROM flat"),
+    "sql_station_day": _ORACLE["station_trend"],
+    "sql_top_cities": _ORACLE["top10_latest_day"],
+}
+
 
 # queries whose output carries the coordinates (decimal in the tables, double when presented)
-_WITH_COORDS = {"pivot_pollutants", "clean_flatten", "aqi_wide", "sub_index_count", "location_dim",
+_WITH_COORDS = {"sql_station_day", "pivot_pollutants", "clean_flatten", "aqi_wide", "sub_index_count", "location_dim",
                 "star_fact", "station_trend", "landing_roundtrip", "landing_redelivery", "location_key_duplicates", "location_at_time"}
 
 
