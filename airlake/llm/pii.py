@@ -52,7 +52,9 @@ TOKEN = rf"(?<!\S)(?=\S*?(?:{MARK}))\S++"
 ROUNDS, THRESHOLD, SUPPORT, SMOOTHING = 3, 0.9, 5, 1.0
 #: First letters of patterns: shape, coarse shape, context alone.
 FAMILIES = ("s", "c", "x")
-_CONTEXT, _BLOCK, _CHUNK = 32, 256, 8192
+_BLOCK, _CHUNK = 256, 8192
+#: A neighbouring token over this length stands in a pattern as its digest: whole, yet short.
+_LONG = 32
 
 
 def _let(value: Column, use) -> Column:
@@ -67,9 +69,10 @@ def _blocks(items: Column, use) -> Column:
                        lambda b: _let(F.slice(items, b * _BLOCK + 1, F.lit(_BLOCK)), lambda block: use(b, block)))
 
 
-def match_spans(text: Column, pattern: str) -> Column:
+def match_spans(text: Column, pattern: str, beside: bool = False) -> Column:
     """All leftmost non-overlapping matches: array of struct(start, end, value, left, right) in
-    code points; left and right are the texts beside the match, at most 32 code points.
+    code points; with ``beside``, left and right are the whole tokens next to the match ('' if
+    there is none before the next match or the text's end).
 
     The matches and the texts between them give the places as running sums of lengths.
     """
@@ -79,8 +82,8 @@ def match_spans(text: Column, pattern: str) -> Column:
         begin = acc["at"] + F.length(x["gap"])
         end = begin + F.length(x["value"])
         one = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"),
-                       F.right(F.rtrim(F.right(x["gap"], F.lit(4 * _CONTEXT))), F.lit(_CONTEXT)).alias("left"),
-                       F.left(F.ltrim(F.left(x["next"], F.lit(4 * _CONTEXT))), F.lit(_CONTEXT)).alias("right"))
+                       (F.regexp_extract(x["gap"], r"(?<!\S)(\S++)\s*+\z", 1) if beside else F.lit("")).alias("left"),
+                       (F.regexp_extract(x["next"], r"\A\s*+(\S++)", 1) if beside else F.lit("")).alias("right"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
     def placed(items):
@@ -114,12 +117,9 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(likely, bare).otherwise(F.expr("cast(array() as array<struct<start:int,end:int>>)"))
 
 
-def _last_token(text: Column) -> Column:
-    return F.element_at(F.split(text, r"\s+"), -1)
-
-
 def _masked(token: Column) -> Column:
-    return F.translate(F.lower(token), "0123456789", "9999999999")
+    masked = F.translate(F.lower(token), "0123456789", "9999999999")
+    return F.when(F.length(masked) > _LONG, F.md5(masked)).otherwise(masked)
 
 
 def shape(value: Column) -> Column:
@@ -138,7 +138,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             t["start"].alias("start"), t["value"].alias("value"), t["left"].alias("left"), t["right"].alias("right"),
             F.get(F.filter(near, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])), F.lit(0))["kind"].alias("kind"))))
 
-    both = F.struct(match_spans(F.col("body"), TOKEN).alias("tokens"), base.alias("base"))
+    both = F.struct(match_spans(F.col("body"), TOKEN, beside=True).alias("tokens"), base.alias("base"))
     tokens = _let(both, lambda z: F.when(F.size(z["tokens"]) > 0, F.flatten(_blocks(z["tokens"], lambda _, part: with_kind(part, z["base"])))))
     rows = docs.where(F.col("body").rlike(MARK)).select("key", F.explode(tokens).alias("m"))
     # punctuation around the token is not part of the value
@@ -147,7 +147,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     rows = rows.select("key", "m", core.alias("value"), (F.col("m.start") + ahead).alias("start"))
     rows = rows.withColumn("end", F.col("start") + F.length("value")).where(F.col("value").rlike(MARK))
     rows = rows.select("key", "start", "end", "value", F.col("m.kind").alias("kind"), shape(F.col("value")).alias("form"),
-                       _masked(_last_token(F.col("m.left"))).alias("before"), _masked(F.element_at(F.split("m.right", r"\s+"), 1)).alias("after"))
+                       _masked(F.col("m.left")).alias("before"), _masked(F.col("m.right")).alias("after"))
     coarse, known = F.regexp_replace("form", "9+", "9"), F.col("before") != ""
     return rows.select("key", "start", "end", "value", "kind", F.array_compact(F.array(
         F.concat(F.lit("s"), "form", F.lit("<"), "before"), F.concat(F.lit("s"), "form", F.lit(">"), "after"),

@@ -89,6 +89,21 @@ def test_contexts_discover_unseen_forms(spark):
     assert out[302].spans == out[303].spans == "" and all(out[200 + i].spans == "" for i in range(40))
 
 
+def test_a_long_neighbour_counts_whole(spark):
+    rng = random.Random(2)
+    good = []
+    while len(good) < 30:
+        n = "4" + "".join(rng.choice("0123456789") for _ in range(15))
+        good += [n] * luhn(n)
+    bad, long = "4111111111111112", "k" * 60
+    rows = [(i, f"{long}\n{n} w{chr(97 + i % 26)}x") for i, n in enumerate(good)]
+    # only the first or the last letter of the neighbour differs; an unseen number follows each
+    rows += [(100, f"{long} \t {bad}"), (101, f"z{long[1:]} {bad[:-1]}3"), (102, f"{long[1:]}z {bad[:-1]}4"), (103, f"{bad[:-1]}5 {long}")]
+    out = {r.doc_id: r for r in pii.report(pii.detect(make_docs(spark, rows)), ["doc_id"]).collect()}
+    assert out[100].spans == "card:63:79"
+    assert out[101].spans == out[102].spans == out[103].spans == ""
+
+
 def test_rounds_pass_from_one_form_to_another(spark):
     # the new form is learned beside seeds, and then found after a word that no seed follows
     rows = [(i, f"rufe +1-555-{200 + i}-{1000 + 7 * i} an") for i in range(150)]
