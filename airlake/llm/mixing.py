@@ -14,13 +14,13 @@ the rows of each cell; a second one adds up the counts of the cells before it.
 Edge cases: a null text has size 0; null sources form one source, the last in order; a source
 without words has target 0 and is not emitted; documents without words elsewhere are drawn
 like others; repeated rows are drawn as rows of their own; ties in size go by doc_id (null
-last), then by digest, so reruns agree. An empty table gives an empty one. Input columns named
+last), then by digest, then by the other columns, so reruns agree. An empty table gives an empty one. Input columns named
 like an added column are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,8 +55,15 @@ def _offset(key, seed: str):
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), key)), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
+def _others(docs: DataFrame, text: str) -> Column:
+    """A hash of the columns beside the text, nulls included, that puts rows of one id and text in
+    a fixed order; columns that cannot be hashed take no part."""
+    cols = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name != text and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return F.xxhash64(F.concat(F.lit(""), *[F.isnull(c).cast("string") for c in cols]), *cols)
+
+
 def draw(docs: DataFrame, text: str = "text", source: str = "source", order: str = "doc_id", weights=(5, 2, 1),
-         share: float = 1.5, cap: float = 2.0, seed: str = SEED) -> DataFrame:
+         share: float = 1.5, cap: float = 2.0, seed: str = SEED, tie: Column | None = None) -> DataFrame:
     """Add ``size``, ``source_size``, ``target`` and ``copies`` to every row of ``docs``."""
     added = ("size", "source_size", "target", "copies")
     kept = [c for c in docs.columns if c.lower() not in added]
@@ -67,6 +74,7 @@ def draw(docs: DataFrame, text: str = "text", source: str = "source", order: str
         F.when(F.col(source).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(source))).alias("skey"),
         F.regexp_count(body, F.lit(WORD)).cast("long").alias("size"),
         F.col(order).alias("place"),
+        (_others(docs, text) if tie is None else tie).alias("tie"),
         F.md5(F.concat(F.coalesce(F.col(order).cast("string"), F.lit("")), F.lit("|"), body)).alias("digest"),
     )
     digits = F.col("size").cast("string")
@@ -79,7 +87,7 @@ def draw(docs: DataFrame, text: str = "text", source: str = "source", order: str
     sources = source_targets(cells.groupBy("skey").agg(F.sum("words").alias("source_size")), weights, share, cap)
     before = Window.partitionBy("skey").orderBy("band", "salt").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0))).join(sources, "skey").drop("n", "words")
-    inside = Window.partitionBy(*cell).orderBy("size", F.col("place").asc_nulls_last(), "digest")
+    inside = Window.partitionBy(*cell).orderBy("size", F.col("place").asc_nulls_last(), "digest", "tie")
     ranked = rows.withColumn("rank", F.row_number().over(inside)).join(cells, cell)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     crossed = lambda k: F.floor(k * ratio + _offset(F.col("skey"), seed))
@@ -92,8 +100,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed rows, with the columns of ``docs``: each row as often as it was drawn."""
     drawn = draw(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
                              *[F.col(options.get(k, k)).alias(f"{k}_") for k in ("text", "source")],
-                             F.col(options.get("order", "doc_id")).alias("order_")),
-                 text="text_", source="source_", order="order_", **{k: v for k, v in options.items() if k not in ("text", "source", "order")})
+                             F.col(options.get("order", "doc_id")).alias("order_"), _others(docs, options.get("text", "text")).alias("tie_")),
+                 text="text_", source="source_", order="order_", tie=F.col("tie_"), **{k: v for k, v in options.items() if k not in ("text", "source", "order")})
     return drawn.where("copies > 0").select("whole", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("whole.*")
 
 

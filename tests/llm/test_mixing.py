@@ -64,3 +64,18 @@ def test_edge_rows(spark):
     assert mixing.draw(make_docs(spark, [])).count() == 0
     # rows in one tie group are dealt over many salts like the others
     assert sum(r.copies * r["size"] for r in out if r.source == "hot") == pytest.approx(next(r.target for r in out if r.source == "hot"), abs=5)
+
+
+def test_rows_of_one_id_and_text_keep_their_copies(spark):
+    from pyspark.sql import functions as F
+
+    df = make_docs(spark, [(1, "one two three", "a")] * 40 + [(2, "x", "b")] * 9).withColumn("lang", F.concat(F.lit("l"), F.monotonically_increasing_id() % 40))
+    df = df.withColumn("m", F.create_map(F.lit("k"), "text"))
+    rows = df.collect()
+    runs = []
+    for part, order in ((1, rows), (5, rows[::-1])):
+        again = spark.createDataFrame(order, df.schema).repartition(part)
+        runs.append(sorted((r.doc_id, r.lang) for r in mixing.mix(again).collect()))
+    assert runs[0] == runs[1] and {x for x in runs[0] if x[0] == 1} == {(1, r.lang) for r in rows if r.doc_id == 1}
+    drawn = [sorted((r.lang, r.copies) for r in mixing.draw(spark.createDataFrame(o, df.schema)).where("doc_id = 1").collect()) for o in (rows, rows[::-1])]
+    assert drawn[0] == drawn[1]
