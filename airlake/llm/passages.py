@@ -232,11 +232,18 @@ def _kept(raw: bytes, cover) -> tuple[int, int, bytes]:
     return len(words), int(cover.sum()), b" ".join([w for w, gone in zip(words, cover.tolist()) if not gone])
 
 
+def _shard(shards: int):
+    """A document's shard. An empty text has no windows, so any shard will do: such rows, however
+    many are alike, spread out. Others are dealt by what they hold, so re-run tasks agree."""
+    dealt = F.when(F.col("text") == "", F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64("doc_id", "text"))
+    return F.pmod(dealt, F.lit(shards)).cast("int")
+
+
 def _passes(docs: DataFrame, finish, schema: str) -> DataFrame:
     bound_arrow(docs.sparkSession)
     shards = max(1, -(-docs.count() // SHARD_ROWS))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", _shard(shards))
     counted = rows.select("text", "shard").mapInArrow(tidy(_anchor_counts), "anchor long, shard int, n long")
     total = counted.withColumn("total", F.expr("sum(n) OVER (PARTITION BY anchor)"))
     anchors = total.where("total > 1").select("shard", "anchor")

@@ -65,3 +65,11 @@ def test_edge_tables(spark):
 def test_query_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert got(QUERIES["op6_passages"](spark, SF_SMALL)) == brute(rows)
+
+
+def test_empty_rows_make_no_shard_large(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 100_000, 1, 4).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text"), "id")
+    sizes = sorted(r["count"] for r in rows.withColumn("shard", ps._shard(20)).groupBy("shard").count().collect())
+    assert len(sizes) == 20 and sizes[-1] < 2 * sizes[10]
