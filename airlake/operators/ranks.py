@@ -3,7 +3,8 @@
 Equal values share their ranks, so only distinct values are ranked: they are counted (each task
 first, so a value of very many rows is one row per task), cut into ranges between quantiles, and
 numbered inside their range; what lies before a range is the sum of the ranges before it. Rows
-then take the ranks of their value. Values that hold more than 1 / ``HOT`` of all rows, fewer than
+then take the ranks of their value. The rows are read a few times, so rows that are costly to make are
+better stored first. Values that hold more than 1 / ``HOT`` of all rows, fewer than
 ``HOT`` by that, go out by broadcast; all others by shuffle, where none can be hot.
 """
 
@@ -26,8 +27,10 @@ def value_ranks(rows: DataFrame, value: str, descending: bool = False, ranges: i
     counts = rows.groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     steps = F.array(*[F.lit(k / ranges) for k in range(1, ranges)])
     cuts = counts.agg(F.array_distinct(F.percentile_approx("value", steps, 20 * ranges)).alias("cuts"))
-    # the range of a value: how many cuts lie below it; nulls have the last one
-    place = F.size(F.filter("cuts", lambda c: c < F.col("value")))
+    # the range of a value: how many cuts lie below it; nulls have the last one. It is never null (cuts
+    # are missing where no value is): joined by a nullable one, the planner would find the range of
+    # every row before the counting, to drop nulls
+    place = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("value"))), F.lit(0))
     if descending:
         place = -place
     placed = counts.withColumn("cuts", cuts.scalar()).withColumn("range", F.when(F.col("value").isNull(), F.lit(ranges)).otherwise(place)).drop("cuts")

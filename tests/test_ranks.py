@@ -64,3 +64,21 @@ def test_no_window_holds_the_table(spark):
     for line in windows:                                      # by range, or over one row for each range
         assert "[range#" in line or "rows#" in line, line
     assert ranked.count() == 20_000 - 6_667 + 1 and ranked.agg(F.max("cume_dist")).first()[0] == 1.0
+
+
+def test_ranges_are_found_for_distinct_values_only(spark):
+    """No row is placed among the cuts before the counting (here: in a filter below it)."""
+    df = spark.range(0, 2_000, 1, 4).select((F.col("id") % 50).cast("double").alias("v"))
+    for ranked in (value_ranks(df, "v"), value_ranks(df, "v", descending=True), global_ranks(df, "v")):
+        plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" in plan
+        assert not [line for line in plan.splitlines() if "Filter" in line and "lambda" in line], plan
+
+
+def test_the_query_makes_its_rows_once(spark):
+    from conftest import SF_SMALL
+
+    import __spark_entry__ as E
+
+    plan = E.queries()["aqi_ranks"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aqi#" in plan and "l_shipdate" not in plan and "max(" not in plan
