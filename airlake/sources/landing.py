@@ -17,12 +17,16 @@ from pyspark.sql import functions as F
 
 from airlake.functions import feed_ts, landing_stamp, to_ntz
 from airlake.schemas import DOCUMENT, LANDING_DIR_FORMAT, LANDING_FILE_PREFIX, PAGE_LIMIT, RECORD_FIELDS
+from airlake.session import settings
 
 # the sink keeps each delivery in a folder of its own below the day
 _DAY_IN_PATH = r"(\d{4}_\d{2}_\d{2})/(?:landing_name=[^/]+/)?[^/]+$"
 _REL_PATH = r"([^/]+/(?:landing_name=[^/]+/)?[^/]+)$"
 #: Cells that the records of an hour are numbered in.
 CELLS = 256
+#: A task that collects pages sorts its records, which spills, and holds the page it is at. The hash
+#: aggregate would hold 128 pages of thousands of records, and their copies, in unmanaged memory.
+PAGE_BY_PAGE = {"spark.sql.execution.useObjectHashAggregateExec": "false"}
 #: Longer than any feed: a file is new however old it is.
 NO_FILE_AGE = "36500d"
 
@@ -207,6 +211,7 @@ def write_landing(documents: DataFrame, landing: str, compression: str = "gzip")
     repeated job does not land a delivery twice. Each row is one line; many documents share a
     file, each keeps its own md5.
     """
-    (documents.hint("rebalance", "landing_day", "landing_name").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("landing_day", "landing_name")
-     .option("compression", compression).json(landing))
+    with settings(documents.sparkSession, PAGE_BY_PAGE):
+        (documents.hint("rebalance", "landing_day", "landing_name").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("landing_day", "landing_name")
+         .option("compression", compression).json(landing))

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from airlake.plans.layers import clean, doc_field_sample
+from airlake.schemas import RECORD_FIELDS
+from airlake.sources import landing as LD
 from airlake.sources.landing import list_landing, raw_documents, read_landing
 from airlake.streaming.ingest import ingest, load_batch
 
@@ -396,3 +398,31 @@ def test_quarantine_of_one_kind_only(spark, tmp_path):
         ingest(spark, root, raw_path, on_error="quarantine")
     with pytest.raises(ValueError):
         ingest(spark, root, raw_path, on_error="skip", quarantine=aside)
+
+
+def test_pages_are_collected_one_at_a_time(spark):
+    """Writing a delivery plans the pages' assembly over sorted records, which spill; the hash aggregate
+    holds many pages of thousands of records in memory that nothing manages."""
+    key = "spark.sql.execution.useObjectHashAggregateExec"
+    rows = spark.sql("select timestamp_ntz'2024-03-04 00:00:00' as index_record_ts, " + ", ".join(f"cast(id as string) as {f}" for f in RECORD_FIELDS) + " from range(10)")
+    documents = LD.documents_from_records(rows, 4)
+    seen = []
+
+    class Writer:
+        """Stands for the frame and its writer: plans the documents where they would be written."""
+        sparkSession = spark
+
+        def __getattr__(self, name):
+            return self if name == "write" else lambda *a: self
+
+        def json(self, path):
+            plan = documents.select("*")._jdf.queryExecution().executedPlan().toString()
+            seen.append(("SortAggregate" in plan, "ObjectHashAggregate" in plan))
+            if path == "fails":
+                raise OSError
+
+    before = spark.conf.get(key)
+    LD.write_landing(Writer(), "there")
+    with pytest.raises(OSError):
+        LD.write_landing(Writer(), "fails")
+    assert seen == [(True, False)] * 2 and spark.conf.get(key) == before
