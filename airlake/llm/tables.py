@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from airlake.session import shared_dir
 
 #: Bounds on one Arrow batch handed to Python: rows and bytes (the longest text can exceed it).
-ARROW_ROWS, ARROW_BYTES = 2000, 8 << 20
+ARROW_ROWS, ARROW_BYTES = 2000, 4 << 20
+#: Bytes of batches after which a running task gives freed memory back.
+GIVE_BACK = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,20 +41,37 @@ def resident(key, make):
     return _resident[key]
 
 
+def give_back() -> None:
+    """What this process has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _giving_back(batches):
+    """``batches``; memory freed meanwhile is given back after every ``GIVE_BACK`` bytes of them."""
+    seen = 0
+    for batch in batches:
+        seen += batch.nbytes
+        yield batch
+        if seen >= GIVE_BACK:
+            seen = 0
+            give_back()
+
+
 def tidy(run, keep: bool = False):
-    """``run`` for ``mapInArrow``; when a task ends, what its Python worker no longer needs goes
-    back to the system, as the worker serves later tasks of other operators too. ``keep``: the
-    tasks go on with the resident tool; others free it first."""
+    """``run`` for ``mapInArrow``; from time to time, and when a task ends, what its Python worker no
+    longer needs goes back to the system, as the executor's other workers need it and the worker
+    serves later tasks of other operators too. ``keep``: the tasks go on with the resident tool;
+    others free it first."""
     @functools.wraps(run)
     def inner(batches):
         if not keep:
             _resident.clear()
-        yield from run(batches)
+        yield from run(_giving_back(batches))
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
     return inner
 
 
