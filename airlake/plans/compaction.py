@@ -24,8 +24,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.plans.layers import RAW_DAY, RAW_GROUP
-from airlake.session import delete, file_system, read_if_there
+from airlake.plans.layers import RAW_DAY, RAW_GROUP, WHOLE_DOCUMENTS
+from airlake.session import delete, file_system, read_if_there, settings
 
 #: What a folder of the raw table is for.
 _FOLDER = [RAW_DAY, "ingest_load", "ingest_batch"]
@@ -109,7 +109,8 @@ def compact_raw(spark: SparkSession, raw_path: str, before: datetime.date, days_
         fs, pattern = file_system(spark, f"{raw_path}_compacted/run=*")
         run = max([int(_value(x.getPath(), 0)) for x in fs.globStatus(pattern) or []], default=-1) + 1
         rows = read_raw(spark, raw_path, days)
-        rows.hint("rebalance", RAW_DAY).write.mode("error").options(**RAW_GROUP).partitionBy(RAW_DAY).parquet(f"{raw_path}_compacted/run={run}")
+        with settings(spark, WHOLE_DOCUMENTS):
+            rows.hint("rebalance", RAW_DAY).write.mode("error").options(**RAW_GROUP).partitionBy(RAW_DAY).parquet(f"{raw_path}_compacted/run={run}")
         for path, files in mine.items():
             if _files(spark, path) == files:
                 delete(spark, path)

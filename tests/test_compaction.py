@@ -155,3 +155,27 @@ def test_a_batch_of_raw_documents_is_bounded(spark, tmp_path):
     folded = groups(f"{base}/raw_compacted")
     assert sum(folded) == 96 and max(folded) <= most
     assert table(L.clean(C.read_raw(spark, f"{base}/raw"))) == before
+
+
+def test_raw_documents_are_stored_whole(spark, tmp_path):
+    """Neither the load nor the folding cuts variants into columns, for which a task gathers documents in
+    memory that nothing manages; the session's own setting comes back."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    base, key = str(tmp_path), "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(key)
+    rows = records(spark, 10, range(4), DAYS[:1])
+    for batch in range(2):
+        load(spark, base, rows, batch, f"2024-03-04 0{batch + 1}:00:00")
+
+    def fields(path):
+        files = glob.glob(f"{path}/**/*.parquet", recursive=True)
+        assert files
+        return {tuple(sorted(x.name for x in pq.ParquetFile(f).schema_arrow.field("json_data").type)) for f in files}
+
+    assert fields(f"{base}/raw") == {("metadata", "value")}
+    assert C.compact_raw(spark, f"{base}/raw", LATER) == DAYS[:1]
+    assert fields(f"{base}/raw_compacted") == {("metadata", "value")}
+    assert spark.conf.get(key) == before
