@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 
 from airlake.llm.arrowtext import Words, gram_hashes, mix64, slices
 from airlake.llm.linking import cross_pairs, near_components
-from airlake.llm.tables import bound_arrow, saved, tidy
+from airlake.llm.tables import GIVE_BACK, bound_arrow, give_back, saved, tidy
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 32, 4
 REGISTERS = BANDS * ROWS
+#: Bytes of text worked on at a time: words and shingles take some forty times that while they are made.
+SLICE = 512 << 10
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,7 +126,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 grams, weights, ranges = shingles(part.column("text"))
                 keys = band_keys(registers(grams, weights, ranges))
                 full = np.diff(ranges) > 0
@@ -140,7 +142,7 @@ def _verifier(texts: DataFrame, threshold: float):
     def verified(pairs: DataFrame) -> DataFrame:
         def run(batches):
             for batch in batches:
-                for part in slices(batch, "text_a", 1 << 20):
+                for part in slices(batch, "text_a", SLICE):
                     a, wa, ra = shingles(part.column("text_a"))
                     b, wb, rb = shingles(part.column("text_b"))
                     near = [probability_jaccard(a[ra[i]:ra[i + 1]], wa[ra[i]:ra[i + 1]], b[rb[i]:rb[i + 1]], wb[rb[i]:rb[i + 1]]) >= threshold - 1e-9
@@ -187,6 +189,8 @@ def _rest(texts: DataFrame, threshold: float):
     def rest(blocks: DataFrame) -> DataFrame:
         def run(group: pa.Table) -> pa.Table:
             links = _compared(group, threshold)
+            if group.nbytes >= GIVE_BACK:
+                give_back()
             return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
         return blocks.join(texts, "item").groupBy("key", "lo", "hi").applyInArrow(run, "a long, b long")
     return rest

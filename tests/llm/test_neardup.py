@@ -162,3 +162,36 @@ def test_blocks_of_the_rest(spark, groups):
 def test_query_against_brute_force(spark):
     rows = sorted(tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect())
     assert sorted((r.doc_id, r.class_id) for r in QUERIES["op4_near_duplicates"](spark, SF_SMALL).collect()) == brute_classes(rows)
+
+
+def test_memory_of_a_signing_task_is_bounded(monkeypatch):
+    """A task makes words and shingles of little text at a time, however much an Arrow batch holds."""
+    import tracemalloc
+
+    class Docs:
+        """Stands for the frame: hands out the function that a task runs."""
+        class sparkSession:
+            class conf:
+                set = staticmethod(lambda *a: None)
+
+        def select(self, *a):
+            return self
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(2000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(2000)]           # 3.6 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array(range(len(texts)))], names=["doc_id", "text", "item"])
+    docs = Docs()
+    monkeypatch.setattr(nd, "item", lambda: type("Hash", (), {"alias": lambda *a: None})())
+    nd.signed(docs)
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in docs.run([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(texts) and peak < 40 << 20
