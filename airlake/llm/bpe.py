@@ -20,6 +20,7 @@ import array
 import gc
 import hashlib
 import itertools
+import os
 import re
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from airlake.llm.arrowtext import slices
-from airlake.llm.tables import bound_arrow, resident, tidy, with_fields
+from airlake.llm.tables import TEXT_BATCH, TEXT_SLICE as SLICE, bound_arrow, resident, tidy, with_fields
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Unicode White_Space, as the pattern's \s has it.
@@ -40,8 +41,7 @@ _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: it is a plain space.
 _CHUNK = re.compile(f" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]++(?=[\x00-@\\[-`{{-\x7f]|\\Z)|"
                     f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-#: Bytes of text encoded at a time, distinct chunks in a generation, the longest one kept.
-SLICE = 512 << 10
+#: Distinct chunks in a generation, the longest one kept.
 CACHE_CHUNKS, CACHE_LENGTH = 80_000, 40
 
 
@@ -57,6 +57,8 @@ class Codec:
     """Encoder and decoder of one vocabulary file."""
 
     def __init__(self, path: str):
+        # a task has one core; the library's threads would each keep freed memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -132,7 +134,7 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None, offse
     fields += [T.StructField("decoded_sha256", T.StringType())] * decoded
     schema = with_fields(docs, *fields)
     kept = [f.name for f in schema.fields[: len(schema.fields) - len(fields)]]
-    bound_arrow(docs.sparkSession)
+    bound_arrow(docs.sparkSession, TEXT_BATCH)
 
     def run(batches):
         tool = codec(path)
@@ -155,7 +157,7 @@ def decode(encoded: DataFrame, column: str = "ids", path: str | None = None) ->
     """Add ``decoded`` (binary): the bytes that the ids stand for. Null ids give no bytes."""
     path = path or public_tokenizers.path(VOCABULARY)
     schema = with_fields(encoded, T.StructField("decoded", T.BinaryType()))
-    bound_arrow(encoded.sparkSession)
+    bound_arrow(encoded.sparkSession, TEXT_BATCH)
 
     def run(batches):
         tool = codec(path)
@@ -176,7 +178,7 @@ def round_trip(docs: DataFrame, keep: list[str], column: str = "text", path: str
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()), T.StructField("n_split", T.LongType())])
-    bound_arrow(docs.sparkSession)
+    bound_arrow(docs.sparkSession, TEXT_BATCH)
 
     def run(batches):
         tool = codec(path)

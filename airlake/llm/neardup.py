@@ -31,12 +31,13 @@ from pyspark.sql import functions as F
 
 from airlake.llm.arrowtext import Words, gram_hashes, mix64, slices
 from airlake.llm.linking import cross_pairs, near_components
-from airlake.llm.tables import GIVE_BACK, bound_arrow, give_back, saved, tidy
+from airlake.llm.tables import TEXT_BATCH, TEXT_SLICE as SLICE, bound_arrow, give_back, saved, tidy
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 32, 4
 REGISTERS = BANDS * ROWS
-#: Bytes of text worked on at a time: words and shingles take some forty times that while they are made.
-SLICE = 512 << 10
+#: Bytes of a group of texts (words and shingles take some forty times ``SLICE`` while they are made) after
+#: which its task gives freed memory back: such tasks are not told when they end.
+GROUP_BYTES = 64 << 10
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,7 +123,7 @@ def item(text: str = "text") -> Column:
 
 def signed(docs: DataFrame) -> DataFrame:
     """(doc_id, item, keys): band keys of every text; none without words."""
-    bound_arrow(docs.sparkSession)
+    bound_arrow(docs.sparkSession, TEXT_BATCH)
 
     def run(batches):
         for batch in batches:
@@ -189,7 +190,7 @@ def _rest(texts: DataFrame, threshold: float):
     def rest(blocks: DataFrame) -> DataFrame:
         def run(group: pa.Table) -> pa.Table:
             links = _compared(group, threshold)
-            if group.nbytes >= GIVE_BACK:
+            if group.nbytes >= GROUP_BYTES:
                 give_back()
             return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
         return blocks.join(texts, "item").groupBy("key", "lo", "hi").applyInArrow(run, "a long, b long")

@@ -15,6 +15,9 @@ from airlake.session import shared_dir
 
 #: Bounds on one Arrow batch handed to Python: rows and bytes (the longest text can exceed it).
 ARROW_ROWS, ARROW_BYTES = 2000, 4 << 20
+#: Bytes of one batch, and of text worked on at a time, for operators that need no more at once: Python
+#: holds many times a text's size while it is worked on, and the JVM twice a batch.
+TEXT_BATCH, TEXT_SLICE = 1 << 20, 512 << 10
 #: Bytes of batches after which a running task gives freed memory back.
 GIVE_BACK = 4 << 20
 
@@ -23,10 +26,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bound_arrow(spark: SparkSession) -> None:
+def bound_arrow(spark: SparkSession, size: int = ARROW_BYTES) -> None:
     """Bound Arrow batches, so that a task's Python memory does not follow text length."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 #: The one tool that a worker process keeps from task to task.
@@ -67,8 +70,10 @@ def tidy(run, keep: bool = False):
     others free it first."""
     @functools.wraps(run)
     def inner(batches):
-        if not keep:
+        if not keep and _resident:
             _resident.clear()
+            gc.collect()
+            give_back()                               # before this task takes memory of its own
         yield from run(_giving_back(batches))
         gc.collect()
         give_back()

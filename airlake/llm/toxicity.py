@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlake.llm.arrowtext import slices, utf8
-from airlake.llm.tables import bound_arrow, saved, tidy
+from airlake.llm.tables import TEXT_BATCH, TEXT_SLICE, bound_arrow, saved, tidy
 
 #: Learning: labelled rows (chosen by a hash of the id), features, and the least number of
 #: toxic rows and the least share of toxic rows among those that a feature occurs in.
@@ -83,12 +83,12 @@ def plain(word: str) -> str:
 
 def letter_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Letter 4-gram counts over all documents, shape (27, 27, 27, 27)."""
-    bound_arrow(docs.sparkSession)
+    bound_arrow(docs.sparkSession, TEXT_BATCH)
 
     def run(batches):
         counts = np.zeros(_SIZE ** 4, dtype=np.int64)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, TEXT_SLICE):
                 data, _ = utf8(pa.array([" ".join(t for t in part.column(text).to_pylist() if t)], pa.string()))
                 codes = np.frombuffer(bytes(data).decode().encode("utf-32-le"), dtype=np.uint32)
                 x = np.zeros(len(codes) + 4, dtype=np.int64)
@@ -320,7 +320,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, label: str = "t
     ``labels`` (doc_id, label) must hold only rows that may be learned from.
     """
     spark = docs.sparkSession
-    bound_arrow(spark)
+    bound_arrow(spark, TEXT_BATCH)
     sample = labelled_sample(labels.select("doc_id", label), label, rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", F.col(label).cast("int").alias("y"))
     shared = spark.sparkContext.broadcast(model)
@@ -328,7 +328,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, label: str = "t
     def run(batches):
         tool = Restorer(shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_SLICE):
                 words = [sorted(tool.words(t or "")) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(words, pa.list_(pa.string()))], names=["y", "words"])
 
@@ -383,7 +383,7 @@ def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = RIDGE,
 def score(docs: DataFrame, model: np.ndarray, names: list[str], weights: np.ndarray, text: str = "text") -> DataFrame:
     """Add ``score`` (0 to 1) to every row."""
     spark = docs.sparkSession
-    bound_arrow(spark)
+    bound_arrow(spark, TEXT_BATCH)
     shared = spark.sparkContext.broadcast((model, {f: i for i, f in enumerate(names)}, weights))
     fields = [f for f in docs.schema.fields if f.name.lower() != "score"]
     schema = T.StructType([*fields, T.StructField("score", T.DoubleType())])
@@ -392,7 +392,7 @@ def score(docs: DataFrame, model: np.ndarray, names: list[str], weights: np.ndar
         lm, place, w = shared.value
         find = Finder(lm, place)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, TEXT_SLICE):
                 out = []
                 for t in part.column(text).to_pylist():
                     at = find(t or "")

@@ -1,6 +1,10 @@
 import base64
 import hashlib
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import public_tokenizers as P
 import tiktoken
@@ -64,3 +68,19 @@ def test_query_against_the_ranks_library(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_a_codec_works_on_its_tasks_thread_only():
+    """The library's own threads would keep memory in every Python worker after the codec is freed."""
+    code = """
+import os
+from airlake.llm import bpe
+tool = bpe.Codec(bpe.public_tokenizers.path(bpe.VOCABULARY))
+before = len(os.listdir("/proc/self/task"))
+tool.encode([" ".join(f"word{i}" for i in range(20_000))])
+print(before, len(os.listdir("/proc/self/task")))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    found = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], env=env, capture_output=True, text=True, check=True).stdout
+    before, after = map(int, found.split()[-2:])
+    assert after == before

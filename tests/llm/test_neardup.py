@@ -195,3 +195,25 @@ def test_memory_of_a_signing_task_is_bounded(monkeypatch):
     finally:
         tracemalloc.stop()
     assert rows == len(texts) and peak < 40 << 20
+
+
+def test_groups_of_texts_give_memory_back(monkeypatch):
+    """A task on groups isn't told when it ends, so each group of some size does."""
+    events, runs = [], []
+
+    class Blocks:
+        def join(self, *_):
+            return self
+
+        groupBy = join
+
+        def applyInArrow(self, run, schema):
+            runs.append(run)
+
+    monkeypatch.setattr(nd, "_compared", lambda group, threshold: [])
+    monkeypatch.setattr(nd, "give_back", lambda: events.append("given back"))
+    nd._rest(None, 0.8)(Blocks())
+    runs[0](pa.table({"text": ["x" * 1000]}))
+    assert events == []
+    runs[0](pa.table({"text": ["x" * 100_000] * 2}))
+    assert events == ["given back"]

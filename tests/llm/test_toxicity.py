@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from airlake.llm import toxicity as tx
 from airlake.llm.queries import QUERIES
@@ -176,3 +178,29 @@ def test_scores_are_the_same_with_every_token_decoded(spark, monkeypatch):
     monkeypatch.setattr(tx.Spelling, "__call__", lambda self, token: True)
     everything = {r.doc_id: r.score for r in QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.01").collect()}
     assert with_test == everything
+
+
+def test_letters_are_counted_in_little_memory(spark):
+    """A task holds some 60 times the text that it works on."""
+    class Caught(Exception):
+        pass
+
+    class Docs:
+        sparkSession = spark
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            raise Caught(run)
+
+    with pytest.raises(Caught) as caught:
+        tx.letter_counts(Docs())
+    texts = pa.RecordBatch.from_arrays([pa.array(["some words " * 1000] * 350)], names=["text"])
+    tracemalloc.start()
+    try:
+        counted = sum(b.num_rows for b in caught.value.args[0](iter([texts])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert counted and peak < 50 << 20
