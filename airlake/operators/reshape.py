@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,9 +39,11 @@ def _lit(value: str) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def explode_array(df: DataFrame, array_col: str, keep: Sequence[str]) -> DataFrame:
+def explode_array(df: DataFrame, array: Column | str, keep: Sequence[str]) -> DataFrame:
     """Inner unnest of an array of structs: one row per element, element fields as columns.
 
-    A NULL or empty array yields no row (lateral-flatten semantics).
+    A NULL or empty array yields no row (lateral-flatten semantics). An array that is costly to
+    make is given as a Column: over an array by name the optimizer puts a filter (not null, not
+    empty), which makes the array twice, and below the joins, for rows that these leave out.
     """
-    return df.select(*keep, F.inline(F.col(array_col)))
+    return df.select(*keep, F.inline(F.col(array) if isinstance(array, str) else array))

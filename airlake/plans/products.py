@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airlake.functions import calendar, na_to_zero, surrogate_key, with_aqi
 from airlake.operators import pivot_max
@@ -113,9 +114,21 @@ def city_hour(fact: DataFrame, dates: DataFrame, locations: DataFrame,
 
     ``round_inputs``: the sub-index and prominent rules see whole numbers, ``greatest``
     the fractions (see README, "whole-number rule arguments").
+
+    A location key that n descriptions share has n times the facts, and each of them joins all n.
+    So the facts of an hour and key become one row before the star join (their means and numbers),
+    and its descriptions in one city another (their number): the same averages without the n * n
+    rows. A mean of whole numbers gives back their sum, which is whole, so no digit is lost.
     """
-    s = star(fact, dates, locations)
-    agg = s.groupBy("measurement_time", *keys).agg(*[F.avg(c).alias(c) for c in STORED_COLUMNS])
+    whole = {f.name for f in fact.schema if isinstance(f.dataType, T.IntegralType)}
+    at_key = fact.groupBy("date_fk", "location_fk").agg(
+        *[F.avg(c).alias(c) for c in STORED_COLUMNS], *[F.count(c).alias(f"{c}_n") for c in STORED_COLUMNS])
+    sums = at_key.withColumns({c: F.rint(F.col(c) * F.col(f"{c}_n")) if c in whole else F.col(c) * F.col(f"{c}_n") for c in STORED_COLUMNS})
+    places = locations.groupBy("location_pk", *keys).agg(F.count(F.lit(1)).alias("__places"))
+    s = star(sums, dates, places)
+    total = lambda c: F.sum(F.col(c) * F.col("__places"))
+    agg = s.groupBy("measurement_time", *keys).agg(
+        *[(total(c) / F.nullif(total(f"{c}_n"), F.lit(0))).alias(c) for c in STORED_COLUMNS])
     return with_aqi(agg, round_inputs=round_inputs)
 
 

@@ -184,7 +184,7 @@ def documents_from_records(records: DataFrame, limit: int = PAGE_LIMIT,
     # to the document's task first: a partial collect_list before it would save no bytes
     grouped = (paged.repartition("index_record_ts", "__page")
                .groupBy("index_record_ts", "__page")
-               .agg(F.array_sort(F.collect_list("rec")).alias("records"), F.count(F.lit(1)).cast("int").alias("count"),
+               .agg(F.sort_array(F.collect_list("rec")).alias("records"), F.count(F.lit(1)).cast("int").alias("count"),
                     F.max("__total").cast("int").alias("total")))
     epoch = F.unix_timestamp(delivered_at.cast("timestamp")).cast("long")
     iso = F.date_format(delivered_at, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -123,3 +123,20 @@ def test_preview(spark):
 
     from airlake.operators import preview
     assert [r.id for r in preview(spark.range(0, 5000), 3, [F.col("id").desc()]).collect()] == [4999, 4998, 4997]
+
+
+def test_documents_are_taken_apart_once(spark, tmp_path):
+    """The records of a document are made once, above the join that leaves out superseded documents."""
+    import datetime
+
+    from airlake.plans import layers as L
+    doc = ('{"version":"2","total":1,"created":1,"records":[{"country":"I","state":"K","city":"A","station":"s","last_update":"01-03-2024 10:00:00",'
+           '"latitude":"1","longitude":"2","pollutant_id":"PM10","pollutant_min":"1","pollutant_max":"9","pollutant_avg":"5"}]}')
+    (tmp_path / "landing" / "2024_03_01").mkdir(parents=True)
+    (tmp_path / "landing" / "2024_03_01" / "a.json").write_text(doc)
+    ingest(spark, f"{tmp_path}/landing", f"{tmp_path}/raw", f"{tmp_path}/ck")
+    for days in (None, [datetime.date(2024, 3, 1)]):
+        df = L.clean(spark.read.parquet(f"{tmp_path}/raw"), days)
+        p = df._jdf.queryExecution().optimizedPlan().toString()
+        assert p.count("variant_get") == 1 and p.index("variant_get") < p.index("LeftAnti"), p
+        assert [(r.station, r.pollutant_avg) for r in df.collect()] == [("s", "5")]

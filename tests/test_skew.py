@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from airlake.operators import latest_per_key
 from airlake.plans import products as P
-from airlake.schemas import POLLUTANT_COLUMNS, STATION_KEYS
+from airlake.schemas import POLLUTANT_COLUMNS, STATION_KEYS, STORED_COLUMNS
 from airlake.sources import testbed as TB
 from conftest import SF_SMALL
 
@@ -62,6 +62,44 @@ def test_hot_city_rollup(spark):
     assert "partial_avg" in plan
 
 
+def test_stations_that_share_coordinates_do_not_multiply(spark, tmp_path):
+    """A location key of n descriptions: the same averages as over the star, whose rows are n * n."""
+    n = 200
+    rows = [(f"2024-03-01 {h:02d}:00:00", f"c{k % 3}", f"s{k}", str(k % 2), p, "NA" if k % 7 == 0 else str(k * 3 + h))
+            for h in range(2) for k in range(n) for p in ("PM10", "PM2.5", "CO")]
+    r = spark.createDataFrame(rows, "t string, city string, station string, lat string, pollutant_id string, pollutant_avg string").select(
+        F.col("t").cast("timestamp_ntz").alias("index_record_ts"), F.lit("I").alias("country"), F.lit("K").alias("state"), "city", "station",
+        F.col("lat").cast("decimal(12,7)").alias("latitude"), F.lit(2).cast("decimal(12,7)").alias("longitude"), "pollutant_id", "pollutant_avg")
+    P.clean_flatten(r).write.parquet(f"{tmp_path}/flat")
+    flat = spark.read.parquet(f"{tmp_path}/flat")
+    P.air_quality_fact(flat).write.parquet(f"{tmp_path}/fact")
+    fact, dates, locations = spark.read.parquet(f"{tmp_path}/fact"), P.date_dim(flat), P.location_dim(flat)
+    some = fact.withColumn("co_avg", F.when(F.col("co_avg") % 2 == 0, F.col("co_avg")))           # a column with nulls
+    keys = ["measurement_time", "country", "state", "city"]
+    want = P.star(some, dates, locations).groupBy(*keys).agg(*[F.avg(c).alias(c) for c in STORED_COLUMNS])
+    got = P.city_hour(some, dates, locations)
+    cols = [*keys, *STORED_COLUMNS]
+    assert sorted(tuple(x) for x in got.select(*cols).collect()) == sorted(tuple(x) for x in want.select(*cols).collect())
+    hours = P.city_hour(fact, dates, locations)
+    run = hours._jdf.queryExecution().executedPlan()
+    run.executeCollect()
+    joined = []
+
+    def walk(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            node = node.executedPlan()
+        if node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        if "Join" in node.nodeName():
+            joined.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(run)
+    assert joined and max(joined) <= 2 * 2 * 3                  # hours, keys, cities: 40,000 rows of the star before
+
+
 def test_landing_pages_are_strict_for_one_hot_station(spark):
     """One station holding every record of an hour is cut into pages of at most the limit."""
     from airlake.sources.landing import documents_from_records
