@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlake.plans.layers import RAW_DAY, RAW_GROUP, WHOLE_DOCUMENTS
-from airlake.session import delete, file_system, read_if_there, settings
+from airlake.session import FREED, delete, file_system, read_if_there, settings
 
 #: What a folder of the raw table is for.
 _FOLDER = [RAW_DAY, "ingest_load", "ingest_batch"]
@@ -85,7 +85,9 @@ def read_raw(spark: SparkSession, raw_path: str, days: Sequence | None = None) -
     again = [f for f in _folders(spark, raw_path) if f[0] in kept]
     if again:
         replaced = spark.createDataFrame(again, f"{RAW_DAY} date, ingest_load string, ingest_batch long")
-        folded = folded.join(replaced, _FOLDER, "left_anti").select(folded.columns)
+        # the listing is on the driver already, and its size is unknown to the planner: without the
+        # hint it would shuffle the documents
+        folded = folded.join(F.broadcast(replaced), _FOLDER, "left_anti").select(folded.columns)
     if fresh is None:
         return folded
     return fresh.withColumns({"ingest_load": F.col("ingest_load").cast("string"), "ingest_batch": F.col("ingest_batch").cast("bigint")}).unionByName(folded)
@@ -109,7 +111,7 @@ def compact_raw(spark: SparkSession, raw_path: str, before: datetime.date, days_
         fs, pattern = file_system(spark, f"{raw_path}_compacted/run=*")
         run = max([int(_value(x.getPath(), 0)) for x in fs.globStatus(pattern) or []], default=-1) + 1
         rows = read_raw(spark, raw_path, days)
-        with settings(spark, WHOLE_DOCUMENTS):
+        with settings(spark, WHOLE_DOCUMENTS | FREED):
             rows.hint("rebalance", RAW_DAY).write.mode("error").options(**RAW_GROUP).partitionBy(RAW_DAY).parquet(f"{raw_path}_compacted/run={run}")
         for path, files in mine.items():
             if _files(spark, path) == files:

@@ -26,7 +26,7 @@ from airlake.plans import layers as L
 from airlake.plans import products as P
 from airlake.plans.compaction import raw_days, read_raw
 from airlake.schemas import STORED_COLUMNS
-from airlake.session import delete, file_system, read_if_there
+from airlake.session import FREED, delete, file_system, read_if_there, settings
 
 DAY = "measurement_date"
 
@@ -197,9 +197,10 @@ class TableGraph:
             df = t.build(inputs, run)
             # REBALANCE on the partition column: AQE sizes the write tasks by the day they
             # hold, so a day gets a few right-sized files instead of one file from every task
-            (df.hint("rebalance", DAY).write.mode("overwrite")
-             .option("partitionOverwriteMode", "static" if run is None else "dynamic")
-             .partitionBy(DAY).parquet(t.path))
+            with settings(self.spark, FREED):
+                (df.hint("rebalance", DAY).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "static" if run is None else "dynamic")
+                 .partitionBy(DAY).parquet(t.path))
             # an overwritten day has new files; one that kept its files got no rows
             after = self._files(t, run)
             self._clear(t, [d for d, files in before.items() if files and after[d] == files])
@@ -229,7 +230,8 @@ class TableGraph:
         """A new version beside the current one; the one before that goes."""
         versions = self._versions(t)
         new = versions[-1] + 1 if versions else 0
-        df.hint("rebalance").write.mode("overwrite").parquet(f"{t.path}/version={new}")
+        with settings(self.spark, FREED):
+            df.hint("rebalance").write.mode("overwrite").parquet(f"{t.path}/version={new}")
         for old in versions[:-1]:
             delete(self.spark, f"{t.path}/version={old}")
 

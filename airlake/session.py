@@ -27,6 +27,10 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: The shuffle files of a write go when the write ends. Else they stay until the driver happens to
+#: collect its garbage, and a job of many writes holds the files of all of them.
+FREED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def get_spark(master: str | None = None, app: str = "airlake",
               shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from airlake.functions import feed_ts, landing_stamp, to_ntz
 from airlake.schemas import DOCUMENT, LANDING_DIR_FORMAT, LANDING_FILE_PREFIX, PAGE_LIMIT, RECORD_FIELDS
-from airlake.session import settings
+from airlake.session import FREED, settings
 
 # the sink keeps each delivery in a folder of its own below the day
 _DAY_IN_PATH = r"(\d{4}_\d{2}_\d{2})/(?:landing_name=[^/]+/)?[^/]+$"
@@ -211,7 +211,7 @@ def write_landing(documents: DataFrame, landing: str, compression: str = "gzip")
     repeated job does not land a delivery twice. Each row is one line; many documents share a
     file, each keeps its own md5.
     """
-    with settings(documents.sparkSession, PAGE_BY_PAGE):
+    with settings(documents.sparkSession, PAGE_BY_PAGE | FREED):
         (documents.hint("rebalance", "landing_day", "landing_name").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("landing_day", "landing_name")
          .option("compression", compression).json(landing))

@@ -179,3 +179,34 @@ def test_raw_documents_are_stored_whole(spark, tmp_path):
     assert C.compact_raw(spark, f"{base}/raw", LATER) == DAYS[:1]
     assert fields(f"{base}/raw_compacted") == {("metadata", "value")}
     assert spark.conf.get(key) == before
+
+
+def test_a_batch_run_again_leaves_the_documents_unshuffled(spark, tmp_path):
+    base = str(tmp_path)
+    loaded(spark, base)
+    raw = f"{base}/raw"
+    C.compact_raw(spark, raw, LATER)
+    load(spark, base, records(spark, 20, range(2)), 1, "2024-03-04 02:00:00")
+    df = C.read_raw(spark, raw)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p and "Exchange hashpartitioning" not in p, p
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """Loading, folding and refreshing hold the shuffle files of the write at hand only."""
+    import time
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    base, before = str(tmp_path), files()
+    loaded(spark, base)
+    C.compact_raw(spark, f"{base}/raw", LATER)
+    g = G.aqi_pipeline(spark, f"{base}/t", f"{base}/raw")
+    g.refresh("city_day")
+    until = time.time() + 20
+    while files() - before and time.time() < until:               # they go a moment after the write
+        time.sleep(0.2)
+    assert not files() - before
